@@ -30,9 +30,9 @@ def t_tail_sql(t, dof):
     """Two-sided Student tail as the finite series over j, spelled with list functions."""
     theta = f"atan({t} / sqrt({dof}))"
     odd = f"""2.0 / pi() * ({theta} + sin({theta}) * list_sum(list_transform(range(0, ({dof} - 1) // 2),
-        j -> cos({theta}) ** (2 * j + 1) * list_aggregate(list_concat([1.0::DOUBLE], list_transform(range(1, j + 1), i -> (2.0::DOUBLE * i) / (2 * i + 1))), 'product'))))"""
+        lambda j: cos({theta}) ** (2 * j + 1) * list_aggregate(list_concat([1.0::DOUBLE], list_transform(range(1, j + 1), lambda i: (2.0::DOUBLE * i) / (2 * i + 1))), 'product'))))"""
     even = f"""sin({theta}) * list_sum(list_transform(range(0, {dof} // 2),
-        j -> cos({theta}) ** (2 * j) * list_aggregate(list_concat([1.0::DOUBLE], list_transform(range(1, j + 1), i -> (2.0::DOUBLE * i - 1) / (2 * i))), 'product')))"""
+        lambda j: cos({theta}) ** (2 * j) * list_aggregate(list_concat([1.0::DOUBLE], list_transform(range(1, j + 1), lambda i: (2.0::DOUBLE * i - 1) / (2 * i))), 'product')))"""
     return f"greatest(0.0, 1.0 - CASE WHEN {dof} % 2 = 1 THEN {odd} ELSE {even} END)"
 
 
@@ -185,9 +185,9 @@ query("partial_autocorrelation", "series_id lag:i pacf:6", lambda t: s.partial_a
            SELECT series_id, 0 AS lag, n, r, []::DOUBLE[] AS phi, 1.0::DOUBLE AS pacf FROM rho_adjusted
            UNION ALL
            SELECT series_id, lag + 1, n, r,
-                  list_concat(list_transform(range(1, lag + 1), j -> phi[j] - a * phi[lag + 1 - j]), [a]), a
-           FROM (SELECT *, (r[lag + 2] - coalesce(list_sum(list_transform(range(1, lag + 1), j -> phi[j] * r[lag + 2 - j])), 0))
-                           / (1 - coalesce(list_sum(list_transform(range(1, lag + 1), j -> phi[j] * r[j + 1])), 0)) AS a
+                  list_concat(list_transform(range(1, lag + 1), lambda j: phi[j] - a * phi[lag + 1 - j]), [a]), a
+           FROM (SELECT *, (r[lag + 2] - coalesce(list_sum(list_transform(range(1, lag + 1), lambda j: phi[j] * r[lag + 2 - j])), 0))
+                           / (1 - coalesce(list_sum(list_transform(range(1, lag + 1), lambda j: phi[j] * r[j + 1])), 0)) AS a
                  FROM dl WHERE lag < least(20, n // 8)))
          SELECT series_id, lag, pacf FROM dl""")
 FIT = f"""

@@ -25,6 +25,12 @@ def clip(c: Column, low, high) -> Column:
     return F.when(c < low, low).when(c > high, high).otherwise(c)
 
 
+def pearson(a: Column, b: Column) -> Column:
+    """Pearson correlation; null, not an error, where either side does not vary."""
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return ratio(F.covar_pop(a, b), spread)
+
+
 def correlation_t(r2: Column, n: Column) -> Column:
     """t statistic of a simple regression, without its sign; null for a perfect fit or n < 3."""
     return F.when(n > 2, F.sqrt(ratio(r2 * (n - 2), 1 - r2)))

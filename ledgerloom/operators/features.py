@@ -52,7 +52,7 @@ def add_growth(df: DataFrame) -> DataFrame:
 def _noise(df: DataFrame, stream: str, scale: float, seed: int | None):
     if seed is None:
         return F.lit(0.0)
-    return scale * draws.standard_normal(seed, F.col(SERIES), F.lit(0), F.col("_pos"), stream)
+    return scale * draws.standard_normal(seed, SERIES, "0", "_pos", stream)
 
 
 def _placed(df: DataFrame) -> DataFrame:

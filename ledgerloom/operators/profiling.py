@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import windows as w
-from ledgerloom.functions.numeric import correlation_t, ratio, student_t_tail
+from ledgerloom.functions.numeric import correlation_t, pearson, ratio, student_t_tail
 from ledgerloom.params import DATE, FX, OPEX, SALES, SERIES
 
 SALES_GROWTH, FX_GROWTH = "sales_growth_mom", "fx_change_mom"
@@ -138,9 +138,9 @@ def growth_consistency(df: DataFrame) -> DataFrame:
 def correlation_matrix(df: DataFrame) -> DataFrame:
     """Pearson correlations of the three measures."""
     return df.groupBy(SERIES).agg(
-        F.corr(SALES, FX).alias("sales_fx"),
-        F.corr(SALES, OPEX).alias("sales_opex"),
-        F.corr(FX, OPEX).alias("fx_opex"),
+        pearson(F.col(SALES), F.col(FX)).alias("sales_fx"),
+        pearson(F.col(SALES), F.col(OPEX)).alias("sales_opex"),
+        pearson(F.col(FX), F.col(OPEX)).alias("fx_opex"),
     )
 
 
@@ -150,7 +150,7 @@ def lagged_correlation(df: DataFrame, lags: int = 6) -> DataFrame:
     facts = [
         F.struct(
             F.lit(k).alias("lag"),
-            F.coalesce(F.nanvl(F.corr(SALES, f"_fx{k}"), F.lit(0.0)), F.lit(0.0)).alias("correlation"),
+            F.coalesce(pearson(F.col(SALES), F.col(f"_fx{k}")), F.lit(0.0)).alias("correlation"),
         )
         for k in range(1, lags + 1)
     ]
@@ -190,7 +190,7 @@ def volatility_clusters(df: DataFrame) -> DataFrame:
 def volatility_persistence(df: DataFrame) -> DataFrame:
     """Correlation of the rolling volatility with itself one row earlier; 0 with fewer than two values."""
     lagged = df.withColumn("_prev", F.lag("sales_rolling_vol").over(w.ordered()))
-    corr = F.corr("sales_rolling_vol", "_prev")
+    corr = pearson(F.col("sales_rolling_vol"), F.col("_prev"))
     enough = F.count("sales_rolling_vol") > 1
     return lagged.groupBy(SERIES).agg(F.when(enough, corr).otherwise(0.0).alias("volatility_persistence"))
 
@@ -216,7 +216,7 @@ def top_acceleration(df: DataFrame, k: int = 3) -> DataFrame:
 def sensitivity_labels(df: DataFrame) -> DataFrame:
     """Words for the volatility of growth and for the tie between sales and FX."""
     out = df.groupBy(SERIES).agg(
-        F.stddev_samp(SALES_GROWTH).alias("_vol"), F.abs(F.corr(SALES, FX)).alias("_corr")
+        F.stddev_samp(SALES_GROWTH).alias("_vol"), F.abs(pearson(F.col(SALES), F.col(FX))).alias("_corr")
     )
     vol, corr = F.col("_vol"), F.col("_corr")
     return out.select(
