@@ -80,6 +80,11 @@ SELECT series_id, form, k, alpha, beta, gamma, sse, n * ln(sse / n) + 2 * k AS a
 QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY n * ln(sse / n) + 2 * k, alpha, beta, gamma) = 1""")
     view(f"{p}winners", f"SELECT series_id, form, k, alpha, beta, gamma FROM {p}ets")
     view(f"{p}path", recursion(p + "winners"))
+    # The best weights of every form, also of those that lose.
+    view(f"{p}form_winners", f"""
+SELECT series_id, form, k, alpha, beta, gamma FROM {p}tried
+QUALIFY row_number() OVER (PARTITION BY series_id, form ORDER BY sse, alpha, beta, gamma) = 1""")
+    view(f"{p}form_path", recursion(p + "form_winners"))
     # Autoregression on the twice differenced series.
     view(f"{p}w", f"""
 SELECT *, value - lag(value, 1) OVER {W} - lag(value, 12) OVER {W} + lag(value, 13) OVER {W} AS w FROM {p}pos""")
@@ -169,6 +174,22 @@ def unpack(column, names):
 query("ets_tournament", "series_id form aic:4 root_sse:2 alpha:6 beta:6 gamma:6",
       lambda t: unpack("ets", ("alpha", "beta", "gamma"))(m.fit_ets(packed(t))),
       "SELECT *, sqrt(sse / 1e6) AS root_sse FROM m_ets")
+
+
+def every_form(t):
+    fits = [m.fit_ets(packed(t), forms=(f,)) for f in m.ETS_FORMS]
+    fits = [f.select("series_id", "dates", "y", "n", F.lit("ets").alias("model"), "ets.form", "ets.params", "ets.aic") for f in fits]
+    both = fits[0].unionByName(fits[1]).unionByName(fits[2]).unionByName(fits[3])
+    return m.run_models(both, 14).select(
+        "series_id", "form", "aic", *[F.col("params")[k].alias(k) for k in ("alpha", "beta", "gamma")],
+        F.posexplode_outer("run.forecast").alias("k", "forecast")).withColumn("step", F.col("k") + 1)
+
+
+query("ets_forms", "series_id form aic:4 alpha:6 beta:6 gamma:6 step:i forecast:2", every_form,
+      """SELECT p.series_id, form, p.n * ln(sse / p.n) + 2 * k AS aic, alpha, beta, gamma, step,
+             CASE form[3] WHEN 'A' THEN l + b * step + s[(step - 1) % 12 + 1] WHEN 'M' THEN (l + b * step) * s[(step - 1) % 12 + 1]
+                  ELSE l + b * step END AS forecast
+         FROM m_form_path p JOIN m_months d ON d.series_id = p.series_id AND step <= 14 WHERE pos = p.n - 1""")
 query("ar_tournament", "series_id form aic:4 root_sse:2 phi1:6 phi2:6 phi12:6",
       lambda t: unpack("ar", ("phi1", "phi2", "phi12"))(m.fit_ar(packed(t))),
       "SELECT *, sqrt(sse / 1e6) AS root_sse FROM m_ar")

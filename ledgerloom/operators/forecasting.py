@@ -1,4 +1,8 @@
-"""Accuracy, model choice, forecasts with bounds, validation and the model store."""
+"""Accuracy, model choice, forecasts with bounds, validation and the model store.
+
+Arrays that are costly to compute are unfolded with the `_outer` generators: the plain ones make the optimizer
+add a filter on the size of the array, which computes the array a second time.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,7 @@ from ledgerloom.functions import windows as w
 from ledgerloom.functions.arrays import steps, total
 from ledgerloom.functions.numeric import finite, pearson, ratio
 from ledgerloom.operators.models import (
-    MODELS, fit_ar, fit_ets, fit_models, pack_series, run_ar, run_ets, run_models,
+    MODELS, bound, fit_ar, fit_ets, fit_models, pack_series, run_ar, run_ets, run_models,
 )
 from ledgerloom.operators.series import next_month_start, trend_forecast
 from ledgerloom.params import DATE, SERIES, Forecasting
@@ -44,7 +48,7 @@ def accuracy(df: DataFrame, keys=(SERIES, "model")) -> DataFrame:
 def fitted_values(run: DataFrame) -> DataFrame:
     """Actual and fitted value per series, model and date, from `run_models`."""
     points = F.arrays_zip(F.col("dates").alias("date"), F.col("y").alias("actual"), F.col("run.fitted").alias("predicted"))
-    return run.select(SERIES, "model", F.inline(points)).toDF(SERIES, "model", DATE, "actual", "predicted")
+    return run.select(SERIES, "model", F.inline_outer(points)).toDF(SERIES, "model", DATE, "actual", "predicted")
 
 
 def select_model(scores: DataFrame, by: str = "mape") -> DataFrame:
@@ -129,7 +133,7 @@ def holdout_validation(df: DataFrame, models=MODELS, settings: Forecasting = For
     )
     run = run_models(fit_models(cut, models, settings), h, settings)
     pairs = run.select(
-        SERIES, "model", F.inline(F.arrays_zip(F.col("held").alias("actual"), F.col("run.forecast").alias("predicted")))
+        SERIES, "model", F.inline_outer(F.arrays_zip(F.col("held").alias("actual"), F.col("run.forecast").alias("predicted")))
     ).toDF(SERIES, "model", "actual", "predicted")
     return accuracy(pairs)
 
@@ -161,12 +165,13 @@ def rolling_backtest_points(df: DataFrame, settings: Forecasting = Forecasting()
     # Positions 0..11: mean 5.5, sum of squares about it 143.
     slope = f"aggregate(zip_with({recent}, {steps(0, 11)}, (v, x) -> (x - 5.5D) * v), 0D, (s, v) -> s + v) / 143D"
     trend = f"greatest({total(recent)} / 12D + ({slope}) * 6.5D, 0.5D * element_at(y, -1))"
-    level = f"get(({run_ets(1, ('ANN',))}).forecast, 0)".replace("form =", "ets.form =").replace("params[", "ets.params[")
-    ar = f"get(({run_ar(1)}).forecast, 0)".replace("params[", "ar.params[")
-    listed = ", ".join(
-        f"named_struct('model', '{k}', 'predicted', {v})" for k, v in (("trend", trend), ("level", level), ("ar", ar))
-    )
-    return origins.select(SERIES, DATE, "actual", F.expr(f"inline(array({listed}))"))
+    forecasts = {
+        "trend": F.expr(trend),
+        "level": F.get(bound(run_ets(1, ("ANN",)), "'ets'", "ets.form", "ets.params")["forecast"], F.lit(0)),
+        "ar": F.get(bound(run_ar(1), "'ar'", "ar.form", "ar.params")["forecast"], F.lit(0)),
+    }
+    listed = F.array(*[F.struct(F.lit(k).alias("model"), v.alias("predicted")) for k, v in forecasts.items()])
+    return origins.select(SERIES, DATE, "actual", F.inline(listed))
 
 
 def rolling_backtest(df: DataFrame, settings: Forecasting = Forecasting()) -> DataFrame:
@@ -225,8 +230,8 @@ def score(df: DataFrame, stored: DataFrame, horizon: int, settings: Forecasting
     packed = pack_series(df)
     run = run_models(packed.join(stored.select(SERIES, "model", "form", "params"), SERIES), horizon, settings)
     return run.select(
-        SERIES, "model", F.element_at("dates", -1).alias("_end"), F.posexplode("run.forecast").alias("_k", "forecast")
-    ).select(
+        SERIES, "model", F.element_at("dates", -1).alias("_end"), F.posexplode_outer("run.forecast").alias("_k", "forecast")
+    ).filter(F.col("_k").isNotNull()).select(
         SERIES, "model", (F.col("_k") + 1).alias("step"),
         next_month_start(F.col("_end"), F.col("_k") + 1).alias(DATE), "forecast",
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.arrays import dot, mean, number, solve, steps
@@ -36,8 +36,8 @@ def pack_series(df: DataFrame, keys=(SERIES,), slices: int | None = None) -> Dat
     )
     return packed.select(
         *keys,
-        F.col("points")[DATE].alias("dates"),
-        F.col("points")["value"].alias("y"),
+        F.transform("points", lambda p: p[DATE]).alias("dates"),
+        F.transform("points", lambda p: p["value"]).alias("y"),
         F.size("points").alias("n"),
     )
 
@@ -64,9 +64,9 @@ def _least(candidates: str) -> str:
 ETS_FORMS = {"AAA": 17, "AAM": 17, "ANA": 15, "ANN": 2}
 
 
-def _ets_start(form: str) -> str:
+def _ets_start(form: str, y: str = "y") -> str:
     """Level, slope and season before the first value, from the first two years, as named_struct fields."""
-    first, second = f"slice(y, 1, {SEASON})", f"slice(y, {SEASON + 1}, {SEASON})"
+    first, second = f"slice({y}, 1, {SEASON})", f"slice({y}, {SEASON + 1}, {SEASON})"
     level = mean(first)
     slope = f"(({mean(second)}) - ({level})) / {SEASON}D" if form[1] == "A" else "0D"
     season = {
@@ -126,15 +126,15 @@ def fit_ets(packed: DataFrame, grid=Forecasting().grid, forms=tuple(ETS_FORMS))
 
 
 def run_ets(horizon: int, forms=tuple(ETS_FORMS)) -> str:
-    """Fitted values and forecast from `y`, `form` and `params`."""
+    """Fitted values and forecast of the bound row `_p`."""
     cases = []
     for f in forms:
-        state, expected = _ets_step(f, "params['alpha']", "params['beta']", "params['gamma']")
+        state, expected = _ets_step(f, "_p.params['alpha']", "_p.params['beta']", "_p.params['gamma']")
         base = "(acc.l + k * acc.b)" if f[1] == "A" else "acc.l"
         wave = f"get(acc.s, (k - 1) % {SEASON})"
         ahead = {"A": f"{base} + {wave}", "M": f"{base} * {wave}", "N": f"{base} + 0D"}[f[2]]
         cases.append(
-            f"""when form = '{f}' then aggregate(y, named_struct({_ets_start(f)}, 'fitted', {EMPTY}),
+            f"""when _p.form = '{f}' then aggregate(_p.y, named_struct({_ets_start(f, '_p.y')}, 'fitted', {EMPTY}),
             (acc, v) -> named_struct({state}, 'fitted', concat(acc.fitted, array({expected}))),
             acc -> named_struct('fitted', acc.fitted, 'forecast', transform({steps(1, horizon)}, k -> {ahead})))"""
         )
@@ -145,8 +145,12 @@ def run_ets(horizon: int, forms=tuple(ETS_FORMS)) -> str:
 
 AR_FORMS = {"1": (1,), "12": (12,), "1,12": (1, 12), "1,2,12": (1, 2, 12)}
 AR_MIN = 33
+
+
 # Month-on-month change of the year-on-year change; its first value belongs to row 14.
-TWICE_DIFFERENCED = f"transform({steps(13, 'n - 1')}, t -> get(y, t) - get(y, t - 1) - get(y, t - 12) + get(y, t - 13))"
+def twice_differenced(y: str, n: str) -> str:
+    last = f"{n} - 1"
+    return f"transform({steps(13, last)}, t -> get({y}, t) - get({y}, t - 1) - get({y}, t - 12) + get({y}, t - 13))"
 
 
 def _determinant(m: list[list[str]]) -> str:
@@ -164,7 +168,7 @@ def fit_ar(packed: DataFrame) -> DataFrame:
     lags = (0, 1, 2, 12)
     cut = {i: f"slice(_w, {13 - i}, n - 25)" for i in lags}
     sums = ", ".join(f"'s{i}_{j}', {dot(cut[i], cut[j])}" for i in lags for j in lags if i <= j)
-    packed = packed.withColumn("_w", F.expr(f"if(n >= {AR_MIN}, {TWICE_DIFFERENCED}, null)"))
+    packed = packed.withColumn("_w", F.expr(f"if(n >= {AR_MIN}, {twice_differenced('y', 'n')}, null)"))
     packed = packed.withColumn("_s", F.expr(f"if(n >= {AR_MIN}, named_struct({sums}), null)"))
 
     def s(i, j):
@@ -194,33 +198,34 @@ def fit_ar(packed: DataFrame) -> DataFrame:
 
 
 def run_ar(horizon: int) -> str:
-    """Fitted values (null for the first 25 rows) and forecast from `y`, `n` and `params`."""
+    """Fitted values (null for the first 25 rows) and forecast of the bound row `_p`."""
 
     def change(w, k):
-        return (f"(params['phi1'] * get({w}, {k} - 1) + params['phi2'] * get({w}, {k} - 2)"
-                f" + params['phi12'] * get({w}, {k} - 12))")
+        return (f"(_p.params['phi1'] * get({w}, {k} - 1) + _p.params['phi2'] * get({w}, {k} - 2)"
+                f" + _p.params['phi12'] * get({w}, {k} - 12))")
 
+    w = twice_differenced("_p.y", "_p.n")
     level = f"({change('acc.w', '12')} + get(acc.y, 12) + get(acc.y, 1) - get(acc.y, 0))"
-    # The fitted value misses by as much as the expected change does. The differences are bound once, as the
-    # single element of an array that is transformed.
-    fitted = f"""get(transform(array({TWICE_DIFFERENCED}), w -> transform({steps(0, 'n - 1')}, t ->
-        if(t >= 25, get(y, t) - get(w, t - 13) + {change('w', '(t - 13)')}, null))), 0)"""
+    # The fitted value misses by as much as the expected change does.
+    fitted = f"""transform({steps(0, '_p.n - 1')}, t ->
+        if(t >= 25, get(_p.y, t) - get(w, t - 13) + {change('w', '(t - 13)')}, null))"""
     forecast = f"""aggregate({steps(1, horizon)},
-        named_struct('w', slice({TWICE_DIFFERENCED}, -12, 12), 'y', slice(y, -13, 13), 'out', {EMPTY}),
+        named_struct('w', slice(w, -12, 12), 'y', slice(_p.y, -13, 13), 'out', {EMPTY}),
         (acc, k) -> named_struct('w', concat(slice(acc.w, 2, 11), array({change('acc.w', '12')})),
             'y', concat(slice(acc.y, 2, 12), array({level})), 'out', concat(acc.out, array({level}))),
         acc -> acc.out)"""
-    return f"if(n >= {AR_MIN}, named_struct('fitted', {fitted}, 'forecast', {forecast}), null)"
+    both = f"named_struct('fitted', {fitted}, 'forecast', {forecast})"
+    return f"if(_p.n >= {AR_MIN}, get(transform(array({w}), w -> {both}), 0), null)"
 
 
 # --- Trend with yearly waves -----------------------------------------------------------------------
 
 
-def _design(position: str, date: str, pairs: int) -> str:
+def _design(position: str, date: str, pairs: int, n: str = "n") -> str:
     """Constant, elapsed share of the series, and sine and cosine pairs of the calendar month."""
     angle = f"(month({date}) - 1) * {2.0 * math.pi / 12.0!r}D"
     waves = [f"{f}({k} * {angle})" for k in range(1, pairs + 1) for f in ("sin", "cos")]
-    return f"array(1D, {position} / cast(n as double), {', '.join(waves)})"
+    return f"array(1D, {position} / cast({n} as double), {', '.join(waves)})"
 
 
 def fit_fourier(packed: DataFrame, pairs: int = Forecasting().fourier_pairs) -> DataFrame:
@@ -244,12 +249,12 @@ def fit_fourier(packed: DataFrame, pairs: int = Forecasting().fourier_pairs) ->
 
 
 def run_fourier(horizon: int, pairs: int) -> str:
-    """Fitted values and forecast from `y`, `n`, `dates` and `params`."""
-    coef = "array(" + ", ".join(f"params['c{i}']" for i in range(2 + 2 * pairs)) + ")"
-    fitted = f"transform(dates, (_d, _i) -> {dot(_design('_i', '_d', pairs), coef)})"
-    ahead = _design("(n - 1 + k)", month_start_after("element_at(dates, -1)", "k"), pairs)
-    forecast = f"transform({steps(1, horizon)}, k -> {dot(ahead, coef)})"
-    return f"named_struct('fitted', {fitted}, 'forecast', {forecast})"
+    """Fitted values and forecast of the bound row `_p`."""
+    coef = "array(" + ", ".join(f"_p.params['c{i}']" for i in range(2 + 2 * pairs)) + ")"
+    fitted = f"transform(_p.dates, (_d, _i) -> {dot(_design('_i', '_d', pairs, '_p.n'), 'c')})"
+    ahead = _design("(_p.n - 1 + k)", month_start_after("element_at(_p.dates, -1)", "k"), pairs, "_p.n")
+    forecast = f"transform({steps(1, horizon)}, k -> {dot(ahead, 'c')})"
+    return f"get(transform(array({coef}), c -> named_struct('fitted', {fitted}, 'forecast', {forecast})), 0)"
 
 
 # --- All of them -----------------------------------------------------------------------------------
@@ -280,10 +285,16 @@ def run_models(fitted: DataFrame, horizon: int, settings: Forecasting = Forecast
 
     The parameters may come straight from `fit_models` or from a stored table joined to packed series.
     """
-    return fitted.withColumn(
-        "run",
-        F.expr(
-            f"""case when model = 'ar' then {run_ar(horizon)} when model = 'ets' then {run_ets(horizon)}
-                when model = 'fourier' then {run_fourier(horizon, settings.fourier_pairs)} end"""
-        ),
-    )
+    cases = f"""case when _p.model = 'ar' then {run_ar(horizon)} when _p.model = 'ets' then {run_ets(horizon)}
+        when _p.model = 'fourier' then {run_fourier(horizon, settings.fourier_pairs)} end"""
+    return fitted.withColumn("run", bound(cases, "model", "form"))
+
+
+def bound(text: str, model: str, form: str, params: str = "params") -> Column:
+    """`text` over `_p`, a row holding a packed series and a model's parameters.
+
+    The inputs become the element of an array that is transformed, so each is evaluated once. Were they named
+    directly, the optimizer could inline a fit into the innermost step that reads its result.
+    """
+    row = f"named_struct('model', {model}, 'form', {form}, 'params', {params}, 'dates', dates, 'y', y, 'n', n)"
+    return F.expr(f"get(transform(array({row}), _p -> {text}), 0)")

@@ -54,7 +54,7 @@ def standard_normals(packed: DataFrame, risk: Risk = Risk()) -> DataFrame:
     """The draws behind the shocks, one row per series, simulation and period."""
     pairs = draws.normal_pairs(risk.seed, SERIES, "sim_id", "periods")
     drawn = spread_simulations(packed.select(SERIES, "periods"), risk)
-    return drawn.select(SERIES, "sim_id", F.posexplode(F.expr(pairs)).alias("_k", "z")).select(
+    return drawn.select(SERIES, "sim_id", F.posexplode_outer(F.expr(pairs)).alias("_k", "z")).select(
         SERIES, "sim_id", (F.col("_k") + 1).alias("period"), F.col("z.sales").alias("z_sales"), F.col("z.fx").alias("z_fx")
     )
 

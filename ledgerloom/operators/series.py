@@ -149,7 +149,7 @@ def partial_autocorrelation(df: DataFrame, max_lag: int = 20) -> DataFrame:
     start = F.struct(empty.alias("phi"), F.array(F.lit(1.0)).alias("pacf"))
     lags = F.when(F.col("_top") >= 1, F.sequence(F.lit(1), F.col("_top"))).otherwise(F.array().cast("array<int>"))
     values = F.aggregate(lags, start, step, lambda acc: acc["pacf"])
-    return rho.select(SERIES, F.posexplode(values).alias("lag", "pacf"))
+    return rho.select(SERIES, F.posexplode_outer(values).alias("lag", "pacf"))
 
 
 def next_month_start(date, months):
@@ -160,23 +160,24 @@ def next_month_start(date, months):
 
 
 def trend_forecast(
-    df: DataFrame, horizon: int = Forecasting().horizon, recent: int = 12, default: float = 3_000_000.0
+    df: DataFrame, horizon: int = Forecasting().horizon, recent: int = 12, default: float = 3_000_000.0, by=(SERIES,)
 ) -> DataFrame:
     """Extend a straight line through the last known values, never below half the last one.
 
     One known value among several rows grows by 2 % a month; without a usable history the default does.
     """
+    by = w.keys(by)
     sized = df.withColumns(
         {
-            "_rows": F.count(F.lit(1)).over(w.whole()),
-            "_end": F.max(DATE).over(w.whole()),
-            "_known": F.count("value").over(w.latest_first().rowsBetween(w.Window.unboundedPreceding, 0)),
+            "_rows": F.count(F.lit(1)).over(w.whole(by)),
+            "_end": F.max(DATE).over(w.whole(by)),
+            "_known": F.count("value").over(w.latest_first(by).rowsBetween(w.Window.unboundedPreceding, 0)),
         }
     )
     x = F.when(F.col("value").isNotNull() & (F.col("_known") <= recent), -F.col("_known").cast("double"))
     fit = (
         sized.withColumn("_x", x)
-        .groupBy(SERIES)
+        .groupBy(*by)
         .agg(
             F.first("_rows").alias("_rows"),
             F.first("_end").alias("_end"),
@@ -190,9 +191,9 @@ def trend_forecast(
     # Positions count back from -1 at the last known value, so step k stands at k - 1.
     k = F.col("step").cast("double") - 1
     line = F.greatest(F.col("_intercept") + F.col("_slope") * k, 0.5 * F.col("_last"))
-    growing = F.when(F.col("_rows") < 2, F.lit(default)).otherwise(F.coalesce("_last", F.lit(default))) * F.pow(F.lit(1.02), k)
+    start = F.when(F.col("_rows") < 2, F.lit(default)).otherwise(F.coalesce("_last", F.lit(default)))
     usable = (F.col("_rows") >= 2) & (F.col("_n") >= 2)
     return spread.select(
-        SERIES, "step", next_month_start(F.col("_end"), F.col("step")).alias(DATE),
-        F.when(usable, line).otherwise(growing).alias("forecast"),
+        *by, "step", next_month_start(F.col("_end"), F.col("step")).alias(DATE),
+        F.when(usable, line).otherwise(start * F.pow(F.lit(1.02), k)).alias("forecast"),
     )
