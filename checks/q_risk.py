@@ -172,9 +172,9 @@ query("winsorize_tails", VAR, lambda t: r.var_cvar(r.winsorize_tails(sims(t))),
 
 # --- Feeds -----------------------------------------------------------------------------------------
 
-query("forecast_feed", "series_id date:d kind value:2 lower_bound:2 upper_bound:2",
-      lambda t: feeds.forecast_feed(sales(t).withColumn("value", F.col("value") / 3), forecast_horizon(sales(t))),
-      """SELECT series_id, date, 'history' AS kind, value / 3 AS value, NULL AS lower_bound, NULL AS upper_bound FROM sales_series
+query("forecast_feed", "series_id date:d kind value:4 lower_bound:2 upper_bound:2",
+      lambda t: feeds.forecast_feed(sales(t), forecast_horizon(sales(t))),
+      """SELECT series_id, date, 'history' AS kind, value, NULL::DOUBLE AS lower_bound, NULL::DOUBLE AS upper_bound FROM sales_series
          UNION ALL SELECT series_id, date, 'forecast', forecast, lower_bound, upper_bound FROM forecast_horizon""")
 NAMES = [x.name for x in SCENARIOS]
 query("scenario_feed", "series_id date:d " + " ".join(f"{n}:2" for n in NAMES),
