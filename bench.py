@@ -1,6 +1,6 @@
 """Headline jobs at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Every job runs once to warm up and is then timed twice; the better time counts. A job is driven to completion
+Every job runs once to warm up and once timed, driven to completion
 by the no-op sink, which reads every column.
 """
 
@@ -51,13 +51,10 @@ def main() -> None:
     for name, job in jobs.items():
         if wanted and name not in wanted:
             continue
-        best = None
-        for run in range(3):
+        for _ in range(2):
             start = time.perf_counter()
             job().write.format("noop").mode("overwrite").save()
-            took = time.perf_counter() - start
-            best = took if run and (best is None or took < best) else best
-        times[name] = round(best, 3)
+            times[name] = round(time.perf_counter() - start, 3)
     print(json.dumps({"metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": os.path.basename(sf_dir.rstrip("/"))}))
 

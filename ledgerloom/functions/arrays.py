@@ -6,6 +6,9 @@ hundreds of calls through the gateway. The arrays hold one series, so the calend
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
 
 def total(a: str) -> str:
     return f"aggregate({a}, 0D, (_s, _v) -> _s + _v)"
@@ -36,3 +39,14 @@ def solve(matrix: str, size: int) -> str:
 def number(x: float) -> str:
     """A double literal; a bare 0.1 would be a decimal."""
     return f"{float(x)!r}D"
+
+
+def compute(df: DataFrame, columns: dict[str, Column | str]) -> DataFrame:
+    """Add columns that are costly to compute, so that they are computed once.
+
+    They leave a generator over a one-element array. The optimizer neither copies an expression through a
+    generator into the expressions that read it, nor pushes a filter on its output below it; from a plain
+    projection it does both, and a recursion would then run again inside every step that reads its result.
+    """
+    made = [(F.expr(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()]
+    return df.select("*", F.inline(F.array(F.struct(*made))))

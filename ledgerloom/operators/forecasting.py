@@ -1,7 +1,7 @@
 """Accuracy, model choice, forecasts with bounds, validation and the model store.
 
-Arrays that are costly to compute are unfolded with the `_outer` generators: the plain ones make the optimizer
-add a filter on the size of the array, which computes the array a second time.
+Computed arrays are unfolded with the `_outer` generators: the plain ones make the optimizer add a filter on the
+size of the array, which computes the array a second time.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import windows as w
-from ledgerloom.functions.arrays import steps, total
+from ledgerloom.functions.arrays import compute, steps, total
 from ledgerloom.functions.numeric import finite, pearson, ratio
 from ledgerloom.operators.models import (
     MODELS, bound, fit_ar, fit_ets, fit_models, pack_series, run_ar, run_ets, run_models,
@@ -68,7 +68,7 @@ def acceptance_gate(scores: DataFrame, settings: Forecasting = Forecasting()) ->
 def tournament(df: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:
     """Fit and run every model on every series: one row each, with its in-sample accuracy as `scores`."""
     run = run_models(fit_models(pack_series(df), models, settings), settings.horizon, settings)
-    return run.withColumn("scores", F.expr(IN_SAMPLE))
+    return compute(run, {"scores": IN_SAMPLE})
 
 
 # Number of points, mean squared error and mean relative error of `y` and `run.fitted`, without leaving the row.
@@ -167,8 +167,8 @@ def rolling_backtest_points(df: DataFrame, settings: Forecasting = Forecasting()
     trend = f"greatest({total(recent)} / 12D + ({slope}) * 6.5D, 0.5D * element_at(y, -1))"
     forecasts = {
         "trend": F.expr(trend),
-        "level": F.get(bound(run_ets(1, ("ANN",)), "'ets'", "ets.form", "ets.params")["forecast"], F.lit(0)),
-        "ar": F.get(bound(run_ar(1), "'ar'", "ar.form", "ar.params")["forecast"], F.lit(0)),
+        "level": F.get(bound(run_ets(1, ("ANN",)), "ets")["forecast"], F.lit(0)),
+        "ar": F.get(bound(run_ar(1), "ar")["forecast"], F.lit(0)),
     }
     listed = F.array(*[F.struct(F.lit(k).alias("model"), v.alias("predicted")) for k, v in forecasts.items()])
     return origins.select(SERIES, DATE, "actual", F.inline(listed))

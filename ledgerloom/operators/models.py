@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.arrays import dot, mean, number, solve, steps
+from ledgerloom.functions.arrays import compute, dot, mean, number, solve, steps
 from ledgerloom.params import DATE, SERIES, Forecasting
 
 SEASON = 12
@@ -101,7 +101,7 @@ def fit_ets(packed: DataFrame, grid=Forecasting().grid, forms=tuple(ETS_FORMS))
     """
     values = f"array({', '.join(number(g) for g in grid)})"
     none = "array(0D)"
-    packed = packed.withColumns({f"_{f}": F.expr(f"named_struct({_ets_start(f)})") for f in forms})
+    packed = compute(packed, {f"_{f}": f"named_struct({_ets_start(f)})" for f in forms})
     best = {}
     for f in forms:
         state, expected = _ets_step(f, "_a", "_b", "_g")
@@ -112,29 +112,29 @@ def fit_ets(packed: DataFrame, grid=Forecasting().grid, forms=tuple(ETS_FORMS))
         usable = "n >= 2" if f[2] == "N" else f"n >= {2 * SEASON}"
         if f[2] == "M":
             usable += " and array_min(y) > 0"
-        best[f"_best_{f}"] = F.expr(f"if({usable}, {_least(trials).format(first='sse')}, null)")
-    packed = packed.withColumns(best)
+        best[f"_best_{f}"] = f"if({usable}, {_least(trials).format(first='sse')}, null)"
+    packed = compute(packed, best)
     listed = ", ".join(
         f"""named_struct('aic', {_aic(f'_best_{f}.sse', 'n', ETS_FORMS[f])}, 'form', '{f}', 'sse', _best_{f}.sse,
             'alpha', _best_{f}.alpha, 'beta', _best_{f}.beta, 'gamma', _best_{f}.gamma)"""
         for f in forms
     )
-    packed = packed.withColumn("_won", F.expr(_least(f"array({listed})").format(first="aic")))
+    packed = compute(packed, {"_won": _least(f"array({listed})").format(first="aic")})
     won = """if(_won is null, null, named_struct('aic', _won.aic, 'form', _won.form, 'sse', _won.sse,
         'params', map('alpha', _won.alpha, 'beta', _won.beta, 'gamma', _won.gamma)))"""
-    return packed.withColumn("ets", F.expr(won)).drop("_won", *best, *[f"_{f}" for f in forms])
+    return compute(packed, {"ets": won}).drop("_won", *best, *[f"_{f}" for f in forms])
 
 
 def run_ets(horizon: int, forms=tuple(ETS_FORMS)) -> str:
     """Fitted values and forecast of the bound row `_p`."""
     cases = []
     for f in forms:
-        state, expected = _ets_step(f, "_p.params['alpha']", "_p.params['beta']", "_p.params['gamma']")
+        state, expected = _ets_step(f, "_p.fit.params['alpha']", "_p.fit.params['beta']", "_p.fit.params['gamma']")
         base = "(acc.l + k * acc.b)" if f[1] == "A" else "acc.l"
         wave = f"get(acc.s, (k - 1) % {SEASON})"
         ahead = {"A": f"{base} + {wave}", "M": f"{base} * {wave}", "N": f"{base} + 0D"}[f[2]]
         cases.append(
-            f"""when _p.form = '{f}' then aggregate(_p.y, named_struct({_ets_start(f, '_p.y')}, 'fitted', {EMPTY}),
+            f"""when _p.fit.form = '{f}' then aggregate(_p.y, named_struct({_ets_start(f, '_p.y')}, 'fitted', {EMPTY}),
             (acc, v) -> named_struct({state}, 'fitted', concat(acc.fitted, array({expected}))),
             acc -> named_struct('fitted', acc.fitted, 'forecast', transform({steps(1, horizon)}, k -> {ahead})))"""
         )
@@ -168,8 +168,8 @@ def fit_ar(packed: DataFrame) -> DataFrame:
     lags = (0, 1, 2, 12)
     cut = {i: f"slice(_w, {13 - i}, n - 25)" for i in lags}
     sums = ", ".join(f"'s{i}_{j}', {dot(cut[i], cut[j])}" for i in lags for j in lags if i <= j)
-    packed = packed.withColumn("_w", F.expr(f"if(n >= {AR_MIN}, {twice_differenced('y', 'n')}, null)"))
-    packed = packed.withColumn("_s", F.expr(f"if(n >= {AR_MIN}, named_struct({sums}), null)"))
+    packed = compute(packed, {"_w": f"if(n >= {AR_MIN}, {twice_differenced('y', 'n')}, null)"})
+    packed = compute(packed, {"_s": f"if(n >= {AR_MIN}, named_struct({sums}), null)"})
 
     def s(i, j):
         return f"_s.s{min(i, j)}_{max(i, j)}"
@@ -182,7 +182,7 @@ def fit_ar(packed: DataFrame) -> DataFrame:
         for k, lag in enumerate(used):
             swapped = [row[:k] + [b[r]] + row[k + 1:] for r, row in enumerate(a)]
             fields.append(f"'phi{lag}', try_divide({_determinant(swapped)}, {_determinant(a)})")
-        solved[name] = F.expr(f"named_struct({', '.join(fields)})")
+        solved[name] = f"named_struct({', '.join(fields)})"
         explained = " + ".join(f"{name}.phi{lag} * {s(0, lag)}" for lag in used)
         sse = f"if({name}.phi{used[0]} is null, null, greatest(0D, {s(0, 0)} - ({explained})))"
         phis = ", ".join(f"'phi{lag}', {f'{name}.phi{lag}' if lag in used else '0D'}" for lag in (1, 2, 12))
@@ -190,19 +190,19 @@ def fit_ar(packed: DataFrame) -> DataFrame:
             f"named_struct('aic', if({name}.phi{used[0]} is null, null, {_aic(sse, '(n - 25)', len(used) + 1)}), "
             f"'form', '{form}', 'sse', {sse}, {phis})"
         )
-    packed = packed.withColumns(solved)
-    packed = packed.withColumn("_won", F.expr(_least(f"array({', '.join(listed)})").format(first="aic")))
+    packed = compute(packed, solved)
+    packed = compute(packed, {"_won": _least(f"array({', '.join(listed)})").format(first="aic")})
     won = """if(_won is null, null, named_struct('aic', _won.aic, 'form', _won.form, 'sse', _won.sse,
         'params', map('phi1', _won.phi1, 'phi2', _won.phi2, 'phi12', _won.phi12)))"""
-    return packed.withColumn("ar", F.expr(won)).drop("_w", "_s", "_won", *solved)
+    return compute(packed, {"ar": won}).drop("_w", "_s", "_won", *solved)
 
 
 def run_ar(horizon: int) -> str:
     """Fitted values (null for the first 25 rows) and forecast of the bound row `_p`."""
 
     def change(w, k):
-        return (f"(_p.params['phi1'] * get({w}, {k} - 1) + _p.params['phi2'] * get({w}, {k} - 2)"
-                f" + _p.params['phi12'] * get({w}, {k} - 12))")
+        return (f"(_p.fit.params['phi1'] * get({w}, {k} - 1) + _p.fit.params['phi2'] * get({w}, {k} - 2)"
+                f" + _p.fit.params['phi12'] * get({w}, {k} - 12))")
 
     w = twice_differenced("_p.y", "_p.n")
     level = f"({change('acc.w', '12')} + get(acc.y, 12) + get(acc.y, 1) - get(acc.y, 0))"
@@ -231,26 +231,24 @@ def _design(position: str, date: str, pairs: int, n: str = "n") -> str:
 def fit_fourier(packed: DataFrame, pairs: int = Forecasting().fourier_pairs) -> DataFrame:
     """Add `fourier`: a least-squares line with yearly waves, from the normal equations of each series."""
     size = 2 + 2 * pairs
-    packed = packed.withColumn("_x", F.expr(f"transform(dates, (_d, _i) -> {_design('_i', '_d', pairs)})"))
+    packed = compute(packed, {"_x": f"transform(dates, (_d, _i) -> {_design('_i', '_d', pairs)})"})
     # X'[X y], added up row by row.
     normal = f"""aggregate(zip_with(_x, y, (_r, _v) -> concat(_r, array(_v))),
         array_repeat(array_repeat(0D, {size + 1}), {size}),
         (_n, _r) -> transform(_n, (_o, _j) -> zip_with(_o, _r, (_a, _v) -> _a + get(_r, _j) * _v)))"""
-    packed = packed.withColumn("_n", F.expr(normal))
-    packed = packed.withColumn("_coef", F.expr(f"if(n > {size + 1}, {solve('_n', size)}, null)"))
+    packed = compute(packed, {"_n": normal})
+    packed = compute(packed, {"_coef": f"if(n > {size + 1}, {solve('_n', size)}, null)"})
     gap = f"(_u - {dot('_r', '_coef')})"
-    packed = packed.withColumn(
-        "_sse", F.expr(f"aggregate(zip_with(_x, y, (_r, _u) -> {gap} * {gap}), 0D, (_t, _e) -> _t + _e)")
-    )
+    packed = compute(packed, {"_sse": f"aggregate(zip_with(_x, y, (_r, _u) -> {gap} * {gap}), 0D, (_t, _e) -> _t + _e)"})
     params = ", ".join(f"'c{i}', get(_coef, {i})" for i in range(size))
     fitted = f"""if(_sse is null, null, named_struct('aic', {_aic('_sse', 'n', size + 1)}, 'form', 'trend+{pairs}',
         'sse', _sse, 'params', map({params})))"""
-    return packed.withColumn("fourier", F.expr(fitted)).drop("_x", "_n", "_coef", "_sse")
+    return compute(packed, {"fourier": fitted}).drop("_x", "_n", "_coef", "_sse")
 
 
 def run_fourier(horizon: int, pairs: int) -> str:
     """Fitted values and forecast of the bound row `_p`."""
-    coef = "array(" + ", ".join(f"_p.params['c{i}']" for i in range(2 + 2 * pairs)) + ")"
+    coef = "array(" + ", ".join(f"_p.fit.params['c{i}']" for i in range(2 + 2 * pairs)) + ")"
     fitted = f"transform(_p.dates, (_d, _i) -> {dot(_design('_i', '_d', pairs, '_p.n'), 'c')})"
     ahead = _design("(_p.n - 1 + k)", month_start_after("element_at(_p.dates, -1)", "k"), pairs, "_p.n")
     forecast = f"transform({steps(1, horizon)}, k -> {dot(ahead, 'c')})"
@@ -287,14 +285,10 @@ def run_models(fitted: DataFrame, horizon: int, settings: Forecasting = Forecast
     """
     cases = f"""case when _p.model = 'ar' then {run_ar(horizon)} when _p.model = 'ets' then {run_ets(horizon)}
         when _p.model = 'fourier' then {run_fourier(horizon, settings.fourier_pairs)} end"""
-    return fitted.withColumn("run", bound(cases, "model", "form"))
-
+    return compute(fitted, {"run": bound(cases, "named_struct('form', form, 'params', params)", "model")})
 
-def bound(text: str, model: str, form: str, params: str = "params") -> Column:
-    """`text` over `_p`, a row holding a packed series and a model's parameters.
 
-    The inputs become the element of an array that is transformed, so each is evaluated once. Were they named
-    directly, the optimizer could inline a fit into the innermost step that reads its result.
-    """
-    row = f"named_struct('model', {model}, 'form', {form}, 'params', {params}, 'dates', dates, 'y', y, 'n', n)"
+def bound(text: str, fit: str, model: str = "''") -> Column:
+    """`text` over `_p`, a row holding a packed series and a model's form and parameters."""
+    row = f"named_struct('model', {model}, 'fit', {fit}, 'dates', dates, 'y', y, 'n', n)"
     return F.expr(f"get(transform(array({row}), _p -> {text}), 0)")

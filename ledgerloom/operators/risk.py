@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import draws
 from ledgerloom.functions import windows as w
-from ledgerloom.functions.arrays import number, total
+from ledgerloom.functions.arrays import compute, number, total
 from ledgerloom.functions.numeric import chi2_two_tail, finite, omnibus_k2, ratio
 from ledgerloom.operators.cleaning import sanitize_forecast
 from ledgerloom.operators.planning import RATE
@@ -68,7 +68,7 @@ def _ar1(z: str, carry: float, vol: float) -> str:
 
 def sales_shocks(simulations: DataFrame, risk: Risk = Risk()) -> DataFrame:
     z = draws.normals(risk.seed, SERIES, "sim_id", "periods", "sales")
-    return simulations.withColumn("sales_shock", F.expr(_ar1(z, risk.sales_ar, risk.sales_vol)))
+    return compute(simulations, {"sales_shock": _ar1(z, risk.sales_ar, risk.sales_vol)})
 
 
 def fx_shocks(simulations: DataFrame, risk: Risk = Risk(), correlated: bool = False) -> DataFrame:
@@ -79,13 +79,14 @@ def fx_shocks(simulations: DataFrame, risk: Risk = Risk(), correlated: bool = Fa
         z = f"transform({pairs}, q -> {number(risk.correlation)} * q.sales + {number(own)} * q.fx)"
     else:
         z = draws.normals(risk.seed, SERIES, "sim_id", "periods", "fx")
-    return simulations.withColumn("fx_shock", F.expr(_ar1(z, risk.fx_ar, risk.fx_vol)))
+    return compute(simulations, {"fx_shock": _ar1(z, risk.fx_ar, risk.fx_vol)})
 
 
 def apply_fx_shocks(simulations: DataFrame, column: str = RATE) -> DataFrame:
     """Shocked FX beside the given one (`base_rate`)."""
-    shocked = F.zip_with(column, "fx_shock", lambda rate, s: rate * (1.0 + s))
-    return simulations.withColumn("base_rate", F.col(column)).withColumn(column, shocked)
+    rest = [c for c in simulations.columns if c != column]
+    renamed = simulations.select(*rest, F.col(column).alias("base_rate"))
+    return compute(renamed, {column: "zip_with(base_rate, fx_shock, (rate, s) -> rate * (1D + s))"})
 
 
 def simulate_plans(
@@ -108,11 +109,9 @@ def simulate_plans(
         anchor = {"scenario": RATE, "baseline": "base_rate"}[fx_anchor]
         drift = f"(try_divide(get({RATE}, k), get({anchor}, 0)) - 1D)"
     shocked = "zip_with(sales, sales_shock, (v, s) -> v * (1D + s))"
-    sims = sims.withColumn("_raw", F.expr(shocked))
     floor = number(finance.floor_sales)
-    sims = sims.withColumn(
-        "_sales", F.expr(f"if(array_min(_raw) <= 0D, transform(_raw, v -> greatest(v, {floor})), _raw)")
-    )
+    sims = compute(sims, {"_raw": shocked})
+    sims = compute(sims, {"_sales": f"if(array_min(_raw) <= 0D, transform(_raw, v -> greatest(v, {floor})), _raw)"})
     opex = "get(opex, k)" if "opex" in packed.columns else (
         f"get(_sales, 0) * {number(finance.opex_share)} * pow({number(1.0 + finance.opex_step)}, k)"
     )
@@ -120,18 +119,14 @@ def simulate_plans(
     bound = (
         f"v * {number(finance.dso)} / 30D + {cogs} * {number(finance.dio)} / 30D - {cogs} * {number(finance.dpo)} / 30D"
     )
-    sims = sims.withColumn(
-        "_plan", F.expr(f"transform(_sales, (v, k) -> named_struct('ebit', v - {cogs} - {opex}, 'wc', {bound}))")
+    sims = compute(
+        sims, {"_plan": f"transform(_sales, (v, k) -> named_struct('ebit', v - {cogs} - {opex}, 'wc', {bound}))"}
     )
     flow = f"""transform(_plan, (p, k) -> p.ebit - greatest(0D, p.ebit * {number(finance.tax_rate)})
         + {number(finance.depreciation)} - {number(finance.capex)} - if(k = 0, 0D, p.wc - get(_plan, k - 1).wc))"""
-    sims = sims.withColumn("_flow", F.expr(flow))
-    return sims.select(
-        SERIES, "sim_id",
-        F.expr(total("_flow")).alias("total_fcf"),
-        F.expr("aggregate(_plan, 0D, (s, p) -> s + p.ebit)").alias("total_ebit"),
-        F.array_min("_flow").alias("min_monthly_fcf"),
-    )
+    sims = compute(sims, {"_flow": flow, "total_ebit": "aggregate(_plan, 0D, (s, p) -> s + p.ebit)"})
+    sims = compute(sims, {"total_fcf": total("_flow"), "min_monthly_fcf": "array_min(_flow)"})
+    return sims.select(SERIES, "sim_id", "total_fcf", "total_ebit", "min_monthly_fcf")
 
 
 def winsorize_tails(sims: DataFrame, risk: Risk = Risk()) -> DataFrame:
