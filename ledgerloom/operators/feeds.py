@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import windows as w
 from ledgerloom.functions.numeric import ratio
+from ledgerloom.functions.quantiles import add_quantiles
 from ledgerloom.params import DATE, SCENARIOS, SERIES
 
 
@@ -27,11 +28,18 @@ def scenario_feed(plans: DataFrame, metric: str = "free_cash_flow", scenarios=SC
     return wide.fillna(0.0, names)
 
 
-def risk_histogram(sims: DataFrame, column: str = "total_fcf", bins: int = 50) -> DataFrame:
-    """Equal-width bins from least to greatest value, with counts and densities; empty bins have no row."""
+def risk_histogram(sims: DataFrame, column: str = "total_fcf", bins: int = 50, large: bool = False) -> DataFrame:
+    """Equal-width bins from least to greatest value, with counts and densities; empty bins have no row.
+
+    `large` says that the simulations of one series may be too many for one task: their ends then come from
+    an aggregate that is joined back, for the price of reading the simulations twice.
+    """
     known = sims.filter(F.col(column).isNotNull())
     ends = {"_lo": F.min(column), "_hi": F.max(column), "_n": F.count(column)}
-    placed = known.withColumns({name: e.over(w.whole()) for name, e in ends.items()})
+    if large:
+        placed = known.join(known.groupBy(SERIES).agg(*[e.alias(name) for name, e in ends.items()]), SERIES)
+    else:
+        placed = known.withColumns({name: e.over(w.whole()) for name, e in ends.items()})
     width = (F.col("_hi") - F.col("_lo")) / bins
     at = F.floor(F.try_divide(F.col(column) - F.col("_lo"), width)).cast("int")
     # The greatest value belongs to the last bin; values that do not vary all go to the first.
@@ -48,10 +56,12 @@ def risk_histogram(sims: DataFrame, column: str = "total_fcf", bins: int = 50) -
     )
 
 
-def box_stats(df: DataFrame, column: str, keys=(SERIES,)) -> DataFrame:
-    """Median, quartiles, and the whiskers at the furthest values within 1.5 times their distance."""
-    q = F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).over(w.whole(keys))
-    marked = df.filter(F.col(column).isNotNull()).withColumn("_q", q)
+def box_stats(df: DataFrame, column: str, keys=(SERIES,), large: bool = False) -> DataFrame:
+    """Median, quartiles, and the whiskers at the furthest values within 1.5 times their distance.
+
+    `large` says that the rows of one group may be too many for one task.
+    """
+    marked = add_quantiles(df.filter(F.col(column).isNotNull()), keys, column, (0.25, 0.5, 0.75), "_q", large)
     reach = 1.5 * (F.col("_q")[2] - F.col("_q")[0])
     low = F.when(F.col(column) >= F.col("_q")[0] - reach, F.col(column))
     high = F.when(F.col(column) <= F.col("_q")[2] + reach, F.col(column))

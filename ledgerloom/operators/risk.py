@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import draws
-from ledgerloom.functions import windows as w
 from ledgerloom.functions.arrays import compute, number, total
 from ledgerloom.functions.numeric import chi2_two_tail, finite, omnibus_k2, ratio
+from ledgerloom.functions.quantiles import add_quantiles, exact_quantiles
 from ledgerloom.operators.cleaning import sanitize_forecast
 from ledgerloom.operators.planning import RATE
 from ledgerloom.params import DATE, SERIES, Finance, Risk
@@ -129,20 +129,29 @@ def simulate_plans(
     return sims.select(SERIES, "sim_id", "total_fcf", "total_ebit", "min_monthly_fcf")
 
 
+# Above this many runs the totals of one series no longer meet in one task to have their quantiles taken.
+IN_TASK = 250_000
+
+
+def _large(risk: Risk) -> bool:
+    return risk.runs > IN_TASK
+
+
 def winsorize_tails(sims: DataFrame, risk: Risk = Risk()) -> DataFrame:
     """Bound the totals by two of their own quantiles."""
     for c in ("total_fcf", "total_ebit"):
-        bounds = F.percentile(c, F.array(F.lit(risk.lower_tail), F.lit(risk.upper_tail))).over(w.whole())
-        sims = sims.withColumn("_q", bounds).withColumn(
-            c, F.greatest(F.least(F.col(c), F.col("_q")[1]), F.col("_q")[0])
-        )
-    return sims.drop("_q")
+        sims = add_quantiles(sims, SERIES, c, (risk.lower_tail, risk.upper_tail), "_q", _large(risk))
+        bounded = F.greatest(F.least(F.col(c), F.col("_q")[1]), F.col("_q")[0])
+        sims = sims.withColumn(c, bounded).drop("_q")
+    return sims
 
 
 def with_value_at_risk(sims: DataFrame, risk: Risk = Risk()) -> DataFrame:
     """Beside each simulation, the totals that are undercut with probability 1 - confidence."""
-    level = 1.0 - risk.confidence
-    return sims.withColumns({f"{c}_var": F.percentile(f"total_{c}", level).over(w.whole()) for c in ("fcf", "ebit")})
+    for c in ("fcf", "ebit"):
+        sims = add_quantiles(sims, SERIES, f"total_{c}", (1.0 - risk.confidence,), "_q", _large(risk))
+        sims = sims.withColumn(f"{c}_var", F.col("_q")[0]).drop("_q")
+    return sims
 
 
 def var_cvar(sims: DataFrame, risk: Risk = Risk()) -> DataFrame:
@@ -178,8 +187,8 @@ def loss_probability(sims: DataFrame) -> DataFrame:
     return sims.groupBy(SERIES).agg(*_loss_shares())
 
 
-def _percentiles(column: str):
-    return F.percentile(column, F.array(*[F.lit(p / 100.0) for p in PERCENTILES])).alias("_p")
+def _named_percentiles(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumns({f"p{p}": F.col(column)[i] for i, p in enumerate(PERCENTILES)}).drop(column)
 
 
 def _moments(column: str):
@@ -192,9 +201,13 @@ def _moments(column: str):
     )
 
 
-def distribution_percentiles(sims: DataFrame, column: str = "total_fcf") -> DataFrame:
-    out = sims.groupBy(SERIES).agg(_percentiles(column))
-    return out.select(SERIES, *[F.col("_p")[i].alias(f"p{p}") for i, p in enumerate(PERCENTILES)])
+def distribution_percentiles(sims: DataFrame, column: str = "total_fcf", risk: Risk = Risk()) -> DataFrame:
+    shares = [p / 100.0 for p in PERCENTILES]
+    if _large(risk):
+        out = exact_quantiles(sims, SERIES, column, shares).withColumnRenamed("quantiles", "_p")
+    else:
+        out = sims.groupBy(SERIES).agg(F.percentile(column, F.array(*[F.lit(x) for x in shares])).alias("_p"))
+    return _named_percentiles(out, "_p")
 
 
 def distribution_moments(sims: DataFrame, column: str = "total_fcf") -> DataFrame:
@@ -229,8 +242,7 @@ def risk_summary(metrics: DataFrame) -> DataFrame:
     )
 
 
-def distribution_report(sims: DataFrame, column: str = "total_fcf") -> DataFrame:
-    """Percentiles, moments and normality of one simulated total, from one aggregate."""
-    both = sims.groupBy(SERIES).agg(_percentiles(column), *_moments(column))
-    named = {f"p{p}": F.col("_p")[i] for i, p in enumerate(PERCENTILES)}
-    return normality_test(both.withColumns(named).drop("_p"))
+def distribution_report(sims: DataFrame, column: str = "total_fcf", risk: Risk = Risk()) -> DataFrame:
+    """Percentiles, moments and normality of one simulated total; both parts have one row per series."""
+    moments = normality_test(distribution_moments(sims, column))
+    return distribution_percentiles(sims, column, risk).join(moments, SERIES)

@@ -125,13 +125,15 @@ EDGES = {
 ])
 def test_edge_series_do_not_fail(make_ledger, operator):
     df = make_ledger(EDGES)
-    assert {r["series_id"] for r in operator(df).collect()} == set(EDGES)
+    # A single row has no lag to correlate with.
+    expected = set(EDGES) - ({"one"} if operator is pr.lagged_correlation else set())
+    assert {r["series_id"] for r in operator(df).collect()} == expected
     assert operator(df.limit(0)).count() == 0
 
 
 def test_result_does_not_depend_on_partitioning(make_ledger):
     rng = np.random.default_rng(5)
-    df = make_ledger({"a": list(rng.uniform(1e6, 2e6, 40)), "b": list(rng.uniform(1e6, 2e6, 40))})
+    df = make_ledger({"a": rng.uniform(1e6, 2e6, 40).tolist(), "b": rng.uniform(1e6, 2e6, 40).tolist()})
     outs = [sorted(map(tuple, c.clean_ledger(df.repartition(k)).collect())) for k in (1, 7)]
     assert outs[0] == outs[1]
 
@@ -139,7 +141,7 @@ def test_result_does_not_depend_on_partitioning(make_ledger):
 def test_growth_and_trend_against_numpy(make_ledger):
     rng = np.random.default_rng(3)
     v = rng.uniform(1e6, 2e6, 20)
-    row = pr.linear_trend(make_ledger({"a": list(v)})).first()
+    row = pr.linear_trend(make_ledger({"a": v.tolist()})).first()
     slope, _ = np.polyfit(np.arange(20), v, 1)
     assert row["sales_trend_slope"] == pytest.approx(slope)
     # Two-sided tail of t with 18 degrees of freedom by numeric integration.

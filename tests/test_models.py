@@ -17,7 +17,7 @@ from tests.conftest import month
 def seasonal(n=60, seed=1):
     rng = np.random.default_rng(seed)
     i = np.arange(n)
-    return list(1e6 * (2 + 0.01 * i) * (1 + 0.2 * np.sin(2 * np.pi * i / 12)) + rng.normal(0, 2e4, n))
+    return (1e6 * (2 + 0.01 * i) * (1 + 0.2 * np.sin(2 * np.pi * i / 12)) + rng.normal(0, 2e4, n)).tolist()
 
 
 def ets_sse(y, form, a, b, g):
@@ -56,7 +56,7 @@ def test_ets_finds_the_best_of_the_grid(make_series):
 
 def test_ar_equals_least_squares(make_series):
     y = np.array(seasonal(seed=2))
-    won = m.fit_ar(m.pack_series(make_series({"a": list(y)}))).first()["ar"]
+    won = m.fit_ar(m.pack_series(make_series({"a": y.tolist()}))).first()["ar"]
     w = y[13:] - y[12:-1] - y[1:-12] + y[:-13]
     target = w[12:]
     best = None
@@ -74,7 +74,7 @@ def test_ar_equals_least_squares(make_series):
 
 def test_fourier_equals_least_squares(make_series):
     y = np.array(seasonal(seed=3))
-    params = m.fit_fourier(m.pack_series(make_series({"a": list(y)}))).first()["fourier"]["params"]
+    params = m.fit_fourier(m.pack_series(make_series({"a": y.tolist()}))).first()["fourier"]["params"]
     i = np.arange(len(y))
     cols = [np.ones(len(y)), i / len(y)]
     for k in (1, 2, 3):
