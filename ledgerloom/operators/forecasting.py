@@ -15,9 +15,9 @@ from ledgerloom.functions import windows as w
 from ledgerloom.functions.arrays import compute, steps, total
 from ledgerloom.functions.numeric import finite, pearson, ratio
 from ledgerloom.operators.models import (
-    MODELS, bound, fit_ar, fit_ets, fit_models, pack_series, run_ar, run_ets, run_models,
+    MODELS, bound, fit_ar, fit_ets, fit_models, pack_series, run_ar, run_ets, run_models, trend_line,
 )
-from ledgerloom.operators.series import next_month_start, trend_forecast
+from ledgerloom.operators.series import next_month_start
 from ledgerloom.params import DATE, SERIES, Forecasting
 
 
@@ -67,8 +67,11 @@ def acceptance_gate(scores: DataFrame, settings: Forecasting = Forecasting()) ->
 
 def tournament(df: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:
     """Fit and run every model on every series: one row each, with its in-sample accuracy as `scores`."""
-    run = run_models(fit_models(pack_series(df), models, settings), settings.horizon, settings)
-    return compute(run, {"scores": IN_SAMPLE})
+    return _scored(fit_models(pack_series(df), models, settings), settings)
+
+
+def _scored(fitted: DataFrame, settings: Forecasting) -> DataFrame:
+    return compute(run_models(fitted, settings.horizon, settings), {"scores": IN_SAMPLE})
 
 
 # Number of points, mean squared error and mean relative error of `y` and `run.fitted`, without leaving the row.
@@ -88,34 +91,31 @@ def forecast_horizon(df: DataFrame, models=MODELS, settings: Forecasting = Forec
     A series for which no model can be fitted, or whose forecast holds an invalid number, gets the trend
     forecast, without bounds.
     """
-    run = tournament(df, models, settings)
+    packed = compute(pack_series(df), {"line": trend_line(settings.horizon)})
+    run = _scored(fit_models(packed, models, settings, keep_unfitted=True), settings)
+    values = F.col("run.forecast")
+    valid = values.isNotNull() & ~F.exists(values, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    # Rows without an order take no part in the choice.
+    order = F.when(valid, F.struct(F.coalesce(F.col("scores.mape"), F.lit(float("inf"))), "model"))
     best = run.groupBy(SERIES).agg(
-        F.min_by(
-            F.struct("model", "dates", F.col("run.forecast").alias("forecast"), F.col("scores.mse").alias("mse")),
-            F.struct(F.coalesce(F.col("scores.mape"), F.lit(float("inf"))), "model"),
-        ).alias("b")
+        F.min_by(F.struct("model", values.alias("forecast"), F.sqrt("scores.mse").alias("sigma")), order).alias("b"),
+        F.first("line").alias("line"),
+        F.first("end").alias("end"),
     )
-    valid = best.filter(~F.exists("b.forecast", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))))
-    chosen = valid.select(
-        SERIES,
-        F.col("b.model").alias("_model"),
-        F.element_at("b.dates", -1).alias("_end"),
-        F.sqrt("b.mse").alias("_sigma"),
-        F.col("b.forecast").alias("_values"),
+    spread = best.select(
+        SERIES, "b.model", "b.sigma", "end", F.posexplode_outer(F.coalesce("b.forecast", "line")).alias("_k", "forecast")
     )
-    line = trend_forecast(df, settings.horizon)
-    joined = line.join(chosen, SERIES, "left")
+    step = F.col("_k") + 1
     z = NormalDist().inv_cdf(0.5 + settings.confidence / 2)
-    value = F.get("_values", F.col("step") - 1)
-    margin = z * F.col("_sigma") * F.sqrt(F.col("step").cast("double"))
-    return joined.select(
+    margin = z * F.col("sigma") * F.sqrt(step.cast("double"))
+    return spread.select(
         SERIES,
-        F.coalesce("_model", F.lit("trend")).alias("model"),
-        "step",
-        F.coalesce(next_month_start(F.col("_end"), F.col("step")), F.col(DATE)).alias(DATE),
-        F.coalesce(value, "forecast").alias("forecast"),
-        (value - margin).alias("lower_bound"),
-        (value + margin).alias("upper_bound"),
+        F.coalesce("model", F.lit("trend")).alias("model"),
+        step.alias("step"),
+        next_month_start(F.col("end"), step).alias(DATE),
+        "forecast",
+        (F.col("forecast") - margin).alias("lower_bound"),
+        (F.col("forecast") + margin).alias("upper_bound"),
         F.lit(settings.confidence).alias("confidence_level"),
     )
 
@@ -213,7 +213,7 @@ def fitted_parameters(df: DataFrame, models=MODELS, settings: Forecasting = Fore
     """The model store: parameters, AIC and in-sample accuracy per series and model."""
     return tournament(df, models, settings).select(
         SERIES, "model", "form", "params", "aic", "sse", "scores",
-        F.element_at("dates", -1).alias("data_end_date"),
+        F.col("end").alias("data_end_date"),
     )
 
 
@@ -230,7 +230,7 @@ def score(df: DataFrame, stored: DataFrame, horizon: int, settings: Forecasting
     packed = pack_series(df)
     run = run_models(packed.join(stored.select(SERIES, "model", "form", "params"), SERIES), horizon, settings)
     return run.select(
-        SERIES, "model", F.element_at("dates", -1).alias("_end"), F.posexplode_outer("run.forecast").alias("_k", "forecast")
+        SERIES, "model", F.col("end").alias("_end"), F.posexplode_outer("run.forecast").alias("_k", "forecast")
     ).filter(F.col("_k").isNotNull()).select(
         SERIES, "model", (F.col("_k") + 1).alias("step"),
         next_month_start(F.col("_end"), F.col("_k") + 1).alias(DATE), "forecast",

@@ -21,24 +21,31 @@ EMPTY = "cast(array() as array<double>)"
 
 
 def pack_series(df: DataFrame, keys=(SERIES,), slices: int | None = None) -> DataFrame:
-    """One row per series: its dates and known values in order, and their number.
+    """One row per series: its dates and known values in order, their number, all rows and the last date.
 
     The number of partitions is given, not left to adaptive coalescing: the rows are few and small but the
     fits on them are long.
     """
     spark = df.sparkSession
     slices = slices or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    known = df.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    # Rows without a value stay in the count and the last date; a series of nothing but gaps has empty arrays.
+    point = F.when(F.col("value").isNotNull() & ~F.isnan("value"), F.struct(DATE, "value"))
     packed = (
-        known.repartition(slices, *keys)
+        df.repartition(slices, *keys)
         .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct(DATE, "value"))).alias("points"))
+        .agg(
+            F.array_sort(F.collect_list(point)).alias("points"),
+            F.count(F.lit(1)).alias("rows"),
+            F.max(DATE).alias("end"),
+        )
     )
     return packed.select(
         *keys,
         F.transform("points", lambda p: p[DATE]).alias("dates"),
         F.transform("points", lambda p: p["value"]).alias("y"),
         F.size("points").alias("n"),
+        F.col("rows").alias("rows"),
+        F.col("end").alias("end"),
     )
 
 
@@ -239,7 +246,8 @@ def fit_fourier(packed: DataFrame, pairs: int = Forecasting().fourier_pairs) ->
     packed = compute(packed, {"_n": normal})
     packed = compute(packed, {"_coef": f"if(n > {size + 1}, {solve('_n', size)}, null)"})
     gap = f"(_u - {dot('_r', '_coef')})"
-    packed = compute(packed, {"_sse": f"aggregate(zip_with(_x, y, (_r, _u) -> {gap} * {gap}), 0D, (_t, _e) -> _t + _e)"})
+    squares = f"aggregate(zip_with(_x, y, (_r, _u) -> {gap} * {gap}), 0D, (_t, _e) -> _t + _e)"
+    packed = compute(packed, {"_sse": f"if(_coef is null, null, {squares})"})
     params = ", ".join(f"'c{i}', get(_coef, {i})" for i in range(size))
     fitted = f"""if(_sse is null, null, named_struct('aic', {_aic('_sse', 'n', size + 1)}, 'form', 'trend+{pairs}',
         'sse', _sse, 'params', map({params})))"""
@@ -258,10 +266,12 @@ def run_fourier(horizon: int, pairs: int) -> str:
 # --- All of them -----------------------------------------------------------------------------------
 
 
-def fit_models(packed: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:
+def fit_models(
+    packed: DataFrame, models=MODELS, settings: Forecasting = Forecasting(), keep_unfitted: bool = False
+) -> DataFrame:
     """Fitted parameters: one row per series and model (series keys, model, form, params, aic, sse).
 
-    A series too short for a model has no row for it.
+    A series too short for a model has no row for it, or with `keep_unfitted` one without parameters.
     """
     carried = packed.columns
     fits = {
@@ -275,7 +285,22 @@ def fit_models(packed: DataFrame, models=MODELS, settings: Forecasting = Forecas
         f"named_struct('model', '{m}', 'form', {m}.form, 'params', {m}.params, 'aic', {m}.aic, 'sse', {m}.sse)"
         for m in models
     )
-    return packed.select(*carried, F.expr(f"inline(array({listed}))")).filter(F.col("aic").isNotNull())
+    fitted = packed.select(*carried, F.expr(f"inline(array({listed}))"))
+    return fitted if keep_unfitted else fitted.filter(F.col("aic").isNotNull())
+
+
+def trend_line(horizon: int, recent: int = 12, default: float = 3_000_000.0) -> str:
+    """The trend forecast (see `series.trend_forecast`) of a packed series, as an array."""
+    size = f"least(n, {recent})"
+    total = f"aggregate(last12, 0D, (_s, _v) -> _s + _v)"
+    centre = f"(({size} - 1) / 2D)"
+    spread = f"({size} * ({size} * {size} - 1) / 12D)"
+    slope = f"try_divide(aggregate(transform(last12, (_v, _i) -> _v * (_i - {centre})), 0D, (_s, _v) -> _s + _v), {spread})"
+    line = f"greatest({total} / {size} + ({slope}) * ({size} - 1 + k - {centre}), 0.5D * element_at(last12, -1))"
+    start = f"if(rows < 2, {number(default)}, coalesce(get(last12, n - 1), {number(default)}))"
+    steps_ = steps(1, horizon)
+    body = f"if(rows >= 2 and n >= 2, transform({steps_}, k -> {line}), transform({steps_}, k -> {start} * pow(1.02D, k - 1)))"
+    return f"get(transform(array(slice(y, greatest(n - {recent - 1}, 1), {recent})), last12 -> {body}), 0)"
 
 
 def run_models(fitted: DataFrame, horizon: int, settings: Forecasting = Forecasting()) -> DataFrame:

@@ -159,41 +159,51 @@ def next_month_start(date, months):
     return F.add_months(start, months - 1)
 
 
-def trend_forecast(
-    df: DataFrame, horizon: int = Forecasting().horizon, recent: int = 12, default: float = 3_000_000.0, by=(SERIES,)
+def trend_forecasts(
+    df: DataFrame,
+    columns: dict[str, str],
+    horizon: int = Forecasting().horizon,
+    recent: int = 12,
+    default: float = 3_000_000.0,
 ) -> DataFrame:
-    """Extend a straight line through the last known values, never below half the last one.
+    """Several columns of a ledger, each extended along its own line (see `trend_forecast`), in one pass.
 
-    One known value among several rows grows by 2 % a month; without a usable history the default does.
+    `columns` maps the names of the results to the columns they continue.
     """
-    by = w.keys(by)
-    sized = df.withColumns(
-        {
-            "_rows": F.count(F.lit(1)).over(w.whole(by)),
-            "_end": F.max(DATE).over(w.whole(by)),
-            "_known": F.count("value").over(w.latest_first(by).rowsBetween(w.Window.unboundedPreceding, 0)),
-        }
-    )
-    x = F.when(F.col("value").isNotNull() & (F.col("_known") <= recent), -F.col("_known").cast("double"))
-    fit = (
-        sized.withColumn("_x", x)
-        .groupBy(*by)
-        .agg(
-            F.first("_rows").alias("_rows"),
-            F.first("_end").alias("_end"),
-            F.count("_x").alias("_n"),
-            F.regr_slope("value", "_x").alias("_slope"),
-            F.regr_intercept("value", "_x").alias("_intercept"),
-            F.max_by("value", "_x").alias("_last"),
-        )
-    )
+    back = w.latest_first().rowsBetween(w.Window.unboundedPreceding, 0)
+    sized = df.withColumns({f"_k_{name}": F.count(c).over(back) for name, c in columns.items()})
+    recent_x = {
+        f"_x_{name}": F.when(F.col(c).isNotNull() & (F.col(f"_k_{name}") <= recent), -F.col(f"_k_{name}").cast("double"))
+        for name, c in columns.items()
+    }
+    facts = [F.count(F.lit(1)).alias("_rows"), F.max(DATE).alias("_end")]
+    for name, c in columns.items():
+        x = f"_x_{name}"
+        facts += [
+            F.count(x).alias(f"_n_{name}"),
+            F.regr_slope(c, x).alias(f"_slope_{name}"),
+            F.regr_intercept(c, x).alias(f"_icept_{name}"),
+            F.max_by(c, x).alias(f"_last_{name}"),
+        ]
+    fit = sized.withColumns(recent_x).groupBy(SERIES).agg(*facts)
     spread = fit.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     # Positions count back from -1 at the last known value, so step k stands at k - 1.
     k = F.col("step").cast("double") - 1
-    line = F.greatest(F.col("_intercept") + F.col("_slope") * k, 0.5 * F.col("_last"))
-    start = F.when(F.col("_rows") < 2, F.lit(default)).otherwise(F.coalesce("_last", F.lit(default)))
-    usable = (F.col("_rows") >= 2) & (F.col("_n") >= 2)
-    return spread.select(
-        *by, "step", next_month_start(F.col("_end"), F.col("step")).alias(DATE),
-        F.when(usable, line).otherwise(start * F.pow(F.lit(1.02), k)).alias("forecast"),
-    )
+
+    def ahead(name):
+        last = F.col(f"_last_{name}")
+        line = F.greatest(F.col(f"_icept_{name}") + F.col(f"_slope_{name}") * k, 0.5 * last)
+        start = F.when(F.col("_rows") < 2, F.lit(default)).otherwise(F.coalesce(last, F.lit(default)))
+        usable = (F.col("_rows") >= 2) & (F.col(f"_n_{name}") >= 2)
+        return F.when(usable, line).otherwise(start * F.pow(F.lit(1.02), k)).alias(name)
+
+    date = next_month_start(F.col("_end"), F.col("step")).alias(DATE)
+    return spread.select(SERIES, "step", date, *[ahead(name) for name in columns])
+
+
+def trend_forecast(df: DataFrame, horizon: int = Forecasting().horizon, **options) -> DataFrame:
+    """Extend a straight line through the last known values, never below half the last one.
+
+    One known value among several rows grows by 2 % a month; without a usable history the default does.
+    """
+    return trend_forecasts(df, {"forecast": "value"}, horizon, **options)

@@ -14,8 +14,9 @@ from ledgerloom.operators.forecasting import forecast_horizon, forecast_kpis
 from ledgerloom.operators.planning import RATE, financial_plan, plan_metrics
 from ledgerloom.operators.quality import require_valid
 from ledgerloom.operators.scenarios import run_scenarios, scenario_comparison, scenario_insights
-from ledgerloom.operators.series import trend_forecast
+from ledgerloom.operators.series import trend_forecasts
 from ledgerloom.params import DATE, FX, OPEX, SALES, SCENARIOS, SERIES, Settings
+from ledgerloom.plans.lineage import cut
 from ledgerloom.sources.rollup import dedup_first, extract_series
 
 
@@ -29,19 +30,8 @@ def load_ledger(raw: DataFrame, settings: Settings = Settings(), strict: bool =
 
 
 def forecast_measures(ledger: DataFrame, horizon: int) -> DataFrame:
-    """Sales, opex and FX carried forward by their trend lines, as plan input.
-
-    The three measures are stacked as series of their own, so one pass fits them all.
-    """
-    measures = {"sales": SALES, "opex": OPEX, RATE: FX}
-    stacked = ledger.select(
-        SERIES, DATE,
-        F.inline(F.array(*[F.struct(F.lit(k).alias("measure"), F.col(c).alias("value")) for k, c in measures.items()])),
-    )
-    # The series stays the partitioning key; the measure only distinguishes rows within it.
-    lines = trend_forecast(stacked, horizon, by=(SERIES, "measure"))
-    side_by_side = {k: F.max(F.when(F.col("measure") == k, F.col("forecast"))).alias(k) for k in measures}
-    return lines.groupBy(SERIES, DATE).agg(*side_by_side.values())
+    """Sales, opex and FX carried forward by their trend lines, as plan input."""
+    return trend_forecasts(ledger, {"sales": SALES, "opex": OPEX, RATE: FX}, horizon)
 
 
 def forecast_job(ledger: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
@@ -62,10 +52,10 @@ class PlanResult:
 
 
 def plan_job(ledger: DataFrame, settings: Settings = Settings(), scenarios=SCENARIOS) -> PlanResult:
-    """Forecast, plan under every scenario, risk study and the executive figures, all lazy.
+    """Forecast, plan under every scenario, risk study and the executive figures.
 
-    The forecast has one row per series and step; callers that write several of the results should cut it
-    first with `lineage.cut`, so that the models are fitted once.
+    The forecast has one row per series and step. Several results read it, so it is checkpointed where the
+    session names a folder for that: the ledger is then read and the models are fitted once.
     """
     ahead = forecast_horizon(extract_series(ledger, SALES), settings=settings.forecasting)
     sales = ahead.select(SERIES, DATE, F.col("forecast").alias("sales"))
@@ -74,6 +64,7 @@ def plan_job(ledger: DataFrame, settings: Settings = Settings(), scenarios=SCENA
 
 def plan_from_forecast(sales: DataFrame, settings: Settings = Settings(), scenarios=SCENARIOS) -> PlanResult:
     """The same from a given sales forecast (series_id, date, sales)."""
+    sales = cut(sales)
     plans = run_scenarios(sales, scenarios, settings.finance)
     comparison = scenario_comparison(plans)
     insights = scenario_insights(comparison)
