@@ -308,7 +308,7 @@ def run_models(fitted: DataFrame, horizon: int, settings: Forecasting = Forecast
 
     The parameters may come straight from `fit_models` or from a stored table joined to packed series.
     """
-    cases = f"""case when _p.model = 'ar' then {run_ar(horizon)} when _p.model = 'ets' then {run_ets(horizon)}
+    cases = f"""case when _p.fit.params is null then null when _p.model = 'ar' then {run_ar(horizon)} when _p.model = 'ets' then {run_ets(horizon)}
         when _p.model = 'fourier' then {run_fourier(horizon, settings.fourier_pairs)} end"""
     return compute(fitted, {"run": bound(cases, "named_struct('form', form, 'params', params)", "model")})
 
