@@ -205,6 +205,14 @@ query("accuracy", SCORES, lambda t: fc.accuracy(fc.fitted_values(fc.tournament(s
 query("select_model", "series_id model mape:6",
       lambda t: fc.select_model(fc.accuracy(fc.fitted_values(fc.tournament(sales(t))))),
       "SELECT series_id, arg_min(model, mape) AS model, min(mape) AS mape FROM accuracy GROUP BY 1")
+query("fitted_parameters", "series_id model form aic:4 mape:6 data_end_date:d",
+      lambda t: fc.fitted_parameters(sales(t)).withColumn("mape", F.col("scores.mape")),
+      """SELECT f.series_id, f.model, form, aic, mape, data_end_date FROM (
+           SELECT series_id, 'ets' AS model, form, aic FROM m_ets UNION ALL SELECT series_id, 'ar', form, aic FROM m_ar
+           UNION ALL SELECT series_id, model, 'trend+3', count(*) * ln(avg((actual - predicted) ** 2)) + 2 * 9 FROM m_fitted
+             WHERE model = 'fourier' GROUP BY ALL) f
+         JOIN accuracy a ON a.series_id = f.series_id AND a.model = f.model
+         JOIN (SELECT series_id, max(date) AS data_end_date FROM sales_series GROUP BY 1) e ON e.series_id = f.series_id""")
 query("acceptance_gate", "series_id model mape:6 r_squared:6 accepted:b",
       lambda t: fc.acceptance_gate(fc.accuracy(fc.fitted_values(fc.tournament(sales(t))))),
       "SELECT *, coalesce(r_squared >= 0.85 AND mape <= 15, false) AS accepted FROM accuracy")

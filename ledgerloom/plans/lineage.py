@@ -13,7 +13,7 @@ def cut(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or fallback_dir
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or fallback_dir
         if folder is None:
             return df
         context.setCheckpointDir(folder)
