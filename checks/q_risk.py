@@ -17,7 +17,6 @@ from ledgerloom.params import SALES, SCENARIOS, Risk
 from ledgerloom.plans import pipelines
 
 RISK = Risk()
-SMALL = Risk(runs=200)
 
 
 def uniform(start):
@@ -45,14 +44,12 @@ SELECT a.series_id, a.sim_id, a.period,
 FROM {src} a JOIN {src} b ON b.series_id = a.series_id AND b.sim_id = a.sim_id AND b.period <= a.period GROUP BY 1, 2, 3"""
 
 
-draws_view("draws_small", SMALL.runs)
 draws_view("draws_all", RISK.runs)
-view("sales_shock_small", shocks_sql("draws_small", "z_sales", RISK.sales_ar, RISK.sales_vol))
-view("fx_shock_small", shocks_sql("draws_small", "z_fx", RISK.fx_ar, RISK.fx_vol))
+view("sales_shock_all", shocks_sql("draws_all", "z_sales", RISK.sales_ar, RISK.sales_vol))
+view("fx_shock_all", shocks_sql("draws_all", "z_fx", RISK.fx_ar, RISK.fx_vol))
 view("draws_correlated", f"""
-SELECT *, {RISK.correlation!r}::DOUBLE * z_sales + {math.sqrt(1 - RISK.correlation ** 2)!r}::DOUBLE * z_fx AS z_both FROM draws_small""")
+SELECT *, {RISK.correlation!r}::DOUBLE * z_sales + {math.sqrt(1 - RISK.correlation ** 2)!r}::DOUBLE * z_fx AS z_both FROM draws_all""")
 view("fx_shock_correlated", shocks_sql("draws_correlated", "z_both", RISK.fx_ar, RISK.fx_vol))
-view("sales_shock_all", shocks_sql("draws_all", "z_sales", RISK.sales_ar, RISK.sales_vol))
 
 
 def spread(t, risk):
@@ -64,16 +61,16 @@ def unfold(df, column, name="shock"):
 
 
 query("standard_normals", "series_id sim_id:i period:i z_sales:6 z_fx:6",
-      lambda t: r.standard_normals(r.pack_forecast(forecast(t)), SMALL), "SELECT * FROM draws_small")
+      lambda t: r.standard_normals(r.pack_forecast(forecast(t)), RISK), "SELECT * FROM draws_all")
 query("sales_shocks", "series_id sim_id:i period:i shock:6",
-      lambda t: unfold(r.sales_shocks(spread(t, SMALL), SMALL), "sales_shock"), "SELECT * FROM sales_shock_small")
+      lambda t: unfold(r.sales_shocks(spread(t, RISK), RISK), "sales_shock"), "SELECT * FROM sales_shock_all")
 query("fx_shocks", "series_id sim_id:i period:i shock:6",
-      lambda t: unfold(r.fx_shocks(spread(t, SMALL), SMALL), "fx_shock"), "SELECT * FROM fx_shock_small")
+      lambda t: unfold(r.fx_shocks(spread(t, RISK), RISK), "fx_shock"), "SELECT * FROM fx_shock_all")
 query("correlated_shocks", "series_id sim_id:i period:i shock:6",
-      lambda t: unfold(r.fx_shocks(spread(t, SMALL), SMALL, correlated=True), "fx_shock"), "SELECT * FROM fx_shock_correlated")
+      lambda t: unfold(r.fx_shocks(spread(t, RISK), RISK, correlated=True), "fx_shock"), "SELECT * FROM fx_shock_correlated")
 query("apply_fx_shocks", "series_id sim_id:i period:i usdtry_rate:6",
-      lambda t: unfold(r.apply_fx_shocks(r.fx_shocks(spread(t, SMALL), SMALL)), "usdtry_rate", "usdtry_rate"),
-      """SELECT s.series_id, sim_id, period, usdtry_rate * (1 + shock) AS usdtry_rate FROM fx_shock_small s
+      lambda t: unfold(r.apply_fx_shocks(r.fx_shocks(spread(t, RISK), RISK)), "usdtry_rate", "usdtry_rate"),
+      """SELECT s.series_id, sim_id, period, usdtry_rate * (1 + shock) AS usdtry_rate FROM fx_shock_all s
          JOIN plan_input_full i ON i.series_id = s.series_id AND i.step = s.period""")
 
 
@@ -97,7 +94,7 @@ def full_sim_sql(fx, anchor):
     return simulated_sql(f"""
 SELECT *, s * 0.65::DOUBLE * (1 + 0.15::DOUBLE * (rate / first_value({anchor}) OVER {FIRST} - 1)) AS cogs FROM (
   SELECT k.series_id, k.sim_id, k.period, sales * (1 + k.shock) AS s, opex, usdtry_rate * (1 + x.shock) AS rate, usdtry_rate AS base_rate
-  FROM sales_shock_small k JOIN {fx} x ON x.series_id = k.series_id AND x.sim_id = k.sim_id AND x.period = k.period
+  FROM sales_shock_all k JOIN {fx} x ON x.series_id = k.series_id AND x.sim_id = k.sim_id AND x.period = k.period
   JOIN plan_input_full i ON i.series_id = k.series_id AND i.step = k.period)""")
 
 
@@ -109,9 +106,9 @@ def sims(t):
 
 
 query("simulate_plans", SIMS, sims, "SELECT * FROM sims")
-query("simulate_plans_full", SIMS, lambda t: r.simulate_plans(full_forecast(t), SMALL), full_sim_sql("fx_shock_small", "rate"))
+query("simulate_plans_full", SIMS, lambda t: r.simulate_plans(full_forecast(t), RISK), full_sim_sql("fx_shock_all", "rate"))
 query("simulate_plans_correlated", SIMS,
-      lambda t: r.simulate_plans(full_forecast(t), SMALL, correlated=True, fx_anchor="baseline"),
+      lambda t: r.simulate_plans(full_forecast(t), RISK, correlated=True, fx_anchor="baseline"),
       full_sim_sql("fx_shock_correlated", "base_rate"))
 LOSS = """avg(CAST(min_monthly_fcf < 0 AS DOUBLE)) AS prob_negative_monthly_fcf, avg(CAST(total_fcf < 0 AS DOUBLE)) AS prob_negative_total_fcf"""
 
