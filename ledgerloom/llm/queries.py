@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import simhash
+from ledgerloom.llm import compression, decontaminate, simhash
 from ledgerloom.llm.shared import table
 
 
@@ -12,8 +12,18 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op7_compression_classifier": op7_compression_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {}

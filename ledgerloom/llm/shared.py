@@ -49,26 +49,23 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def annotate(df: DataFrame, inputs: list[str], result: T.StructType, name: str, batches: Callable) -> DataFrame:
+def annotate(df: DataFrame, inputs: list[str], result: T.StructType, name: str, prepare: Callable) -> DataFrame:
     """`df` with a struct column `name` of type `result`, worked out beside the rows, which do not move.
 
-    `batches(*arrays)` gets the Arrow arrays of `inputs` and returns an Arrow struct array of the same length.
+    `prepare()` runs once in each task; what it returns gets the Arrow arrays of `inputs`, batch after batch, and returns
+    an Arrow struct array of the same length.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(name, result)])
 
     def run(stream):
+        work = prepare()
         for batch in stream:
-            made = batches(*[batch.column(i) for i in inputs])
+            made = work(*[batch.column(i) for i in inputs])
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, name])
 
     return df.mapInArrow(run, schema)
 
 
-def numbered_rows(df: DataFrame, column: str, upto: int) -> int:
-    """The rows of `df` with `column`, counted no further than `upto + 1`: for size checks."""
-    return df.select(column).limit(upto + 1).count()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
