@@ -3,27 +3,175 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import compression, decontaminate, simhash
+from ledgerloom.llm import (
+    compression, decontaminate, html_text, licenses, mixing, pii, preferences, quality_rules, simhash, url_filter)
 from ledgerloom.llm.shared import table
+from ledgerloom.llm.url_filter import Rule
+
+#: The rules that the url query applies.
+RULES = (
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+)
+#: The blocklist of the url query.
+BLOCKED_DOMAINS = tuple(
+    f"{site}.example.{top}" for site in ("ads-track", "adult-x", "cheap-pills", "free-bets", "spam-farm") for top in ("com", "net", "org"))
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocked = spark.createDataFrame([(d,) for d in BLOCKED_DOMAINS], "key string")
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), RULES, blocked)
+
+
 def op7_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree, ten to a directory and ten of those to one above; every tenth is its directory's licence file,
+    and every hundredth lies in the directory above."""
+    n = F.col("doc_id")
+    above, below = F.concat(F.lit("c"), F.floor(n / 100)), F.concat(F.lit("/d"), F.floor(n / 10) % 10)
+    path = F.when(n % 100 == 0, F.concat(above, F.lit("/LICENSE"))).when(n % 10 == 0, F.concat(above, below, F.lit("/LICENSE"))).otherwise(
+        F.concat(above, below, F.lit("/f"), n, F.lit(".txt")))
+    return licenses.scan_licences(table(spark, sf_dir, "documents").withColumn("path", path))
+
+
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.anonymised(table(spark, sf_dir, "documents"))
+
+
+def op10_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preferences.reply_pairs(preferences.conversations(table(spark, sf_dir, "conversations")))
+    rows = preferences.preference_rows(pairs)
+    return rows.select(
+        F.col("pair_id").alias("conv_id"), "n_common", "prompt",
+        *[x for c in ("chosen", "rejected") for x in (preferences.rendered(F.col(c)).alias(c), preferences.trained_text(F.col(c)).alias(f"{c}_trained"))])
+
+
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_pareto_mixing": op2_pareto_mixing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_html_extraction": op4_html_extraction,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_url_filter": op6_url_filter,
     "op7_compression_classifier": op7_compression_classifier,
+    "op8_license_scan": op8_license_scan,
+    "op9_pii_surrogates": op9_pii_surrogates,
+    "op10_preference_formatting": op10_preference_formatting,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"len(regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+'))"
+
+_OP6 = r"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+named AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+rules(verdict, rule_host, rule_path) AS (VALUES %s),
+fitting AS (
+  SELECT page_id, host, path,
+    (SELECT arg_max(struct_pack(rule := rule_host || rule_path, verdict := verdict), length(rule_host || rule_path)) FROM rules
+     WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS best,
+    EXISTS (SELECT 1 FROM (VALUES %s) AS blocked(domain) WHERE host = domain OR ends_with(host, '.' || domain)) AS listed
+  FROM named)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict FROM fitting
+""" % (", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES), ", ".join(f"('{d}')" for d in BLOCKED_DOMAINS))
+
+_OP10 = """
+WITH turns AS (
+  SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+ended AS (
+  SELECT conv_id, t[:len(t) - list_position(list_transform(list_reverse(t), lambda x: x.role), 'assistant') + 1] AS chosen FROM turns
+  WHERE list_contains(list_transform(t, lambda x: x.role), 'assistant')),
+paired AS (
+  SELECT a.conv_id, a.chosen, a.chosen[:-2] AS shared, list_append(a.chosen[:-2], struct_pack(role := 'assistant', text := coalesce(b.chosen[-1].text, ''))) AS rejected
+  FROM ended a LEFT JOIN ended b ON b.conv_id = a.conv_id + 1),
+counted AS (SELECT *, CASE WHEN chosen = rejected THEN len(chosen) ELSE len(chosen) - 1 END AS n FROM paired),
+formatted AS (
+  SELECT conv_id, n,
+    list_transform(chosen[:n], lambda x: '<|im_start|>' || replace(x.role, '<|', '<​|') || chr(10) || replace(x.text, '<|', '<​|') || '<|im_end|>' || chr(10)) AS prompt,
+    list_transform(chosen[n + 1:], lambda x: '<|im_start|>' || replace(x.role, '<|', '<​|') || chr(10)) AS c_head,
+    list_transform(chosen[n + 1:], lambda x: replace(x.text, '<|', '<​|') || '<|im_end|>' || chr(10)) AS c_body,
+    list_transform(rejected[n + 1:], lambda x: '<|im_start|>' || replace(x.role, '<|', '<​|') || chr(10)) AS r_head,
+    list_transform(rejected[n + 1:], lambda x: replace(x.text, '<|', '<​|') || '<|im_end|>' || chr(10)) AS r_body
+  FROM counted)
+SELECT conv_id, CAST(n AS INT) AS n_common, array_to_string(prompt, '') AS prompt,
+  array_to_string(list_concat(c_head, c_body), '') AS chosen, array_to_string(c_body, '') AS chosen_trained,
+  array_to_string(list_concat(r_head, r_body), '') AS rejected, array_to_string(r_body, '') AS rejected_trained
+FROM formatted
+"""
+
+_OP2 = r"""
+WITH sizes AS (SELECT doc_id, source, CAST(%s AS BIGINT) AS size FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    [3, 1, 2][1 + ((row_number() OVER (ORDER BY source NULLS LAST) - 1) %% 3)::INT] AS weight FROM sizes GROUP BY source),
+ranked AS (
+  SELECT *, 2 * source_size AS cap, row_number() OVER (ORDER BY 2.0 * source_size / weight, source NULLS LAST) AS place FROM sources),
+rest AS (
+  SELECT *, 3 * (SELECT sum(source_size) FROM ranked) - 2 * coalesce(sum(cap) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+    2 * sum(weight) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS remaining FROM ranked),
+filled AS (SELECT *, rest * weight >= remaining * cap AS is_full FROM rest),
+level AS (SELECT CAST(arg_min(rest, place) AS DOUBLE) / CAST(arg_min(remaining, place) AS DOUBLE) AS level FROM filled WHERE NOT is_full),
+goals AS (
+  SELECT source, source_size, CASE WHEN is_full THEN CAST(cap AS DOUBLE) ELSE (SELECT level FROM level) * weight END AS target FROM filled),
+by_size AS (
+  SELECT s.source, s.size, sum(s.size) AS words, any_value(g.target) AS target
+  FROM sizes s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source WHERE s.size > 0 GROUP BY s.source, s.size),
+tried AS (
+  SELECT source, size, (target - 2 * (sum(words) OVER (PARTITION BY source ORDER BY size DESC) - words))
+    / sum(words * sqrt(CAST(size AS DOUBLE))) OVER (PARTITION BY source ORDER BY size) AS scale FROM by_size),
+scales AS (SELECT source, arg_max(scale, size) AS scale FROM tried WHERE scale * sqrt(CAST(size AS DOUBLE)) < 2 GROUP BY source),
+copies AS (
+  SELECT s.doc_id, s.source, s.size, g.source_size, g.target,
+    CASE WHEN s.size > 0 THEN least(2.0, coalesce(c.scale * sqrt(CAST(s.size AS DOUBLE)), 2.0)) ELSE 0.0 END AS copies,
+    (CAST('0x' || substr(md5('mix:' || coalesce(CAST(s.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM sizes s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source LEFT JOIN scales c ON s.source IS NOT DISTINCT FROM c.source),
+ordered AS (
+  SELECT *, floor(copies) AS certain, copies - floor(copies) AS p,
+    target - sum(floor(copies) * size) OVER (PARTITION BY source) AS need FROM copies),
+placed AS (SELECT *, CASE WHEN p > 0 THEN u * (1 - p) / (u * (1 - p) + p * (1 - u)) END AS rank FROM ordered),
+cut AS (SELECT *, sum(CASE WHEN rank IS NOT NULL THEN size END) OVER (PARTITION BY source ORDER BY rank NULLS LAST) <= need AS first_cut FROM placed),
+gaps AS (SELECT *, need - coalesce(sum(CASE WHEN rank IS NOT NULL AND first_cut THEN size END) OVER (PARTITION BY source), 0) AS gap FROM cut),
+filling AS (
+  SELECT *, sum(CASE WHEN rank IS NOT NULL AND NOT first_cut AND size <= gap THEN size END) OVER (PARTITION BY source ORDER BY rank NULLS LAST) <= gap AS second_cut
+  FROM gaps)
+SELECT doc_id, size, source_size, target,
+  CAST((certain + CASE WHEN rank IS NOT NULL AND (first_cut OR (size <= gap AND second_cut)) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+FROM filling
+""" % _WORDS.format("text")
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_pareto_mixing": _OP2,
+    "op6_url_filter": _OP6,
+    "op10_preference_formatting": _OP10,
+}
