@@ -162,8 +162,9 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         if _luhn(canonical) == 0:
             made = next(made[:-1] + str(d) for d in range(10) if _luhn(made[:-1] + str(d)) == 0)
         return made
+    prefix = re.match(r"akia(?=\w{16}$)|gh[pousr]_(?=\w{36}$)|", canonical)[0]  # says what kind of secret it is
     hexadecimal = re.fullmatch("[0-9a-f]+", canonical) is not None
-    return _alike(canonical, draw, "abcdef" if hexadecimal else "abcdefghijklmnopqrstuvwxyz")
+    return prefix + _alike(canonical[len(prefix) :], draw, "abcdef" if hexadecimal else "abcdefghijklmnopqrstuvwxyz")
 
 
 def laid_out(kind: str, original: str, stand_in: str) -> str:
