@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.inputs import RULES
+from checks.inputs import K, RULES, WHOLE_RANGE
 from checks.registry import query, view
 from checks.sql_parts import DAYS, MEASURES, POSITION, W, WALL, WS, clip, fill, interpolate, near, normal, smooth
 from ledgerloom.operators import cleaning as c
@@ -89,6 +89,32 @@ query("date_gaps", "series_id large_gaps:i", lambda t: q.date_gaps(t.dirty),
 query("dedup_first", LEDGER + " dup_no:i", lambda t: rollup.dedup_first(t.dirty, "dup_no"),
       """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY series_id, date ORDER BY dup_no) AS rn
          FROM ledger_dirty) WHERE rn = 1""")
+
+
+def incomplete(t):
+    """Doubled rows of which one lacks sales, and first copies without their number."""
+    k = (F.year("date") - 1995) * 12 + F.month("date") - 1
+    lost = (F.col("dup_no") == 0) & (k % 31 == 10) & (F.col("series_id") < "F")
+    return t.dirty.withColumns({SALES: F.when(~lost, F.col(SALES)), "copy": F.when(F.col("dup_no") > 0, F.col("dup_no"))}).drop("dup_no")
+
+
+view("incomplete", f"""
+SELECT * EXCLUDE (dup_no, k) REPLACE (CASE WHEN dup_no = 0 AND k % 31 = 10 AND series_id < 'F' THEN NULL ELSE sales_total_try END AS sales_total_try),
+       CASE WHEN dup_no > 0 THEN dup_no END AS copy FROM (SELECT *, {K} AS k FROM ledger_dirty)""")
+NULLS = " + ".join(f"(CASE WHEN {x} IS NULL THEN 1 ELSE 0 END)" for x in MEASURES)
+query("dedup_first_incomplete", LEDGER + " way copy:i",
+      lambda t: rollup.dedup_first(incomplete(t), "copy").withColumn("way", F.lit("by copy")).unionByName(
+          rollup.dedup_first(incomplete(t).drop("copy")).withColumns({"way": F.lit("complete"), "copy": F.lit(None).cast("int")})),
+      f"""SELECT * FROM (SELECT DISTINCT ON (series_id, date) *, 'by copy' AS way FROM incomplete ORDER BY series_id, date, copy NULLS LAST)
+          UNION ALL BY NAME
+          SELECT * FROM (SELECT DISTINCT ON (series_id, date) * EXCLUDE (copy), 'complete' AS way, NULL AS copy FROM incomplete
+          ORDER BY series_id, date, {NULLS}, sales_total_try NULLS FIRST, opex_try, usdtry NULLS FIRST)""")
+query("ledger_total", "series_id lines:i sales_total_try:2 opex_try:2",
+      lambda t: t.ledger.groupBy("series_id").agg(F.sum(SALES).alias(SALES), F.sum(OPEX).alias(OPEX)).join(
+          t.lines.groupBy("series_id").agg(F.count("*").alias("lines")), "series_id"),
+      """SELECT c_mktsegment AS series_id, count(*) AS lines, sum(l_extendedprice * (1 - l_discount)) AS sales_total_try,
+             sum(l_extendedprice * (0.20 + l_tax)) AS opex_try
+         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
 query("trim_dates", LEDGER, lambda t: q.trim_dates(t.ledger, "1996-02-01", "2000-09-01"),
       "SELECT * FROM ledger WHERE date BETWEEN DATE '1996-02-01' AND DATE '2000-09-01'")
 
@@ -226,17 +252,50 @@ FROM (SELECT series_id, CAST(unnest(generate_series(min(date), max(date), INTERV
 LEFT JOIN {src} l ON l.series_id = s.series_id AND l.date = s.date"""
 
 
+def by_month_sql(src):
+    return f"""
+SELECT series_id, CAST(date_trunc('month', date) AS DATE) AS date, sum(sales_total_try) AS sales_total_try,
+       sum(opex_try) AS opex_try, avg(usdtry) AS usdtry FROM {src} GROUP BY 1, 2"""
+
+
+def any_day(t):
+    """Rows dated anywhere in their month, doubled ones two days later."""
+    days = F.dayofyear("date") % 19 + 2 * F.col("dup_no")
+    return t.dirty.withColumn("date", F.date_add("date", days.cast("int"))).drop("dup_no")
+
+
+def at_month_end(t):
+    return t.dirty.withColumn("date", F.last_day("date"))
+
+
 query("reindex_calendar", LEDGER, lambda t: c.reindex_calendar(one_per_date(t)), spine_sql("dedup_first"))
-view("clean_1", f"SELECT * FROM dedup_first WHERE date BETWEEN DATE '{RULES.first_date}' AND DATE '{RULES.last_date}'")
-view("clean_2", spine_sql("clean_1"))
-view("clean_3", f"SELECT * REPLACE ({clip('usdtry', '3.5', '60.0')} AS usdtry) FROM clean_2")
-view("clean_4", winsor_ledger_sql("clean_3"))
-view("clean_5", seasonal_sql("clean_4"))
-view("clean_6", smooth("clean_5", "sales_total_try"))
-view("clean_7", interpolate("clean_6", "usdtry", DAYS))
-view("clean_8", fill("clean_7", ["usdtry"]))
-view("clean_9", f"SELECT * REPLACE ({clip('usdtry', '3.5', '60.0')} AS usdtry) FROM clean_8")
+view("any_day", "SELECT * EXCLUDE (dup_no) REPLACE (date + CAST(dayofyear(date) % 19 + 2 * dup_no AS INT) AS date) FROM ledger_dirty")
+view("any_day_months", by_month_sql("any_day"))
+query("reindex_calendar_any_day", CLEANED, lambda t: c.reindex_calendar(any_day(t)), spine_sql("any_day_months"))
+
+
+def clean_views(prefix, source):
+    """Views named with the prefix: the repair of `source`, one row per month, step by step. The last is `<prefix>_9`."""
+    view(f"{prefix}_2", spine_sql(source))
+    view(f"{prefix}_3", f"SELECT * REPLACE ({clip('usdtry', '3.5', '60.0')} AS usdtry) FROM {prefix}_2")
+    view(f"{prefix}_4", winsor_ledger_sql(f"{prefix}_3"))
+    view(f"{prefix}_5", seasonal_sql(f"{prefix}_4"))
+    view(f"{prefix}_6", smooth(f"{prefix}_5", "sales_total_try"))
+    view(f"{prefix}_7", interpolate(f"{prefix}_6", "usdtry", DAYS))
+    view(f"{prefix}_8", fill(f"{prefix}_7", ["usdtry"]))
+    view(f"{prefix}_9", f"SELECT * REPLACE ({clip('usdtry', '3.5', '60.0')} AS usdtry) FROM {prefix}_8")
+
+
+BOUNDS = f"date BETWEEN DATE '{RULES.first_date}' AND DATE '{RULES.last_date}'"
+view("clean_1", f"SELECT * EXCLUDE (dup_no) FROM dedup_first WHERE {BOUNDS}")
+clean_views("clean", "clean_1")
 query("clean_ledger", CLEANED, lambda t: c.clean_ledger(t.dirty, RULES, "dup_no"), opex_sql("clean_9"))
+view("ended_1", f"SELECT * EXCLUDE (dup_no) REPLACE (date_trunc('month', date)::DATE AS date) FROM (SELECT * REPLACE (last_day(date) AS date) FROM dedup_first) WHERE {BOUNDS}")
+clean_views("ended", "ended_1")
+query("clean_ledger_month_end", CLEANED, lambda t: c.clean_ledger(at_month_end(t), RULES, "dup_no"), opex_sql("ended_9"))
+view("whole_1", "SELECT * EXCLUDE (dup_no) FROM dedup_first")
+clean_views("whole", "whole_1")
+view("whole_ledger", opex_sql("whole_9"))
 query("clean_ledger_report",
       "series_id row_count:i first_date:d last_date:d "
       + " ".join(f"{x}_min:2 {x}_max:2 {x}_nulls:i" for x in MEASURES) + " date_nulls:i",
@@ -290,11 +349,11 @@ query("growth_acceleration", "series_id date:d growth_acceleration:6",
       lambda t: f.growth_acceleration(f.growth_mom(t.ledger)), "SELECT * FROM growth")
 view("placed", f"""
 SELECT *, {POSITION} - 1 AS pos, ({POSITION} - 1) / count(*) OVER {WS} AS elapsed,
-       usdtry / nullif(first_value(usdtry) OVER {WALL}, 0) AS fx_rel FROM clean_ledger""")
+       usdtry / nullif(first_value(usdtry) OVER {WALL}, 0) AS fx_rel FROM whole_ledger""")
 
 
 def cleaned(t):
-    return c.clean_ledger(t.dirty, RULES, "dup_no")
+    return c.clean_ledger(t.dirty, WHOLE_RANGE, "dup_no")
 
 
 def noise(stream):

@@ -33,6 +33,10 @@ class Tables:
     def ledger(self):
         return inputs.ledger(self.spark, self.sf_dir)
 
+    @cached_property
+    def lines(self):
+        return inputs.transactions(self.spark, self.sf_dir)
+
     @cached_property
     def ledger_nation(self):
         return inputs.ledger(self.spark, self.sf_dir, "n_name")

@@ -31,11 +31,6 @@ def before(by=SERIES, order=DATE):
     return ordered(by, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def after(by=SERIES, order=DATE):
-    """This row and every later one."""
-    return ordered(by, order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-
-
 def all_ordered(by=SERIES, order=DATE):
     return ordered(by, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
@@ -59,7 +54,9 @@ def last_known(c: Column, by=SERIES, order=DATE) -> Column:
 
 
 def next_known(c: Column, by=SERIES, order=DATE) -> Column:
-    return F.first_value(c, ignoreNulls=True).over(after(by, order))
+    """Read backwards, so that the frame grows by a row at a time; a frame from here to the end is summed up anew at every row."""
+    backwards = latest_first(by, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.last_value(c, ignoreNulls=True).over(backwards)
 
 
 def first_of(c: Column, by=SERIES, order=DATE) -> Column:

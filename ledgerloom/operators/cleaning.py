@@ -129,11 +129,14 @@ def recompute_opex(df: DataFrame) -> DataFrame:
 def reindex_calendar(df: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
     """Complete each series to every month start it spans; missing months become rows of nulls.
 
-    Each row is spread over the months up to the next one, which needs neither a spine table nor a join.
-    Rows that are not dated on a month start fall away. `first` and `last` stretch the span.
+    A row belongs to the month it is dated in. Several in one month are combined as in a monthly ledger: sums of sales and opex,
+    the mean of FX, of other columns the greatest. Each row is then spread over the months up to the next one, which
+    needs neither a spine table nor a join. Undated rows fall away. `first` and `last` stretch the span.
     """
     values = [c for c in df.columns if c not in (SERIES, DATE)]
-    on_spine = df.filter(F.dayofmonth(DATE) == 1)
+    combine = {SALES: F.sum, OPEX: F.sum, FX: F.avg}
+    on_spine = df.filter(F.col(DATE).isNotNull()).groupBy(SERIES, F.trunc(DATE, "MM").alias(DATE)).agg(
+        F.count(F.lit(1)).alias("_rows"), *[combine.get(c, F.max)(c).alias(c) for c in values]).drop("_rows")
     earlier, later = F.lag(DATE).over(w.ordered()), F.lead(DATE).over(w.ordered())
     start, stop = F.col(DATE), F.coalesce(F.add_months(later, -1), F.col(DATE))
     if first:

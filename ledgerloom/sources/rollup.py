@@ -8,29 +8,30 @@ from pyspark.sql import functions as F
 from ledgerloom.params import DATE, FX, OPEX, SALES, SERIES, LedgerError
 
 
-def monthly_ledger(transactions: DataFrame, keys=(SERIES,), digits: int = 4) -> DataFrame:
+def monthly_ledger(transactions: DataFrame, keys=(SERIES,)) -> DataFrame:
     """Monthly totals of sales and opex and the mean FX rate, per series.
 
     Sums are combined before the shuffle, so a series holding most of the rows sends one row per task
-    and month. They are rounded to `digits` so that the result does not depend on the order in which
-    tasks finish.
+    and month.
     """
     return transactions.groupBy(*keys, F.trunc(DATE, "MM").alias(DATE)).agg(
-        F.round(F.sum(SALES), digits).alias(SALES),
-        F.round(F.sum(OPEX), digits).alias(OPEX),
+        F.sum(SALES).alias(SALES),
+        F.sum(OPEX).alias(OPEX),
         F.avg(FX).alias(FX),
     )
 
 
 def dedup_first(df: DataFrame, tie_break: str | None = None) -> DataFrame:
-    """One row per series and date: the one with the least `tie_break` (without it, the least values).
+    """One row per series and date: the one with the least `tie_break`, whole.
 
-    A grouped minimum rather than a row number: it is combined before the shuffle, so many copies of
+    A row whose tie-break is null comes after all others. Among rows that still tie, and without a tie-break, the one with
+    fewest nulls is kept, then the one with the least values. A grouped minimum rather than a row number: it is combined before the shuffle, so many copies of
     one date do not meet in one task.
     """
     rest = [c for c in df.columns if c not in (SERIES, DATE)]
     row = F.struct(*rest)
-    order = F.col(tie_break) if tie_break else row
+    nulls = sum((F.col(c).isNull().cast("int") for c in rest), F.lit(0))
+    order = F.struct(F.col(tie_break).isNull(), tie_break, nulls, row) if tie_break else F.struct(nulls, row)
     kept = df.groupBy(SERIES, DATE).agg(F.min_by(row, order).alias("row"))
     return kept.select(SERIES, DATE, "row.*")
 
