@@ -6,16 +6,18 @@ lists for least squares, and window frames for differences.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from statistics import NormalDist
 
 from pyspark.sql import functions as F
 
 from checks.q_profile import sales
 from checks.registry import query, view
-from checks.sql_parts import POSITION, W, WS
+from checks.sql_parts import POSITION, W, WS, interpolate
 from ledgerloom.operators import features, forecasting as fc, models as m
 from ledgerloom.operators.series import trend_forecast
-from ledgerloom.params import Forecasting
+from ledgerloom.params import SALES, Forecasting
+from ledgerloom.sources.rollup import dedup_first
 
 SETTINGS = Forecasting()
 Z = NormalDist().inv_cdf(0.975)
@@ -36,38 +38,50 @@ WITH RECURSIVE g AS (
 SELECT series_id, form, list_transform(m, lambda r: r[{size + 1}]) AS coef FROM g WHERE k = {size + 1}"""
 
 
-def model_views(p, source, horizon, ets_forms=tuple(m.ETS_FORMS), fourier=True):
+MONTH = "(year(date) * 12 + month(date))"
+
+
+def model_views(p, source, horizon, season=12, fourier=True):
     """Views named with the prefix p: fits, fitted values and forecasts of every series in `source`."""
-    view(f"{p}pos", f"SELECT series_id, date, value, {POSITION} - 1 AS pos, count(*) OVER {WS} AS n FROM {source}")
+    # The month axis: every month from the first known value to the last, those in between on a straight line.
+    view(f"{p}axis", f"""
+SELECT s.series_id, s.date, v.value, v.value IS NOT NULL AS known
+FROM (SELECT series_id, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 MONTH)) AS DATE) AS date
+      FROM {source} WHERE value IS NOT NULL GROUP BY 1) s
+LEFT JOIN (SELECT * FROM {source} WHERE value IS NOT NULL) v ON v.series_id = s.series_id AND v.date = s.date""")
+    view(f"{p}line", interpolate(f"{p}axis", "value", MONTH))
+    view(f"{p}pos", f"SELECT series_id, date, value, known, {POSITION} - 1 AS pos, count(*) OVER {WS} AS n FROM {p}line")
+    size = {f: m.ets_size(f, season) for f in m.ETS_FORMS}
     view(f"{p}months", f"""
 SELECT series_id, step, CAST(max(date) + to_months(CAST(step AS INT)) AS DATE) AS date, max(n) AS n
 FROM {p}pos CROSS JOIN (SELECT unnest(range(1, {horizon + 1})) AS step) GROUP BY 1, 2""")
     # Smoothing.
     grids = " UNION ALL ".join(
-        f"""SELECT '{f}' AS form, {m.ETS_FORMS[f]} AS k, a.col0 AS alpha, b.col0 AS beta, c.col0 AS gamma
+        f"""SELECT '{f}' AS form, {size[f]} AS k, a.col0 AS alpha, b.col0 AS beta, c.col0 AS gamma
             FROM {GRID} a CROSS JOIN {GRID if f[1] == 'A' else ZERO} b CROSS JOIN {GRID if f[2] != 'N' else ZERO} c"""
-        for f in ets_forms)
+        for f in m.ETS_FORMS)
     view(f"{p}grid", grids)
     view(f"{p}start", f"""
-SELECT series_id, n, m1, (m2 - m1) / 12 AS slope, firsts FROM (
-  SELECT series_id, max(n) AS n, avg(value) FILTER (pos < 12) AS m1, avg(value) FILTER (pos BETWEEN 12 AND 23) AS m2,
-         list(value ORDER BY pos) FILTER (pos < 12) AS firsts FROM {p}pos GROUP BY 1)""")
+SELECT series_id, n, m1, (m2 - m1) / {season} AS slope, firsts FROM (
+  SELECT series_id, max(n) AS n, avg(value) FILTER (pos < {season}) AS m1,
+         avg(value) FILTER (pos BETWEEN {season} AND {2 * season - 1}) AS m2,
+         list(value ORDER BY pos) FILTER (pos < {season}) AS firsts FROM {p}pos GROUP BY 1)""")
 
     def recursion(candidates):
         return f"""
 WITH RECURSIVE r AS (
-  SELECT series_id, form, k, alpha, beta, gamma, n, -1::BIGINT AS pos, m1 AS l, 0.0::DOUBLE AS expected,
-         CASE WHEN form[2] = 'A' THEN slope ELSE 0 END AS b,
-         CASE form[3] WHEN 'A' THEN list_transform(firsts, lambda v: v - m1)
-                      WHEN 'M' THEN list_transform(firsts, lambda v: v / m1) ELSE []::DOUBLE[] END AS s, 0.0::DOUBLE AS sse
-  FROM {candidates} JOIN {p}start USING (series_id)
+  SELECT series_id, form, k, alpha, beta, gamma, n, -1::BIGINT AS pos, l0 AS l, 0.0::DOUBLE AS expected, b0 AS b,
+         CASE form[3] WHEN 'A' THEN list_transform(firsts, lambda v, i: v - (l0 + b0 * i))
+                      WHEN 'M' THEN list_transform(firsts, lambda v, i: v / (l0 + b0 * i)) ELSE []::DOUBLE[] END AS s, 0.0::DOUBLE AS sse
+  FROM (SELECT *, m1 - b0 * {(season + 1) / 2} AS l0 FROM (
+        SELECT *, CASE WHEN form[2] = 'A' THEN slope ELSE 0 END AS b0 FROM {candidates} JOIN {p}start USING (series_id)))
   UNION ALL
   SELECT series_id, form, k, alpha, beta, gamma, n, pos + 1,
          alpha * CASE form[3] WHEN 'A' THEN v - s[1] WHEN 'M' THEN v / s[1] ELSE v END + (1 - alpha) * base,
          CASE form[3] WHEN 'A' THEN base + s[1] WHEN 'M' THEN base * s[1] ELSE base END,
          CASE WHEN form[2] = 'A' THEN beta * (alpha * CASE form[3] WHEN 'A' THEN v - s[1] WHEN 'M' THEN v / s[1] ELSE v END + (1 - alpha) * base - l) + (1 - beta) * b ELSE b END,
-         CASE form[3] WHEN 'A' THEN list_concat(s[2:12], [gamma * (v - base) + (1 - gamma) * s[1]])
-                      WHEN 'M' THEN list_concat(s[2:12], [gamma * (v / base) + (1 - gamma) * s[1]]) ELSE s END,
+         CASE form[3] WHEN 'A' THEN list_concat(s[2:{season}], [gamma * (v - base) + (1 - gamma) * s[1]])
+                      WHEN 'M' THEN list_concat(s[2:{season}], [gamma * (v / base) + (1 - gamma) * s[1]]) ELSE s END,
          sse + (v - CASE form[3] WHEN 'A' THEN base + s[1] WHEN 'M' THEN base * s[1] ELSE base END) ** 2
   FROM (SELECT r.*, q.value AS v, CASE WHEN form[2] = 'A' THEN l + b ELSE l END AS base
         FROM r JOIN {p}pos q ON q.series_id = r.series_id AND q.pos = r.pos + 1))
@@ -77,7 +91,7 @@ SELECT * FROM r"""
     view(f"{p}tried", f"SELECT * EXCLUDE (s) FROM ({recursion(p + 'candidates')}) WHERE pos = n - 1")
     view(f"{p}ets", f"""
 SELECT series_id, form, k, alpha, beta, gamma, sse, n * ln(sse / n) + 2 * k AS aic FROM {p}tried
-QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY n * ln(sse / n) + 2 * k, alpha, beta, gamma) = 1""")
+WHERE form = 'ANN' OR n >= {2 * season} QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY n * ln(sse / n) + 2 * k, alpha, beta, gamma) = 1""")
     view(f"{p}winners", f"SELECT series_id, form, k, alpha, beta, gamma FROM {p}ets")
     view(f"{p}path", recursion(p + "winners"))
     # The best weights of every form, also of those that lose.
@@ -87,40 +101,41 @@ QUALIFY row_number() OVER (PARTITION BY series_id, form ORDER BY sse, alpha, bet
     view(f"{p}form_path", recursion(p + "form_winners"))
     # Autoregression on the twice differenced series.
     view(f"{p}w", f"""
-SELECT *, value - lag(value, 1) OVER {W} - lag(value, 12) OVER {W} + lag(value, 13) OVER {W} AS w FROM {p}pos""")
-    view(f"{p}x", f"SELECT *, lag(w, 1) OVER {W} AS x1, lag(w, 2) OVER {W} AS x2, lag(w, 12) OVER {W} AS x12 FROM {p}w")
+SELECT *, value - lag(value, 1) OVER {W} - lag(value, {season}) OVER {W} + lag(value, {season + 1}) OVER {W} AS w FROM {p}pos""")
+    view(f"{p}x", f"SELECT *, lag(w, 1) OVER {W} AS x1, lag(w, 2) OVER {W} AS x2, lag(w, {season}) OVER {W} AS x{season} FROM {p}w")
     fitted_forms = []
-    for i, (form, used) in enumerate(m.AR_FORMS.items()):
+    for i, (form, used) in enumerate(m.ar_forms(season).items()):
         rows = ", ".join(
             "[" + ", ".join(f"sum(x{a} * x{b})" for b in used) + f", sum(x{a} * w)]" for a in used)
-        view(f"{p}ar_m{i}", f"SELECT series_id, '{form}' AS form, [{rows}] AS m FROM {p}x WHERE x12 IS NOT NULL AND n >= {m.AR_MIN} GROUP BY 1")
+        view(f"{p}ar_m{i}", f"SELECT series_id, '{form}' AS form, [{rows}] AS m FROM {p}x WHERE x{season} IS NOT NULL AND n >= {m.ar_least(season)} GROUP BY 1")
         view(f"{p}ar_c{i}", eliminate(f"{p}ar_m{i}", len(used)))
-        phi = [f"coef[{used.index(lag) + 1}]" if lag in used else "0.0::DOUBLE" for lag in (1, 2, 12)]
+        phi = [f"coef[{used.index(lag) + 1}]" if lag in used else "0.0::DOUBLE" for lag in (1, 2, season)]
         fitted_forms.append(
-            f"SELECT series_id, form, {len(used) + 1} AS k, {phi[0]} AS phi1, {phi[1]} AS phi2, {phi[2]} AS phi12 FROM {p}ar_c{i}")
+            f"SELECT series_id, form, {len(used) + 1} AS k, {phi[0]} AS phi1, {phi[1]} AS phi2, {phi[2]} AS phi{season} FROM {p}ar_c{i}")
     view(f"{p}ar_all", " UNION ALL ".join(fitted_forms))
     view(f"{p}ar", f"""
 SELECT *, rows * ln(sse / rows) + 2 * k AS aic FROM (
-  SELECT series_id, form, k, phi1, phi2, phi12, count(*) AS rows, sum((w - phi1 * x1 - phi2 * x2 - phi12 * x12) ** 2) AS sse
-  FROM {p}ar_all JOIN {p}x USING (series_id) WHERE x12 IS NOT NULL GROUP BY ALL)
+  SELECT series_id, form, k, phi1, phi2, phi{season}, count(*) AS rows,
+         sum((w - phi1 * x1 - phi2 * x2 - phi{season} * x{season}) ** 2) AS sse
+  FROM {p}ar_all JOIN {p}x USING (series_id) WHERE x{season} IS NOT NULL GROUP BY ALL)
 QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY rows * ln(sse / rows) + 2 * k) = 1""")
     view(f"{p}ar_ahead", f"""
 WITH RECURSIVE r AS (
-  SELECT series_id, phi1, phi2, phi12, 0 AS step, ys, ws FROM {p}ar
+  SELECT series_id, phi1, phi2, phi{season}, 0 AS step, ys, ws FROM {p}ar
   JOIN (SELECT series_id, list(value ORDER BY pos) AS ys, list(w ORDER BY pos) AS ws FROM {p}w GROUP BY 1) USING (series_id)
   UNION ALL
-  SELECT series_id, phi1, phi2, phi12, step + 1, list_append(ys, d + ys[-1] + ys[-12] - ys[-13]), list_append(ws, d)
-  FROM (SELECT *, phi1 * ws[-1] + phi2 * ws[-2] + phi12 * ws[-12] AS d FROM r WHERE step < {horizon}))
+  SELECT series_id, phi1, phi2, phi{season}, step + 1, list_append(ys, d + ys[-1] + ys[-{season}] - ys[-{season + 1}]), list_append(ws, d)
+  FROM (SELECT *, phi1 * ws[-1] + phi2 * ws[-2] + phi{season} * ws[-{season}] AS d FROM r WHERE step < {horizon}))
 SELECT series_id, step, ys[-1] AS forecast FROM r WHERE step > 0""")
     fitted = [
-        f"SELECT series_id, 'ets' AS model, date, value AS actual, expected AS predicted FROM {p}pos JOIN {p}path USING (series_id, pos)",
+        f"SELECT series_id, 'ets' AS model, date, value AS actual, expected AS predicted FROM {p}pos JOIN {p}path USING (series_id, pos) WHERE known",
         f"""SELECT series_id, 'ar' AS model, date, value AS actual,
-            value - w + phi1 * x1 + phi2 * x2 + phi12 * x12 AS predicted FROM {p}x JOIN {p}ar USING (series_id)""",
+            value - w + phi1 * x1 + phi2 * x2 + phi{season} * x{season} AS predicted FROM {p}x JOIN {p}ar USING (series_id) WHERE known""",
     ]
     ahead = [
         f"SELECT series_id, 'ar' AS model, step, forecast FROM {p}ar_ahead",
         f"""SELECT series_id, 'ets' AS model, step,
-            CASE form[3] WHEN 'A' THEN l + b * step + s[(step - 1) % 12 + 1] WHEN 'M' THEN (l + b * step) * s[(step - 1) % 12 + 1]
+            CASE form[3] WHEN 'A' THEN l + b * step + s[(step - 1) % {season} + 1] WHEN 'M' THEN (l + b * step) * s[(step - 1) % {season} + 1]
                  ELSE l + b * step END AS forecast
             FROM {p}path JOIN {p}months USING (series_id) WHERE pos = {p}path.n - 1""",
     ]
@@ -138,7 +153,7 @@ SELECT series_id, 'trend+3' AS form, list(r ORDER BY i) AS m
 FROM (SELECT series_id, i, list(c ORDER BY j) AS r FROM {p}normal_cells GROUP BY ALL) GROUP BY 1""")
         view(f"{p}fourier", eliminate(f"{p}normal", 8))
         fitted.append(f"""SELECT series_id, 'fourier' AS model, date, value AS actual, list_dot_product(x, coef) AS predicted
-            FROM {p}design JOIN {p}fourier USING (series_id)""")
+            FROM {p}design JOIN {p}fourier USING (series_id) WHERE known""")
         ahead.append(f"""SELECT series_id, 'fourier' AS model, step, list_dot_product({design('(n - 1 + step)', 'month(date)')}, coef) AS forecast
             FROM {p}months JOIN {p}fourier USING (series_id)""")
     view(f"{p}fitted", " UNION ALL ".join(fitted))
@@ -178,7 +193,7 @@ query("ets_tournament", "series_id form aic:4 root_sse:2 alpha:6 beta:6 gamma:6"
 
 def every_form(t):
     fits = [m.fit_ets(packed(t), forms=(f,)) for f in m.ETS_FORMS]
-    fits = [f.select("series_id", "dates", "y", "n", F.lit("ets").alias("model"), "ets.form", "ets.params", "ets.aic") for f in fits]
+    fits = [f.select("series_id", "dates", "y", "known", "n", F.lit("ets").alias("model"), "ets.form", "ets.params", "ets.aic") for f in fits]
     both = fits[0].unionByName(fits[1]).unionByName(fits[2]).unionByName(fits[3])
     return m.run_models(both, 14).select(
         "series_id", "form", "aic", *[F.col("params")[k].alias(k) for k in ("alpha", "beta", "gamma")],
@@ -216,13 +231,19 @@ query("fitted_parameters", "series_id model form aic:4 mape:6 data_end_date:d",
 query("acceptance_gate", "series_id model mape:6 r_squared:6 accepted:b",
       lambda t: fc.acceptance_gate(fc.accuracy(fc.fitted_values(fc.tournament(sales(t))))),
       "SELECT *, coalesce(r_squared >= 0.85 AND mape <= 15, false) AS accepted FROM accuracy")
+
+
+def horizon_sql(p, choice, scores):
+    return f"""
+SELECT a.series_id, a.model, a.step, date, forecast, forecast - {Z!r} * rmse * sqrt(a.step) AS lower_bound,
+       forecast + {Z!r} * rmse * sqrt(a.step) AS upper_bound, 0.95 AS confidence_level
+FROM {p}ahead a JOIN {choice} c ON c.series_id = a.series_id AND c.model = a.model
+JOIN {scores} s ON s.series_id = a.series_id AND s.model = a.model
+JOIN {p}months d ON d.series_id = a.series_id AND d.step = a.step"""
+
+
 query("forecast_horizon", "series_id model step:i date:d forecast:2 lower_bound:2 upper_bound:2 confidence_level:2",
-      lambda t: fc.forecast_horizon(sales(t)),
-      f"""SELECT a.series_id, a.model, a.step, date, forecast, forecast - {Z!r} * rmse * sqrt(a.step) AS lower_bound,
-             forecast + {Z!r} * rmse * sqrt(a.step) AS upper_bound, 0.95 AS confidence_level
-          FROM m_ahead a JOIN select_model c ON c.series_id = a.series_id AND c.model = a.model
-          JOIN accuracy s ON s.series_id = a.series_id AND s.model = a.model
-          JOIN m_months d ON d.series_id = a.series_id AND d.step = a.step""")
+      lambda t: fc.forecast_horizon(sales(t)), horizon_sql("m_", "select_model", "accuracy"))
 query("forecast_growth", "series_id step:i mom_growth:6 yoy_growth:6 cumulative_index:1",
       lambda t: features.forecast_growth(trend_forecast(sales(t))),
       f"""SELECT series_id, step, (forecast / lag(forecast) OVER {W} - 1) * 100 AS mom_growth,
@@ -256,18 +277,60 @@ JOIN sales_held h ON h.series_id = a.series_id AND h.step = a.step""")
 query("holdout_validation", SCORES, lambda t: fc.holdout_validation(sales(t)), accuracy_sql("held_points"))
 
 # Backtest: the same views, every origin's window being a series of its own.
-view("bt_rows", f"SELECT *, {POSITION} AS i FROM sales_series")
+view("bt_rows", f"SELECT *, {POSITION} AS i FROM m_pos")
 view("bt_windows", """
 SELECT o.series_id || '@' || o.date AS series_id, v.date, v.value
-FROM bt_rows o JOIN bt_rows v ON v.series_id = o.series_id AND v.i BETWEEN o.i - 36 AND o.i - 1 WHERE o.i > 36""")
-model_views("b_", "bt_windows", 1, ets_forms=("ANN",), fourier=False)
-view("bt_trend", """
-SELECT series_id, greatest(regr_intercept(value, x) + regr_slope(value, x) * 12, 0.5 * arg_max(value, x)) AS forecast
-FROM (SELECT series_id, value, pos - 24 AS x FROM b_pos WHERE pos >= 24) GROUP BY 1""")
+FROM bt_rows o JOIN bt_rows v ON v.series_id = o.series_id AND v.i BETWEEN o.i - 36 AND o.i - 1 WHERE o.i > 36 AND o.known""")
+model_views("b_", "bt_windows", 1)
 view("bt_points", """
-SELECT o.series_id, o.date, CASE f.model WHEN 'ets' THEN 'level' ELSE f.model END AS model, o.value AS actual, forecast AS predicted
-FROM (SELECT series_id, model, forecast FROM b_ahead UNION ALL SELECT series_id, 'trend' AS model, forecast FROM bt_trend) f
-JOIN bt_rows o ON o.series_id || '@' || o.date = f.series_id""")
+SELECT o.series_id, o.date, f.model, o.value AS actual, forecast AS predicted
+FROM b_ahead f JOIN bt_rows o ON o.series_id || '@' || o.date = f.series_id""")
 query("rolling_backtest_points", "series_id date:d model actual:4 predicted:2",
       lambda t: fc.rolling_backtest_points(sales(t)), "SELECT * FROM bt_points")
 query("rolling_backtest", SCORES, lambda t: fc.rolling_backtest(sales(t)), accuracy_sql("bt_points"))
+
+
+# Gaps: missing months, months without a value, and none known at the end.
+def gappy(t):
+    once = dedup_first(t.dirty, "dup_no")
+    return once.select("series_id", "date", F.col(SALES).alias("value"))
+
+
+def trailing(t):
+    return sales(t).withColumn("value", F.when(F.col("date") < F.lit("2001-08-01").cast("date"), F.col("value")))
+
+
+view("gappy_series", "SELECT series_id, date, sales_total_try AS value FROM dedup_first")
+view("trailing_series", "SELECT series_id, date, CASE WHEN date < DATE '2001-08-01' THEN value END AS value FROM sales_series")
+HORIZON = "series_id model step:i date:d forecast:2 lower_bound:2 upper_bound:2 confidence_level:2"
+for prefix, source, frame, name in (("g_", "gappy_series", gappy, "gaps"), ("t_", "trailing_series", trailing, "trailing_nulls")):
+    model_views(prefix, source, 18)
+    view(f"{prefix}accuracy", accuracy_sql(f"{prefix}fitted"))
+    view(f"{prefix}choice", f"SELECT series_id, arg_min(model, mape) AS model FROM {prefix}accuracy GROUP BY 1")
+    query(f"forecast_horizon_{name}", HORIZON, lambda t, frame=frame: fc.forecast_horizon(frame(t)), horizon_sql(prefix, f"{prefix}choice", f"{prefix}accuracy"))
+
+QUARTERLY = replace(SETTINGS, season=4)
+model_views("q_", "sales_series", 18, season=4)
+query("ets_tournament_quarterly", "series_id form aic:4 root_sse:2 alpha:6 beta:6 gamma:6",
+      lambda t: unpack("ets", ("alpha", "beta", "gamma"))(m.fit_ets(packed(t), season=4)),
+      "SELECT *, sqrt(sse / 1e6) AS root_sse FROM q_ets")
+query("model_forecasts_quarterly", "series_id model step:i forecast:2",
+      lambda t: fc.score(sales(t), fc.fitted_parameters(sales(t), settings=QUARTERLY), 18, QUARTERLY), "SELECT * FROM q_ahead")
+
+# Short series: every model of every series has a row, with the reason where it has no figures.
+view("short_series", "SELECT series_id, date, value FROM sales_series WHERE date < DATE '1996-01-01' + to_months(CAST(ascii(series_id) % 3 AS INT) * 10)")
+model_views("s_", "short_series", 18)
+
+
+def short(t):
+    months = F.ascii("series_id") % 3 * 10
+    return sales(t).where(F.col("date") < F.add_months(F.lit("1996-01-01").cast("date"), months))
+
+
+query("fitted_parameters_short", "series_id model form aic:4 reason",
+      lambda t: fc.fitted_parameters(short(t)),
+      """SELECT k.series_id, k.model, f.form, f.aic, CASE WHEN f.form IS NULL THEN 'too short' END AS reason
+         FROM (SELECT DISTINCT series_id, unnest(['ar', 'ets', 'fourier']) AS model FROM short_series) k LEFT JOIN (
+           SELECT series_id, 'ets' AS model, form, aic FROM s_ets UNION ALL SELECT series_id, 'ar', form, aic FROM s_ar
+           UNION ALL SELECT series_id, model, 'trend+3', count(*) * ln(avg((actual - predicted) ** 2)) + 2 * 9 FROM s_fitted
+             WHERE model = 'fourier' GROUP BY ALL) f ON f.series_id = k.series_id AND f.model = k.model""")

@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import windows as w
-from ledgerloom.functions.arrays import compute, steps, total
+from ledgerloom.functions.arrays import compute
 from ledgerloom.functions.numeric import finite, pearson, ratio
 from ledgerloom.operators.models import (
-    MODELS, bound, fit_ar, fit_ets, fit_models, pack_series, run_ar, run_ets, run_models, trend_line,
+    MODELS, fit_models, pack_series, run_models, trend_line,
 )
 from ledgerloom.operators.series import next_month_start
 from ledgerloom.params import DATE, SERIES, Forecasting
@@ -46,9 +46,11 @@ def accuracy(df: DataFrame, keys=(SERIES, "model")) -> DataFrame:
 
 
 def fitted_values(run: DataFrame) -> DataFrame:
-    """Actual and fitted value per series, model and date, from `run_models`."""
-    points = F.arrays_zip(F.col("dates").alias("date"), F.col("y").alias("actual"), F.col("run.fitted").alias("predicted"))
-    return run.select(SERIES, "model", F.inline_outer(points)).toDF(SERIES, "model", DATE, "actual", "predicted")
+    """Actual and fitted value per series, model and known month, from `run_models`. A model that is not fitted has no fitted values."""
+    points = F.arrays_zip(
+        F.col("dates").alias("date"), F.col("y").alias("actual"), F.col("known").alias("known"), F.col("run.fitted").alias("predicted"))
+    unfolded = run.select(SERIES, "model", F.inline_outer(points)).toDF(SERIES, "model", DATE, "actual", "known", "predicted")
+    return unfolded.where(F.coalesce("known", F.lit(True))).drop("known")
 
 
 def select_model(scores: DataFrame, by: str = "mape") -> DataFrame:
@@ -66,7 +68,7 @@ def acceptance_gate(scores: DataFrame, settings: Forecasting = Forecasting()) ->
 
 
 def tournament(df: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:
-    """Fit and run every model on every series: one row each, with its in-sample accuracy as `scores`."""
+    """Fit and run every model on every series: one row each, with its in-sample accuracy as `scores`, or the reason why it has none."""
     return _scored(fit_models(pack_series(df), models, settings), settings)
 
 
@@ -74,10 +76,10 @@ def _scored(fitted: DataFrame, settings: Forecasting) -> DataFrame:
     return compute(run_models(fitted, settings.horizon, settings), {"scores": IN_SAMPLE})
 
 
-# Number of points, mean squared error and mean relative error of `y` and `run.fitted`, without leaving the row.
+# Number of points, mean squared error and mean relative error of known `y` and `run.fitted`, without leaving the row.
 IN_SAMPLE = """get(transform(
-    array(filter(zip_with(y, run.fitted, (a, p) -> named_struct('a', a, 'p', p)),
-                 q -> q.p is not null and not isnan(q.p) and abs(q.p) < double('infinity'))),
+    array(filter(zip_with(zip_with(y, known, (a, k) -> if(k, a, null)), run.fitted, (a, p) -> named_struct('a', a, 'p', p)),
+                 q -> q.a is not null and q.p is not null and not isnan(q.p) and abs(q.p) < double('infinity'))),
     pairs -> named_struct(
         'n_points', size(pairs),
         'mse', try_divide(aggregate(pairs, 0D, (s, q) -> s + (q.a - q.p) * (q.a - q.p)), size(pairs)),
@@ -92,7 +94,7 @@ def forecast_horizon(df: DataFrame, models=MODELS, settings: Forecasting = Forec
     forecast, without bounds.
     """
     packed = compute(pack_series(df), {"line": trend_line(settings.horizon)})
-    run = _scored(fit_models(packed, models, settings, keep_unfitted=True), settings)
+    run = _scored(fit_models(packed, models, settings), settings)
     values = F.col("run.forecast")
     valid = values.isNotNull() & ~F.exists(values, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     # Rows without an order take no part in the choice.
@@ -121,62 +123,63 @@ def forecast_horizon(df: DataFrame, models=MODELS, settings: Forecasting = Forec
 
 
 def holdout_validation(df: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:
-    """Fit without the last values, forecast them, and measure each model on them."""
+    """Fit without the last months, forecast them, and measure each model on those that are known.
+
+    Every series has a row for every model; where nothing could be measured the figures are null and `reason` says why.
+    """
     h = settings.holdout
-    packed = pack_series(df).filter(F.col("n") > h)
-    cut = packed.select(
+    first = F.greatest(F.col("n") - h, F.lit(0))
+    cut = pack_series(df).select(
         SERIES,
-        F.slice("dates", F.lit(1), F.col("n") - h).alias("dates"),
-        F.slice("y", F.lit(1), F.col("n") - h).alias("y"),
-        (F.col("n") - h).alias("n"),
-        F.slice("y", -h, h).alias("held"),
+        *[F.slice(c, F.lit(1), first).alias(c) for c in ("dates", "y", "known")],
+        first.alias("n"),
+        F.when(F.col("n") >= h, F.zip_with(F.slice("y", -h, h), F.slice("known", -h, h), lambda v, k: F.when(k, v))).alias("held"),
     )
-    run = run_models(fit_models(cut, models, settings), h, settings)
+    fitted = fit_models(cut, models, settings)
+    run = run_models(fitted, h, settings)
     pairs = run.select(
-        SERIES, "model", F.inline_outer(F.arrays_zip(F.col("held").alias("actual"), F.col("run.forecast").alias("predicted")))
-    ).toDF(SERIES, "model", "actual", "predicted")
-    return accuracy(pairs)
+        SERIES, "model", "reason", F.inline_outer(F.arrays_zip(F.col("held").alias("actual"), F.col("run.forecast").alias("predicted")))
+    ).toDF(SERIES, "model", "reason", "actual", "predicted")
+    return _accuracy_of_all(pairs)
+
+
+def _accuracy_of_all(points: DataFrame) -> DataFrame:
+    """`accuracy`, with a row for every series and model: measures skip what is not known on both sides."""
+    both = F.col("actual").isNotNull() & finite(F.col("predicted")).isNotNull()
+    known = points.withColumns({c: F.when(both, finite(F.col(c))) for c in ("actual", "predicted")})
+    count, *measures = accuracy_measures()
+    squared = F.when(F.count("actual") > 1, F.pow(pearson(F.col("actual"), F.col("predicted")), F.lit(2))).when(F.count("actual") == 1, 0.0)
+    out = known.groupBy(SERIES, "model").agg(
+        F.count("actual").alias("n_points"), *measures[:-1], squared.alias("r_squared"), F.first("reason").alias("reason"))
+    return out.withColumn("reason", F.when(F.col("n_points") == 0, F.coalesce("reason", F.lit("nothing to measure"))))
 
 
-def rolling_backtest_points(df: DataFrame, settings: Forecasting = Forecasting()) -> DataFrame:
-    """One-step forecasts from every origin that has a full window before it, by three quick models.
+def rolling_backtest_points(df: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:
+    """One-step forecasts of every known month that has a full window before it, by the models that `forecast_horizon`
+    chooses from, each fitted anew in every window.
 
-    Each origin takes its own window out of the packed series, so no rows are joined: `trend` (line
-    through the last 12), `level` (exponential smoothing without trend or season) and `ar`.
+    Each origin takes its own window out of the packed series, so no rows are joined; windows are dealt out over the cluster
+    by series and origin. A series without a full window has one row for each model, with nulls.
     """
     size = settings.window
     packed = pack_series(df)
-    origins = packed.withColumn(
-        "origin",
-        F.explode(
-            F.when(F.col("n") > size, F.sequence(F.lit(size), F.col("n") - 1, F.lit(settings.step)))
-            .otherwise(F.array().cast("array<int>"))
-        ),
-    ).select(
+    places = F.sequence(F.lit(size), F.greatest(F.col("n") - 1, F.lit(size)), F.lit(settings.step))
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    origins = packed.withColumn("origin", F.explode(places)).repartition(slices, SERIES, "origin")
+    windows = origins.where(F.coalesce(F.get("known", "origin"), F.col("n") <= size)).select(
         SERIES,
         F.get("dates", F.col("origin")).alias(DATE),
         F.get("y", F.col("origin")).alias("actual"),
-        F.slice("dates", F.col("origin") - size + 1, size).alias("dates"),
-        F.slice("y", F.col("origin") - size + 1, size).alias("y"),
-        F.lit(size).alias("n"),
+        *[F.slice(c, F.col("origin") - size + 1, size).alias(c) for c in ("dates", "y", "known")],
+        F.when(F.col("n") > size, size).otherwise(0).alias("n"),
     )
-    origins = fit_ets(fit_ar(origins), settings.grid, forms=("ANN",))
-    recent = "slice(y, -12, 12)"
-    # Positions 0..11: mean 5.5, sum of squares about it 143.
-    slope = f"aggregate(zip_with({recent}, {steps(0, 11)}, (v, x) -> (x - 5.5D) * v), 0D, (s, v) -> s + v) / 143D"
-    trend = f"greatest({total(recent)} / 12D + ({slope}) * 6.5D, 0.5D * element_at(y, -1))"
-    forecasts = {
-        "trend": F.expr(trend),
-        "level": F.get(bound(run_ets(1, ("ANN",)), "ets")["forecast"], F.lit(0)),
-        "ar": F.get(bound(run_ar(1), "ar")["forecast"], F.lit(0)),
-    }
-    listed = F.array(*[F.struct(F.lit(k).alias("model"), v.alias("predicted")) for k, v in forecasts.items()])
-    return origins.select(SERIES, DATE, "actual", F.inline(listed))
+    run = run_models(fit_models(windows, models, settings), 1, settings)
+    return run.select(SERIES, DATE, "model", "actual", F.get("run.forecast", F.lit(0)).alias("predicted"), "reason")
 
 
-def rolling_backtest(df: DataFrame, settings: Forecasting = Forecasting()) -> DataFrame:
-    """Accuracy of the one-step forecasts over all origins, per series and model."""
-    return accuracy(rolling_backtest_points(df, settings))
+def rolling_backtest(df: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:
+    """Accuracy of the one-step forecasts over all origins, for every series and model."""
+    return _accuracy_of_all(rolling_backtest_points(df, models, settings))
 
 
 def forecast_kpis(forecast: DataFrame) -> DataFrame:
@@ -213,7 +216,7 @@ def fitted_parameters(df: DataFrame, models=MODELS, settings: Forecasting = Fore
     """The model store: parameters, AIC and in-sample accuracy per series and model."""
     return tournament(df, models, settings).select(
         SERIES, "model", "form", "params", "aic", "sse", "scores",
-        F.col("end").alias("data_end_date"),
+        F.col("end").alias("data_end_date"), "reason",
     )
 
 
@@ -226,12 +229,16 @@ def load_models(spark: SparkSession, path: str) -> DataFrame:
 
 
 def score(df: DataFrame, stored: DataFrame, horizon: int, settings: Forecasting = Forecasting()) -> DataFrame:
-    """Forecasts from stored parameters on a (possibly longer) history, without fitting again."""
+    """Forecasts from stored parameters on a (possibly longer) history, without fitting again.
+
+    A series without stored parameters, or too short for them, has one row without step and forecast, and the reason.
+    """
     packed = pack_series(df)
-    run = run_models(packed.join(stored.select(SERIES, "model", "form", "params"), SERIES), horizon, settings)
+    run = run_models(packed.join(stored.select(SERIES, "model", "form", "params"), SERIES, "left"), horizon, settings)
+    reason = F.when(F.col("model").isNull(), "no parameters stored").when(F.col("run.forecast").isNull(), "too short for its parameters")
     return run.select(
-        SERIES, "model", F.col("end").alias("_end"), F.posexplode_outer("run.forecast").alias("_k", "forecast")
-    ).filter(F.col("_k").isNotNull()).select(
+        SERIES, "model", reason.alias("reason"), F.col("end").alias("_end"), F.posexplode_outer("run.forecast").alias("_k", "forecast")
+    ).select(
         SERIES, "model", (F.col("_k") + 1).alias("step"),
-        next_month_start(F.col("_end"), F.col("_k") + 1).alias(DATE), "forecast",
+        next_month_start(F.col("_end"), F.col("_k") + 1).alias(DATE), "forecast", "reason",
     )

@@ -1,8 +1,9 @@
 """The candidate forecasting models: exponential smoothing, differenced autoregression, trend with yearly waves.
 
-A series is packed into one row (its known values as an array), on which each model is an expression: fitting
-adds its parameters, running it gives the fitted values and the forecast. Nothing is shuffled after packing,
-and no Python runs. Input to packing: one row per series and date, so an array is bounded by the calendar.
+A series is packed into one row (an array of values, one for each month from its first known one to its last), on which
+each model is an expression: fitting adds its parameters, running it gives the fitted values and the forecast. Nothing is
+shuffled after packing, and no Python runs. Input to packing: one row per series and month, so an array is bounded by the
+calendar. The expressions grow arrays month by month, at a cost quadratic in the length: meant for months, not for days.
 """
 
 from __future__ import annotations
@@ -15,20 +16,21 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.arrays import compute, dot, mean, number, solve, steps
 from ledgerloom.params import DATE, SERIES, Forecasting
 
-SEASON = 12
 MODELS = ("ar", "ets", "fourier")
 EMPTY = "cast(array() as array<double>)"
 
 
 def pack_series(df: DataFrame, keys=(SERIES,), slices: int | None = None) -> DataFrame:
-    """One row per series: its dates and known values in order, their number, all rows and the last date.
+    """One row per series: dates and values of its months, which of them are `known`, their number, and the `end` that
+    forecasts follow.
 
-    The number of partitions is given, not left to adaptive coalescing: the rows are few and small but the
+    Between known months values lie on a straight line, so that a month keeps its place in the season; months without a
+    value at either end are left out. Of several values in a month the last counts. A series of nothing but gaps has empty arrays and ends with
+    its last row. The number of partitions is given, not left to adaptive coalescing: the rows are few and small but the
     fits on them are long.
     """
     spark = df.sparkSession
-    slices = slices or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # Rows without a value stay in the count and the last date; a series of nothing but gaps has empty arrays.
+    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     point = F.when(F.col("value").isNotNull() & ~F.isnan("value"), F.struct(DATE, "value"))
     packed = (
         df.repartition(slices, *keys)
@@ -39,16 +41,27 @@ def pack_series(df: DataFrame, keys=(SERIES,), slices: int | None = None) -> Dat
             F.max(DATE).alias("end"),
         )
     )
+    packed = compute(packed, {"months": MONTH_AXIS})
     return packed.select(
         *keys,
-        F.transform("points", lambda p: p[DATE]).alias("dates"),
-        F.transform("points", lambda p: p["value"]).alias("y"),
-        F.size("points").alias("n"),
+        F.transform("months", lambda p: p[DATE]).alias("dates"),
+        F.transform("months", lambda p: p["value"]).alias("y"),
+        F.transform("months", lambda p: p["known"]).alias("known"),
+        F.size("months").alias("n"),
         F.col("rows").alias("rows"),
-        F.col("end").alias("end"),
+        F.coalesce(F.try_element_at("points", F.lit(-1))[DATE], F.col("end")).alias("end"),
     )
 
 
+# Every known point, followed by the months up to the next one.
+MONTH_AXIS = f"""flatten(transform(points, (p, i) -> get(transform(array(get(points, i + 1)), q -> get(transform(
+    array((year(q.{DATE}) - year(p.{DATE})) * 12 + month(q.{DATE}) - month(p.{DATE})), gap -> case
+        when q is null then array(named_struct('{DATE}', p.{DATE}, 'value', p.value, 'known', true))
+        when gap < 1 then filter(array(named_struct('{DATE}', p.{DATE}, 'value', p.value, 'known', true)), x -> false)
+        else transform(sequence(0, gap - 1), j -> named_struct('{DATE}', add_months(p.{DATE}, j),
+            'value', p.value + (q.value - p.value) * j / gap, 'known', j = 0)) end), 0)), 0)))"""
+
+
 def month_start_after(date: str, k: str) -> str:
     """The k-th month start from one month after a date on."""
     follow = f"add_months({date}, 1)"
@@ -56,7 +69,8 @@ def month_start_after(date: str, k: str) -> str:
 
 
 def _aic(sse: str, n: str, k: int) -> str:
-    return f"({n} * ln(greatest({sse} / {n}, 1e-300)) + {2.0 * k}D)"
+    """Null for an unknown error, which `greatest` would skip."""
+    return f"if({sse} is null, null, {n} * ln(greatest({sse} / {n}, 1e-300)) + {2.0 * k}D)"
 
 
 def _least(candidates: str) -> str:
@@ -67,24 +81,34 @@ def _least(candidates: str) -> str:
 # --- Exponential smoothing -------------------------------------------------------------------------
 
 # Trend and season: A additive, M multiplicative, N none; the error is additive throughout.
-# Value: number of smoothing weights and start values.
-ETS_FORMS = {"AAA": 17, "AAM": 17, "ANA": 15, "ANN": 2}
-
-
-def _ets_start(form: str, y: str = "y") -> str:
-    """Level, slope and season before the first value, from the first two years, as named_struct fields."""
-    first, second = f"slice({y}, 1, {SEASON})", f"slice({y}, {SEASON + 1}, {SEASON})"
-    level = mean(first)
-    slope = f"(({mean(second)}) - ({level})) / {SEASON}D" if form[1] == "A" else "0D"
-    season = {
-        "A": f"transform({first}, _x -> _x - {level})",
-        "M": f"transform({first}, _x -> try_divide(_x, {level}))",
+ETS_FORMS = ("AAA", "AAM", "ANA", "ANN")
+
+
+def ets_size(form: str, season: int) -> int:
+    """Smoothing weights and start values."""
+    return 2 + 2 * (form[1] != "N") + (1 + season) * (form[2] != "N")
+
+
+def _ets_start(form: str, season: int, y: str = "y") -> str:
+    """Level, slope and season before the first value, from the first two seasons, as named_struct fields.
+
+    The first season's mean stands for its middle; the slope leads from there back to the month before the first, and is
+    taken out of the seasonal values.
+    """
+    first, second = f"slice({y}, 1, {season})", f"slice({y}, {season + 1}, {season})"
+    middle = mean(first)
+    slope = f"(({mean(second)}) - ({middle})) / {season}D" if form[1] == "A" else "0D"
+    level = f"({middle} - ({slope}) * {(season + 1) / 2}D)"
+    line = f"({level} + ({slope}) * (_i + 1))"
+    wave = {
+        "A": f"transform({first}, (_x, _i) -> _x - {line})",
+        "M": f"transform({first}, (_x, _i) -> try_divide(_x, {line}))",
         "N": EMPTY,
     }[form[2]]
-    return f"'l', {level}, 'b', {slope}, 's', {season}"
+    return f"'l', {level}, 'b', {slope}, 's', {wave}"
 
 
-def _ets_step(form: str, alpha: str, beta: str, gamma: str) -> tuple[str, str]:
+def _ets_step(form: str, season: int, alpha: str, beta: str, gamma: str) -> tuple[str, str]:
     """The next state (as named_struct fields) of `acc` on seeing `v`, and what was expected before."""
     base = "(acc.l + acc.b)" if form[1] == "A" else "acc.l"
     old = "get(acc.s, 0)"
@@ -97,32 +121,32 @@ def _ets_step(form: str, alpha: str, beta: str, gamma: str) -> tuple[str, str]:
     else:
         error, expected, new = f"(v - {base})", base, None
     slope = f"acc.b + {alpha} * {beta} * {error}" if form[1] == "A" else "acc.b"
-    season = f"concat(slice(acc.s, 2, {SEASON - 1}), array({new}))" if new else "acc.s"
-    return f"'l', {base} + {alpha} * {error}, 'b', {slope}, 's', {season}", expected
+    wave = f"concat(slice(acc.s, 2, {season - 1}), array({new}))" if new else "acc.s"
+    return f"'l', {base} + {alpha} * {error}, 'b', {slope}, 's', {wave}", expected
 
 
-def fit_ets(packed: DataFrame, grid=Forecasting().grid, forms=tuple(ETS_FORMS)) -> DataFrame:
+def fit_ets(packed: DataFrame, grid=Forecasting().grid, forms=ETS_FORMS, season: int = Forecasting().season) -> DataFrame:
     """Add `ets`: the best of the forms over a grid of smoothing weights, by AIC.
 
     Only squared errors are carried through the grid; fitted values are made for the winner alone.
     """
     values = f"array({', '.join(number(g) for g in grid)})"
     none = "array(0D)"
-    packed = compute(packed, {f"_{f}": f"named_struct({_ets_start(f)})" for f in forms})
+    packed = compute(packed, {f"_{f}": f"named_struct({_ets_start(f, season)})" for f in forms})
     best = {}
     for f in forms:
-        state, expected = _ets_step(f, "_a", "_b", "_g")
+        state, expected = _ets_step(f, season, "_a", "_b", "_g")
         sse = f"""aggregate(y, named_struct('l', _{f}.l, 'b', _{f}.b, 's', _{f}.s, 'sse', 0D),
             (acc, v) -> named_struct({state}, 'sse', acc.sse + (v - {expected}) * (v - {expected})), acc -> acc.sse)"""
         trials = f"""flatten(transform({values}, _a -> flatten(transform({values if f[1] == 'A' else none}, _b ->
             transform({values if f[2] != 'N' else none}, _g -> named_struct('sse', {sse}, 'alpha', _a, 'beta', _b, 'gamma', _g))))))"""
-        usable = "n >= 2" if f[2] == "N" else f"n >= {2 * SEASON}"
+        usable = "n >= 2" if f[2] == "N" else f"n >= {2 * season}"
         if f[2] == "M":
             usable += " and array_min(y) > 0"
         best[f"_best_{f}"] = f"if({usable}, {_least(trials).format(first='sse')}, null)"
     packed = compute(packed, best)
     listed = ", ".join(
-        f"""named_struct('aic', {_aic(f'_best_{f}.sse', 'n', ETS_FORMS[f])}, 'form', '{f}', 'sse', _best_{f}.sse,
+        f"""named_struct('aic', {_aic(f'_best_{f}.sse', 'n', ets_size(f, season))}, 'form', '{f}', 'sse', _best_{f}.sse,
             'alpha', _best_{f}.alpha, 'beta', _best_{f}.beta, 'gamma', _best_{f}.gamma)"""
         for f in forms
     )
@@ -132,16 +156,16 @@ def fit_ets(packed: DataFrame, grid=Forecasting().grid, forms=tuple(ETS_FORMS))
     return compute(packed, {"ets": won}).drop("_won", *best, *[f"_{f}" for f in forms])
 
 
-def run_ets(horizon: int, forms=tuple(ETS_FORMS)) -> str:
+def run_ets(horizon: int, forms=ETS_FORMS, season: int = Forecasting().season) -> str:
     """Fitted values and forecast of the bound row `_p`."""
     cases = []
     for f in forms:
-        state, expected = _ets_step(f, "_p.fit.params['alpha']", "_p.fit.params['beta']", "_p.fit.params['gamma']")
+        state, expected = _ets_step(f, season, "_p.fit.params['alpha']", "_p.fit.params['beta']", "_p.fit.params['gamma']")
         base = "(acc.l + k * acc.b)" if f[1] == "A" else "acc.l"
-        wave = f"get(acc.s, (k - 1) % {SEASON})"
+        wave = f"get(acc.s, (k - 1) % {season})"
         ahead = {"A": f"{base} + {wave}", "M": f"{base} * {wave}", "N": f"{base} + 0D"}[f[2]]
         cases.append(
-            f"""when _p.fit.form = '{f}' then aggregate(_p.y, named_struct({_ets_start(f, '_p.y')}, 'fitted', {EMPTY}),
+            f"""when _p.fit.form = '{f}' then aggregate(_p.y, named_struct({_ets_start(f, season, '_p.y')}, 'fitted', {EMPTY}),
             (acc, v) -> named_struct({state}, 'fitted', concat(acc.fitted, array({expected}))),
             acc -> named_struct('fitted', acc.fitted, 'forecast', transform({steps(1, horizon)}, k -> {ahead})))"""
         )
@@ -150,14 +174,21 @@ def run_ets(horizon: int, forms=tuple(ETS_FORMS)) -> str:
 
 # --- Differenced autoregression --------------------------------------------------------------------
 
-AR_FORMS = {"1": (1,), "12": (12,), "1,12": (1, 12), "1,2,12": (1, 2, 12)}
-AR_MIN = 33
+def ar_forms(season: int) -> dict[str, tuple[int, ...]]:
+    """The lag sets that are tried; a season has three months at least."""
+    return {",".join(map(str, lags)): lags for lags in ((1,), (season,), (1, season), (1, 2, season))}
+
+
+def ar_least(season: int) -> int:
+    """The shortest series that can be fitted."""
+    return 2 * season + 9
 
 
-# Month-on-month change of the year-on-year change; its first value belongs to row 14.
-def twice_differenced(y: str, n: str) -> str:
+def twice_differenced(y: str, n: str, season: int) -> str:
+    """Month-on-month change of the change over a season; the first is that of row `season + 2`."""
     last = f"{n} - 1"
-    return f"transform({steps(13, last)}, t -> get({y}, t) - get({y}, t - 1) - get({y}, t - 12) + get({y}, t - 13))"
+    return f"""transform({steps(season + 1, last)},
+        t -> get({y}, t) - get({y}, t - 1) - get({y}, t - {season}) + get({y}, t - {season + 1}))"""
 
 
 def _determinant(m: list[list[str]]) -> str:
@@ -167,62 +198,65 @@ def _determinant(m: list[list[str]]) -> str:
     return "(" + " ".join(f"{'+-'[k % 2]} {m[0][k]} * {minors[k]}" for k in range(len(m))) + ")"
 
 
-def fit_ar(packed: DataFrame) -> DataFrame:
+def fit_ar(packed: DataFrame, season: int = Forecasting().season) -> DataFrame:
     """Add `ar`: least-squares autoregression on the twice differenced series, the best lag set by AIC.
 
-    All lag sets are fitted on the same rows, from one set of sums of products.
+    All lag sets are fitted on the same rows, from one set of sums of products. Where the differences are all zero, so
+    are the coefficients.
     """
-    lags = (0, 1, 2, 12)
-    cut = {i: f"slice(_w, {13 - i}, n - 25)" for i in lags}
+    lags = (0, 1, 2, season)
+    lost = 2 * season + 1
+    cut = {i: f"slice(_w, {season + 1 - i}, n - {lost})" for i in lags}
     sums = ", ".join(f"'s{i}_{j}', {dot(cut[i], cut[j])}" for i in lags for j in lags if i <= j)
-    packed = compute(packed, {"_w": f"if(n >= {AR_MIN}, {twice_differenced('y', 'n')}, null)"})
-    packed = compute(packed, {"_s": f"if(n >= {AR_MIN}, named_struct({sums}), null)"})
+    packed = compute(packed, {"_w": f"if(n >= {ar_least(season)}, {twice_differenced('y', 'n', season)}, null)"})
+    packed = compute(packed, {"_s": f"if(n >= {ar_least(season)}, named_struct({sums}), null)"})
 
     def s(i, j):
         return f"_s.s{min(i, j)}_{max(i, j)}"
 
     solved, listed = {}, []
-    for number_, (form, used) in enumerate(AR_FORMS.items()):
+    for number_, (form, used) in enumerate(ar_forms(season).items()):
         a, b = [[s(i, j) for j in used] for i in used], [s(0, i) for i in used]
         name = f"_ar{number_}"
         fields = []
         for k, lag in enumerate(used):
             swapped = [row[:k] + [b[r]] + row[k + 1:] for r, row in enumerate(a)]
-            fields.append(f"'phi{lag}', try_divide({_determinant(swapped)}, {_determinant(a)})")
+            fields.append(f"'phi{lag}', if({s(0, 0)} = 0D, 0D, try_divide({_determinant(swapped)}, {_determinant(a)}))")
         solved[name] = f"named_struct({', '.join(fields)})"
         explained = " + ".join(f"{name}.phi{lag} * {s(0, lag)}" for lag in used)
         sse = f"if({name}.phi{used[0]} is null, null, greatest(0D, {s(0, 0)} - ({explained})))"
-        phis = ", ".join(f"'phi{lag}', {f'{name}.phi{lag}' if lag in used else '0D'}" for lag in (1, 2, 12))
+        phis = ", ".join(f"'phi{lag}', {f'{name}.phi{lag}' if lag in used else '0D'}" for lag in (1, 2, season))
         listed.append(
-            f"named_struct('aic', if({name}.phi{used[0]} is null, null, {_aic(sse, '(n - 25)', len(used) + 1)}), "
+            f"named_struct('aic', if({name}.phi{used[0]} is null, null, {_aic(sse, f'(n - {lost})', len(used) + 1)}), "
             f"'form', '{form}', 'sse', {sse}, {phis})"
         )
     packed = compute(packed, solved)
     packed = compute(packed, {"_won": _least(f"array({', '.join(listed)})").format(first="aic")})
     won = """if(_won is null, null, named_struct('aic', _won.aic, 'form', _won.form, 'sse', _won.sse,
-        'params', map('phi1', _won.phi1, 'phi2', _won.phi2, 'phi12', _won.phi12)))"""
+        'params', map('phi1', _won.phi1, 'phi2', _won.phi2, 'phi%d', _won.phi%d)))""" % (season, season)
     return compute(packed, {"ar": won}).drop("_w", "_s", "_won", *solved)
 
 
-def run_ar(horizon: int) -> str:
-    """Fitted values (null for the first 25 rows) and forecast of the bound row `_p`."""
+def run_ar(horizon: int, season: int = Forecasting().season) -> str:
+    """Fitted values (null for two seasons and a month) and forecast of the bound row `_p`."""
 
     def change(w, k):
         return (f"(_p.fit.params['phi1'] * get({w}, {k} - 1) + _p.fit.params['phi2'] * get({w}, {k} - 2)"
-                f" + _p.fit.params['phi12'] * get({w}, {k} - 12))")
+                f" + _p.fit.params['phi{season}'] * get({w}, {k} - {season}))")
 
-    w = twice_differenced("_p.y", "_p.n")
-    level = f"({change('acc.w', '12')} + get(acc.y, 12) + get(acc.y, 1) - get(acc.y, 0))"
+    w = twice_differenced("_p.y", "_p.n", season)
+    ahead = change("acc.w", str(season))
+    level = f"({ahead} + get(acc.y, {season}) + get(acc.y, 1) - get(acc.y, 0))"
     # The fitted value misses by as much as the expected change does.
     fitted = f"""transform({steps(0, '_p.n - 1')}, t ->
-        if(t >= 25, get(_p.y, t) - get(w, t - 13) + {change('w', '(t - 13)')}, null))"""
+        if(t >= {2 * season + 1}, get(_p.y, t) - get(w, t - {season + 1}) + {change('w', f'(t - {season + 1})')}, null))"""
     forecast = f"""aggregate({steps(1, horizon)},
-        named_struct('w', slice(w, -12, 12), 'y', slice(_p.y, -13, 13), 'out', {EMPTY}),
-        (acc, k) -> named_struct('w', concat(slice(acc.w, 2, 11), array({change('acc.w', '12')})),
-            'y', concat(slice(acc.y, 2, 12), array({level})), 'out', concat(acc.out, array({level}))),
+        named_struct('w', slice(w, -{season}, {season}), 'y', slice(_p.y, -{season + 1}, {season + 1}), 'out', {EMPTY}),
+        (acc, k) -> named_struct('w', concat(slice(acc.w, 2, {season - 1}), array({ahead})),
+            'y', concat(slice(acc.y, 2, {season}), array({level})), 'out', concat(acc.out, array({level}))),
         acc -> acc.out)"""
     both = f"named_struct('fitted', {fitted}, 'forecast', {forecast})"
-    return f"if(_p.n >= {AR_MIN}, get(transform(array({w}), w -> {both}), 0), null)"
+    return f"if(_p.n >= {ar_least(season)}, get(transform(array({w}), w -> {both}), 0), null)"
 
 
 # --- Trend with yearly waves -----------------------------------------------------------------------
@@ -267,16 +301,16 @@ def run_fourier(horizon: int, pairs: int) -> str:
 
 
 def fit_models(
-    packed: DataFrame, models=MODELS, settings: Forecasting = Forecasting(), keep_unfitted: bool = False
+    packed: DataFrame, models=MODELS, settings: Forecasting = Forecasting()
 ) -> DataFrame:
-    """Fitted parameters: one row per series and model (series keys, model, form, params, aic, sse).
+    """Fitted parameters: one row per series and model (series keys, model, form, params, aic, sse, reason).
 
-    A series too short for a model has no row for it, or with `keep_unfitted` one without parameters.
+    Where a model cannot be fitted its row has nulls and says why: "too short" or "no unique fit".
     """
     carried = packed.columns
     fits = {
-        "ar": fit_ar,
-        "ets": lambda d: fit_ets(d, settings.grid),
+        "ar": lambda d: fit_ar(d, settings.season),
+        "ets": lambda d: fit_ets(d, settings.grid, season=settings.season),
         "fourier": lambda d: fit_fourier(d, settings.fourier_pairs),
     }
     for m in models:
@@ -285,8 +319,10 @@ def fit_models(
         f"named_struct('model', '{m}', 'form', {m}.form, 'params', {m}.params, 'aic', {m}.aic, 'sse', {m}.sse)"
         for m in models
     )
-    fitted = packed.select(*carried, F.expr(f"inline(array({listed}))"))
-    return fitted if keep_unfitted else fitted.filter(F.col("aic").isNotNull())
+    least = {"ar": ar_least(settings.season), "ets": 2, "fourier": 3 + 2 * settings.fourier_pairs + 1}
+    enough = F.expr("case " + " ".join(f"when model = '{m}' then n >= {least[m]}" for m in models) + " end")
+    reason = F.when(F.col("aic").isNull(), F.when(enough, "no unique fit").otherwise("too short"))
+    return packed.select(*carried, F.expr(f"inline(array({listed}))")).withColumn("reason", reason)
 
 
 def trend_line(horizon: int, recent: int = 12, default: float = 3_000_000.0) -> str:
@@ -308,7 +344,7 @@ def run_models(fitted: DataFrame, horizon: int, settings: Forecasting = Forecast
 
     The parameters may come straight from `fit_models` or from a stored table joined to packed series.
     """
-    cases = f"""case when _p.fit.params is null then null when _p.model = 'ar' then {run_ar(horizon)} when _p.model = 'ets' then {run_ets(horizon)}
+    cases = f"""case when _p.fit.params is null then null when _p.model = 'ar' then {run_ar(horizon, settings.season)} when _p.model = 'ets' then {run_ets(horizon, season=settings.season)}
         when _p.model = 'fourier' then {run_fourier(horizon, settings.fourier_pairs)} end"""
     return compute(fitted, {"run": bound(cases, "named_struct('form', form, 'params', params)", "model")})
 
