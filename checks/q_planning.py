@@ -14,8 +14,11 @@ from ledgerloom.params import FX, OPEX, SALES, STRESS_TESTS
 from ledgerloom.plans import pipelines
 from ledgerloom.sources.rollup import extract_series
 
-MONEY = ("sales cogs gross_profit opex ebit tax nopat accounts_receivable accounts_payable inventory working_capital "
-         "wc_change depreciation capex free_cash_flow").split()
+# The money columns of a plan, in their order.
+MONEY = (
+    "sales", "cogs", "gross_profit", "opex", "ebit", "tax", "nopat", "accounts_receivable", "accounts_payable",
+    "inventory", "working_capital", "wc_change", "depreciation", "capex", "free_cash_flow",
+)
 PLAN = "series_id date:d " + " ".join(f"{c}:2" for c in MONEY) + " usdtry_rate:6"
 
 # Forecasts of the three measures by the trend line, side by side.

@@ -15,6 +15,7 @@ from ledgerloom.operators.forecasting import forecast_horizon
 from ledgerloom.operators.series import trend_forecast
 from ledgerloom.params import SALES, SCENARIOS, Risk
 from ledgerloom.plans import pipelines
+from ledgerloom.plans.lineage import cut
 
 RISK = Risk()
 
@@ -105,6 +106,11 @@ def sims(t):
     return r.simulate_plans(forecast(t), RISK)
 
 
+def kept(t):
+    """The same, computed once for queries that read it more than once."""
+    return cut(sims(t))
+
+
 query("simulate_plans", SIMS, sims, "SELECT * FROM sims")
 query("simulate_plans_full", SIMS, lambda t: r.simulate_plans(full_forecast(t), RISK), full_sim_sql("fx_shock_all", "rate"))
 query("simulate_plans_correlated", SIMS,
@@ -124,11 +130,11 @@ SELECT *, fcf_std / fcf_mean AS fcf_coefficient_of_variation FROM (
 
 VAR = ("series_id fcf_var_95:2 fcf_cvar_95:2 ebit_var_95:2 ebit_cvar_95:2 fcf_mean:2 fcf_std:2 fcf_min:2 fcf_max:2 "
        "prob_negative_monthly_fcf:6 prob_negative_total_fcf:6 fcf_coefficient_of_variation:6")
-query("var_cvar", VAR, lambda t: r.var_cvar(sims(t)), var_sql("sims"))
+query("var_cvar", VAR, lambda t: r.var_cvar(kept(t)), var_sql("sims"))
 query("loss_probability", "series_id prob_negative_monthly_fcf:6 prob_negative_total_fcf:6", lambda t: r.loss_probability(sims(t)),
       f"SELECT series_id, {LOSS} FROM sims GROUP BY 1")
 POINTS = [f"p{p}" for p in r.PERCENTILES]
-query("distribution_percentiles", "series_id " + " ".join(f"{p}:2" for p in POINTS), lambda t: r.distribution_percentiles(sims(t)),
+query("distribution_percentiles", "series_id " + " ".join(f"{p}:2" for p in POINTS), lambda t: r.distribution_percentiles(kept(t)),
       "SELECT series_id, " + ", ".join(f"quantile_cont(total_fcf, {p / 100}) AS p{p}" for p in r.PERCENTILES) + " FROM sims GROUP BY 1")
 view("moments", """
 SELECT series_id, count(*) AS n, max(mu) AS mean, stddev_pop(v) AS std, avg((v - mu) ** 3) / stddev_pop(v) ** 3 AS skewness,
@@ -151,11 +157,11 @@ TESTED = "SELECT *, z1 * z1 + z2 * z2 AS k2, exp(-(z1 * z1 + z2 * z2) / 2) AS no
 query("normality_test", "series_id n:i skewness:6 kurtosis:6 k2:4 normality_p_value:6 is_normal:b",
       lambda t: r.normality_test(r.distribution_moments(sims(t))), TESTED)
 query("distribution_report", "series_id " + " ".join(f"{p}:2" for p in POINTS) + " mean:2 std:2 normality_p_value:6 is_normal:b",
-      lambda t: r.distribution_report(sims(t)),
+      lambda t: r.distribution_report(kept(t)),
       f"SELECT * FROM distribution_percentiles JOIN ({TESTED}) USING (series_id)")
 query("risk_summary",
       "series_id overall_risk_level expected_total_fcf:2 worst_case_5pct:2 expected_shortfall:2 probability_of_loss:6 volatility:2 risk_adjusted_return:6",
-      lambda t: r.risk_summary(r.var_cvar(sims(t))),
+      lambda t: r.risk_summary(r.var_cvar(kept(t))),
       """SELECT series_id, fcf_mean AS expected_total_fcf, fcf_var_95 AS worst_case_5pct, fcf_cvar_95 AS expected_shortfall,
            prob_negative_total_fcf AS probability_of_loss, fcf_std AS volatility, fcf_mean / fcf_std AS risk_adjusted_return,
            CASE WHEN fcf_coefficient_of_variation > 0.5 OR prob_negative_total_fcf > 0.2 THEN 'High'
@@ -165,7 +171,7 @@ view("tails", f"""
 SELECT series_id, sim_id, min_monthly_fcf,
        greatest(least(total_fcf, quantile_cont(total_fcf, 0.995) OVER {WS}), quantile_cont(total_fcf, 0.005) OVER {WS}) AS total_fcf,
        greatest(least(total_ebit, quantile_cont(total_ebit, 0.995) OVER {WS}), quantile_cont(total_ebit, 0.005) OVER {WS}) AS total_ebit FROM sims""")
-query("winsorize_tails", VAR, lambda t: r.var_cvar(r.winsorize_tails(sims(t))), var_sql("tails"))
+query("winsorize_tails", VAR, lambda t: r.var_cvar(r.winsorize_tails(kept(t))), var_sql("tails"))
 
 # --- Feeds -----------------------------------------------------------------------------------------
 
@@ -179,12 +185,13 @@ query("scenario_feed", "series_id date:d " + " ".join(f"{n}:2" for n in NAMES),
       "SELECT series_id, date, " + ", ".join(f"sum(free_cash_flow) FILTER (scenario = '{n}') AS {n}" for n in NAMES)
       + " FROM run_scenarios_full GROUP BY 1, 2")
 view("sim_ends", f"SELECT *, min(total_fcf) OVER {WS} AS lo, max(total_fcf) OVER {WS} AS hi, count(*) OVER {WS} AS n FROM sims")
-query("risk_histogram", "series_id bin:i bin_start:2 bin_end:2 count:i density:6", lambda t: feeds.risk_histogram(sims(t))
+query("risk_histogram", "series_id bin:i bin_start:2 bin_end:2 count:i density:6", lambda t: feeds.risk_histogram(kept(t))
       .withColumn("density", F.col("density") * 1e6),
       """SELECT series_id, bin, lo + bin * (hi - lo) / 50 AS bin_start, lo + (bin + 1) * (hi - lo) / 50 AS bin_end, c AS count,
                 c / (n * (hi - lo) / 50) * 1e6 AS density
-         FROM (SELECT series_id, least(CAST(floor((total_fcf - lo) / ((hi - lo) / 50)) AS INT), 49) AS bin, max(lo) AS lo, max(hi) AS hi,
-                      max(n) AS n, count(*) AS c FROM sim_ends GROUP BY 1, 2)""")
+         FROM (SELECT series_id, b AS bin, max(lo) AS lo, max(hi) AS hi, max(n) AS n,
+                      count(*) FILTER (least(CAST(floor((total_fcf - lo) / ((hi - lo) / 50)) AS INT), 49) = b) AS c
+               FROM sim_ends CROSS JOIN (SELECT unnest(range(50)) AS b) GROUP BY 1, 2)""")
 
 
 def box_sql(src, col, keys):
@@ -197,7 +204,7 @@ FROM (SELECT {keys}, {col} AS v, quantile_cont({col}, 0.25) OVER w AS a, quantil
 
 
 BOX = "whisker_low:2 q1:2 median:2 q3:2 whisker_high:2 outliers:i"
-query("box_stats", "series_id " + BOX, lambda t: feeds.box_stats(sims(t), "total_fcf"), box_sql("sims", "total_fcf", "series_id"))
+query("box_stats", "series_id " + BOX, lambda t: feeds.box_stats(kept(t), "total_fcf"), box_sql("sims", "total_fcf", "series_id"))
 query("box_stats_by_quarter", "series_id quarter:i " + BOX.replace(":2", ":4"),
       lambda t: feeds.box_stats(t.ledger.withColumn("quarter", F.quarter("date")), SALES, ("series_id", "quarter")),
       box_sql("(SELECT *, quarter(date) AS quarter FROM ledger)", "sales_total_try", "series_id, quarter"))

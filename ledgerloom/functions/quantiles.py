@@ -1,9 +1,10 @@
-"""Exact quantiles of groups too large for one task.
+"""Exact quantiles of groups of any size, by counting.
 
-`percentile` gathers the distinct values of a group in one task. Here ranks are found by counting instead: a
-histogram per group (combined before the shuffle) tells which bins hold the wanted ranks, and only the rows of
-those bins are ordered. No task ever holds a group, and the result is that of `percentile`, not an estimate.
-The input is read three times, so callers cut its lineage first where it is costly.
+`percentile` gathers the distinct values of a group in one task. Here a mergeable sketch first tells, for each probability,
+between which two values the quantile must lie; then the values in between are counted one by one, and all that lie
+below together, in parts before the shuffle. A task sees a bracket, some ten-thousandths of a group however its values are
+spread, and never the group. The result is that of `percentile`, not an estimate. The input is read twice, so callers cut its
+lineage first where it is costly.
 """
 
 from __future__ import annotations
@@ -13,61 +14,63 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import windows as w
 
-BINS = 4096
+ACCURACY = 10_000  # the sketch's ranks are off by at most a share of 1 / ACCURACY
+#: A group with fewer values is one bracket.
+BRACKET = 20_000
 
 
-def exact_quantiles(df: DataFrame, keys, column: str, probabilities, bins: int = BINS) -> DataFrame:
-    """One row per group: its keys and `quantiles`, an array in the order of the probabilities."""
+def exact_quantiles(df: DataFrame, keys, columns, probabilities, bracket: int = BRACKET) -> DataFrame:
+    """One row per group: its keys and for each column an array in the order of the probabilities. `columns` is a name, or a mapping
+    from names to those of the arrays; of a single column the array is called `quantiles`."""
+    columns = {columns: "quantiles"} if isinstance(columns, str) else dict(columns)
     keys = w.keys(keys)
-    values = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
-    ends = values.groupBy(*keys).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n")
-    )
-    place = F.floor(F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * bins)
-    binned = values.join(ends, keys).withColumn("_bin", F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)))
-    counts = binned.groupBy(*keys, "_bin", "_n").agg(F.count(F.lit(1)).alias("_count"))
-    # Zero-based ranks: the position of each quantile, and the two ranks it lies between.
-    places = F.array(*[F.lit(float(p)) * (F.col("_n") - 1) for p in probabilities])
-    running = F.sum("_count").over(
-        Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    cumulated = counts.withColumn("_before", running - F.col("_count")).withColumn("_places", places)
+    by = [*keys, "_c"]
+    each = F.inline(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in columns]))
+    values = df.select(*keys, each).where(F.col("_v").isNotNull())
+    margin = 2 / ACCURACY
 
-    def inside(low, count):
-        return lambda p: (F.floor(p) < low + count) & (F.ceil(p) >= low)
+    def sketch(shares):
+        return F.percentile_approx("_v", [min(1.0, max(0.0, s)) for s in shares], ACCURACY)
 
-    wanted = cumulated.filter(F.exists("_places", inside(F.col("_before"), F.col("_count"))))
-    chosen = binned.select(*keys, "_bin", "_v").join(wanted.select(*keys, "_bin", "_before", "_places"), [*keys, "_bin"])
-    distinct = chosen.groupBy(*keys, "_bin", "_before", "_v").agg(
-        F.count(F.lit(1)).alias("_same"), F.first("_places").alias("_places")
-    )
+    ends = values.groupBy(*by).agg(
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"),
+        sketch(p - margin for p in probabilities).alias("_low"), sketch(p + margin for p in probabilities).alias("_high"))
+    small = F.col("_n") <= bracket
+    places = F.array(*[
+        F.struct(
+            (F.lit(float(p)) * (F.col("_n") - 1)).alias("place"),
+            F.when(small | F.lit(p <= margin), F.col("_lo")).otherwise(F.col("_low")[i]).alias("low"),
+            F.when(small | F.lit(p >= 1 - margin), F.col("_hi")).otherwise(F.col("_high")[i]).alias("high"))
+        for i, p in enumerate(probabilities)])
+    ends = ends.select(*by, places.alias("_places"))
+    brackets = F.array_distinct(F.transform("_places", lambda p: F.struct(p["low"].alias("low"), p["high"].alias("high"))))
+    placed = values.join(ends.withColumn("_brackets", brackets), by)
+    # Null stands for everything below the bracket.
+    inside = placed.select(*by, "_places", "_v", F.inline("_brackets")).where(F.col("_v") <= F.col("high"))
+    counted = inside.groupBy(*by, "low", "high", F.when(F.col("_v") >= F.col("low"), F.col("_v")).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_same"), F.first("_places").alias("_places"))
     upto = F.sum("_same").over(
-        Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = distinct.withColumn("_from", F.col("_before") + upto - F.col("_same"))
-    hits = ranked.filter(F.exists("_places", inside(F.col("_from"), F.col("_same"))))
-
-    def at(rank):
-        return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_from") + F.col("_same")), F.col("_v")))
-
+        Window.partitionBy(*by, "low", "high").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("_from", upto - F.col("_same"))
     picks = []
     for i in range(len(probabilities)):
-        place_of = F.col("_places")[i]
-        low, high = at(F.floor(place_of)), at(F.ceil(place_of))
-        share = F.max(place_of - F.floor(place_of))
-        picks.append(low + (high - low) * share)
-    return hits.groupBy(*keys).agg(F.array(*picks).alias("quantiles"))
+        p = F.col("_places")[i]
+        mine = (p["low"] == F.col("low")) & (p["high"] == F.col("high"))
+
+        def at(rank, mine=mine):
+            return F.max(F.when(mine & (F.col("_from") <= rank) & (rank < F.col("_from") + F.col("_same")), F.col("_v")))
+
+        low, high = at(F.floor(p["place"])), at(F.ceil(p["place"]))
+        picks.append(low + (high - low) * F.max(p["place"] - F.floor(p["place"])))
+    found = ranked.groupBy(*by).agg(F.array(*picks).alias("_q"))
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_c") == c, F.col("_q"))).alias(name) for c, name in columns.items()])
 
 
-def add_quantiles(df: DataFrame, keys, column: str, probabilities, name: str, large: bool = False) -> DataFrame:
-    """Add an array of group quantiles: by a window where a group fits a task, else by `exact_quantiles`.
+def add_quantiles(df: DataFrame, keys, columns, probabilities) -> DataFrame:
+    """`df` with arrays of group quantiles, named as `columns` maps them.
 
     The table of quantiles has one row per group; whether it is broadcast is left to the size check of the
     planner, and adaptive execution splits a hot group.
     """
     keys = w.keys(keys)
-    if not large:
-        points = F.array(*[F.lit(float(p)) for p in probabilities])
-        return df.withColumn(name, F.percentile(column, points).over(w.whole(keys)))
-    found = exact_quantiles(df, keys, column, probabilities).withColumnRenamed("quantiles", name)
-    return df.join(found, keys, "left")
+    return df.join(exact_quantiles(df, keys, columns, probabilities), keys, "left")

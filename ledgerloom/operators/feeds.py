@@ -28,40 +28,34 @@ def scenario_feed(plans: DataFrame, metric: str = "free_cash_flow", scenarios=SC
     return wide.fillna(0.0, names)
 
 
-def risk_histogram(sims: DataFrame, column: str = "total_fcf", bins: int = 50, large: bool = False) -> DataFrame:
-    """Equal-width bins from least to greatest value, with counts and densities; empty bins have no row.
+def risk_histogram(sims: DataFrame, column: str = "total_fcf", bins: int = 50) -> DataFrame:
+    """Equal-width bins from least to greatest value, with counts and densities; every series has all of them.
 
-    `large` says that the simulations of one series may be too many for one task: their ends then come from
-    an aggregate that is joined back, for the price of reading the simulations twice.
+    The ends come from an aggregate that is joined back: the simulations are read twice, so cut them first.
     """
     known = sims.filter(F.col(column).isNotNull())
-    ends = {"_lo": F.min(column), "_hi": F.max(column), "_n": F.count(column)}
-    if large:
-        placed = known.join(known.groupBy(SERIES).agg(*[e.alias(name) for name, e in ends.items()]), SERIES)
-    else:
-        placed = known.withColumns({name: e.over(w.whole()) for name, e in ends.items()})
+    ends = known.groupBy(SERIES).agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"), F.count(column).alias("_n"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     at = F.floor(F.try_divide(F.col(column) - F.col("_lo"), width)).cast("int")
     # The greatest value belongs to the last bin; values that do not vary all go to the first.
-    placed = placed.withColumn("bin", F.coalesce(F.least(at, F.lit(bins - 1)), F.lit(0)))
-    counted = placed.groupBy(SERIES, "bin").agg(
-        F.count(F.lit(1)).alias("count"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"), F.first("_n").alias("_n")
-    )
-    return counted.select(
+    place = F.coalesce(F.least(at, F.lit(bins - 1)), F.lit(0))
+    counted = known.join(ends, SERIES).groupBy(SERIES, place.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    every = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return every.join(counted, [SERIES, "bin"], "left").select(
         SERIES, "bin",
         (F.col("_lo") + F.col("bin") * width).alias("bin_start"),
         (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_end"),
-        "count",
-        ratio(F.col("count").cast("double"), F.col("_n") * width).alias("density"),
+        F.coalesce("count", F.lit(0)).alias("count"),
+        ratio(F.coalesce("count", F.lit(0)).cast("double"), F.col("_n") * width).alias("density"),
     )
 
 
-def box_stats(df: DataFrame, column: str, keys=(SERIES,), large: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, column: str, keys=(SERIES,)) -> DataFrame:
     """Median, quartiles, and the whiskers at the furthest values within 1.5 times their distance.
 
-    `large` says that the rows of one group may be too many for one task.
+    Reads its input more than once: cut it first where it is costly.
     """
-    marked = add_quantiles(df.filter(F.col(column).isNotNull()), keys, column, (0.25, 0.5, 0.75), "_q", large)
+    marked = add_quantiles(df.filter(F.col(column).isNotNull()), keys, {column: "_q"}, (0.25, 0.5, 0.75))
     reach = 1.5 * (F.col("_q")[2] - F.col("_q")[0])
     low = F.when(F.col(column) >= F.col("_q")[0] - reach, F.col(column))
     high = F.when(F.col(column) <= F.col("_q")[2] + reach, F.col(column))

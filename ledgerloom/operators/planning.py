@@ -15,10 +15,11 @@ from ledgerloom.operators.cleaning import sanitize_forecast
 from ledgerloom.params import DATE, SERIES, Finance
 
 RATE = "usdtry_rate"
+# The columns of a plan, in their order.
 PLAN_COLUMNS = (
-    "date sales cogs gross_profit opex ebit tax nopat accounts_receivable accounts_payable inventory "
-    "working_capital wc_change depreciation capex free_cash_flow usdtry_rate"
-).split()
+    "date", "sales", "cogs", "gross_profit", "opex", "ebit", "tax", "nopat", "accounts_receivable", "accounts_payable",
+    "inventory", "working_capital", "wc_change", "depreciation", "capex", "free_cash_flow", "usdtry_rate",
+)
 
 
 def default_opex(df: DataFrame, by=(SERIES,), finance: Finance = Finance()) -> DataFrame:

@@ -25,8 +25,7 @@ PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)
 
 
 def _slices(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def pack_forecast(forecast: DataFrame, finance: Finance = Finance()) -> DataFrame:
@@ -66,19 +65,27 @@ def _ar1(z: str, carry: float, vol: float) -> str:
         {number(vol)} * v, {number(carry)} * element_at(a, -1) + {number(rest)} * v))))"""
 
 
+def with_draws(simulations: DataFrame, risk: Risk = Risk()) -> DataFrame:
+    """Add `draws`, both shocks' normals by period, from one hash for each period."""
+    return compute(simulations, {"draws": draws.normal_pairs(risk.seed, SERIES, "sim_id", "periods")})
+
+
 def sales_shocks(simulations: DataFrame, risk: Risk = Risk()) -> DataFrame:
-    z = draws.normals(risk.seed, SERIES, "sim_id", "periods", "sales")
+    """Sales shocks, from `draws` where they are there."""
+    drawn = "draws" in simulations.columns
+    z = "transform(draws, q -> q.sales)" if drawn else draws.normals(risk.seed, SERIES, "sim_id", "periods", "sales")
     return compute(simulations, {"sales_shock": _ar1(z, risk.sales_ar, risk.sales_vol)})
 
 
 def fx_shocks(simulations: DataFrame, risk: Risk = Risk(), correlated: bool = False) -> DataFrame:
-    """FX shocks; with `correlated`, their draws lean on the sales draws by the given correlation."""
+    """FX shocks, from `draws` where they are there; with `correlated`, theirs lean on the sales draws by the given correlation."""
+    drawn = "draws" in simulations.columns
     if correlated:
-        pairs = draws.normal_pairs(risk.seed, SERIES, "sim_id", "periods")
+        pairs = "draws" if drawn else draws.normal_pairs(risk.seed, SERIES, "sim_id", "periods")
         own = math.sqrt(1.0 - risk.correlation**2)
         z = f"transform({pairs}, q -> {number(risk.correlation)} * q.sales + {number(own)} * q.fx)"
     else:
-        z = draws.normals(risk.seed, SERIES, "sim_id", "periods", "fx")
+        z = "transform(draws, q -> q.fx)" if drawn else draws.normals(risk.seed, SERIES, "sim_id", "periods", "fx")
     return compute(simulations, {"fx_shock": _ar1(z, risk.fx_ar, risk.fx_vol)})
 
 
@@ -102,7 +109,8 @@ def simulate_plans(
     holds FX against its unshocked first rate.
     """
     packed = pack_forecast(forecast, finance)
-    sims = sales_shocks(spread_simulations(packed, risk), risk)
+    sims = spread_simulations(packed, risk)
+    sims = sales_shocks(with_draws(sims, risk) if RATE in packed.columns else sims, risk)
     drift = "0D"
     if RATE in packed.columns:
         sims = apply_fx_shocks(fx_shocks(sims, risk, correlated))
@@ -129,29 +137,19 @@ def simulate_plans(
     return sims.select(SERIES, "sim_id", "total_fcf", "total_ebit", "min_monthly_fcf")
 
 
-# Above this many runs the totals of one series no longer meet in one task to have their quantiles taken.
-IN_TASK = 250_000
-
-
-def _large(risk: Risk) -> bool:
-    return risk.runs > IN_TASK
-
-
 def winsorize_tails(sims: DataFrame, risk: Risk = Risk()) -> DataFrame:
-    """Bound the totals by two of their own quantiles."""
-    for c in ("total_fcf", "total_ebit"):
-        sims = add_quantiles(sims, SERIES, c, (risk.lower_tail, risk.upper_tail), "_q", _large(risk))
-        bounded = F.greatest(F.least(F.col(c), F.col("_q")[1]), F.col("_q")[0])
-        sims = sims.withColumn(c, bounded).drop("_q")
-    return sims
+    """Bound the totals by two of their own quantiles. Reads the simulations more than once: cut them first."""
+    ends = {"total_fcf": "_fcf", "total_ebit": "_ebit"}
+    sims = add_quantiles(sims, SERIES, ends, (risk.lower_tail, risk.upper_tail))
+    bounded = {c: F.greatest(F.least(F.col(c), F.col(q)[1]), F.col(q)[0]) for c, q in ends.items()}
+    return sims.withColumns(bounded).drop(*ends.values())
 
 
 def with_value_at_risk(sims: DataFrame, risk: Risk = Risk()) -> DataFrame:
-    """Beside each simulation, the totals that are undercut with probability 1 - confidence."""
-    for c in ("fcf", "ebit"):
-        sims = add_quantiles(sims, SERIES, f"total_{c}", (1.0 - risk.confidence,), "_q", _large(risk))
-        sims = sims.withColumn(f"{c}_var", F.col("_q")[0]).drop("_q")
-    return sims
+    """Beside each simulation, the totals that are undercut with probability 1 - confidence. Reads the simulations more than once: cut them first."""
+    marks = {"total_fcf": "fcf_var", "total_ebit": "ebit_var"}
+    sims = add_quantiles(sims, SERIES, marks, (1.0 - risk.confidence,))
+    return sims.withColumns({name: F.col(name)[0] for name in marks.values()})
 
 
 def var_cvar(sims: DataFrame, risk: Risk = Risk()) -> DataFrame:
@@ -201,13 +199,8 @@ def _moments(column: str):
     )
 
 
-def distribution_percentiles(sims: DataFrame, column: str = "total_fcf", risk: Risk = Risk()) -> DataFrame:
-    shares = [p / 100.0 for p in PERCENTILES]
-    if _large(risk):
-        out = exact_quantiles(sims, SERIES, column, shares).withColumnRenamed("quantiles", "_p")
-    else:
-        out = sims.groupBy(SERIES).agg(F.percentile(column, F.array(*[F.lit(x) for x in shares])).alias("_p"))
-    return _named_percentiles(out, "_p")
+def distribution_percentiles(sims: DataFrame, column: str = "total_fcf") -> DataFrame:
+    return _named_percentiles(exact_quantiles(sims, SERIES, column, [p / 100.0 for p in PERCENTILES]), "quantiles")
 
 
 def distribution_moments(sims: DataFrame, column: str = "total_fcf") -> DataFrame:
@@ -242,7 +235,7 @@ def risk_summary(metrics: DataFrame) -> DataFrame:
     )
 
 
-def distribution_report(sims: DataFrame, column: str = "total_fcf", risk: Risk = Risk()) -> DataFrame:
+def distribution_report(sims: DataFrame, column: str = "total_fcf") -> DataFrame:
     """Percentiles, moments and normality of one simulated total; both parts have one row per series."""
     moments = normality_test(distribution_moments(sims, column))
-    return distribution_percentiles(sims, column, risk).join(moments, SERIES)
+    return distribution_percentiles(sims, column).join(moments, SERIES)

@@ -110,7 +110,6 @@ class Settings:
     finance: Finance = field(default_factory=Finance)
     risk: Risk = field(default_factory=Risk)
     forecasting: Forecasting = field(default_factory=Forecasting)
-    csv_precision: int = 2
 
 
 class LedgerError(ValueError):

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
-def cut(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """A reliable checkpoint in the shared folder the session names in `spark.checkpoint.dir`.
+def cut(df: DataFrame) -> DataFrame:
+    """`df` written to the shared folder the session names in `spark.checkpoint.dir`, and read again.
 
-    `fallback_dir` is used only where the session names none, as in tests; without either the frame is
-    handed back as it is.
+    Where none is named the frame is persisted in memory and on disk: computed once too, and what a lost executor held is
+    computed again.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or fallback_dir
-        if folder is None:
-            return df
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = f"{folder.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -54,8 +54,8 @@ class PlanResult:
 def plan_job(ledger: DataFrame, settings: Settings = Settings(), scenarios=SCENARIOS) -> PlanResult:
     """Forecast, plan under every scenario, risk study and the executive figures.
 
-    The forecast has one row per series and step. Several results read it, so it is checkpointed where the
-    session names a folder for that: the ledger is then read and the models are fitted once.
+    The forecast and the simulated totals are read by several results, so their lineage is cut: two jobs run while the
+    results are built, and models and simulations are computed once.
     """
     ahead = forecast_horizon(extract_series(ledger, SALES), settings=settings.forecasting)
     sales = ahead.select(SERIES, DATE, F.col("forecast").alias("sales"))
@@ -68,7 +68,7 @@ def plan_from_forecast(sales: DataFrame, settings: Settings = Settings(), scenar
     plans = run_scenarios(sales, scenarios, settings.finance)
     comparison = scenario_comparison(plans)
     insights = scenario_insights(comparison)
-    simulations = r.simulate_plans(sales, settings.risk, settings.finance)
+    simulations = cut(r.simulate_plans(sales, settings.risk, settings.finance))
     metrics = r.var_cvar(simulations, settings.risk)
     base = plan_metrics(financial_plan(sales, finance=settings.finance))
     kpis = feeds.executive_kpis(base, r.risk_summary(metrics), insights)

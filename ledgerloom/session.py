@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str | None = None, name: str = "ledgerloom") -> SparkSession:
-    cores = cores or os.environ.get("BENCH_CPUS", "8")
+def local_session(cores: int | str = 8, name: str = "ledgerloom") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)

@@ -169,4 +169,13 @@ def test_cut_uses_the_session_folder(spark, tmp_path):
     from ledgerloom.plans.lineage import cut
 
     df = spark.range(3)
-    assert cut(df, str(tmp_path / "cp")).count() == 3
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+        assert cut(df).count() == 3 and len(list(tmp_path.iterdir())) == 1
+        spark.conf.unset("spark.checkpoint.dir")
+        if spark.conf.get("spark.checkpoint.dir", None) is None:
+            assert cut(df).is_cached
+    finally:
+        if before is not None:
+            spark.conf.set("spark.checkpoint.dir", before)
