@@ -12,7 +12,7 @@ from ledgerloom.operators import cleaning as c
 from ledgerloom.operators import features as f
 from ledgerloom.operators import quality as q
 from ledgerloom.params import FX, OPEX, RANDOM_SEED, SALES, SCENARIOS
-from ledgerloom.sources import readers, rollup, scenarios
+from ledgerloom.sources import readers, rollup, scenarios, sinks
 
 LEDGER = "series_id date:d sales_total_try:4 opex_try:4 usdtry:6"
 CLEANED = "series_id date:d sales_total_try:2 opex_try:2 usdtry:6"
@@ -37,6 +37,10 @@ SELECT series_id, CAST(try_strptime("Timestamp", {FORMATS}) AS DATE) AS date,
        TRY_CAST("FX_rate" AS DOUBLE) AS usdtry FROM raw_text""")
 query("read_ledger", LEDGER, lambda t: readers.standardize_schema(t.raw_text),
       "SELECT * FROM raw_typed WHERE date IS NOT NULL")
+FIELDS = ["series_id", "Timestamp", "Sales", "Operating_Expenses", "FX_rate"]
+query("read_ledger_lines", LEDGER,
+      lambda t: readers.ledger_from_lines(t.raw_text.select(F.to_csv(F.struct(*FIELDS)).alias("line")), FIELDS),
+      "SELECT * FROM raw_typed WHERE date IS NOT NULL")
 query("read_ledger_dropped", "series_id raw_rows:i undated_rows:i", lambda t: readers.undated_rows(t.raw_text),
       "SELECT series_id, count(*) AS raw_rows, count(*) - count(date) AS undated_rows FROM raw_typed GROUP BY 1")
 query("standardize_schema", LEDGER,
@@ -166,6 +170,10 @@ query("ledger_summary",
            stddev_samp(sales_total_try) AS sales_std, min(sales_total_try) AS sales_min, max(sales_total_try) AS sales_max,
            avg(usdtry) AS fx_mean, quantile_cont(usdtry, 0.5) AS fx_median, min(usdtry) AS fx_min, max(usdtry) AS fx_max
          FROM prepare_ledger GROUP BY 1""")
+query("nest_report", "series_id total_records:i sales_mean:2 sales_outliers:i fx_outliers:i",
+      lambda t: sinks.nest_report({"summary": q.ledger_summary(prepared(t)), "outliers": q.iqr_outliers(one_per_date(t))}).select(
+          "series_id", "summary.total_records", "summary.sales_mean", "outliers.sales_outliers", "outliers.fx_outliers"),
+      "SELECT * FROM ledger_summary JOIN iqr_outliers USING (series_id)")
 query("describe_measures", "series_id measure count:i mean:2 std:2 min:4 p25:4 p50:4 p75:4 max:4",
       lambda t: q.describe(one_per_date(t)),
       " UNION ALL ".join(

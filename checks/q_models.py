@@ -17,6 +17,7 @@ from checks.sql_parts import POSITION, W, WS, interpolate
 from ledgerloom.operators import features, forecasting as fc, models as m
 from ledgerloom.operators.series import trend_forecast
 from ledgerloom.params import SALES, Forecasting
+from ledgerloom.plans.lineage import cut
 from ledgerloom.sources.rollup import dedup_first
 
 SETTINGS = Forecasting()
@@ -214,6 +215,9 @@ query("fourier_trend_forecast", "series_id form " + " ".join(f"{c}:2" for c in C
       "SELECT *, " + ", ".join(f"coef[{i + 1}] AS c{i}" for i in range(8)) + " FROM m_fourier")
 query("fitted_values", "series_id model date:d actual:4 predicted:2", lambda t: fc.fitted_values(fc.tournament(sales(t))),
       "SELECT * FROM m_fitted")
+query("model_store", "series_id model step:i date:d forecast:2",
+      lambda t: fc.score(sales(t), cut(fc.fitted_parameters(sales(t))), 18),
+      "SELECT a.series_id, a.model, a.step, d.date, a.forecast FROM m_ahead a JOIN m_months d USING (series_id, step)")
 query("model_forecasts", "series_id model step:i forecast:2",
       lambda t: fc.score(sales(t), fc.fitted_parameters(sales(t)), 18), "SELECT * FROM m_ahead")
 query("accuracy", SCORES, lambda t: fc.accuracy(fc.fitted_values(fc.tournament(sales(t)))), accuracy_sql("m_fitted"))

@@ -151,6 +151,29 @@ SELECT *, slope / sqrt((syy - slope * slope * sxx) / ((n_obs - 2) * sxx)) AS df_
        -2.86154 - 2.8903 / n_obs - 4.234 / (n_obs ** 2) - 40.04 / (n_obs ** 3) AS critical_5pct FROM df_fit""")
 query("stationarity", "series_id n_obs:i df_statistic:6 critical_5pct:6 is_stationary:b", lambda t: s.stationarity(sales(t)),
       "SELECT *, df_statistic < critical_5pct AS is_stationary FROM df_test")
+# Series of 2, 13 and 24 months: what cannot be computed is null, and no series is missing.
+view("tiny_series", "SELECT * FROM sales_series WHERE date < DATE '1995-03-01' + to_months(CAST(ascii(series_id) % 3 AS INT) * 11)")
+
+
+def tiny(t):
+    return sales(t).where(F.col("date") < F.add_months(F.lit("1995-03-01").cast("date"), F.ascii("series_id") % 3 * 11))
+
+
+query("stationarity_short", "series_id n_obs:i df_statistic:6 critical_5pct:6 is_stationary:b", lambda t: s.stationarity(tiny(t)),
+      f"""WITH steps AS (SELECT *, lag(value) OVER {W} AS level, value - lag(value) OVER {W} AS delta FROM tiny_series),
+          fit AS (SELECT series_id, regr_count(delta, level) AS n_obs, regr_slope(delta, level) AS slope, regr_sxx(delta, level) AS sxx,
+                         regr_syy(delta, level) AS syy FROM steps GROUP BY 1),
+          test AS (SELECT *, CASE WHEN n_obs > 2 THEN slope / sqrt((syy - slope * slope * sxx) / ((n_obs - 2) * sxx)) END AS df_statistic,
+                   CASE WHEN n_obs > 2 THEN -2.86154 - 2.8903 / n_obs - 4.234 / (n_obs ** 2) - 40.04 / (n_obs ** 3) END AS critical_5pct FROM fit)
+          SELECT *, df_statistic < critical_5pct AS is_stationary FROM test""")
+query("decompose_short", "series_id date:d value:4 trend:2 seasonal:2 residual:2", lambda t: s.decompose_additive(tiny(t)),
+      f"""WITH t AS (SELECT *, {POSITION} - 1 AS pos, count(*) OVER {WS} AS n,
+            CASE WHEN count(*) OVER {near(6, 6)} = 13 AND count(*) OVER {WS} >= 24 THEN
+              (0.5 * (lag(value, 6) OVER {W} + lead(value, 6) OVER {W}) + sum(value) OVER {near(5, 5)}) / 12 END AS trend FROM tiny_series),
+          slot AS (SELECT series_id, pos % 12 AS slot, avg(value - trend) AS mean FROM t GROUP BY 1, 2),
+          wave AS (SELECT series_id, slot, mean - avg(mean) OVER {WS} AS seasonal FROM slot)
+          SELECT t.series_id, date, value, trend, seasonal, value - trend - seasonal AS residual
+          FROM t JOIN wave ON wave.series_id = t.series_id AND slot = pos % 12""")
 view("dec_trend", f"""
 SELECT *, {POSITION} - 1 AS pos, count(*) OVER {WS} AS n,
   CASE WHEN count(*) OVER {near(6, 6)} = 13 THEN

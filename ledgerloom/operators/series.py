@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import windows as w
@@ -36,11 +36,12 @@ def stationarity(df: DataFrame) -> DataFrame:
     """Dickey-Fuller test with a constant and no lagged differences.
 
     The statistic is the t-ratio of the slope of the change on the level before it. The series counts as
-    stationary where it lies below the 5 % critical value of MacKinnon (2010) for its length.
+    stationary where it lies below the 5 % critical value of MacKinnon (2010) for its length. With two changes or
+    fewer there is no test, and its figures are null.
     """
-    known = df.filter(F.col("value").isNotNull())
-    level = F.lag("value").over(w.ordered())
-    steps = known.withColumns({"_level": level, "_change": F.col("value") - level})
+    known = df.withColumn("_known", F.col("value").isNotNull())
+    level = F.last_value("value", ignoreNulls=True).over(w.ordered().rowsBetween(Window.unboundedPreceding, -1))
+    steps = known.withColumns({"_level": F.when(F.col("_known"), level), "_change": F.col("value") - level})
     out = steps.groupBy(SERIES).agg(
         F.regr_count("_change", "_level").alias("n_obs"),
         F.regr_slope("_change", "_level").alias("_slope"),
@@ -51,8 +52,8 @@ def stationarity(df: DataFrame) -> DataFrame:
     error = F.sqrt(ratio(residual, (F.col("n_obs") - 2) * F.col("_sxx")))
     n = F.col("n_obs").cast("double")
     critical = -2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.04 / (n * n * n)
-    out = out.filter(F.col("n_obs") > 2).withColumn("df_statistic", ratio(F.col("_slope"), error))
-    out = out.withColumn("critical_5pct", critical)
+    enough = F.col("n_obs") > 2
+    out = out.withColumns({"df_statistic": F.when(enough, ratio(F.col("_slope"), error)), "critical_5pct": F.when(enough, critical)})
     return out.select(
         SERIES, "n_obs", "df_statistic", "critical_5pct",
         (F.col("df_statistic") < F.col("critical_5pct")).alias("is_stationary"),
@@ -62,14 +63,13 @@ def stationarity(df: DataFrame) -> DataFrame:
 def decompose_additive(df: DataFrame, period: int = 12) -> DataFrame:
     """Trend by a centred moving average over one period, seasonal means around it, and the rest.
 
-    Known values only. Series shorter than two periods are left out.
+    Known values only. In series shorter than two periods the parts are null.
     """
     half = period // 2
     known = df.filter(F.col("value").isNotNull()).withColumns(
         {"_pos": w.position(), "_n": F.count(F.lit(1)).over(w.whole())}
     )
-    known = known.filter(F.col("_n") >= 2 * period)
-    full = F.count(F.lit(1)).over(w.near(half, half)) == 2 * half + 1
+    full = (F.count(F.lit(1)).over(w.near(half, half)) == 2 * half + 1) & (F.col("_n") >= 2 * period)
     ends = 0.5 * (F.lag("value", half).over(w.ordered()) + F.lead("value", half).over(w.ordered()))
     inner = F.sum("value").over(w.near(half - 1, half - 1))
     out = known.withColumn("trend", F.when(full, (ends + inner) / period)).withColumn(

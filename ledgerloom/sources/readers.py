@@ -85,6 +85,12 @@ def undated_rows(df: DataFrame) -> DataFrame:
     )
 
 
+def ledger_from_lines(lines: DataFrame, header: list[str], line: str = "line") -> DataFrame:
+    """A ledger from lines of CSV text that are rows already, as from a log or a topic; `header` names their fields."""
+    schema = ", ".join(f"`{name}` string" for name in header)
+    return standardize_schema(lines.select(F.from_csv(line, schema).alias("fields")).select("fields.*"))
+
+
 def read_ledger(spark: SparkSession, path) -> DataFrame:
     """A CSV ledger as typed rows; rows whose date cannot be parsed are dropped."""
     text = spark.read.csv(path, header=True, inferSchema=False, enforceSchema=False)
