@@ -115,7 +115,7 @@ def cascade_of(blocked: DataFrame, universe: DataFrame) -> tuple[Level, ...]:
 
 def fitting_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     """The longest rule whose host is the url's or above it and whose path begins the url's, as a struct; else null."""
-    out = F.lit(None)
+    out = F.lit(None).cast("struct<name:string,verdict:string>")
     for r in sorted(rules, key=lambda r: len(r.name)):
         fits = ((host == r.host) | F.endswith(host, F.lit("." + r.host))) & F.startswith(path, F.lit(r.path))
         out = F.when(fits, F.struct(F.lit(r.name).alias("name"), F.lit(r.verdict).alias("verdict"))).otherwise(out)
