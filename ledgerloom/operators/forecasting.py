@@ -164,14 +164,15 @@ def rolling_backtest_points(df: DataFrame, models=MODELS, settings: Forecasting
     size = settings.window
     packed = pack_series(df)
     places = F.sequence(F.lit(size), F.greatest(F.col("n") - 1, F.lit(size)), F.lit(settings.step))
+    length = F.when(F.col("n") > size, size).otherwise(0)
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     origins = packed.withColumn("origin", F.explode(places)).repartition(slices, SERIES, "origin")
     windows = origins.where(F.coalesce(F.get("known", "origin"), F.col("n") <= size)).select(
         SERIES,
         F.get("dates", F.col("origin")).alias(DATE),
         F.get("y", F.col("origin")).alias("actual"),
-        *[F.slice(c, F.col("origin") - size + 1, size).alias(c) for c in ("dates", "y", "known")],
-        F.when(F.col("n") > size, size).otherwise(0).alias("n"),
+        *[F.slice(c, F.col("origin") - size + 1, length).alias(c) for c in ("dates", "y", "known")],
+        length.alias("n"),
     )
     run = run_models(fit_models(windows, models, settings), 1, settings)
     return run.select(SERIES, DATE, "model", "actual", F.get("run.forecast", F.lit(0)).alias("predicted"), "reason")

@@ -70,7 +70,7 @@ def month_start_after(date: str, k: str) -> str:
 
 def _aic(sse: str, n: str, k: int) -> str:
     """Null for an unknown error, which `greatest` would skip."""
-    return f"if({sse} is null, null, {n} * ln(greatest({sse} / {n}, 1e-300)) + {2.0 * k}D)"
+    return f"if({sse} is null, null, {n} * ln(greatest(try_divide({sse}, {n}), 1e-300)) + {2.0 * k}D)"
 
 
 def _least(candidates: str) -> str:

@@ -50,7 +50,7 @@ def stationarity(df: DataFrame) -> DataFrame:
     )
     residual = F.greatest(F.lit(0.0), F.col("_syy") - F.col("_slope") * F.col("_slope") * F.col("_sxx"))
     error = F.sqrt(ratio(residual, (F.col("n_obs") - 2) * F.col("_sxx")))
-    n = F.col("n_obs").cast("double")
+    n = F.when(F.col("n_obs") > 0, F.col("n_obs").cast("double"))
     critical = -2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.04 / (n * n * n)
     enough = F.col("n_obs") > 2
     out = out.withColumns({"df_statistic": F.when(enough, ratio(F.col("_slope"), error)), "critical_5pct": F.when(enough, critical)})

@@ -22,8 +22,10 @@ def seasonal(n=60, seed=1):
 
 def ets_sse(y, form, a, b, g):
     first, second = np.mean(y[:12]), np.mean(y[12:24])
-    level, slope = first, (second - first) / 12 if form[1] == "A" else 0.0
-    season = [v - first if form[2] == "A" else v / first for v in y[:12]]
+    slope = (second - first) / 12 if form[1] == "A" else 0.0
+    level = first - 6.5 * slope
+    line = [level + slope * (t + 1) for t in range(12)]
+    season = [v - at if form[2] == "A" else v / at for v, at in zip(y, line)]
     sse = 0.0
     for t, v in enumerate(y):
         base = level + slope
@@ -47,7 +49,7 @@ def test_ets_finds_the_best_of_the_grid(make_series):
     grid = Forecasting().grid
     best = min(
         (len(y) * math.log(ets_sse(y, f, a, b, g) / len(y)) + 2 * k, f, a, b, g)
-        for f, k in m.ETS_FORMS.items() for a in grid
+        for f in m.ETS_FORMS for k in (m.ets_size(f, 12),) for a in grid
         for b in (grid if f[1] == "A" else (0.0,)) for g in (grid if f[2] != "N" else (0.0,))
     )
     assert (won["form"], won["params"]["alpha"], won["params"]["beta"], won["params"]["gamma"]) == best[1:]
@@ -60,7 +62,7 @@ def test_ar_equals_least_squares(make_series):
     w = y[13:] - y[12:-1] - y[1:-12] + y[:-13]
     target = w[12:]
     best = None
-    for form, lags in m.AR_FORMS.items():
+    for form, lags in m.ar_forms(12).items():
         x = np.column_stack([w[12 - lag:len(w) - lag] for lag in lags])
         phi, *_ = np.linalg.lstsq(x, target, rcond=None)
         sse = float(((target - x @ phi) ** 2).sum())
@@ -83,6 +85,50 @@ def test_fourier_equals_least_squares(make_series):
     np.testing.assert_allclose([params[f"c{k}"] for k in range(8)], coef, rtol=1e-6)
 
 
+def by_step(rows, series="a"):
+    return {str(x["date"]): x["forecast"] for x in rows if x["series_id"] == series}
+
+
+def test_trailing_nulls_do_not_move_the_dates(make_series):
+    y = seasonal(n=60)
+    whole, cut = fc.forecast_horizon(make_series({"a": y[:57]})).collect(), fc.forecast_horizon(make_series({"a": y[:57] + [None] * 3})).collect()
+    assert by_step(whole) == pytest.approx(by_step(cut)) and min(by_step(cut)) == "2024-10-01"
+
+
+def test_a_missing_month_keeps_the_season(make_series):
+    y = [3e6 + 1e4 * i + 5e5 * math.sin(2 * math.pi * i / 12) for i in range(72)]
+    gap = make_series({"a": y[:60]}).where("date <> date '2024-03-01'")
+    ahead = by_step(fc.forecast_horizon(gap, settings=Forecasting(horizon=12)).collect())
+    wrong = [abs(ahead[str(month(60 + i))] / y[60 + i] - 1) for i in range(12)]
+    assert max(wrong) < 0.02
+    fitted = fc.fitted_values(fc.tournament(gap))
+    assert fitted.where("date = date '2024-03-01'").count() == 0
+
+
+def test_a_perfect_season_has_an_autoregression(make_series):
+    y = [3e6 + 1e4 * i + 1e5 * (i % 12) for i in range(60)]
+    ahead = fc.forecast_horizon(make_series({"a": y}), models=("ar",), settings=Forecasting(horizon=12)).orderBy("step").collect()
+    assert [x["forecast"] for x in ahead] == pytest.approx([3e6 + 1e4 * i + 1e5 * (i % 12) for i in range(60, 72)])
+    assert ahead[0]["model"] == "ar"
+
+
+def test_the_season_is_a_parameter(make_series):
+    y = [100.0 + [10, -5, 20, -25][i % 4] for i in range(40)]
+    ahead = fc.forecast_horizon(make_series({"a": y}), models=("ets",), settings=Forecasting(horizon=4, season=4)).orderBy("step").collect()
+    assert [x["forecast"] for x in ahead] == pytest.approx([110.0, 95.0, 120.0, 75.0])
+
+
+def test_no_series_or_model_is_missing(make_series):
+    df = make_series({"long": seasonal(), "short": seasonal()[:20], "tiny": [1.0, 2.0], "none": [None] * 3})
+    for rows in (fc.fitted_parameters(df), fc.holdout_validation(df), fc.rolling_backtest(df)):
+        got = {(x["series_id"], x["model"]): x["reason"] for x in rows.collect()}
+        assert set(got) == {(s_, k) for s_ in ("long", "short", "tiny", "none") for k in m.MODELS}
+        assert all(got["long", k] is None for k in m.MODELS) and got["tiny", "ar"] == "too short"
+    stored = fc.fitted_parameters(df.where("series_id = 'long'"))
+    left = {x["series_id"]: x["reason"] for x in fc.score(df, stored, 2).where("step is null").collect()}
+    assert left == {"short": "no parameters stored", "tiny": "no parameters stored", "none": "no parameters stored"}
+
+
 def test_stored_models_score_like_fresh_ones(spark, make_series, tmp_path):
     df = make_series({"a": seasonal(), "b": seasonal(seed=9)})
     fc.save_models(df, str(tmp_path / "models"))
