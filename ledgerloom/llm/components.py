@@ -16,13 +16,13 @@ def components(edges: DataFrame) -> DataFrame:
     shared folder; the driver sees only counts. Minima are taken in parts before the shuffle, and the joins may be split
     where a node has many neighbours.
     """
-    edges = write_shared(_ordered(edges), "components")
+    edges, before = write_shared(_ordered(edges), "components"), None
     while True:
-        large = _ordered(_large_star(edges))
-        small = write_shared(_ordered(_small_star(large)), "components")
-        if not _differs(edges, small):
+        edges = write_shared(_ordered(_small_star(_ordered(_large_star(edges)))), "components")
+        after = _digest(edges)
+        if after == before:
             break
-        edges = small
+        before = after
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return nodes.unionByName(roots)
@@ -45,10 +45,7 @@ def _small_star(edges):
     return pointed.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
 
 
-def _differs(before, after):
-    """Whether the two edge sets differ, by count and order-free sums of hashes."""
-    def digest(df):
-        h = F.xxhash64("a", "b")
-        return df.agg(F.count("*"), F.sum(h.cast("decimal(20,0)")), F.bit_xor(h)).first()
-
-    return digest(before) != digest(after)
+def _digest(edges):
+    """What two edge sets have in common only if they are the same: their size and order-free sums of hashes."""
+    h = F.xxhash64("a", "b")
+    return edges.agg(F.count("*"), F.sum(h.cast("decimal(20,0)")), F.bit_xor(h)).first()

@@ -82,7 +82,8 @@ def _centres(fp: Column, segment: Column, up: Column) -> Column:
 def near_links(fingerprints: DataFrame) -> DataFrame:
     """(a, b), a > b: links that join all of the distinct longs `fp` within two bits of each other, directly or through
     the smallest that shares a centre with them."""
-    placed = fingerprints.select("fp", F.inline(_cells(_segment_counts(F.col("fp")))))
+    counted = fingerprints.select("fp", _segment_counts(F.col("fp")).alias("counts"))
+    placed = counted.select("fp", F.inline(_cells(F.col("counts"))))
     shared = placed.groupBy("cell").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("cell")
     reached = placed.join(shared, "cell", "left_semi").select(
         "fp", F.explode(_centres(F.col("fp"), F.col("segment"), F.col("up"))).alias("centre"))
