@@ -35,8 +35,8 @@ RESULT = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("pr
 
 @dataclass(frozen=True)
 class Sampling:
-    documents: int = 2000
-    text_bytes: int = 12 << 20
+    documents: int = 1500
+    text_bytes: int = 5 << 20
 
 
 @dataclass(frozen=True)
