@@ -170,8 +170,45 @@ SELECT doc_id, size, source_size, target,
 FROM filling
 """ % _WORDS.format("text")
 
+_TEMPLATES = ", ".join(f"({n}, '{name}', '{text}')" for n, (name, text) in enumerate(licenses.TEMPLATES))
+_OP8 = rf"""
+WITH templates(template, license, text) AS (VALUES {_TEMPLATES}),
+counted AS (
+  SELECT template, license, term, count(*) AS tf
+  FROM (SELECT template, license, unnest(regexp_extract_all(lower(text), '{licenses.TERM}')) AS term FROM templates) GROUP BY ALL),
+weighed AS (SELECT *, ln({len(licenses.TEMPLATES) + 1}::DOUBLE / (count(*) OVER (PARTITION BY term) + 1)) + 1 AS idf FROM counted),
+vectors AS (SELECT *, tf * idf / sqrt(sum(tf * idf * (tf * idf)) OVER (PARTITION BY template)) AS weight FROM weighed),
+files AS (
+  SELECT doc_id, text, CASE WHEN doc_id % 100 = 0 THEN 'c' || doc_id // 100 || '/LICENSE'
+    WHEN doc_id % 10 = 0 THEN 'c' || doc_id // 100 || '/d' || (doc_id // 10) % 10 || '/LICENSE'
+    ELSE 'c' || doc_id // 100 || '/d' || (doc_id // 10) % 10 || '/f' || doc_id || '.txt' END AS path FROM documents),
+windows AS (
+  SELECT doc_id, path, unnest(range(len(found))) AS nr, unnest(found) AS body
+  FROM (SELECT doc_id, path, regexp_extract_all(text, '{licenses.WINDOW}') AS found FROM files WHERE regexp_matches(text, '{licenses.CUE}'))),
+terms AS (
+  SELECT doc_id, path, nr, term, count(*) AS tf
+  FROM (SELECT doc_id, path, nr, unnest(regexp_extract_all(lower(body), '{licenses.TERM}')) AS term FROM windows) GROUP BY ALL),
+valued AS (SELECT t.*, tf * idf AS w FROM terms t JOIN (SELECT DISTINCT term, idf FROM vectors) USING (term)),
+norms AS (SELECT doc_id, path, nr, sqrt(sum(w * w)) AS norm FROM valued GROUP BY ALL),
+dots AS (SELECT doc_id, path, nr, template, license, sum(w * weight) AS dot FROM valued JOIN vectors USING (term) GROUP BY ALL),
+cosines AS (SELECT doc_id, path, license, round(dot / norm, 6) AS cosine FROM dots JOIN norms USING (doc_id, path, nr)),
+own AS (
+  SELECT * FROM cosines WHERE cosine >= {licenses.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY doc_id, path ORDER BY cosine DESC, license) = 1),
+given AS (
+  SELECT regexp_replace(path, '/?[^/]*$', '') AS above, license FROM own WHERE regexp_matches(regexp_extract(path, '[^/]*$'), '{licenses.LICENCE_FILE}')
+  QUALIFY row_number() OVER (PARTITION BY above ORDER BY cosine DESC, license) = 1),
+placed AS (SELECT doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS directory FROM files),
+nearest AS (
+  SELECT doc_id, path, above, license FROM placed JOIN given ON above = '' OR directory = above OR starts_with(directory, above || '/')
+  QUALIFY row_number() OVER (PARTITION BY doc_id, path ORDER BY length(above) DESC) = 1)
+SELECT p.doc_id, coalesce(o.license, n.license) AS license, o.cosine, CASE WHEN o.license IS NOT NULL THEN 'own' WHEN n.license IS NOT NULL THEN 'inherited' END AS origin,
+  CASE WHEN o.license IS NULL THEN n.above END AS from_directory
+FROM placed p LEFT JOIN own o USING (doc_id, path) LEFT JOIN nearest n USING (doc_id, path)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_pareto_mixing": _OP2,
     "op6_url_filter": _OP6,
+    "op8_license_scan": _OP8,
     "op10_preference_formatting": _OP10,
 }
