@@ -7,7 +7,7 @@ that repeats itself, where both dictionaries do equally well. The function is fi
 neither dictionary, each class weighted by its share of the labels.
 
 Bounds. Dictionaries and fit see at most `Sampling.documents` labelled documents of each class, and of those as many as
-`Sampling.text_bytes` holds, in the order of a hash of the id. All documents are scored on their whole text. The model
+`Sampling.text_bytes` holds, in the order of a hash of the id; texts of more than a sixteenth of that are not sampled. All documents are scored on their whole text. The model
 is a few hundred kilobytes, whatever the corpus.
 """
 
@@ -116,6 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     picked = F.broadcast(picked[0].unionByName(picked[1]))  # at most twice `documents` rows
     texts = docs.select(F.col(key).alias("id"), blank_null(F.col(text)).alias("body")).join(picked, "id")
     so_far = Window.partitionBy("y").orderBy("order", "id", "body")
+    texts = texts.where(F.octet_length("body") <= sampling.text_bytes // 16)  # no text may use up the sample
     kept = texts.withColumn("bytes", F.sum(F.octet_length("body")).over(so_far)).where(F.col("bytes") <= sampling.text_bytes)
     found = {0: [], 1: []}
     for r in kept.orderBy("order", "id", "body").select("y", "body").toLocalIterator():

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,15 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.conf.get("spark.master", "").startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _folder_of_this_process()
     return folder.rstrip("/")
 
 
+@cache
+def _folder_of_this_process() -> str:
+    return tempfile.mkdtemp(prefix="ledgerloom-")
+
+
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet to the shared folder and read again: computed once, lineage cut, safe from lost executors.
 
