@@ -99,7 +99,7 @@ SELECT *, s * 0.65::DOUBLE * (1 + 0.15::DOUBLE * (rate / first_value({anchor}) O
   JOIN plan_input_full i ON i.series_id = k.series_id AND i.step = k.period)""")
 
 
-SIMS = "series_id sim_id:i total_fcf:2 total_ebit:2 min_monthly_fcf:2"
+SIMS = "series_id sim_id:i total_fcf:1 total_ebit:1 min_monthly_fcf:1"
 
 
 def sims(t):
