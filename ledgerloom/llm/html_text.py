@@ -178,8 +178,9 @@ def host_templates(pages: DataFrame) -> DataFrame:
         F.count("*").alias("pages"), F.sum("n").alias("times"), F.sum(mark).alias("vector")), "html-vectors")
     sizes = vectors.where("path = '' and text_hash is null").select("host", F.col("pages").alias("host_pages"))
     is_text = F.col("text_hash").isNotNull()
-    frequent = vectors.join(sizes, "host").where(
-        F.when(is_text, (F.col("pages") >= TEXT_PAGES) & (F.col("pages") >= TEXT_SHARE * F.col("host_pages")))
+    shared = vectors.where(~is_text | (F.col("pages") >= TEXT_PAGES))  # what only a few pages have does not travel
+    frequent = shared.join(sizes, "host").where(
+        F.when(is_text, F.col("pages") >= TEXT_SHARE * F.col("host_pages"))
         .otherwise(F.col("pages") >= ELEMENT_SHARE * F.col("host_pages")))
     classes = frequent.groupBy("host", "vector", "pages", "times").agg(
         F.collect_set(F.when(~is_text, F.col("path"))).alias("elements"), F.collect_set("text_hash").alias("texts"))
