@@ -27,13 +27,20 @@ def conversations(turns: DataFrame, key: str = "conv_id", turn: str = "turn", ro
     return grouped.select("conv_id", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
 
 
-def reply_pairs(convs: DataFrame) -> DataFrame:
+def last_replies(turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """(conv_id, reply): each conversation's last reply, chosen in parts before the shuffle."""
+    said = F.coalesce(F.col(text), F.lit(""))
+    replies = turns.where(F.col(key).isNotNull() & (F.col(role) == TRAINED_ROLE))
+    return replies.groupBy(F.col(key).alias("conv_id")).agg(F.max(F.struct(F.col(turn).alias("turn"), said.alias("text")))["text"].alias("reply"))
+
+
+def reply_pairs(convs: DataFrame, replies: DataFrame) -> DataFrame:
     """(pair_id, chosen, rejected) for every conversation with a reply: chosen ends with its last reply, rejected has in
     its place the last reply of the conversation with the next id, or an empty one where there is none."""
     last = F.size("turns") - F.array_position(F.transform(F.reverse("turns"), lambda t: t["role"] == TRAINED_ROLE), True) + 1
     ended = convs.withColumn("n", last.cast("int")).where(F.exists("turns", lambda t: t["role"] == TRAINED_ROLE)).select(
         F.col("conv_id").alias("pair_id"), F.slice("turns", F.lit(1), F.col("n")).alias("chosen"))
-    other = ended.select((F.col("pair_id") - 1).alias("pair_id"), F.element_at("chosen", -1)["text"].alias("other"))
+    other = replies.select(F.try_subtract("conv_id", F.lit(1)).alias("pair_id"), F.col("reply").alias("other"))
     reply = F.struct(F.lit(TRAINED_ROLE).alias("role"), F.coalesce("other", F.lit("")).alias("text"))
     return ended.join(other, "pair_id", "left").select(
         "pair_id", "chosen", F.concat(F.slice("chosen", F.lit(1), F.size("chosen") - 1), F.array(reply)).alias("rejected"))

@@ -67,7 +67,8 @@ def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = preferences.reply_pairs(preferences.conversations(table(spark, sf_dir, "conversations")))
+    turns = table(spark, sf_dir, "conversations")
+    pairs = preferences.reply_pairs(preferences.conversations(turns), preferences.last_replies(turns))
     rows = preferences.preference_rows(pairs)
     return rows.select(
         F.col("pair_id").alias("conv_id"), "n_common", "prompt",

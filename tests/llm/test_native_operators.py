@@ -209,7 +209,7 @@ def test_conversations_and_pairs_odd_rows(spark):
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 as turns", "2 as n", "3 as chosen")
     convs = preferences.conversations(turns)
     assert {r.conv_id: [tuple(t) for t in r.turns] for r in convs.collect()}[1] == [("user", "a"), ("assistant", "b"), ("user", "c")]
-    pairs = {r.pair_id: r for r in preferences.reply_pairs(convs).collect()}
+    pairs = {r.pair_id: r for r in preferences.reply_pairs(convs, preferences.last_replies(turns)).collect()}
     assert set(pairs) == {1, 2, 4, 5}
     assert [tuple(t) for t in pairs[1].rejected] == [("user", "a"), ("assistant", "z")] and pairs[2].rejected[-1].text == "" and pairs[4].rejected == pairs[4].chosen
-    assert preferences.reply_pairs(preferences.conversations(turns.limit(0))).count() == 0
+    assert preferences.reply_pairs(preferences.conversations(turns.limit(0)), preferences.last_replies(turns.limit(0))).count() == 0
