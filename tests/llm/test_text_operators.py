@@ -214,6 +214,22 @@ def test_corpus_has_no_collisions_and_keeps_references(spark):
     assert not {t.split(" wrote")[0] for t in made.values()} & set(people)
 
 
+ALONE = ["Анна Иванова", "пришла Ольга Петрова", "Mrs Lee", "so Anna Lee", "Señora Ruiz", "a@b.org", "AKIA" + "ABCDEFGHIJKLMNOP", "ghp_" + "abcdefghijkl" * 3,
+         "abcdef" * 6, "ABCDEF" * 6, "fe:ab:cd:ef:aa:bb:cc:dd", "٠١٢-٣٤-٥٦٧٨", "+١ ٢٣٤ ٥٦٧ ٨٩٠١", "Token: abcdefgh", "pass\npassword=abcdefgh",
+         "api_\u212aey=abcdefgh", "\u017fecret: abcdefgh"]
+
+
+def test_a_text_with_one_kind_alone_passes_the_prefilter(spark):
+    assert all(pii.entities(t) for t in ALONE)
+    docs = spark.createDataFrame(list(enumerate([*ALONE, "Nothing of the kind, Миру мир"])), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.with_surrogates(docs, "m").collect()}
+    for k, t in enumerate(ALONE):
+        assert rows[k].m.kinds and rows[k].m.text != t, t
+    assert rows[len(ALONE)].m.text == "Nothing of the kind, Миру мир"
+    found = {(r.kind, r.canonical) for r in pii.corpus_entities(docs).collect()}
+    assert found == {(e.kind, e.canonical) for t in ALONE for e in pii.entities(t)}
+
+
 def test_later_attempts_in_blocks_agree_with_one(spark, monkeypatch):
     docs = spark.createDataFrame([(k, f"Herr {chr(65 + k // 26)}o{chr(97 + k % 26)}er here") for k in range(120)], "doc_id long, text string")
     whole = {r.doc_id: r.text for r in pii.anonymised(docs).collect()}
