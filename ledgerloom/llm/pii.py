@@ -5,7 +5,9 @@ addresses, secrets, and personal names behind a title or with a known given name
 keyed hash: digits for digits and letters for letters in the same layout and case; given names of the same gender
 and script, surnames of the same script. The same entity has the same surrogate in all documents, however it is
 laid out, so that references to it still agree. Over the whole corpus no two entities of a kind may share a surrogate, and none may
-be an entity that occurs: those that collide are drawn anew, under a new attempt number, until no collision is left.
+be an entity that occurs: those that collide are drawn anew, under a new attempt number, until no collision is left. Layouts may have fewer
+surrogates than entities ("_@a.org" has one), so later attempts are longer or wider, and the rounds end. Cards and IPv4 addresses keep their
+length: they have more surrogates than any corpus has entities.
 
 Cost. The texts are read twice and not moved: once for the distinct entities, which are checked as a table, and once to
 replace. Only entities with a second or later attempt go to the tasks, in blocks; first attempts follow from the key.
@@ -143,6 +145,7 @@ def _luhn(digits):
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     """The stand-in for an entity, in canonical form."""
     draw = _stream(key, kind, canonical, attempt)
+    more = (attempt + 1) // 2  # the layout's surrogates may be used up
     if kind.startswith(("given-", "surname-")):
         names = NAMES[tuple(kind.split("-"))]
         made = [names[next(draw) % len(names)] for _ in range(1 + (attempt + 1) // 4)]  # more parts the more collide
@@ -150,16 +153,20 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     if kind == "email":
         local, _, domain = canonical.partition("@")
         *hosts, _, top = domain.split(".")
-        return ".".join([f"{_alike(local, draw)}@" + "".join(f"{_alike(h, draw)}." for h in hosts) + "example", top])
+        return ".".join([f"{_alike(local + 'a' * more, draw)}@" + "".join(f"{_alike(h, draw)}." for h in hosts) + "example", top])
     if kind == "ip":
         if ":" in canonical:
+            if more > 1:
+                return ":".join(f"{next(draw) % 65536:x}" for _ in range(8))
             return _alike(re.sub("[a-f]", "0", canonical), draw)
         return ".".join(str(1 + next(draw) % 254) for _ in range(4))
     if kind == "phone":
         keep = 1 if len(canonical) > 10 else 0
-        return canonical[:keep] + _alike(canonical[keep:], draw)
+        return canonical[:keep] + _alike(canonical[keep:] + "0" * (more // 2), draw)
     if kind == "iban":
-        return canonical[:2] + _alike(canonical[2:], draw)
+        return canonical[:2] + _alike(canonical[2:] + "0" * (more // 2), draw)
+    if kind == "ssn":
+        return _alike(canonical + "0" * (more // 2), draw)
     if kind == "card":
         made = _alike(canonical, draw)
         if _luhn(canonical) == 0:
@@ -167,7 +174,7 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         return made
     prefix = re.match(r"akia(?=\w{16}$)|gh[pousr]_(?=\w{36}$)|", canonical)[0]  # says what kind of secret it is
     hexadecimal = re.fullmatch("[0-9a-f]+", canonical) is not None
-    return prefix + _alike(canonical[len(prefix) :], draw, "abcdef" if hexadecimal else "abcdefghijklmnopqrstuvwxyz")
+    return prefix + _alike(canonical[len(prefix) :] + "a" * more, draw, "abcdef" if hexadecimal else "abcdefghijklmnopqrstuvwxyz")
 
 
 def laid_out(kind: str, original: str, stand_in: str) -> str:
@@ -177,8 +184,9 @@ def laid_out(kind: str, original: str, stand_in: str) -> str:
         made = "".join(next(letters, "") if c.isalnum() else c for c in original) + "".join(letters)
     elif kind.startswith(("given-", "surname-")):
         made = "-".join(part.capitalize() for part in stand_in.split("-"))
-    elif len(original) == len(stand_in):
-        return "".join(s.upper() if c.isupper() else s for c, s in zip(original, stand_in))
+    elif len(original) == len(stand_in) or kind == "secret":
+        made = "".join(s.upper() if c.isupper() else s for c, s in zip(original, stand_in)) + stand_in[len(original) :]
+        return made.upper() if original.isupper() else made
     else:
         made = stand_in
     return made.upper() if original.isupper() else made

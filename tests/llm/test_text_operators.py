@@ -230,6 +230,28 @@ def test_a_text_with_one_kind_alone_passes_the_prefilter(spark):
     assert found == {(e.kind, e.canonical) for t in ALONE for e in pii.entities(t)}
 
 
+def test_more_entities_than_a_layout_has_surrogates(monkeypatch, spark):
+    found = [("email", f"{chr(97 + k % 26)}@{chr(97 + k // 26)}.org") for k in range(40)] + [("email", f"_@{c}.org") for c in "abc"]
+    found += [("email", "7@a.net"), ("secret", "________"), ("secret", "-------_"), ("secret", "////////_")]
+    found += [("secret", f"-------{c}") for c in "abcdefghijklmnopqrstuvwxyz"] + [("ip", ":".join("abcdefab"))]
+    rounds = []
+    write = pii.write_shared
+    monkeypatch.setattr(pii, "write_shared", lambda df, name: rounds.append(name) or (write(df, name) if len(rounds) < 60 else pytest.fail("no end")))
+    rows = pii.assigned(spark.createDataFrame(found, "kind string, canonical string")).collect()
+    pairs = {(r.kind, r.surrogate) for r in rows}
+    assert len(rows) == len(pairs) == len(found) and not pairs & set(found)
+
+
+def test_later_attempts_of_every_kind_differ():
+    for kind, examples in SECRETS.items():
+        for e in [pii.entities(f"see {x}, then")[0] for x in examples] + ([pii.Entity(0, 8, kind, "________")] if kind == "secret" else []):
+            made = [pii.surrogate(pii.KEY, kind, e.canonical, a) for a in range(12)]
+            assert len(set(made)) == 12
+    made = {len(pii.surrogate(pii.KEY, "phone", "12345", a)) for a in range(12)}
+    assert len(made) > 2
+    assert pii.laid_out("secret", "PassWord1", "abcdefgh1xy") == "AbcdEfgh1xy"
+
+
 def test_later_attempts_in_blocks_agree_with_one(spark, monkeypatch):
     docs = spark.createDataFrame([(k, f"Herr {chr(65 + k // 26)}o{chr(97 + k % 26)}er here") for k in range(120)], "doc_id long, text string")
     whole = {r.doc_id: r.text for r in pii.anonymised(docs).collect()}
