@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.llm import jaccard
 from ledgerloom.llm.components import components
 from ledgerloom.llm.shared import write_shared
 
@@ -112,12 +113,15 @@ def simhash_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """`docs` with one document of each group, the one with the smallest id; all columns stay.
+def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle_words: int = jaccard.SHINGLE_WORDS,
+                         similarity: float = jaccard.SIMILARITY) -> DataFrame:
+    """`docs` with one document of each group of near copies, the one with the smallest id; all columns stay.
 
+    Groups join texts whose sets of `shingle_words`-word shingles have a Jaccard similarity of `similarity` or more, directly or through
+    others. They are not those of `simhash_groups`: two bits are too tight for near copies, and bits enough for 0.8 are too many to search.
     Rows that repeat an id are one document: one of them stays. Rows without an id cannot be named and all stay.
     """
-    groups = simhash_groups(docs, text, key)
-    keep = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(key)).distinct()
+    groups = write_shared(jaccard.similar_groups(docs, text, key, shingle_words, similarity), "near-groups")
+    keep = groups.groupBy("root").agg(F.min("doc_id").alias(key)).select(key).distinct()
     named = docs.where(F.col(key).isNotNull()).join(keep, key, "left_semi").dropDuplicates([key])
     return named.select(docs.columns).unionByName(docs.where(F.col(key).isNull()))
