@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.llm import jaccard
 from ledgerloom.llm.components import components
-from ledgerloom.llm.shared import write_shared
+from ledgerloom.llm.shared import fresh, write_shared
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -119,9 +119,13 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id
 
     Groups join texts whose sets of `shingle_words`-word shingles have a Jaccard similarity of `similarity` or more, directly or through
     others. They are not those of `simhash_groups`: two bits are too tight for near copies, and bits enough for 0.8 are too many to search.
-    Rows that repeat an id are one document: one of them stays. Rows without an id cannot be named and all stay.
+    Each group keeps the row of its least id, of several rows with that id the one of least hash; so an id with different texts may stay
+    more than once. Rows that are the same are one. Rows without an id cannot be named and all stay.
     """
-    groups = write_shared(jaccard.similar_groups(docs, text, key, shingle_words, similarity), "near-groups")
-    keep = groups.groupBy("root").agg(F.min("doc_id").alias(key)).select(key).distinct()
-    named = docs.where(F.col(key).isNotNull()).join(keep, key, "left_semi").dropDuplicates([key])
+    (row,) = fresh(docs, "row")
+    hashed = F.xxhash64(*docs.columns)
+    groups = write_shared(jaccard.similar_groups(docs, text, key, shingle_words, similarity, hashed), "near-groups").where("doc_id is not null")
+    least = groups.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("least"))
+    keep = least.select(F.col("least.doc_id").alias(key), F.col("least.row").alias(row)).distinct()
+    named = docs.where(F.col(key).isNotNull()).withColumn(row, hashed).join(keep, [key, row], "left_semi").dropDuplicates([key, row])
     return named.select(docs.columns).unionByName(docs.where(F.col(key).isNull()))

@@ -106,3 +106,13 @@ def test_near_copies_of_similarity_four_fifths_go(spark, prose):
     assert all(want[a] == want[b] for a in groups for b in groups if groups[a] == groups[b])  # no more than belongs together
     kept = {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()}
     assert len(kept) <= len(set(want)) + 3 and {min(i for i, w in enumerate(want) if w == g) for g in set(want)} <= kept
+
+
+def test_an_id_on_different_texts_loses_none(spark, prose):
+    rows = [(1, prose(1, 90), "a"), (2, prose(1, 90), "b"), (2, prose(2, 90), "c"), (2, prose(2, 90), "c"), (3, prose(3, 90), "d"), (3, prose(4, 90), "e"), (4, prose(4, 90), "f"),
+            (5, prose(5, 90), "g"), (5, prose(5, 90), "h")]
+    for order in (rows, rows[::-1]):
+        kept = [tuple(r) for r in simhash.drop_near_duplicates(spark.createDataFrame(order, "doc_id long, text string, source string")).collect()]
+        assert sorted(set(kept) - {rows[-1], rows[-2]}) == sorted({rows[0], rows[2], rows[4], rows[5]})
+        assert len(kept) == 5 and sum(r[0] == 5 for r in kept) == 1
+    assert len({r for r in kept if r[0] == 5}) == 1
