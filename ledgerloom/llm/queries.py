@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    compression, decontaminate, html_text, licenses, mixing, pii, preferences, quality_rules, simhash, url_filter)
+    compression, cross_parsing, decontaminate, fill_middle, html_text, licenses, mixing, ns_clusters, pii, preferences, quality_rules, simhash, url_filter)
 from ledgerloom.llm.shared import table
 from ledgerloom.llm.url_filter import Rule
 
@@ -75,6 +75,18 @@ def op10_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[x for c in ("chosen", "rejected") for x in (preferences.rendered(F.col(c)).alias(c), preferences.trained_text(F.col(c)).alias(f"{c}_trained"))])
 
 
+def op11_ns_bounds_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ns_clusters.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op12_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_parsing.languages(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.middle_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pareto_mixing": op2_pareto_mixing,
@@ -86,6 +98,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_pii_surrogates": op9_pii_surrogates,
     "op10_preference_formatting": op10_preference_formatting,
+    "op11_ns_bounds_clustering": op11_ns_bounds_clustering,
+    "op12_cross_parsing_language": op12_cross_parsing_language,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+'))"
@@ -207,9 +222,60 @@ SELECT p.doc_id, coalesce(o.license, n.license) AS license, o.cosine, CASE WHEN
 FROM placed p LEFT JOIN own o USING (doc_id, path) LEFT JOIN nearest n USING (doc_id, path)
 """
 
+
+
+def _op11() -> str:
+    """Plain k-means, every round with all distances."""
+    def assigned(t):
+        return f"""
+a{t} AS MATERIALIZED (
+  SELECT rid, arg_min(c, d * {ns_clusters.CLUSTERS} + c) AS c, min(d) AS d
+  FROM (SELECT rid, c, list_sum(list_transform(range(1, {ns_clusters.DIMENSIONS + 1}), lambda i: (v[i] - cv[i]) * (v[i] - cv[i])))::BIGINT AS d FROM points, c{t}) GROUP BY rid)"""
+
+    def moved(t):
+        return f"""
+c{t + 1} AS MATERIALIZED (
+  SELECT c{t}.c, coalesce(m.cv, c{t}.cv) AS cv FROM c{t} LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) / n)::BIGINT ORDER BY i) AS cv
+    FROM (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT rid, unnest(v) AS x, unnest(range(len(v))) AS i FROM points) JOIN a{t} USING (rid) GROUP BY c, i)
+    GROUP BY c) m USING (c))"""
+
+    rounds = ",".join(f"{assigned(t)},{moved(t)}" for t in range(ns_clusters.ROUNDS))
+    return f"""
+WITH points AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor({ns_clusters.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {ns_clusters.DIMENSIONS}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND abs({ns_clusters.SCALE} * x::DOUBLE) < {ns_clusters.LARGEST})) = {ns_clusters.DIMENSIONS}),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{ns_clusters.SEED}:' || vec_id::VARCHAR) NULLS LAST, v) - 1 AS c, v AS cv
+  FROM points ORDER BY c LIMIT {ns_clusters.CLUSTERS}),{rounds},{assigned(ns_clusters.ROUNDS)}
+SELECT vec_id, c::INT AS cluster, d AS distance, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(cv, ',')) AS centroid_sha256
+FROM points JOIN a{ns_clusters.ROUNDS} USING (rid) JOIN c{ns_clusters.ROUNDS} USING (c)
+"""
+
+
+_OP13 = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+cut AS (
+  SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+    ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM texts),
+placed AS (SELECT *, len(lines) AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS lo, greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS hi FROM cut),
+parts AS (
+  SELECT *, array_to_string(lines[1:lo], '') AS p, array_to_string(lines[lo + 1:hi], '') AS m, array_to_string(lines[hi + 1:], '') AS s,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM placed)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_pareto_mixing": _OP2,
     "op6_url_filter": _OP6,
     "op8_license_scan": _OP8,
     "op10_preference_formatting": _OP10,
+    "op11_ns_bounds_clustering": _op11(),
+    "op13_fill_in_middle": _OP13,
 }
