@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm import jaccard
 from ledgerloom.llm.components import components
 from ledgerloom.llm.shared import fresh, write_shared
 
@@ -94,6 +93,14 @@ def near_links(fingerprints: DataFrame) -> DataFrame:
             .select(F.col("fp").alias("a"), "b").distinct())
 
 
+def _rooted(prints: DataFrame, least) -> tuple[DataFrame, DataFrame]:
+    """(fp, root, least) per distinct fingerprint, least being the smallest of the column `least`, and (root, least) per group."""
+    distinct = write_shared(prints.groupBy("fp").agg(F.min(least).alias("least")), "simhash-distinct")
+    groups = components(near_links(distinct.select("fp")))
+    labelled = distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return labelled, labelled.groupBy("root").agg(F.min("least").alias("least"))
+
+
 def simhash_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per row of `docs`: doc_id, fingerprint (16 hexadecimal digits), component_id (smallest id reachable).
 
@@ -103,29 +110,24 @@ def simhash_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     not read. An empty table gives an empty result.
     """
     prints = write_shared(docs.select(F.col(key).alias("doc_id"), _fingerprints(F.col(text)).alias("fp")), "simhash-prints")
-    distinct = write_shared(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    groups = components(near_links(distinct.select("fp")))
-    labelled = distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
-    least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = write_shared(labelled.select("fp", "root").join(least, "root").select("fp", "component_id"), "simhash-named")
+    labelled, least = _rooted(prints, "doc_id")
+    named = write_shared(labelled.select("fp", "root").join(least, "root").select("fp", F.col("least").alias("component_id")), "simhash-named")
     return prints.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle_words: int = jaccard.SHINGLE_WORDS,
-                         similarity: float = jaccard.SIMILARITY) -> DataFrame:
-    """`docs` with one document of each group of near copies, the one with the smallest id; all columns stay.
+def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """`docs` with one document of each group of `simhash_groups`, the one with the smallest id; all columns stay.
 
-    Groups join texts whose sets of `shingle_words`-word shingles have a Jaccard similarity of `similarity` or more, directly or through
-    others. They are not those of `simhash_groups`: two bits are too tight for near copies, and bits enough for 0.8 are too many to search.
     Each group keeps the row of its least id, of several rows with that id the one of least hash; so an id with different texts may stay
-    more than once. Rows that are the same are one. Rows without an id cannot be named and all stay.
+    more than once. Rows that are the same are one. Null and empty texts and those without words are one group. Rows without an id
+    cannot be named and all stay. An empty table gives an empty result.
     """
     (row,) = fresh(docs, "row")
     hashed = F.xxhash64(*docs.columns)
-    groups = write_shared(jaccard.similar_groups(docs, text, key, shingle_words, similarity, hashed), "near-groups").where("doc_id is not null")
-    least = groups.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("least"))
-    keep = least.select(F.col("least.doc_id").alias(key), F.col("least.row").alias(row)).distinct()
-    named = docs.where(F.col(key).isNotNull()).withColumn(row, hashed).join(keep, [key, row], "left_semi").dropDuplicates([key, row])
-    return named.select(docs.columns).unionByName(docs.where(F.col(key).isNull()))
+    named = docs.where(F.col(key).isNotNull())
+    prints = write_shared(named.select(F.col(key).alias("doc_id"), hashed.alias("row"), _fingerprints(F.col(text)).alias("fp")), "simhash-prints")
+    _, least = _rooted(prints, F.struct("doc_id", "row"))
+    keep = write_shared(least.select(F.col("least.doc_id").alias(key), F.col("least.row").alias(row)), "simhash-kept")
+    kept = named.withColumn(row, hashed).join(keep, [key, row], "left_semi").dropDuplicates([key, row])
+    return kept.select(docs.columns).unionByName(docs.where(F.col(key).isNull()))

@@ -57,7 +57,19 @@ def test_empty_documents_pass_all_stages(spark):
 
 
 def test_odd_rows_pass_all_stages(spark, odd_docs):
-    docs = odd_docs
+    """Near copies and exact ones go, each row that stays is a row that came, and rows without an id are not lost to the deduplication."""
+    docs, ids = odd_docs, {}
     for name, stage in corpus_pipeline.STAGES:
+        before = {r.doc_id for r in docs.collect()}
         docs = write_shared(stage(spark, docs, SMALL), f"odd-{name}")
         assert docs.columns == odd_docs.columns
+        ids[name] = sorted(str(r.doc_id) for r in docs.collect())
+        assert set(ids[name]) <= set(map(str, before))
+    groups = {r.doc_id: r.component_id for r in simhash.simhash_groups(odd_docs.where("doc_id is not null")).collect()}
+    good = set(ids["quality_classifier"])
+    first = {}
+    for i in sorted(x for x in groups if str(x) in good):
+        first.setdefault(groups[i], str(i))
+    assert [i for i in ids["near_dedup"] if i != "None"] == sorted(first.values())
+    assert ids["near_dedup"].count("None") == ids["quality_classifier"].count("None")
+    assert ids["surrogates"] == ids["decontamination"]
