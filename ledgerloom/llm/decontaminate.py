@@ -8,9 +8,11 @@ word would stand on the document's; proposals are verified by exact edit distanc
 the document about the window. A document holds an item if at most `1 - similarity` of the item's words
 would have to be inserted, deleted or changed.
 
-Recall. An item is missed only if all repetitions from all its words fail. Items of 10 words or more are found with at least
-99 % probability at the default similarity (measured in the tests); shorter ones are proposed by pairs of adjacent
-words, of which at least one survives, so none is missed.
+Recall. An item is missed only if all repetitions from all its words fail. Walks need some words to fall into step again, so items of
+fewer than `SHORT_WORDS` words are proposed by their own adjacent words, of which some survive all edits that the default similarity allows: an edit
+touches three triples at most, and 0.6 n are fewer than the n - 2 triples of n words from 6 on; below that pairs do, and a lone word is itself. None of
+these is missed. From `SHORT_WORDS` words on at least 98 % are found with as many edits as allowed, at random places or evenly spread (the tests measure it
+length by length). A similarity so low that edits may touch every triple has no such proof.
 
 Words are lower-cased runs of letters, digits and non-ASCII characters: punctuation and line breaks do not hide a passage.
 
@@ -31,10 +33,11 @@ from ledgerloom.llm.bytewords import mixed, runs, word_hashes
 from ledgerloom.llm.shared import annotate, fresh
 
 SIMILARITY = 0.8
-REPETITIONS = 5
+REPETITIONS = 7
 SAMPLES = 6
 ITEM_WORDS = 250_000
-SHORT_WORDS = 10
+SHORT_WORDS = 20
+TRIPLE_WORDS = 6  # from here on three adjacent words propose a short item, below two
 _SEED = 20_231
 _HIT = pa.struct([("item", pa.int32()), ("distance", pa.int32()), ("last_word", pa.int64())])
 RESULT = T.StructType([T.StructField("hits", T.ArrayType(T.StructType([
@@ -131,14 +134,22 @@ class Items:
             return key * np.int64(0x5851F42D4C957F2D) + word + 1
 
     def _short_table(self):
-        """Pairs of adjacent words, or lone words, of the short items."""
-        at = np.flatnonzero(~self.long)
-        pair = at[at + 1 < self.starts[1:][self.owner[at]]] if len(at) else at
-        lone = at[self.sizes[self.owner[at]] == 1] if len(at) else at
-        keys = np.concatenate([self._joined(self.ids[pair] + 1, self.ids[pair + 1]) if len(pair) else np.zeros(0, np.int64), self.ids[lone] + 1])
-        at = np.concatenate([pair, lone])
-        order = np.argsort(keys, kind="stable")
-        return keys[order], at[order]
+        """By how many adjacent words are joined: the keys of the short items in order, and the words they begin at."""
+        at, tables = np.flatnonzero(~self.long), []
+        for n in (1, 2, 3):
+            size = self.sizes[self.owner[at]] if len(at) else at
+            own = at[np.where(size >= TRIPLE_WORDS, 3, np.minimum(size, 2)) == n]
+            own = own[own + n <= self.starts[1:][self.owner[own]]] if len(own) else own
+            keys = self._adjacent(self.ids, own, n)
+            order = np.argsort(keys, kind="stable")
+            tables.append((keys[order], own[order]))
+        return tables
+
+    def _adjacent(self, ids, at, n):
+        key = ids[at] + 1
+        for k in range(1, n):
+            key = self._joined(key, ids[at + k])
+        return key
 
     def proposals(self, hashes, ends):
         """(position in the document, word of the item) of all equal samples."""
@@ -154,11 +165,13 @@ class Items:
             for key, at in self._walk(bits[repetition], ids, ends, known, repetition, levels):
                 pass
             out.append(_matches(key, at, keys, words))
-        if len(self.short[0]):
-            pair = known[(known + 1 < ends[known])]
-            pair = pair[ids[np.minimum(pair + 1, len(ids) - 1)] >= 0]
-            out.append(_matches(self._joined(ids[pair] + 1, ids[pair + 1]) if len(pair) else np.zeros(0, np.int64), pair, *self.short))
-            out.append(_matches(ids[known] + 1, known, *self.short))
+        at = known
+        for n, (keys, words) in enumerate(self.short, 1):
+            if n > 1:  # all n words are known and in the same text
+                at = at[at + n <= ends[at]]
+                at = at[ids[at + n - 1] >= 0]
+            if len(keys):
+                out.append(_matches(self._adjacent(ids, at, n), at, keys, words))
         at, words = (np.concatenate(x) for x in zip(*out))
         return at, words
 

@@ -160,6 +160,34 @@ def test_contaminated_finds_what_edit_distance_finds(spark, prose):
     assert len(long & set(got)) >= 0.99 * len(long) and set(want) - long <= set(got)
 
 
+def edited(words, k, even, substitutions, rng):
+    """`words` with k edits, at even distances or random places."""
+    out = list(words)
+    places = [int((j + 0.5) * len(words) / k) for j in range(k)] if even else rng.sample(range(len(words)), k)
+    for place in sorted(places, reverse=True):
+        kind = 0 if substitutions else rng.randrange(3)
+        new = f"new{rng.getrandbits(40)}"
+        out[place : place + 1] = ([new], [], [new, out[place]])[kind]
+    return out
+
+
+@pytest.mark.parametrize("even, substitutions", [(True, True), (False, True), (False, False)])
+def test_recall_at_the_limit_by_length(even, substitutions):
+    rng = random.Random(11)
+    missed = {}
+    for n in [*range(1, 31), 35, 40, 60]:
+        items = [[f"w{rng.getrandbits(40)}" for _ in range(n)] for _ in range(120)]
+        docs = [" ".join([f"x{rng.getrandbits(40)}" for _ in range(rng.randint(0, 25))] + edited(item, int(n * 0.2 + 1e-9), even, substitutions, rng)
+                         + [f"y{rng.getrandbits(40)}" for _ in range(9)]) for item in items]
+        (_, words, starts), = decontaminate.text_words(pa.array([" ".join(i) for i in items]))
+        (_, hashes, firsts), = decontaminate.text_words(pa.array(docs))
+        found = {(r, i) for r, i, _, _ in decontaminate.Items(words, starts).search(hashes, firsts)}
+        assert all(r == i for r, i in found)
+        missed[n] = 120 - len(found)
+    assert not any(missed[n] for n in range(1, decontaminate.SHORT_WORDS))
+    assert max(missed.values()) <= 6 and sum(missed.values()) <= 0.02 * 120 * 14, missed
+
+
 def test_item_blocks_cover_all_items(spark, prose, monkeypatch):
     bench = spark.createDataFrame([(k, prose(k, 12)) for k in range(9)], "item_id long, text string")
     blocks = list(decontaminate.item_blocks(bench, most=30))
