@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from checks.q_profile import sales
 from checks.registry import query, view
 from checks.sql_parts import POSITION, W, WS, interpolate
+from ledgerloom.functions import arima as ar, smoothing as sm
 from ledgerloom.operators import features, forecasting as fc, models as m
 from ledgerloom.operators.series import trend_forecast
 from ledgerloom.params import SALES, Forecasting
@@ -24,19 +25,23 @@ SETTINGS = Forecasting()
 Z = NormalDist().inv_cdf(0.975)
 GRID = "(VALUES " + ", ".join(f"({g}::DOUBLE)" for g in SETTINGS.grid) + ")"
 ZERO = "(VALUES (0.0::DOUBLE))"
+MOVES = "(SELECT unnest([-1, 0, 1]) AS d)"
 
 
-def eliminate(src, size):
-    """Solve size x size systems given as lists of rows, one per (series_id, form)."""
+def eliminate(src, ridge=1e-12):
+    """Solve systems given as lists of rows, one per (series_id, form), with any number of right-hand sides: `m` becomes them, `logdet` the
+    logarithm of the determinant."""
+    firm = f"""list_transform(m, lambda r, i: list_transform(r, lambda v, j: v + CASE WHEN i = j
+      THEN {ridge!r}::DOUBLE * list_sum(list_transform(range(1, len(m) + 1), lambda k: m[k][k])) ELSE 0 END))"""
     return f"""
 WITH RECURSIVE g AS (
-  SELECT series_id, form, 1 AS k, m FROM {src}
+  SELECT series_id, form, 1 AS k, {firm if ridge else 'm'} AS m, 0.0::DOUBLE AS logdet FROM {src}
   UNION ALL
-  SELECT series_id, form, k + 1, list_transform(range(1, {size + 1}), lambda i: CASE WHEN i = k
+  SELECT series_id, form, k + 1, list_transform(range(1, len(m) + 1), lambda i: CASE WHEN i = k
       THEN list_transform(m[k], lambda v: v / m[k][k])
-      ELSE list_transform(range(1, {size + 2}), lambda j: m[i][j] - m[i][k] * m[k][j] / m[k][k]) END)
-  FROM g WHERE k <= {size})
-SELECT series_id, form, list_transform(m, lambda r: r[{size + 1}]) AS coef FROM g WHERE k = {size + 1}"""
+      ELSE list_transform(range(1, len(m[1]) + 1), lambda j: m[i][j] - m[i][k] * m[k][j] / m[k][k]) END), logdet + ln(m[k][k])
+  FROM g WHERE k <= len(m))
+SELECT series_id, form, list_transform(m, lambda r: r[len(m) + 1]) AS coef, list_transform(m, lambda r: r[len(m) + 1:]) AS sides, logdet FROM g WHERE k = len(m) + 1"""
 
 
 MONTH = "(year(date) * 12 + month(date))"
@@ -52,7 +57,7 @@ FROM (SELECT series_id, CAST(unnest(generate_series(min(date), max(date), INTERV
 LEFT JOIN (SELECT * FROM {source} WHERE value IS NOT NULL) v ON v.series_id = s.series_id AND v.date = s.date""")
     view(f"{p}line", interpolate(f"{p}axis", "value", MONTH))
     view(f"{p}pos", f"SELECT series_id, date, value, known, {POSITION} - 1 AS pos, count(*) OVER {WS} AS n FROM {p}line")
-    size = {f: m.ets_size(f, season) for f in m.ETS_FORMS}
+    size = {f: sm.size(f, season) for f in SETTINGS.ets_forms}
     view(f"{p}months", f"""
 SELECT series_id, step, CAST(max(date) + to_months(CAST(step AS INT)) AS DATE) AS date, max(n) AS n
 FROM {p}pos CROSS JOIN (SELECT unnest(range(1, {horizon + 1})) AS step) GROUP BY 1, 2""")
@@ -60,11 +65,11 @@ FROM {p}pos CROSS JOIN (SELECT unnest(range(1, {horizon + 1})) AS step) GROUP BY
     grids = " UNION ALL ".join(
         f"""SELECT '{f}' AS form, {size[f]} AS k, a.col0 AS alpha, b.col0 AS beta, c.col0 AS gamma
             FROM {GRID} a CROSS JOIN {GRID if f[1] == 'A' else ZERO} b CROSS JOIN {GRID if f[2] != 'N' else ZERO} c"""
-        for f in m.ETS_FORMS)
+        for f in SETTINGS.ets_forms)
     view(f"{p}grid", grids)
     view(f"{p}start", f"""
-SELECT series_id, n, m1, (m2 - m1) / {season} AS slope, firsts FROM (
-  SELECT series_id, max(n) AS n, avg(value) FILTER (pos < {season}) AS m1,
+SELECT series_id, n, m1, (m2 - m1) / {season} AS slope, firsts, smallest FROM (
+  SELECT series_id, max(n) AS n, min(value) AS smallest, avg(value) FILTER (pos < {season}) AS m1,
          avg(value) FILTER (pos BETWEEN {season} AND {2 * season - 1}) AS m2,
          list(value ORDER BY pos) FILTER (pos < {season}) AS firsts FROM {p}pos GROUP BY 1)""")
 
@@ -88,50 +93,124 @@ WITH RECURSIVE r AS (
         FROM r JOIN {p}pos q ON q.series_id = r.series_id AND q.pos = r.pos + 1))
 SELECT * FROM r"""
 
-    view(f"{p}candidates", f"SELECT s.series_id, g.* FROM {p}grid g CROSS JOIN {p}start s")
-    view(f"{p}tried", f"SELECT * EXCLUDE (s) FROM ({recursion(p + 'candidates')}) WHERE pos = n - 1")
+    view(f"{p}candidates", f"""
+SELECT s.series_id, g.* FROM {p}grid g CROSS JOIN {p}start s WHERE (form = 'ANN' OR s.n >= {2 * season}) AND (form[3] <> 'M' OR s.smallest > 0)""")
+    # The grid's best weights of every form, then the best of their neighbours at smaller and smaller steps.
+    view(f"{p}moves", " UNION ALL ".join(
+        f"""SELECT '{f}' AS form, a.d AS da, {'b.d' if f[1] == 'A' else '0'} AS db, {'c.d' if f[2] != 'N' else '0'} AS dc
+            FROM {MOVES} a{f' CROSS JOIN {MOVES} b' if f[1] == 'A' else ''}{f' CROSS JOIN {MOVES} c' if f[2] != 'N' else ''}""" for f in SETTINGS.ets_forms))
+    weight = lambda w, d, step, used: f"CASE WHEN {used} THEN greatest({sm.LEAST}::DOUBLE, least({sm.MOST}::DOUBLE, {w} + {d} * {step}::DOUBLE)) ELSE 0.0::DOUBLE END AS {w}"
+    for r, step in enumerate((*sm.STEPS, None)):
+        view(f"{p}tried{r}", f"SELECT * EXCLUDE (s) FROM ({recursion(p + 'candidates' if r == 0 else f'{p}candidates{r}')}) WHERE pos = n - 1")
+        view(f"{p}winners{r}", f"""
+SELECT series_id, form, k, alpha, beta, gamma, sse, n FROM {p}tried{r}
+QUALIFY row_number() OVER (PARTITION BY series_id, form ORDER BY sse, alpha, beta, gamma) = 1""")
+        if step is not None:
+            view(f"{p}candidates{r + 1}", f"""
+SELECT series_id, form, k, {weight('alpha', 'da', step, 'true')}, {weight('beta', 'db', step, "form[2] = 'A'")}, {weight('gamma', 'dc', step, "form[3] <> 'N'")}
+FROM {p}winners{r} JOIN {p}moves USING (form)""")
+    view(f"{p}form_winners", f"SELECT series_id, form, k, alpha, beta, gamma FROM {p}winners{len(sm.STEPS)}")
+    view(f"{p}form_path", recursion(p + "form_winners"))
     view(f"{p}ets", f"""
-SELECT series_id, form, k, alpha, beta, gamma, sse, n * ln(sse / n) + 2 * k AS aic FROM {p}tried
-WHERE form = 'ANN' OR n >= {2 * season} QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY n * ln(sse / n) + 2 * k, alpha, beta, gamma) = 1""")
+SELECT series_id, form, k, alpha, beta, gamma, sse, n * ln(sse / n) + 2 * k AS aic FROM {p}winners{len(sm.STEPS)}
+QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY n * ln(sse / n) + 2 * k, form) = 1""")
     view(f"{p}winners", f"SELECT series_id, form, k, alpha, beta, gamma FROM {p}ets")
     view(f"{p}path", recursion(p + "winners"))
-    # The best weights of every form, also of those that lose.
-    view(f"{p}form_winners", f"""
-SELECT series_id, form, k, alpha, beta, gamma FROM {p}tried
-QUALIFY row_number() OVER (PARTITION BY series_id, form ORDER BY sse, alpha, beta, gamma) = 1""")
-    view(f"{p}form_path", recursion(p + "form_winners"))
-    # Autoregression on the twice differenced series.
+    # Seasonal autoregression with moving averages: w and its errors by a long autoregression, then w on the lags of both.
+    by = "OVER (PARTITION BY series_id ORDER BY pos)"
     view(f"{p}w", f"""
 SELECT *, value - lag(value, 1) OVER {W} - lag(value, {season}) OVER {W} + lag(value, {season + 1}) OVER {W} AS w FROM {p}pos""")
-    view(f"{p}x", f"SELECT *, lag(w, 1) OVER {W} AS x1, lag(w, 2) OVER {W} AS x2, lag(w, {season}) OVER {W} AS x{season} FROM {p}w")
-    fitted_forms = []
-    for i, (form, used) in enumerate(m.ar_forms(season).items()):
-        rows = ", ".join(
-            "[" + ", ".join(f"sum(x{a} * x{b})" for b in used) + f", sum(x{a} * w)]" for a in used)
-        view(f"{p}ar_m{i}", f"SELECT series_id, '{form}' AS form, [{rows}] AS m FROM {p}x WHERE x{season} IS NOT NULL AND n >= {m.ar_least(season)} GROUP BY 1")
-        view(f"{p}ar_c{i}", eliminate(f"{p}ar_m{i}", len(used)))
-        phi = [f"coef[{used.index(lag) + 1}]" if lag in used else "0.0::DOUBLE" for lag in (1, 2, season)]
-        fitted_forms.append(
-            f"SELECT series_id, form, {len(used) + 1} AS k, {phi[0]} AS phi1, {phi[1]} AS phi2, {phi[2]} AS phi{season} FROM {p}ar_c{i}")
-    view(f"{p}ar_all", " UNION ALL ".join(fitted_forms))
+    long = (1, 2, 3, season, season + 1)
+    view(f"{p}x", f"""
+SELECT *, {', '.join(f'coalesce(lag(w, {k}) {by}, 0) AS x{k}' for k in long)} FROM {p}w WHERE w IS NOT NULL AND n >= {ar.least(season)}""")
+
+    def normal(src, names, form):
+        rows = ", ".join("[" + ", ".join(f"sum({a_} * {b_})" for b_ in (*names, "w")) + "]" for a_ in names)
+        return f"SELECT series_id, '{form}' AS form, [{rows}] AS m FROM {src} GROUP BY 1"
+
+    view(f"{p}long_m", normal(f"{p}x", [f"x{k}" for k in long], "long"))
+    view(f"{p}long", eliminate(f"{p}long_m"))
+    view(f"{p}e", f"SELECT *, w - {' - '.join(f'coef[{i + 1}] * x{k}' for i, k in enumerate(long))} AS e FROM {p}x JOIN {p}long USING (series_id)")
+    view(f"{p}xe", f"SELECT * EXCLUDE (form, coef, sides, logdet), {', '.join(f'coalesce(lag(e, {k}) {by}, 0) AS e{k}' for k in (1, 2, season))} FROM {p}e")
+    inside = lambda c, edge="1": f"greatest(-{ar.EDGE} * ({edge}), least({ar.EDGE} * ({edge}), {c}))"
+    estimates = []
+    for i, (form, (na, nm, sa, sm_)) in enumerate(ar.ORDERS.items()):
+        names = [*[f"x{k}" for k in (*range(1, na + 1), *[season] * sa)], *[f"e{k}" for k in (*range(1, nm + 1), *[season] * sm_)]]
+        view(f"{p}ar_m{i}", normal(f"{p}xe", names, form))
+        view(f"{p}ar_c{i}", eliminate(f"{p}ar_m{i}"))
+        c = lambda name: f"coef[{names.index(name) + 1}]" if name in names else "0.0::DOUBLE"  # noqa: E731, B023
+        phi2, theta2 = inside(c("x2")), f"-({inside('-' + c('e2'))})"
+        estimates.append(f"""
+SELECT series_id, form, {na + nm + sa + sm_} AS k, {i} AS nr, {inside(c('x1'), f'1 - {phi2}')} AS phi1, {phi2} AS phi2, -({inside('-' + c('e1'), f'1 + {theta2}')}) AS theta1,
+  {theta2} AS theta2, {inside(c(f'x{season}'))} AS sphi, {inside(c(f'e{season}'))} AS stheta FROM {p}ar_c{i}""")
+    view(f"{p}ar_all", " UNION ALL ".join(estimates))
+    # Channels: the series, and for each unknown month one that is 1 there. Errors are linear in them.
+    view(f"{p}chan", f"""
+SELECT series_id, 0 AS ch, pos, value AS v FROM {p}pos WHERE n >= {ar.least(season)}
+UNION ALL SELECT a.series_id, a.pos + 1, b.pos, CASE WHEN a.pos = b.pos THEN 1.0 ELSE 0.0 END FROM {p}pos a JOIN {p}pos b USING (series_id) WHERE NOT a.known AND a.n >= {ar.least(season)}""")
+    of = "OVER (PARTITION BY series_id, ch ORDER BY pos)"
+    zeros = f"list_transform(range({season + 2}), lambda x: 0.0::DOUBLE)"
+    view(f"{p}chan_w", f"""
+SELECT series_id, ch, list_concat({zeros}, list(w ORDER BY pos)) AS ws FROM (
+  SELECT *, v - lag(v, 1) {of} - lag(v, {season}) {of} + lag(v, {season + 1}) {of} AS w FROM {p}chan) WHERE w IS NOT NULL GROUP BY ALL""")
+    pairs_of = {1: ("phi1", "theta1"), 2: ("phi2", "theta2"), season: ("sphi", "stheta"), season + 1: ("-phi1 * sphi", "theta1 * stheta"),
+                season + 2: ("-phi2 * sphi", "theta2 * stheta")}
+    view(f"{p}ar_filter", f"""
+WITH RECURSIVE r AS (
+  SELECT *, {season + 2} AS t, {zeros} AS es FROM {p}ar_all JOIN {p}chan_w USING (series_id)
+  UNION ALL
+  SELECT * EXCLUDE (t, es), t + 1, list_append(es, ws[t + 1] - {' - '.join(f'(({a_}) * ws[t + 1 - {k}] + ({b_}) * es[t + 1 - {k}])' for k, (a_, b_) in pairs_of.items())})
+  FROM r WHERE t < len(ws))
+SELECT * FROM r WHERE t = len(ws)""")
+    view(f"{p}ar_cells", f"""
+SELECT a.series_id, a.form, a.ch AS i, b.ch AS j, CASE WHEN b.ch = 0 THEN -1 ELSE 1 END * list_dot_product(a.es, b.es) AS c
+FROM {p}ar_filter a JOIN {p}ar_filter b USING (series_id, form) WHERE a.ch > 0""")
+    view(f"{p}ar_un_m", f"""
+SELECT series_id, form, list(r ORDER BY i) AS m FROM (
+  SELECT series_id, form, i, list(c ORDER BY j = 0, j) AS r FROM {p}ar_cells GROUP BY ALL) GROUP BY ALL""")
+    view(f"{p}ar_un", eliminate(f"{p}ar_un_m", 0))
+    view(f"{p}ar_share", f"""
+SELECT f.series_id, f.form, f.ch, CASE WHEN f.ch = 0 THEN 1.0::DOUBLE ELSE u.coef[row_number() OVER (PARTITION BY f.series_id, f.form ORDER BY f.ch) - 1] END AS c
+FROM {p}ar_filter f LEFT JOIN {p}ar_un u ON u.series_id = f.series_id AND u.form = f.form""")
+    view(f"{p}ar_es", f"""
+SELECT series_id, form, t, sum(c * e) AS e FROM (
+  SELECT series_id, form, ch, unnest(es[{season + 3}:]) AS e, unnest(range(len(es) - {season + 2})) AS t FROM {p}ar_filter) JOIN {p}ar_share USING (series_id, form, ch)
+GROUP BY ALL""")
     view(f"{p}ar", f"""
-SELECT *, rows * ln(sse / rows) + 2 * k AS aic FROM (
-  SELECT series_id, form, k, phi1, phi2, phi{season}, count(*) AS rows,
-         sum((w - phi1 * x1 - phi2 * x2 - phi{season} * x{season}) ** 2) AS sse
-  FROM {p}ar_all JOIN {p}x USING (series_id) WHERE x{season} IS NOT NULL GROUP BY ALL)
-QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY rows * ln(sse / rows) + 2 * k) = 1""")
-    view(f"{p}ar_ahead", f"""
+SELECT *, months * ln(sse / months) + logdet + 2 * (k + 1) AS aic, sqrt(sse / months) AS sigma FROM (
+  SELECT a.*, s.sse, s.w_months - coalesce(len(u.coef), 0) AS months, coalesce(u.logdet, 0) AS logdet FROM {p}ar_all a
+  JOIN (SELECT series_id, form, sum(e * e) AS sse, count(*) AS w_months FROM {p}ar_es GROUP BY ALL) s ON s.series_id = a.series_id AND s.form = a.form
+  LEFT JOIN {p}ar_un u ON u.series_id = a.series_id AND u.form = a.form) WHERE months > k + 1
+QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY months * ln(sse / months) + logdet + 2 * (k + 1), nr) = 1""")
+    view(f"{p}ar_y", f"""
+SELECT a.series_id, v.pos, sum(s.c * v.v) AS y FROM {p}ar a JOIN {p}ar_share s ON s.series_id = a.series_id AND s.form = a.form
+JOIN {p}chan v ON v.series_id = a.series_id AND v.ch = s.ch GROUP BY ALL""")
+    view(f"{p}ar_end", f"""
+SELECT *, list_concat({zeros}, list_transform(range({season + 2}, len(ys) + 1), lambda t: ys[t] - ys[t - 1] - ys[t - {season}] + ys[t - {season + 1}])) AS ws FROM (
+  SELECT a.*, y.ys, list_concat({zeros}, e.es) AS es FROM {p}ar a
+  JOIN (SELECT series_id, list(y ORDER BY pos) AS ys FROM {p}ar_y GROUP BY 1) y ON y.series_id = a.series_id
+  JOIN (SELECT series_id, form, list(e ORDER BY t) AS es FROM {p}ar_es GROUP BY ALL) e ON e.series_id = a.series_id AND e.form = a.form)""")
+
+    def continued(src):
+        return f"""
 WITH RECURSIVE r AS (
-  SELECT series_id, phi1, phi2, phi{season}, 0 AS step, ys, ws FROM {p}ar
-  JOIN (SELECT series_id, list(value ORDER BY pos) AS ys, list(w ORDER BY pos) AS ws FROM {p}w GROUP BY 1) USING (series_id)
+  SELECT *, 0 AS step FROM {src}
   UNION ALL
-  SELECT series_id, phi1, phi2, phi{season}, step + 1, list_append(ys, d + ys[-1] + ys[-{season}] - ys[-{season + 1}]), list_append(ws, d)
-  FROM (SELECT *, phi1 * ws[-1] + phi2 * ws[-2] + phi{season} * ws[-{season}] AS d FROM r WHERE step < {horizon}))
-SELECT series_id, step, ys[-1] AS forecast FROM r WHERE step > 0""")
+  SELECT * EXCLUDE (step, ys, ws, es, d), list_append(ys, d + ys[-1] + ys[-{season}] - ys[-{season + 1}]) AS ys, list_append(ws, d) AS ws, list_append(es, 0.0::DOUBLE) AS es, step + 1
+  FROM (SELECT *, {' + '.join(f'(({a_}) * ws[-{k}] + ({b_}) * es[-{k}])' for k, (a_, b_) in pairs_of.items())} AS d FROM r WHERE step < {horizon}))
+SELECT series_id, step, ys[-1] AS forecast FROM r"""
+
+    keep = "series_id, phi1, phi2, theta1, theta2, sphi, stheta"
+    view(f"{p}ar_from", f"SELECT {keep}, ys, ws, es FROM {p}ar_end")
+    hit = f"list_append({zeros}, 1.0::DOUBLE)"
+    view(f"{p}ar_hit", f"SELECT {keep}, {hit} AS ys, {hit} AS ws, {hit} AS es FROM {p}ar")
+    view(f"{p}ar_ahead", f"SELECT * FROM ({continued(f'{p}ar_from')}) WHERE step > 0")
+    view(f"{p}ar_weights", continued(f"{p}ar_hit"))
     fitted = [
         f"SELECT series_id, 'ets' AS model, date, value AS actual, expected AS predicted FROM {p}pos JOIN {p}path USING (series_id, pos) WHERE known",
-        f"""SELECT series_id, 'ar' AS model, date, value AS actual,
-            value - w + phi1 * x1 + phi2 * x2 + phi{season} * x{season} AS predicted FROM {p}x JOIN {p}ar USING (series_id) WHERE known""",
+        f"""SELECT q.series_id, 'ar' AS model, q.date, q.value AS actual, q.value - e.e AS predicted FROM {p}ar a
+            JOIN {p}pos q ON q.series_id = a.series_id
+            LEFT JOIN {p}ar_es e ON e.series_id = a.series_id AND e.form = a.form AND q.pos = e.t + {season + 1} WHERE q.known""",
     ]
     ahead = [
         f"SELECT series_id, 'ar' AS model, step, forecast FROM {p}ar_ahead",
@@ -140,25 +219,53 @@ SELECT series_id, step, ys[-1] AS forecast FROM r WHERE step > 0""")
                  ELSE l + b * step END AS forecast
             FROM {p}path JOIN {p}months USING (series_id) WHERE pos = {p}path.n - 1""",
     ]
+    # How far an error reaches, j months on; the multiplicative season to first order.
+    reach = f"""alpha * (1 + beta * (step - i)) * CASE WHEN form[3] = 'M' THEN s[(step - 1) % {season} + 1] / s[(i - 1) % {season} + 1] ELSE 1 END
+      + CASE WHEN (step - i) % {season} = 0 AND form[3] <> 'N' THEN gamma * CASE WHEN form[3] = 'M' THEN (l + b * step) / (l + b * i) ELSE 1 END ELSE 0 END"""
+    spreads = [
+        f"""SELECT series_id, 'ets' AS model, step, sqrt(sse / {p}path.n * (1 + coalesce(list_sum(list_transform(range(1, step), lambda i: ({reach}) ** 2)), 0))) AS spread
+            FROM {p}path JOIN {p}months USING (series_id) WHERE pos = {p}path.n - 1""",
+        f"""SELECT a.series_id, 'ar' AS model, step + 1 AS step, sigma * sqrt(sum(forecast * forecast) OVER (PARTITION BY a.series_id ORDER BY step)) AS spread
+            FROM {p}ar_weights w JOIN {p}ar a ON a.series_id = w.series_id WHERE step < {horizon}""",
+    ]
     if fourier:
         def design(pos, month):
             waves = ", ".join(f"{f}(2 * pi() * {k} * ({month} - 1) / 12)" for k in (1, 2, 3) for f in ("sin", "cos"))
-            return f"[1.0::DOUBLE, {pos} / n, {waves}]"
+            bends = ", ".join(f"greatest(0, {pos} / n - 0.8::DOUBLE * {k} / {SETTINGS.knots + 1})" for k in range(1, SETTINGS.knots + 1))
+            return f"[1.0::DOUBLE, {pos} / n, {waves}, {bends}]"
+
+        sides = SETTINGS.knots + 8
 
         view(f"{p}design", f"SELECT *, {design('pos', 'month(date)')} AS x FROM {p}pos")
         view(f"{p}normal_cells", f"""
-SELECT series_id, i, j, sum(xv[i] * xv[j]) AS c FROM (SELECT series_id, list_append(x, value) AS xv FROM {p}design)
-CROSS JOIN (SELECT unnest(range(1, 9)) AS i) CROSS JOIN (SELECT unnest(range(1, 10)) AS j) GROUP BY ALL""")
+SELECT series_id, i, j, sum(xv[i] * xv[j]) AS c
+FROM (SELECT series_id, list_append(x, value) AS xv FROM {p}design WHERE known)
+CROSS JOIN (SELECT unnest(range(1, {sides + 1})) AS i) CROSS JOIN (SELECT unnest(range(1, {sides + 2})) AS j) GROUP BY series_id, i, j HAVING count(*) > 9""")
+        view(f"{p}ahead_x", f"SELECT series_id, step, {design('(n - 1 + step)', 'month(date)')} AS x FROM {p}months")
+        view(f"{p}sides", f"SELECT series_id, i, list(x[i] ORDER BY step) AS r FROM {p}ahead_x CROSS JOIN (SELECT unnest(range(1, {sides + 1})) AS i) GROUP BY ALL")
+        # Beside the values: the forecasts' designs and the unpenalised cross products, whose solutions have the free coefficients on the diagonal.
         view(f"{p}normal", f"""
-SELECT series_id, 'trend+3' AS form, list(r ORDER BY i) AS m
-FROM (SELECT series_id, i, list(c ORDER BY j) AS r FROM {p}normal_cells GROUP BY ALL) GROUP BY 1""")
-        view(f"{p}fourier", eliminate(f"{p}normal", 8))
+SELECT series_id, CAST(penalty AS VARCHAR) AS form,
+  list(list_concat(list_transform(q.r, lambda v, j: v + CASE WHEN j = i AND i > 8 THEN penalty ELSE 0 END), a.r, q.r[:{sides}]) ORDER BY i) AS m
+FROM (SELECT series_id, i, list(c ORDER BY j) AS r FROM {p}normal_cells GROUP BY ALL) q JOIN {p}sides a USING (series_id, i)
+CROSS JOIN (SELECT unnest({list(SETTINGS.knot_penalties)})::DOUBLE AS penalty) GROUP BY 1, 2""")
+        view(f"{p}bends", eliminate(f"{p}normal"))
+        view(f"{p}bent", f"""
+SELECT *, (SELECT sum(sides[i][1 + {horizon} + i]) FROM (SELECT unnest(range(1, {sides + 1})) AS i)) AS used FROM {p}bends""")
+        view(f"{p}fourier", f"""
+SELECT *, sqrt(sse / (months - used)) AS sigma FROM (
+  SELECT b.series_id, b.form AS penalty, 'trend+3' AS form, b.coef, b.sides, b.used, sum((value - list_dot_product(x, coef)) ** 2) AS sse, count(*) AS months
+  FROM {p}design d JOIN {p}bent b ON b.series_id = d.series_id WHERE known GROUP BY ALL)
+QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY sse / (months - used) ** 2, CAST(penalty AS DOUBLE)) = 1""")
+        spreads.append(f"""SELECT series_id, 'fourier' AS model, step, sigma * sqrt(1 + list_dot_product(x, list_transform(sides, lambda r: r[step + 1]))) AS spread
+            FROM {p}ahead_x JOIN {p}fourier USING (series_id)""")
         fitted.append(f"""SELECT series_id, 'fourier' AS model, date, value AS actual, list_dot_product(x, coef) AS predicted
             FROM {p}design JOIN {p}fourier USING (series_id) WHERE known""")
         ahead.append(f"""SELECT series_id, 'fourier' AS model, step, list_dot_product({design('(n - 1 + step)', 'month(date)')}, coef) AS forecast
             FROM {p}months JOIN {p}fourier USING (series_id)""")
     view(f"{p}fitted", " UNION ALL ".join(fitted))
     view(f"{p}ahead", " UNION ALL ".join(ahead))
+    view(f"{p}spread", " UNION ALL ".join(spreads))
 
 
 def accuracy_sql(src):
@@ -175,44 +282,49 @@ SCORES = "series_id model n_points:i mae:2 rmse:2 mape:6 smape:6 r_squared:6"
 model_views("m_", "sales_series", 18)
 
 
-def packed(t):
-    return m.pack_series(sales(t))
+def fitted(t, model, settings=SETTINGS, series=None):
+    return m.fit_models(m.pack_series(sales(t) if series is None else series), (model,), settings)
 
 
-def unpack(column, names):
-    def pick(df):
-        return df.select(
-            "series_id", f"{column}.form", f"{column}.aic", F.sqrt(F.col(f"{column}.sse") / 1e6).alias("root_sse"),
-            *[F.col(f"{column}.params")[k].alias(k) for k in names])
-    return pick
+def unpack(df, names):
+    return df.select("series_id", "form", "aic", F.sqrt(F.col("sse") / 1e6).alias("root_sse"), *[F.col("params")[k].alias(k) for k in names])
 
 
-query("ets_tournament", "series_id form aic:4 root_sse:2 alpha:6 beta:6 gamma:6",
-      lambda t: unpack("ets", ("alpha", "beta", "gamma"))(m.fit_ets(packed(t))),
+WEIGHTS = ("alpha", "beta", "gamma")
+query("ets_tournament", "series_id form aic:4 root_sse:2 alpha:6 beta:6 gamma:6", lambda t: unpack(fitted(t, "ets"), WEIGHTS),
       "SELECT *, sqrt(sse / 1e6) AS root_sse FROM m_ets")
 
 
 def every_form(t):
-    fits = [m.fit_ets(packed(t), forms=(f,)) for f in m.ETS_FORMS]
-    fits = [f.select("series_id", "dates", "y", "known", "n", F.lit("ets").alias("model"), "ets.form", "ets.params", "ets.aic") for f in fits]
+    fits = [fitted(t, "ets", replace(SETTINGS, ets_forms=(f,))) for f in SETTINGS.ets_forms]
     both = fits[0].unionByName(fits[1]).unionByName(fits[2]).unionByName(fits[3])
     return m.run_models(both, 14).select(
-        "series_id", "form", "aic", *[F.col("params")[k].alias(k) for k in ("alpha", "beta", "gamma")],
-        F.posexplode_outer("run.forecast").alias("k", "forecast")).withColumn("step", F.col("k") + 1)
+        "series_id", "form", "aic", *[F.col("params")[k].alias(k) for k in WEIGHTS],
+        F.posexplode_outer(F.arrays_zip("run.forecast", "run.spread")).alias("k", "z")).select(
+        "*", (F.col("k") + 1).alias("step"), "z.forecast", "z.spread")
 
 
-query("ets_forms", "series_id form aic:4 alpha:6 beta:6 gamma:6 step:i forecast:2", every_form,
+query("ets_forms", "series_id form aic:4 alpha:6 beta:6 gamma:6 step:i forecast:2 spread:2", every_form,
       """SELECT p.series_id, form, p.n * ln(sse / p.n) + 2 * k AS aic, alpha, beta, gamma, step,
              CASE form[3] WHEN 'A' THEN l + b * step + s[(step - 1) % 12 + 1] WHEN 'M' THEN (l + b * step) * s[(step - 1) % 12 + 1]
-                  ELSE l + b * step END AS forecast
+                  ELSE l + b * step END AS forecast, """ + """
+             sqrt(sse / p.n * (1 + coalesce(list_sum(list_transform(range(1, step), lambda i: (
+               alpha * (1 + beta * (step - i)) * CASE WHEN form[3] = 'M' THEN s[(step - 1) % 12 + 1] / s[(i - 1) % 12 + 1] ELSE 1 END
+               + CASE WHEN (step - i) % 12 = 0 AND form[3] <> 'N' THEN gamma * CASE WHEN form[3] = 'M' THEN (l + b * step) / (l + b * i) ELSE 1 END ELSE 0 END) ** 2)), 0))) AS spread
          FROM m_form_path p JOIN m_months d ON d.series_id = p.series_id AND step <= 14 WHERE pos = p.n - 1""")
-query("ar_tournament", "series_id form aic:4 root_sse:2 phi1:6 phi2:6 phi12:6",
-      lambda t: unpack("ar", ("phi1", "phi2", "phi12"))(m.fit_ar(packed(t))),
-      "SELECT *, sqrt(sse / 1e6) AS root_sse FROM m_ar")
-COEF = [f"c{i}" for i in range(8)]
-query("fourier_trend_forecast", "series_id form " + " ".join(f"{c}:2" for c in COEF),
-      lambda t: unpack("fourier", COEF)(m.fit_fourier(packed(t))),
-      "SELECT *, " + ", ".join(f"coef[{i + 1}] AS c{i}" for i in range(8)) + " FROM m_fourier")
+AR_COLUMNS = "series_id form aic:4 root_sse:2 " + " ".join(f"{c}:6" for c in ar.PARAMS)
+query("ar_tournament", AR_COLUMNS, lambda t: unpack(fitted(t, "ar"), ar.PARAMS), "SELECT *, sqrt(sse / 1e6) AS root_sse FROM m_ar")
+COEF = [f"c{i}" for i in range(8 + SETTINGS.knots)]
+query("fourier_trend_forecast", "series_id form aic:4 penalty:4 " + " ".join(f"{c}:2" for c in COEF), lambda t: unpack(fitted(t, "fourier"), [*COEF, "penalty"]),
+      "SELECT *, months * ln(sse / months) + 2 * (used + 1) AS aic, " + ", ".join(f"coef[{i + 1}] AS {c}" for i, c in enumerate(COEF)) + " FROM m_fourier")
+
+
+def bounds_of_all(t):
+    run = m.run_models(m.fit_models(m.pack_series(sales(t))), 18)
+    return run.select("series_id", "model", F.posexplode_outer("run.spread").alias("k", "spread")).withColumn("step", F.col("k") + 1)
+
+
+query("forecast_spread", "series_id model step:i spread:2", bounds_of_all, "SELECT * FROM m_spread")
 query("fitted_values", "series_id model date:d actual:4 predicted:2", lambda t: fc.fitted_values(fc.tournament(sales(t))),
       "SELECT * FROM m_fitted")
 query("model_store", "series_id model step:i date:d forecast:2",
@@ -228,8 +340,7 @@ query("fitted_parameters", "series_id model form aic:4 mape:6 data_end_date:d",
       lambda t: fc.fitted_parameters(sales(t)).withColumn("mape", F.col("scores.mape")),
       """SELECT f.series_id, f.model, form, aic, mape, data_end_date FROM (
            SELECT series_id, 'ets' AS model, form, aic FROM m_ets UNION ALL SELECT series_id, 'ar', form, aic FROM m_ar
-           UNION ALL SELECT series_id, model, 'trend+3', count(*) * ln(avg((actual - predicted) ** 2)) + 2 * 9 FROM m_fitted
-             WHERE model = 'fourier' GROUP BY ALL) f
+           UNION ALL SELECT series_id, 'fourier', form, months * ln(sse / months) + 2 * (used + 1) FROM m_fourier) f
          JOIN accuracy a ON a.series_id = f.series_id AND a.model = f.model
          JOIN (SELECT series_id, max(date) AS data_end_date FROM sales_series GROUP BY 1) e ON e.series_id = f.series_id""")
 query("acceptance_gate", "series_id model mape:6 r_squared:6 accepted:b",
@@ -237,17 +348,17 @@ query("acceptance_gate", "series_id model mape:6 r_squared:6 accepted:b",
       "SELECT *, coalesce(r_squared >= 0.85 AND mape <= 15, false) AS accepted FROM accuracy")
 
 
-def horizon_sql(p, choice, scores):
+def horizon_sql(p, choice):
     return f"""
-SELECT a.series_id, a.model, a.step, date, forecast, forecast - {Z!r} * rmse * sqrt(a.step) AS lower_bound,
-       forecast + {Z!r} * rmse * sqrt(a.step) AS upper_bound, 0.95 AS confidence_level
+SELECT a.series_id, a.model, a.step, date, forecast, forecast - {Z!r} * spread AS lower_bound,
+       forecast + {Z!r} * spread AS upper_bound, 0.95 AS confidence_level
 FROM {p}ahead a JOIN {choice} c ON c.series_id = a.series_id AND c.model = a.model
-JOIN {scores} s ON s.series_id = a.series_id AND s.model = a.model
+JOIN {p}spread s ON s.series_id = a.series_id AND s.model = a.model AND s.step = a.step
 JOIN {p}months d ON d.series_id = a.series_id AND d.step = a.step"""
 
 
 query("forecast_horizon", "series_id model step:i date:d forecast:2 lower_bound:2 upper_bound:2 confidence_level:2",
-      lambda t: fc.forecast_horizon(sales(t)), horizon_sql("m_", "select_model", "accuracy"))
+      lambda t: fc.forecast_horizon(sales(t)), horizon_sql("m_", "select_model"))
 query("forecast_growth", "series_id step:i mom_growth:6 yoy_growth:6 cumulative_index:1",
       lambda t: features.forecast_growth(trend_forecast(sales(t))),
       f"""SELECT series_id, step, (forecast / lag(forecast) OVER {W} - 1) * 100 AS mom_growth,
@@ -311,12 +422,15 @@ for prefix, source, frame, name in (("g_", "gappy_series", gappy, "gaps"), ("t_"
     model_views(prefix, source, 18)
     view(f"{prefix}accuracy", accuracy_sql(f"{prefix}fitted"))
     view(f"{prefix}choice", f"SELECT series_id, arg_min(model, mape) AS model FROM {prefix}accuracy GROUP BY 1")
-    query(f"forecast_horizon_{name}", HORIZON, lambda t, frame=frame: fc.forecast_horizon(frame(t)), horizon_sql(prefix, f"{prefix}choice", f"{prefix}accuracy"))
+    query(f"forecast_horizon_{name}", HORIZON, lambda t, frame=frame: fc.forecast_horizon(frame(t)), horizon_sql(prefix, f"{prefix}choice"))
+
+# Unknown months are integrated out of the likelihood.
+query("ar_tournament_gaps", AR_COLUMNS, lambda t: unpack(fitted(t, "ar", series=gappy(t)), ar.PARAMS), "SELECT *, sqrt(sse / 1e6) AS root_sse FROM g_ar")
 
 QUARTERLY = replace(SETTINGS, season=4)
 model_views("q_", "sales_series", 18, season=4)
 query("ets_tournament_quarterly", "series_id form aic:4 root_sse:2 alpha:6 beta:6 gamma:6",
-      lambda t: unpack("ets", ("alpha", "beta", "gamma"))(m.fit_ets(packed(t), season=4)),
+      lambda t: unpack(fitted(t, "ets", QUARTERLY), WEIGHTS),
       "SELECT *, sqrt(sse / 1e6) AS root_sse FROM q_ets")
 query("model_forecasts_quarterly", "series_id model step:i forecast:2",
       lambda t: fc.score(sales(t), fc.fitted_parameters(sales(t), settings=QUARTERLY), 18, QUARTERLY), "SELECT * FROM q_ahead")
@@ -336,5 +450,4 @@ query("fitted_parameters_short", "series_id model form aic:4 reason",
       """SELECT k.series_id, k.model, f.form, f.aic, CASE WHEN f.form IS NULL THEN 'too short' END AS reason
          FROM (SELECT DISTINCT series_id, unnest(['ar', 'ets', 'fourier']) AS model FROM short_series) k LEFT JOIN (
            SELECT series_id, 'ets' AS model, form, aic FROM s_ets UNION ALL SELECT series_id, 'ar', form, aic FROM s_ar
-           UNION ALL SELECT series_id, model, 'trend+3', count(*) * ln(avg((actual - predicted) ** 2)) + 2 * 9 FROM s_fitted
-             WHERE model = 'fourier' GROUP BY ALL) f ON f.series_id = k.series_id AND f.model = k.model""")
+           UNION ALL SELECT series_id, 'fourier', form, months * ln(sse / months) + 2 * (used + 1) FROM s_fourier) f ON f.series_id = k.series_id AND f.model = k.model""")

@@ -88,7 +88,10 @@ IN_SAMPLE = """get(transform(
 
 
 def forecast_horizon(df: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:
-    """The best model of each series carried forward, with bounds that widen with the root of the step.
+    """The best model of each series carried forward, with the bounds of that model.
+
+    A bound lies as many standard deviations of the forecast's error away as the confidence asks for: errors to come pass on through the smoothing weights
+    or the autoregression, and a line adds what its coefficients are unsure of.
 
     A series for which no model can be fitted, or whose forecast holds an invalid number, gets the trend
     forecast, without bounds.
@@ -100,16 +103,16 @@ def forecast_horizon(df: DataFrame, models=MODELS, settings: Forecasting = Forec
     # Rows without an order take no part in the choice.
     order = F.when(valid, F.struct(F.coalesce(F.col("scores.mape"), F.lit(float("inf"))), "model"))
     best = run.groupBy(SERIES).agg(
-        F.min_by(F.struct("model", values.alias("forecast"), F.sqrt("scores.mse").alias("sigma")), order).alias("b"),
+        F.min_by(F.struct("model", values.alias("forecast"), F.col("run.spread").alias("spread")), order).alias("b"),
         F.first("line").alias("line"),
         F.first("end").alias("end"),
     )
     spread = best.select(
-        SERIES, "b.model", "b.sigma", "end", F.posexplode_outer(F.coalesce("b.forecast", "line")).alias("_k", "forecast")
+        SERIES, "b.model", "b.spread", "end", F.posexplode_outer(F.coalesce("b.forecast", "line")).alias("_k", "forecast")
     )
     step = F.col("_k") + 1
     z = NormalDist().inv_cdf(0.5 + settings.confidence / 2)
-    margin = z * F.col("sigma") * F.sqrt(step.cast("double"))
+    margin = z * F.get("spread", F.col("_k"))
     return spread.select(
         SERIES,
         F.coalesce("model", F.lit("trend")).alias("model"),

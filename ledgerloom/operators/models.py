@@ -1,23 +1,27 @@
-"""The candidate forecasting models: exponential smoothing, differenced autoregression, trend with yearly waves.
+"""The candidate forecasting models: exponential smoothing, seasonal autoregression with moving averages, a bending line with yearly waves.
 
-A series is packed into one row (an array of values, one for each month from its first known one to its last), on which
-each model is an expression: fitting adds its parameters, running it gives the fitted values and the forecast. Nothing is
-shuffled after packing, and no Python runs. Input to packing: one row per series and month, so an array is bounded by the
-calendar. The expressions grow arrays month by month, at a cost quadratic in the length: meant for months, not for days.
+A series is packed into one row (an array of values, one for each month from its first known one to its last). Spark packs, deals out and
+chooses; fitting and running step through the months of a batch of packed series at once, in NumPy (`functions.smoothing`,
+`arima`, `waves`), which takes a small part of the time that recursions as array expressions took. Nothing is shuffled after
+packing. Input to packing: one row per series and month, so an array is bounded by the calendar.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerloom.functions.arrays import compute, dot, mean, number, solve, steps
+from ledgerloom.functions import arima, smoothing, waves
+from ledgerloom.functions.arrays import compute, number, steps
+from ledgerloom.functions.padded import Padded, padded
 from ledgerloom.params import DATE, SERIES, Forecasting
 
 MODELS = ("ar", "ets", "fourier")
-EMPTY = "cast(array() as array<double>)"
 
 
 def pack_series(df: DataFrame, keys=(SERIES,), slices: int | None = None) -> DataFrame:
@@ -62,267 +66,159 @@ MONTH_AXIS = f"""flatten(transform(points, (p, i) -> get(transform(array(get(poi
             'value', p.value + (q.value - p.value) * j / gap, 'known', j = 0)) end), 0)), 0)))"""
 
 
-def month_start_after(date: str, k: str) -> str:
-    """The k-th month start from one month after a date on."""
-    follow = f"add_months({date}, 1)"
-    return f"add_months(if(day({follow}) = 1, {follow}, add_months(trunc({follow}, 'MM'), 1)), {k} - 1)"
+# --- The models: each fits padded series and runs them from its parameters ---------------------------
 
 
-def _aic(sse: str, n: str, k: int) -> str:
-    """Null for an unknown error, which `greatest` would skip."""
-    return f"if({sse} is null, null, {n} * ln(greatest(try_divide({sse}, {n}), 1e-300)) + {2.0 * k}D)"
+def _aic(sse: np.ndarray, n: np.ndarray, k) -> np.ndarray:
+    with np.errstate(all="ignore"):
+        return n * np.log(np.maximum(sse / n, 1e-300)) + 2 * k
 
 
-def _least(candidates: str) -> str:
-    """The least struct (ordered by its first field) whose first field is known; null where none is."""
-    return f"array_min(filter({candidates}, _c -> _c.{{first}} is not null))"
+def _best(p: Padded, found: dict) -> list:
+    """Of each series the candidate of least AIC as (form, params, aic, sse); a tie goes to the first, None where there is none.
 
+    `found` holds (places, rows of parameters by name, aic, sse) by form.
+    """
+    out: list = [None] * len(p.y)
+    for form, (places, params, aic, sse) in found.items():
+        for i, place in enumerate(places.tolist()):
+            if np.isfinite(aic[i]) and (out[place] is None or aic[i] < out[place][2]):
+                out[place] = form, {k: float(v[i]) for k, v in params.items()}, float(aic[i]), float(sse[i])
+    return out
 
-# --- Exponential smoothing -------------------------------------------------------------------------
 
-# Trend and season: A additive, M multiplicative, N none; the error is additive throughout.
-ETS_FORMS = ("AAA", "AAM", "ANA", "ANN")
+def _fit_ets(p: Padded, s: Forecasting) -> list:
+    """The form of least AIC, each with the weights of least squared error."""
+    found = {}
+    for form in s.ets_forms:
+        places = np.flatnonzero(smoothing.usable(p, form, s.season))
+        if len(places):
+            q = p.pick(places)
+            won, sse = smoothing.fit(q, form, s.season, s.grid)
+            params = dict(zip(("alpha", "beta", "gamma"), won.T)) | {"sigma": np.sqrt(sse / q.n)}
+            found[form] = places, params, _aic(sse, q.n, smoothing.size(form, s.season)), sse
+    return _best(p, found)
 
 
-def ets_size(form: str, season: int) -> int:
-    """Smoothing weights and start values."""
-    return 2 + 2 * (form[1] != "N") + (1 + season) * (form[2] != "N")
+def _run_ets(p: Padded, form: str, params: Callable, s: Forecasting, horizon: int):
+    weights = np.stack([params("alpha"), params("beta"), params("gamma")], 1)
+    _, state, seen = smoothing.smooth(p, form, s.season, weights[:, None], path=True)
+    state = [x[:, 0] for x in state]
+    return (seen[:, 0], smoothing.ahead(form, s.season, state, horizon),
+            smoothing.spread(form, s.season, state, weights, params("sigma"), horizon))
 
 
-def _ets_start(form: str, season: int, y: str = "y") -> str:
-    """Level, slope and season before the first value, from the first two seasons, as named_struct fields.
+def _fit_ar(p: Padded, s: Forecasting) -> list:
+    """The order of least AIC."""
+    places = np.flatnonzero(p.n >= arima.least(s.season))
+    found = {}
+    if len(places):
+        for form, order in arima.ORDERS.items():
+            params, sse, aic, sigma = arima.fit(p.pick(places), order, s.season)
+            found[form] = places, dict(zip(arima.PARAMS, params.T)) | {"sigma": sigma}, aic, sse
+    return _best(p, found)
 
-    The first season's mean stands for its middle; the slope leads from there back to the month before the first, and is
-    taken out of the seasonal values.
-    """
-    first, second = f"slice({y}, 1, {season})", f"slice({y}, {season + 1}, {season})"
-    middle = mean(first)
-    slope = f"(({mean(second)}) - ({middle})) / {season}D" if form[1] == "A" else "0D"
-    level = f"({middle} - ({slope}) * {(season + 1) / 2}D)"
-    line = f"({level} + ({slope}) * (_i + 1))"
-    wave = {
-        "A": f"transform({first}, (_x, _i) -> _x - {line})",
-        "M": f"transform({first}, (_x, _i) -> try_divide(_x, {line}))",
-        "N": EMPTY,
-    }[form[2]]
-    return f"'l', {level}, 'b', {slope}, 's', {wave}"
-
-
-def _ets_step(form: str, season: int, alpha: str, beta: str, gamma: str) -> tuple[str, str]:
-    """The next state (as named_struct fields) of `acc` on seeing `v`, and what was expected before."""
-    base = "(acc.l + acc.b)" if form[1] == "A" else "acc.l"
-    old = "get(acc.s, 0)"
-    if form[2] == "A":
-        error, expected = f"(v - {base} - {old})", f"({base} + {old})"
-        new = f"{old} + {gamma} * {error}"
-    elif form[2] == "M":
-        error, expected = f"(try_divide(v, {old}) - {base})", f"({base} * {old})"
-        new = f"{old} + {gamma} * (try_divide(v, {base}) - {old})"
-    else:
-        error, expected, new = f"(v - {base})", base, None
-    slope = f"acc.b + {alpha} * {beta} * {error}" if form[1] == "A" else "acc.b"
-    wave = f"concat(slice(acc.s, 2, {season - 1}), array({new}))" if new else "acc.s"
-    return f"'l', {base} + {alpha} * {error}, 'b', {slope}, 's', {wave}", expected
-
-
-def fit_ets(packed: DataFrame, grid=Forecasting().grid, forms=ETS_FORMS, season: int = Forecasting().season) -> DataFrame:
-    """Add `ets`: the best of the forms over a grid of smoothing weights, by AIC.
-
-    Only squared errors are carried through the grid; fitted values are made for the winner alone.
-    """
-    values = f"array({', '.join(number(g) for g in grid)})"
-    none = "array(0D)"
-    packed = compute(packed, {f"_{f}": f"named_struct({_ets_start(f, season)})" for f in forms})
-    best = {}
-    for f in forms:
-        state, expected = _ets_step(f, season, "_a", "_b", "_g")
-        sse = f"""aggregate(y, named_struct('l', _{f}.l, 'b', _{f}.b, 's', _{f}.s, 'sse', 0D),
-            (acc, v) -> named_struct({state}, 'sse', acc.sse + (v - {expected}) * (v - {expected})), acc -> acc.sse)"""
-        trials = f"""flatten(transform({values}, _a -> flatten(transform({values if f[1] == 'A' else none}, _b ->
-            transform({values if f[2] != 'N' else none}, _g -> named_struct('sse', {sse}, 'alpha', _a, 'beta', _b, 'gamma', _g))))))"""
-        usable = "n >= 2" if f[2] == "N" else f"n >= {2 * season}"
-        if f[2] == "M":
-            usable += " and array_min(y) > 0"
-        best[f"_best_{f}"] = f"if({usable}, {_least(trials).format(first='sse')}, null)"
-    packed = compute(packed, best)
-    listed = ", ".join(
-        f"""named_struct('aic', {_aic(f'_best_{f}.sse', 'n', ets_size(f, season))}, 'form', '{f}', 'sse', _best_{f}.sse,
-            'alpha', _best_{f}.alpha, 'beta', _best_{f}.beta, 'gamma', _best_{f}.gamma)"""
-        for f in forms
-    )
-    packed = compute(packed, {"_won": _least(f"array({listed})").format(first="aic")})
-    won = """if(_won is null, null, named_struct('aic', _won.aic, 'form', _won.form, 'sse', _won.sse,
-        'params', map('alpha', _won.alpha, 'beta', _won.beta, 'gamma', _won.gamma)))"""
-    return compute(packed, {"ets": won}).drop("_won", *best, *[f"_{f}" for f in forms])
-
-
-def run_ets(horizon: int, forms=ETS_FORMS, season: int = Forecasting().season) -> str:
-    """Fitted values and forecast of the bound row `_p`."""
-    cases = []
-    for f in forms:
-        state, expected = _ets_step(f, season, "_p.fit.params['alpha']", "_p.fit.params['beta']", "_p.fit.params['gamma']")
-        base = "(acc.l + k * acc.b)" if f[1] == "A" else "acc.l"
-        wave = f"get(acc.s, (k - 1) % {season})"
-        ahead = {"A": f"{base} + {wave}", "M": f"{base} * {wave}", "N": f"{base} + 0D"}[f[2]]
-        cases.append(
-            f"""when _p.fit.form = '{f}' then aggregate(_p.y, named_struct({_ets_start(f, season, '_p.y')}, 'fitted', {EMPTY}),
-            (acc, v) -> named_struct({state}, 'fitted', concat(acc.fitted, array({expected}))),
-            acc -> named_struct('fitted', acc.fitted, 'forecast', transform({steps(1, horizon)}, k -> {ahead})))"""
-        )
-    return f"case {' '.join(cases)} end"
+
+def _run_ar(p: Padded, form: str, params: Callable, s: Forecasting, horizon: int):
+    return arima.run(p, np.stack([params(k) for k in arima.PARAMS], 1), params("sigma"), s.season, horizon)
 
 
-# --- Differenced autoregression --------------------------------------------------------------------
+def _fit_fourier(p: Padded, s: Forecasting) -> list:
+    size = waves.size(s.fourier_pairs)
+    places = np.flatnonzero(p.known.sum(1) > size + 1)
+    if not len(places):
+        return [None] * len(p.y)
+    coef, penalty, sse, n, used = waves.fit(p.pick(places), s.fourier_pairs, s.knots, s.knot_penalties)
+    params = {f"c{i}": c for i, c in enumerate(coef.T)} | {"penalty": penalty, "sigma": np.sqrt(sse / (n - used))}
+    return _best(p, {f"trend+{s.fourier_pairs}": (places, params, _aic(sse, n, used + 1), sse)})
 
-def ar_forms(season: int) -> dict[str, tuple[int, ...]]:
-    """The lag sets that are tried; a season has three months at least."""
-    return {",".join(map(str, lags)): lags for lags in ((1,), (season,), (1, season), (1, 2, season))}
 
+def _run_fourier(p: Padded, form: str, params: Callable, s: Forecasting, horizon: int):
+    coef = np.stack([params(f"c{i}") for i in range(waves.size(s.fourier_pairs) + s.knots)], 1)
+    return waves.run(p, coef, params("penalty"), params("sigma"), s.fourier_pairs, s.knots, horizon)
 
-def ar_least(season: int) -> int:
-    """The shortest series that can be fitted."""
-    return 2 * season + 9
 
+_FIT = {"ar": _fit_ar, "ets": _fit_ets, "fourier": _fit_fourier}
+_RUN = {"ar": _run_ar, "ets": _run_ets, "fourier": _run_fourier}
 
-def twice_differenced(y: str, n: str, season: int) -> str:
-    """Month-on-month change of the change over a season; the first is that of row `season + 2`."""
-    last = f"{n} - 1"
-    return f"""transform({steps(season + 1, last)},
-        t -> get({y}, t) - get({y}, t - 1) - get({y}, t - {season}) + get({y}, t - {season + 1}))"""
 
+def least_months(model: str, settings: Forecasting) -> int:
+    """The shortest series that a model is fitted to."""
+    return {"ar": arima.least(settings.season), "ets": 2, "fourier": waves.size(settings.fourier_pairs) + 2}[model]
 
-def _determinant(m: list[list[str]]) -> str:
-    if len(m) == 1:
-        return m[0][0]
-    minors = [_determinant([row[:k] + row[k + 1:] for row in m[1:]]) for k in range(len(m))]
-    return "(" + " ".join(f"{'+-'[k % 2]} {m[0][k]} * {minors[k]}" for k in range(len(m))) + ")"
 
+# --- Over packed series ------------------------------------------------------------------------------
 
-def fit_ar(packed: DataFrame, season: int = Forecasting().season) -> DataFrame:
-    """Add `ar`: least-squares autoregression on the twice differenced series, the best lag set by AIC.
+_FITTED = "model string, form string, params map<string,double>, aic double, sse double, reason string"
+RUN = "struct<fitted: array<double>, forecast: array<double>, spread: array<double>>"
 
-    All lag sets are fitted on the same rows, from one set of sums of products. Where the differences are all zero, so
-    are the coefficients.
+
+def fit_models(packed: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:
+    """Fitted parameters: one row per packed series and model, with model, form, params, aic, sse and reason beside its columns.
+
+    Where a model cannot be fitted its row has nulls and says why: "too short" or "no unique fit". `params` holds the coefficients and `sigma`, the
+    spread of one month's error, which is all that running needs beside the series.
     """
-    lags = (0, 1, 2, season)
-    lost = 2 * season + 1
-    cut = {i: f"slice(_w, {season + 1 - i}, n - {lost})" for i in lags}
-    sums = ", ".join(f"'s{i}_{j}', {dot(cut[i], cut[j])}" for i in lags for j in lags if i <= j)
-    packed = compute(packed, {"_w": f"if(n >= {ar_least(season)}, {twice_differenced('y', 'n', season)}, null)"})
-    packed = compute(packed, {"_s": f"if(n >= {ar_least(season)}, named_struct({sums}), null)"})
-
-    def s(i, j):
-        return f"_s.s{min(i, j)}_{max(i, j)}"
-
-    solved, listed = {}, []
-    for number_, (form, used) in enumerate(ar_forms(season).items()):
-        a, b = [[s(i, j) for j in used] for i in used], [s(0, i) for i in used]
-        name = f"_ar{number_}"
-        fields = []
-        for k, lag in enumerate(used):
-            swapped = [row[:k] + [b[r]] + row[k + 1:] for r, row in enumerate(a)]
-            fields.append(f"'phi{lag}', if({s(0, 0)} = 0D, 0D, try_divide({_determinant(swapped)}, {_determinant(a)}))")
-        solved[name] = f"named_struct({', '.join(fields)})"
-        explained = " + ".join(f"{name}.phi{lag} * {s(0, lag)}" for lag in used)
-        sse = f"if({name}.phi{used[0]} is null, null, greatest(0D, {s(0, 0)} - ({explained})))"
-        phis = ", ".join(f"'phi{lag}', {f'{name}.phi{lag}' if lag in used else '0D'}" for lag in (1, 2, season))
-        listed.append(
-            f"named_struct('aic', if({name}.phi{used[0]} is null, null, {_aic(sse, f'(n - {lost})', len(used) + 1)}), "
-            f"'form', '{form}', 'sse', {sse}, {phis})"
-        )
-    packed = compute(packed, solved)
-    packed = compute(packed, {"_won": _least(f"array({', '.join(listed)})").format(first="aic")})
-    won = """if(_won is null, null, named_struct('aic', _won.aic, 'form', _won.form, 'sse', _won.sse,
-        'params', map('phi1', _won.phi1, 'phi2', _won.phi2, 'phi%d', _won.phi%d)))""" % (season, season)
-    return compute(packed, {"ar": won}).drop("_w", "_s", "_won", *solved)
-
-
-def run_ar(horizon: int, season: int = Forecasting().season) -> str:
-    """Fitted values (null for two seasons and a month) and forecast of the bound row `_p`."""
-
-    def change(w, k):
-        return (f"(_p.fit.params['phi1'] * get({w}, {k} - 1) + _p.fit.params['phi2'] * get({w}, {k} - 2)"
-                f" + _p.fit.params['phi{season}'] * get({w}, {k} - {season}))")
-
-    w = twice_differenced("_p.y", "_p.n", season)
-    ahead = change("acc.w", str(season))
-    level = f"({ahead} + get(acc.y, {season}) + get(acc.y, 1) - get(acc.y, 0))"
-    # The fitted value misses by as much as the expected change does.
-    fitted = f"""transform({steps(0, '_p.n - 1')}, t ->
-        if(t >= {2 * season + 1}, get(_p.y, t) - get(w, t - {season + 1}) + {change('w', f'(t - {season + 1})')}, null))"""
-    forecast = f"""aggregate({steps(1, horizon)},
-        named_struct('w', slice(w, -{season}, {season}), 'y', slice(_p.y, -{season + 1}, {season + 1}), 'out', {EMPTY}),
-        (acc, k) -> named_struct('w', concat(slice(acc.w, 2, {season - 1}), array({ahead})),
-            'y', concat(slice(acc.y, 2, {season}), array({level})), 'out', concat(acc.out, array({level}))),
-        acc -> acc.out)"""
-    both = f"named_struct('fitted', {fitted}, 'forecast', {forecast})"
-    return f"if(_p.n >= {ar_least(season)}, get(transform(array({w}), w -> {both}), 0), null)"
-
-
-# --- Trend with yearly waves -----------------------------------------------------------------------
-
-
-def _design(position: str, date: str, pairs: int, n: str = "n") -> str:
-    """Constant, elapsed share of the series, and sine and cosine pairs of the calendar month."""
-    angle = f"(month({date}) - 1) * {2.0 * math.pi / 12.0!r}D"
-    waves = [f"{f}({k} * {angle})" for k in range(1, pairs + 1) for f in ("sin", "cos")]
-    return f"array(1D, {position} / cast({n} as double), {', '.join(waves)})"
-
-
-def fit_fourier(packed: DataFrame, pairs: int = Forecasting().fourier_pairs) -> DataFrame:
-    """Add `fourier`: a least-squares line with yearly waves, from the normal equations of each series."""
-    size = 2 + 2 * pairs
-    packed = compute(packed, {"_x": f"transform(dates, (_d, _i) -> {_design('_i', '_d', pairs)})"})
-    # X'[X y], added up row by row.
-    normal = f"""aggregate(zip_with(_x, y, (_r, _v) -> concat(_r, array(_v))),
-        array_repeat(array_repeat(0D, {size + 1}), {size}),
-        (_n, _r) -> transform(_n, (_o, _j) -> zip_with(_o, _r, (_a, _v) -> _a + get(_r, _j) * _v)))"""
-    packed = compute(packed, {"_n": normal})
-    packed = compute(packed, {"_coef": f"if(n > {size + 1}, {solve('_n', size)}, null)"})
-    gap = f"(_u - {dot('_r', '_coef')})"
-    squares = f"aggregate(zip_with(_x, y, (_r, _u) -> {gap} * {gap}), 0D, (_t, _e) -> _t + _e)"
-    packed = compute(packed, {"_sse": f"if(_coef is null, null, {squares})"})
-    params = ", ".join(f"'c{i}', get(_coef, {i})" for i in range(size))
-    fitted = f"""if(_sse is null, null, named_struct('aic', {_aic('_sse', 'n', size + 1)}, 'form', 'trend+{pairs}',
-        'sse', _sse, 'params', map({params})))"""
-    return compute(packed, {"fourier": fitted}).drop("_x", "_n", "_coef", "_sse")
-
-
-def run_fourier(horizon: int, pairs: int) -> str:
-    """Fitted values and forecast of the bound row `_p`."""
-    coef = "array(" + ", ".join(f"_p.fit.params['c{i}']" for i in range(2 + 2 * pairs)) + ")"
-    fitted = f"transform(_p.dates, (_d, _i) -> {dot(_design('_i', '_d', pairs, '_p.n'), 'c')})"
-    ahead = _design("(_p.n - 1 + k)", month_start_after("element_at(_p.dates, -1)", "k"), pairs, "_p.n")
-    forecast = f"transform({steps(1, horizon)}, k -> {dot(ahead, 'c')})"
-    return f"get(transform(array({coef}), c -> named_struct('fitted', {fitted}, 'forecast', {forecast})), 0)"
-
-
-# --- All of them -----------------------------------------------------------------------------------
-
-
-def fit_models(
-    packed: DataFrame, models=MODELS, settings: Forecasting = Forecasting()
-) -> DataFrame:
-    """Fitted parameters: one row per series and model (series keys, model, form, params, aic, sse, reason).
-
-    Where a model cannot be fitted its row has nulls and says why: "too short" or "no unique fit".
+    least = {m: least_months(m, settings) for m in models}
+
+    def run(stream):
+        for batch in stream:
+            fits: list = [[None] * batch.num_rows for _ in models]
+            for p in padded(batch):
+                for own, m in zip(fits, models):
+                    for place, fitted in zip(p.rows.tolist(), _FIT[m](p, settings)):
+                        own[place] = fitted
+            months = batch["known"].to_pylist() if "fourier" in models else [()] * batch.num_rows
+            rows = np.repeat(np.arange(batch.num_rows), len(models))
+            made = [(m, own[i]) for i in range(batch.num_rows) for own, m in zip(fits, models)]
+            size = [sum(months[i]) if m == "fourier" else n for i, n in enumerate(batch["n"].to_pylist()) for m in models]
+            form, params, aic, sse = zip(*[f or (None,) * 4 for _, f in made]) if made else ((),) * 4
+            reason = [None if f else "too short" if n < least[m] else "no unique fit" for (m, f), n in zip(made, size)]
+            columns = [pa.array([m for m, _ in made], pa.string()), pa.array(form, pa.string()),
+                       pa.array([x and list(x.items()) for x in params], pa.map_(pa.string(), pa.float64())),
+                       pa.array(aic, pa.float64()), pa.array(sse, pa.float64()), pa.array(reason, pa.string())]
+            carried = batch.take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([*carried.columns, *columns], names=[*batch.schema.names, "model", "form", "params", "aic", "sse", "reason"])
+
+    return packed.mapInArrow(run, T.StructType([*packed.schema.fields, *T.StructType.fromDDL(_FITTED).fields]))
+
+
+def run_models(fitted: DataFrame, horizon: int, settings: Forecasting = Forecasting()) -> DataFrame:
+    """Add `run` (fitted values, forecast, and the spread of each forecast's error) to rows holding a packed series and a model's parameters.
+
+    The parameters may come straight from `fit_models` or from a stored table joined to packed series. Where they are null, or the series is too short
+    for the model, `run` is null.
     """
-    carried = packed.columns
-    fits = {
-        "ar": lambda d: fit_ar(d, settings.season),
-        "ets": lambda d: fit_ets(d, settings.grid, season=settings.season),
-        "fourier": lambda d: fit_fourier(d, settings.fourier_pairs),
-    }
-    for m in models:
-        packed = fits[m](packed)
-    listed = ", ".join(
-        f"named_struct('model', '{m}', 'form', {m}.form, 'params', {m}.params, 'aic', {m}.aic, 'sse', {m}.sse)"
-        for m in models
-    )
-    least = {"ar": ar_least(settings.season), "ets": 2, "fourier": 3 + 2 * settings.fourier_pairs + 1}
-    enough = F.expr("case " + " ".join(f"when model = '{m}' then n >= {least[m]}" for m in models) + " end")
-    reason = F.when(F.col("aic").isNull(), F.when(enough, "no unique fit").otherwise("too short"))
-    return packed.select(*carried, F.expr(f"inline(array({listed}))")).withColumn("reason", reason)
+    def run(stream):
+        for batch in stream:
+            made: list = [None] * batch.num_rows
+            model, form = np.array(batch["model"].to_pylist(), object), np.array(batch["form"].to_pylist(), object)
+            params = [x and dict(x) for x in batch["params"].to_pylist()]
+            for p in padded(batch):
+                for kind in {(m, f) for m, f in zip(model[p.rows], form[p.rows]) if m is not None and f is not None}:
+                    ready = [model[r] == kind[0] and form[r] == kind[1] and p.n[i] >= _run_least(*kind, settings) for i, r in enumerate(p.rows)]
+                    q = p.pick(np.flatnonzero(ready))
+                    if not len(q.rows):
+                        continue
+                    of = [params[r] for r in q.rows]
+                    results = _RUN[kind[0]](q, kind[1], lambda k, of=of: np.array([x.get(k, 0.0) for x in of], float), settings, horizon)
+                    for i, r in enumerate(q.rows.tolist()):
+                        fitted_, ahead, spread = (x[i] for x in results)
+                        made[r] = {"fitted": _nullable(fitted_[: q.n[i]]), "forecast": _nullable(ahead), "spread": _nullable(spread)}
+            column = pa.array(made, pa.struct([(k, pa.list_(pa.float64())) for k in ("fitted", "forecast", "spread")]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "run"])
+
+    return fitted.mapInArrow(run, T.StructType([*fitted.schema.fields, *T.StructType.fromDDL(f"run {RUN}").fields]))
+
+
+def _run_least(model: str, form: str, settings: Forecasting) -> int:
+    if model == "ets":
+        return 2 if form[2] == "N" else 2 * settings.season
+    return arima.least(settings.season) if model == "ar" else 1
+
+
+def _nullable(values: np.ndarray) -> pa.Array:
+    return pa.array(values, pa.float64(), mask=np.isnan(values)).to_pylist()
 
 
 def trend_line(horizon: int, recent: int = 12, default: float = 3_000_000.0) -> str:
@@ -337,19 +233,3 @@ def trend_line(horizon: int, recent: int = 12, default: float = 3_000_000.0) ->
     steps_ = steps(1, horizon)
     body = f"if(rows >= 2 and n >= 2, transform({steps_}, k -> {line}), transform({steps_}, k -> {start} * pow(1.02D, k - 1)))"
     return f"get(transform(array(slice(y, greatest(n - {recent - 1}, 1), {recent})), last12 -> {body}), 0)"
-
-
-def run_models(fitted: DataFrame, horizon: int, settings: Forecasting = Forecasting()) -> DataFrame:
-    """Add `run` (fitted values and forecast) to rows holding a packed series and a model's parameters.
-
-    The parameters may come straight from `fit_models` or from a stored table joined to packed series.
-    """
-    cases = f"""case when _p.fit.params is null then null when _p.model = 'ar' then {run_ar(horizon, settings.season)} when _p.model = 'ets' then {run_ets(horizon, season=settings.season)}
-        when _p.model = 'fourier' then {run_fourier(horizon, settings.fourier_pairs)} end"""
-    return compute(fitted, {"run": bound(cases, "named_struct('form', form, 'params', params)", "model")})
-
-
-def bound(text: str, fit: str, model: str = "''") -> Column:
-    """`text` over `_p`, a row holding a packed series and a model's form and parameters."""
-    row = f"named_struct('model', {model}, 'fit', {fit}, 'dates', dates, 'y', y, 'n', n)"
-    return F.expr(f"get(transform(array({row}), _p -> {text}), 0)")

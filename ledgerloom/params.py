@@ -70,7 +70,10 @@ class Forecasting:
     min_r2: float = 0.85
     max_mape: float = 15.0
     grid: tuple[float, ...] = (0.1, 0.3, 0.5, 0.7, 0.9)
+    ets_forms: tuple[str, ...] = ("AAA", "AAM", "ANA", "ANN")
     fourier_pairs: int = 3
+    knots: int = 6
+    knot_penalties: tuple[float, ...] = (0.001, 0.1, 10.0)
 
 
 @dataclass(frozen=True)
