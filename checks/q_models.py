@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import replace
 from statistics import NormalDist
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.q_profile import sales
@@ -47,8 +48,9 @@ SELECT series_id, form, list_transform(m, lambda r: r[len(m) + 1]) AS coef, list
 MONTH = "(year(date) * 12 + month(date))"
 
 
-def model_views(p, source, horizon, season=12, fourier=True):
-    """Views named with the prefix p: fits, fitted values and forecasts of every series in `source`."""
+def model_views(p, source, horizon, season=12, stored=None):
+    """Views named with the prefix p: fits, fitted values and forecasts of every series in `source`. Models are fitted anew, or taken from the views
+    with the prefix `stored`."""
     # The month axis: every month from the first known value to the last, those in between on a straight line.
     view(f"{p}axis", f"""
 SELECT s.series_id, s.date, v.value, v.value IS NOT NULL AS known
@@ -56,10 +58,12 @@ FROM (SELECT series_id, CAST(unnest(generate_series(min(date), max(date), INTERV
       FROM {source} WHERE value IS NOT NULL GROUP BY 1) s
 LEFT JOIN (SELECT * FROM {source} WHERE value IS NOT NULL) v ON v.series_id = s.series_id AND v.date = s.date""")
     view(f"{p}line", interpolate(f"{p}axis", "value", MONTH))
-    view(f"{p}pos", f"SELECT series_id, date, value, known, {POSITION} - 1 AS pos, count(*) OVER {WS} AS n FROM {p}line")
+    view(f"{p}placed", f"SELECT series_id, date, value, known, {POSITION} - 1 AS pos, count(*) OVER {WS} AS n FROM {p}line")
+    view(f"{p}pos", f"""
+SELECT * FROM {p}placed JOIN (SELECT series_id, max(n) AS span FROM {stored or p}placed GROUP BY 1) USING (series_id)""")
     size = {f: sm.size(f, season) for f in SETTINGS.ets_forms}
     view(f"{p}months", f"""
-SELECT series_id, step, CAST(max(date) + to_months(CAST(step AS INT)) AS DATE) AS date, max(n) AS n
+SELECT series_id, step, CAST(max(date) + to_months(CAST(step AS INT)) AS DATE) AS date, max(n) AS n, max(span) AS span
 FROM {p}pos CROSS JOIN (SELECT unnest(range(1, {horizon + 1})) AS step) GROUP BY 1, 2""")
     # Smoothing.
     grids = " UNION ALL ".join(
@@ -93,6 +97,7 @@ WITH RECURSIVE r AS (
         FROM r JOIN {p}pos q ON q.series_id = r.series_id AND q.pos = r.pos + 1))
 SELECT * FROM r"""
 
+    fit_smoothing = stored is None
     view(f"{p}candidates", f"""
 SELECT s.series_id, g.* FROM {p}grid g CROSS JOIN {p}start s WHERE (form = 'ANN' OR s.n >= {2 * season}) AND (form[3] <> 'M' OR s.smallest > 0)""")
     # The grid's best weights of every form, then the best of their neighbours at smaller and smaller steps.
@@ -100,7 +105,7 @@ SELECT s.series_id, g.* FROM {p}grid g CROSS JOIN {p}start s WHERE (form = 'ANN'
         f"""SELECT '{f}' AS form, a.d AS da, {'b.d' if f[1] == 'A' else '0'} AS db, {'c.d' if f[2] != 'N' else '0'} AS dc
             FROM {MOVES} a{f' CROSS JOIN {MOVES} b' if f[1] == 'A' else ''}{f' CROSS JOIN {MOVES} c' if f[2] != 'N' else ''}""" for f in SETTINGS.ets_forms))
     weight = lambda w, d, step, used: f"CASE WHEN {used} THEN greatest({sm.LEAST}::DOUBLE, least({sm.MOST}::DOUBLE, {w} + {d} * {step}::DOUBLE)) ELSE 0.0::DOUBLE END AS {w}"
-    for r, step in enumerate((*sm.STEPS, None)):
+    for r, step in enumerate((*sm.STEPS, None) if fit_smoothing else ()):
         view(f"{p}tried{r}", f"SELECT * EXCLUDE (s) FROM ({recursion(p + 'candidates' if r == 0 else f'{p}candidates{r}')}) WHERE pos = n - 1")
         view(f"{p}winners{r}", f"""
 SELECT series_id, form, k, alpha, beta, gamma, sse, n FROM {p}tried{r}
@@ -109,10 +114,11 @@ QUALIFY row_number() OVER (PARTITION BY series_id, form ORDER BY sse, alpha, bet
             view(f"{p}candidates{r + 1}", f"""
 SELECT series_id, form, k, {weight('alpha', 'da', step, 'true')}, {weight('beta', 'db', step, "form[2] = 'A'")}, {weight('gamma', 'dc', step, "form[3] <> 'N'")}
 FROM {p}winners{r} JOIN {p}moves USING (form)""")
-    view(f"{p}form_winners", f"SELECT series_id, form, k, alpha, beta, gamma FROM {p}winners{len(sm.STEPS)}")
-    view(f"{p}form_path", recursion(p + "form_winners"))
-    view(f"{p}ets", f"""
-SELECT series_id, form, k, alpha, beta, gamma, sse, n * ln(sse / n) + 2 * k AS aic FROM {p}winners{len(sm.STEPS)}
+    if fit_smoothing:
+        view(f"{p}form_winners", f"SELECT series_id, form, k, alpha, beta, gamma FROM {p}winners{len(sm.STEPS)}")
+        view(f"{p}form_path", recursion(p + "form_winners"))
+    view(f"{p}ets", f"SELECT * FROM {stored}ets" if stored else f"""
+SELECT series_id, form, k, alpha, beta, gamma, sse, n * ln(sse / n) + 2 * k AS aic, sqrt(sse / n) AS sigma FROM {p}winners{len(sm.STEPS)}
 QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY n * ln(sse / n) + 2 * k, form) = 1""")
     view(f"{p}winners", f"SELECT series_id, form, k, alpha, beta, gamma FROM {p}ets")
     view(f"{p}path", recursion(p + "winners"))
@@ -143,7 +149,7 @@ SELECT *, {', '.join(f'coalesce(lag(w, {k}) {by}, 0) AS x{k}' for k in long)} FR
         estimates.append(f"""
 SELECT series_id, form, {na + nm + sa + sm_} AS k, {i} AS nr, {inside(c('x1'), f'1 - {phi2}')} AS phi1, {phi2} AS phi2, -({inside('-' + c('e1'), f'1 + {theta2}')}) AS theta1,
   {theta2} AS theta2, {inside(c(f'x{season}'))} AS sphi, {inside(c(f'e{season}'))} AS stheta FROM {p}ar_c{i}""")
-    view(f"{p}ar_all", " UNION ALL ".join(estimates))
+    view(f"{p}ar_all", f"SELECT series_id, form, k, nr, {', '.join(ar.PARAMS)} FROM {stored}ar" if stored else " UNION ALL ".join(estimates))
     # Channels: the series, and for each unknown month one that is 1 there. Errors are linear in them.
     view(f"{p}chan", f"""
 SELECT series_id, 0 AS ch, pos, value AS v FROM {p}pos WHERE n >= {ar.least(season)}
@@ -176,7 +182,8 @@ FROM {p}ar_filter f LEFT JOIN {p}ar_un u ON u.series_id = f.series_id AND u.form
 SELECT series_id, form, t, sum(c * e) AS e FROM (
   SELECT series_id, form, ch, unnest(es[{season + 3}:]) AS e, unnest(range(len(es) - {season + 2})) AS t FROM {p}ar_filter) JOIN {p}ar_share USING (series_id, form, ch)
 GROUP BY ALL""")
-    view(f"{p}ar", f"""
+    view(f"{p}ar", (f"SELECT q.* EXCLUDE (sigma), o.sigma FROM {p}ar_own q JOIN {stored}ar o ON o.series_id = q.series_id" if stored else f"SELECT * FROM {p}ar_own"))
+    view(f"{p}ar_own", f"""
 SELECT *, months * ln(sse / months) + logdet + 2 * (k + 1) AS aic, sqrt(sse / months) AS sigma FROM (
   SELECT a.*, s.sse, s.w_months - coalesce(len(u.coef), 0) AS months, coalesce(u.logdet, 0) AS logdet FROM {p}ar_all a
   JOIN (SELECT series_id, form, sum(e * e) AS sse, count(*) AS w_months FROM {p}ar_es GROUP BY ALL) s ON s.series_id = a.series_id AND s.form = a.form
@@ -223,46 +230,46 @@ SELECT series_id, step, ys[-1] AS forecast FROM r"""
     reach = f"""alpha * (1 + beta * (step - i)) * CASE WHEN form[3] = 'M' THEN s[(step - 1) % {season} + 1] / s[(i - 1) % {season} + 1] ELSE 1 END
       + CASE WHEN (step - i) % {season} = 0 AND form[3] <> 'N' THEN gamma * CASE WHEN form[3] = 'M' THEN (l + b * step) / (l + b * i) ELSE 1 END ELSE 0 END"""
     spreads = [
-        f"""SELECT series_id, 'ets' AS model, step, sqrt(sse / {p}path.n * (1 + coalesce(list_sum(list_transform(range(1, step), lambda i: ({reach}) ** 2)), 0))) AS spread
-            FROM {p}path JOIN {p}months USING (series_id) WHERE pos = {p}path.n - 1""",
+        f"""SELECT series_id, 'ets' AS model, step, sigma * sqrt(1 + coalesce(list_sum(list_transform(range(1, step), lambda i: ({reach}) ** 2)), 0)) AS spread
+            FROM (SELECT * EXCLUDE (sse) FROM {p}path) q JOIN (SELECT series_id, sigma FROM {p}ets) USING (series_id) JOIN {p}months d USING (series_id) WHERE pos = q.n - 1""",
         f"""SELECT a.series_id, 'ar' AS model, step + 1 AS step, sigma * sqrt(sum(forecast * forecast) OVER (PARTITION BY a.series_id ORDER BY step)) AS spread
             FROM {p}ar_weights w JOIN {p}ar a ON a.series_id = w.series_id WHERE step < {horizon}""",
     ]
-    if fourier:
-        def design(pos, month):
-            waves = ", ".join(f"{f}(2 * pi() * {k} * ({month} - 1) / 12)" for k in (1, 2, 3) for f in ("sin", "cos"))
-            bends = ", ".join(f"greatest(0, {pos} / n - 0.8::DOUBLE * {k} / {SETTINGS.knots + 1})" for k in range(1, SETTINGS.knots + 1))
-            return f"[1.0::DOUBLE, {pos} / n, {waves}, {bends}]"
+    def design(pos, month):
+        waves = ", ".join(f"{f}(2 * pi() * {k} * ({month} - 1) / 12)" for k in (1, 2, 3) for f in ("sin", "cos"))
+        bends = ", ".join(f"greatest(0, {pos} / span - 0.8::DOUBLE * {k} / {SETTINGS.knots + 1})" for k in range(1, SETTINGS.knots + 1))
+        return f"[1.0::DOUBLE, {pos} / span, {waves}, {bends}]"
 
-        sides = SETTINGS.knots + 8
+    sides = SETTINGS.knots + 8
 
-        view(f"{p}design", f"SELECT *, {design('pos', 'month(date)')} AS x FROM {p}pos")
-        view(f"{p}normal_cells", f"""
+    view(f"{p}design", f"SELECT *, {design('pos', 'month(date)')} AS x FROM {p}pos")
+    view(f"{p}normal_cells", f"""
 SELECT series_id, i, j, sum(xv[i] * xv[j]) AS c
 FROM (SELECT series_id, list_append(x, value) AS xv FROM {p}design WHERE known)
 CROSS JOIN (SELECT unnest(range(1, {sides + 1})) AS i) CROSS JOIN (SELECT unnest(range(1, {sides + 2})) AS j) GROUP BY series_id, i, j HAVING count(*) > 9""")
-        view(f"{p}ahead_x", f"SELECT series_id, step, {design('(n - 1 + step)', 'month(date)')} AS x FROM {p}months")
-        view(f"{p}sides", f"SELECT series_id, i, list(x[i] ORDER BY step) AS r FROM {p}ahead_x CROSS JOIN (SELECT unnest(range(1, {sides + 1})) AS i) GROUP BY ALL")
-        # Beside the values: the forecasts' designs and the unpenalised cross products, whose solutions have the free coefficients on the diagonal.
-        view(f"{p}normal", f"""
+    view(f"{p}ahead_x", f"SELECT series_id, step, {design('(n - 1 + step)', 'month(date)')} AS x FROM {p}months")
+    view(f"{p}sides", f"SELECT series_id, i, list(x[i] ORDER BY step) AS r FROM {p}ahead_x CROSS JOIN (SELECT unnest(range(1, {sides + 1})) AS i) GROUP BY ALL")
+    # Beside the values: the forecasts' designs and the unpenalised cross products, whose solutions have the free coefficients on the diagonal.
+    view(f"{p}normal", f"""
 SELECT series_id, CAST(penalty AS VARCHAR) AS form,
   list(list_concat(list_transform(q.r, lambda v, j: v + CASE WHEN j = i AND i > 8 THEN penalty ELSE 0 END), a.r, q.r[:{sides}]) ORDER BY i) AS m
-FROM (SELECT series_id, i, list(c ORDER BY j) AS r FROM {p}normal_cells GROUP BY ALL) q JOIN {p}sides a USING (series_id, i)
+FROM (SELECT series_id, i, list(c ORDER BY j) AS r FROM {stored or p}normal_cells GROUP BY ALL) q JOIN {p}sides a USING (series_id, i)
 CROSS JOIN (SELECT unnest({list(SETTINGS.knot_penalties)})::DOUBLE AS penalty) GROUP BY 1, 2""")
-        view(f"{p}bends", eliminate(f"{p}normal"))
-        view(f"{p}bent", f"""
+    view(f"{p}bends", eliminate(f"{p}normal"))
+    view(f"{p}bent", f"""
 SELECT *, (SELECT sum(sides[i][1 + {horizon} + i]) FROM (SELECT unnest(range(1, {sides + 1})) AS i)) AS used FROM {p}bends""")
-        view(f"{p}fourier", f"""
+    view(f"{p}fourier", f"""
+SELECT b.series_id, f.penalty, f.form, b.coef, b.sides, b.used, f.sse, f.months, f.sigma FROM {p}bent b JOIN {stored}fourier f ON f.series_id = b.series_id AND f.penalty = b.form""" if stored else f"""
 SELECT *, sqrt(sse / (months - used)) AS sigma FROM (
   SELECT b.series_id, b.form AS penalty, 'trend+3' AS form, b.coef, b.sides, b.used, sum((value - list_dot_product(x, coef)) ** 2) AS sse, count(*) AS months
   FROM {p}design d JOIN {p}bent b ON b.series_id = d.series_id WHERE known GROUP BY ALL)
 QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY sse / (months - used) ** 2, CAST(penalty AS DOUBLE)) = 1""")
-        spreads.append(f"""SELECT series_id, 'fourier' AS model, step, sigma * sqrt(1 + list_dot_product(x, list_transform(sides, lambda r: r[step + 1]))) AS spread
-            FROM {p}ahead_x JOIN {p}fourier USING (series_id)""")
-        fitted.append(f"""SELECT series_id, 'fourier' AS model, date, value AS actual, list_dot_product(x, coef) AS predicted
-            FROM {p}design JOIN {p}fourier USING (series_id) WHERE known""")
-        ahead.append(f"""SELECT series_id, 'fourier' AS model, step, list_dot_product({design('(n - 1 + step)', 'month(date)')}, coef) AS forecast
-            FROM {p}months JOIN {p}fourier USING (series_id)""")
+    spreads.append(f"""SELECT series_id, 'fourier' AS model, step, sigma * sqrt(1 + list_dot_product(x, list_transform(sides, lambda r: r[step + 1]))) AS spread
+        FROM {p}ahead_x JOIN {p}fourier USING (series_id)""")
+    fitted.append(f"""SELECT series_id, 'fourier' AS model, date, value AS actual, list_dot_product(x, coef) AS predicted
+        FROM {p}design JOIN {p}fourier USING (series_id) WHERE known""")
+    ahead.append(f"""SELECT series_id, 'fourier' AS model, step, list_dot_product({design('(n - 1 + step)', 'month(date)')}, coef) AS forecast
+        FROM {p}months JOIN {p}fourier USING (series_id)""")
     view(f"{p}fitted", " UNION ALL ".join(fitted))
     view(f"{p}ahead", " UNION ALL ".join(ahead))
     view(f"{p}spread", " UNION ALL ".join(spreads))
@@ -391,6 +398,21 @@ SELECT a.series_id, model, actual, forecast AS predicted FROM h_ahead a
 JOIN sales_held h ON h.series_id = a.series_id AND h.step = a.step""")
 query("holdout_validation", SCORES, lambda t: fc.holdout_validation(sales(t)), accuracy_sql("held_points"))
 
+# Going on from stored states: the last six months are folded in, against a replay of the whole history with the stored parameters.
+model_views("i_", "sales_series", 18, stored="h_")
+
+
+def incremental(t):
+    held = F.row_number().over(Window.partitionBy("series_id").orderBy(F.desc("date"))) > 6
+    early = cut(sales(t).withColumn("early", held)).where("early").drop("early")
+    states = cut(fc.model_states(early, fc.fitted_parameters(early)))
+    return fc.advance_states(states, sales(t), 18)[1]
+
+
+query("score_incremental", "series_id model step:i date:d forecast:2 spread:2", incremental,
+      """SELECT a.series_id, a.model, a.step, d.date, a.forecast, s.spread FROM i_ahead a
+         JOIN i_months d ON d.series_id = a.series_id AND d.step = a.step JOIN i_spread s ON s.series_id = a.series_id AND s.model = a.model AND s.step = a.step""")
+
 # Backtest: the same views, every origin's window being a series of its own.
 view("bt_rows", f"SELECT *, {POSITION} AS i FROM m_pos")
 view("bt_windows", """

@@ -69,35 +69,49 @@ def _lags(params: np.ndarray, season: int):
     return [(1, p1, t1), (2, p2, t2), (season, sp, sq), (season + 1, -p1 * sp, t1 * sq), (season + 2, -p2 * sp, t2 * sq)]
 
 
-def errors(w: np.ndarray, params: np.ndarray, season: int) -> np.ndarray:
-    """e of w (series, channel, month); both are linear, so every channel is filtered by itself."""
-    lags = _lags(params, season)
+def errors(w: np.ndarray, params: np.ndarray, season: int, before: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """e of w (series, channel, month); both are linear, so every channel is filtered by itself. `before` are the w and e of the season and two months
+    before, zero where it is not given."""
+    lags, back = _lags(params, season), season + 2
+    w_before, e_before = before or (np.zeros((*w.shape[:2], back)),) * 2
+    w = np.concatenate([w_before, w], 2)
     own = w - sum(a[:, None, None] * lagged(w, k) for k, a, _ in lags)
-    before = season + 2
-    e = np.zeros((*w.shape[:2], w.shape[2] + before))
-    for t in range(w.shape[2]):
-        e[..., before + t] = own[..., t] - sum(c[:, None] * e[..., before + t - k] for k, _, c in lags)
-    return e[..., before:]
+    e = np.concatenate([e_before, np.zeros((*w.shape[:2], w.shape[2] - back))], 2)
+    for t in range(back, w.shape[2]):
+        e[..., t] = own[..., t] - sum(c[:, None] * e[..., t - k] for k, _, c in lags)
+    return e[..., back:]
 
 
-def innovations(p: Padded, params: np.ndarray, season: int):
-    """Errors, the series with its unknown months filled, squared error, how many months count, and the logarithm of the determinant."""
+def _parted(state: np.ndarray, season: int):
+    """The last w, e and y that a state holds."""
+    return np.split(state, [season + 2, 2 * season + 4], 1)
+
+
+def innovations(p: Padded, params: np.ndarray, season: int, state: np.ndarray | None = None):
+    """Errors, the series with its unknown months filled, squared error, how many months count, and the logarithm of the determinant.
+
+    With a `state` the series follow on from it: all their months have an error, and the filled series begins with the state's values.
+    """
     unknown = ~p.known & ~np.isnan(p.y)
     most = int(unknown.sum(1).max(initial=0))
-    inside = _inside(p, season)
     channels = np.zeros((len(p.y), 1 + most, p.y.shape[1]))
     channels[:, 0] = np.where(np.isnan(p.y), 0, p.y)
     row, month = np.nonzero(unknown)
     channels[row, 1 + np.arange(len(row)) - np.searchsorted(row, row), month] = 1
-    e = errors(differenced(channels, season) * inside[:, None], params, season) * inside[:, None]
+    if state is None:
+        before, inside, count = None, _inside(p, season), np.maximum(p.n - season - 1, 0)
+    else:
+        w, e, y = (np.concatenate([x[:, None], np.zeros((len(x), most, x.shape[1]))], 1) for x in _parted(state, season))
+        before, inside, count = (w, e), np.arange(p.y.shape[1]) < p.n[:, None], p.n
+        channels = np.concatenate([y, channels], 2)
+    e = errors(differenced(channels, season) * inside[:, None], params, season, before) * inside[:, None]
     free = np.arange(most) < unknown.sum(1)[:, None]
     d = e[:, 1:]
     normal = np.einsum("rit,rjt->rij", d, d) + np.eye(most) * ~free[:, None]
     fill = -np.linalg.solve(normal, np.einsum("rit,rt->ri", d, e[:, 0])[..., None])[..., 0] * free if most else np.zeros((len(p.y), 0))
     whole = channels[:, 0] + np.einsum("ri,rit->rt", fill, channels[:, 1:])
     e = e[:, 0] + np.einsum("ri,rit->rt", fill, d)
-    count = np.maximum(p.n - season - 1, 0) - unknown.sum(1)
-    return e, whole, (e * e).sum(1), count, np.linalg.slogdet(normal)[1] if most else np.zeros(len(p.y))
+    return e, whole, (e * e).sum(1), count - unknown.sum(1), np.linalg.slogdet(normal)[1] if most else np.zeros(len(p.y))
 
 
 def fit(p: Padded, order: tuple[int, int, int, int], season: int):
@@ -122,30 +136,34 @@ def _continued(w, e, y, params, season, horizon):
     return np.stack(y[-horizon:], 1)
 
 
-def run(p: Padded, params: np.ndarray, sigma: np.ndarray, season: int, horizon: int):
-    """Fitted values (NaN for a season and a month), forecasts and the standard deviation of each forecast's error.
+def run(p: Padded, params: np.ndarray, sigma: np.ndarray, season: int, horizon: int, state: np.ndarray | None = None):
+    """Fitted values (NaN for a season and a month, unless they follow on from a state), forecasts, the standard deviation of each
+    forecast's error, and the end state.
 
-    The deviation is that of the errors to come, through the weights with which each reaches later months.
+    The deviation is that of the errors to come, through the weights with which each reaches later months. An unknown month of a state keeps the value
+    it had then; seen from later months on it would be a little different.
     """
-    e, whole, *_ = innovations(p, params, season)
+    e, whole, *_ = innovations(p, params, season, state)
+    back, lost = season + 2, season + 1
     fitted = np.full(p.y.shape, np.nan)
-    fitted[:, season + 1 :] = whole[:, season + 1 :] - e
-    back = season + 2
-
-    def last(x, size):
-        """The last `size` months of each series, zeros where it is shorter."""
-        at = size_of(x)[:, None] - np.arange(size, 0, -1)
+    fitted[:, 0 if state is not None else lost :] = whole[:, lost:] - e
+    w = differenced(whole, season)
+    months, values = p.n - lost, p.n
+    if state is not None:
+        before = _parted(state, season)
+        w, e = np.concatenate([before[0], w], 1), np.concatenate([before[1], e], 1)
+        months, values = p.n + back, p.n + lost
+
+    def last(x, n, size):
+        """The `size` months of each series up to its n-th, zeros where it is shorter."""
+        at = n[:, None] - np.arange(size, 0, -1)
         return np.where(at >= 0, np.take_along_axis(x, np.maximum(at, 0), 1), 0)
 
-    def size_of(x):
-        return p.n - (p.y.shape[1] - x.shape[1])
-
-    w = differenced(whole, season)
-    out = _continued(last(w, back), last(e, back), last(whole, season + 1), params, season, horizon)
-    none = np.zeros((len(params), back))
-    hit = none.copy()
+    ends = [last(w, months, back), last(e, months, back), last(whole, values, lost)]
+    out = _continued(*ends, params, season, horizon)
+    hit = np.zeros((len(params), back))
     hit[:, -1] = 1
     weights = np.ones((len(params), horizon))
     # An error of one moves w and y by one in its own month.
-    weights[:, 1:] = _continued(hit, hit, hit[:, -season - 1 :], params, season, horizon)[:, : horizon - 1]
-    return fitted, out, sigma[:, None] * np.sqrt(np.cumsum(weights**2, 1))
+    weights[:, 1:] = _continued(hit, hit, hit[:, -lost:], params, season, horizon)[:, : horizon - 1]
+    return fitted, out, sigma[:, None] * np.sqrt(np.cumsum(weights**2, 1)), np.concatenate(ends, 1)

@@ -14,28 +14,11 @@ def total(a: str) -> str:
     return f"aggregate({a}, 0D, (_s, _v) -> _s + _v)"
 
 
-def mean(a: str) -> str:
-    return f"try_divide({total(a)}, size({a}))"
-
-
-def dot(a: str, b: str) -> str:
-    return f"aggregate(zip_with({a}, {b}, (_p, _q) -> _p * _q), 0D, (_s, _v) -> _s + _v)"
-
-
 def steps(first, last) -> str:
     """The whole numbers from first to last; empty where last lies before first."""
     return f"if({last} >= {first}, sequence({first}, {last}), cast(array() as array<int>))"
 
 
-def solve(matrix: str, size: int) -> str:
-    """The solution of a small linear system given as rows [a1 .. an, b], by Gauss-Jordan elimination."""
-    pivot = "get(get(_m, _k), _k)"
-    reduced = f"""aggregate(sequence(0, {size - 1}), {matrix}, (_m, _k) -> transform(_m, (_row, _i) -> if(_i = _k,
-        transform(_row, _v -> try_divide(_v, {pivot})),
-        zip_with(_row, get(_m, _k), (_a, _b) -> _a - get(_row, _k) * try_divide(_b, {pivot})))))"""
-    return f"transform({reduced}, _row -> get(_row, {size}))"
-
-
 def number(x: float) -> str:
     """A double literal; a bare 0.1 would be a decimal."""
     return f"{float(x)!r}D"

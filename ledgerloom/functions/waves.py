@@ -24,20 +24,21 @@ def design(share: np.ndarray, month: np.ndarray, pairs: int, knots: int) -> np.n
     return np.stack([np.ones_like(share), share, *[f(k * angle) for k in range(1, pairs + 1) for f in (np.sin, np.cos)], *bends], -1)
 
 
-def _placed(p: Padded, pairs: int, knots: int):
+def _placed(p: Padded, months: np.ndarray, pairs: int, knots: int):
     t = np.arange(p.y.shape[1])
-    return design(t / np.maximum(p.n, 1)[:, None], (p.first[:, None] + t) % 12, pairs, knots)
+    return design(t / np.maximum(months, 1)[:, None], (p.first[:, None] + t) % 12, pairs, knots)
 
 
-def _normal(p: Padded, pairs: int, knots: int):
-    """Design, its cross products over the known months, and which coefficients are penalised."""
-    x = _placed(p, pairs, knots)
-    return x, np.einsum("rti,rtj->rij", x * p.known[..., None], x), np.diag(np.repeat([0.0, 1.0], [size(pairs), knots]))
+def _normal(p: Padded, months: np.ndarray, pairs: int, knots: int):
+    """Design, its cross products over the known ones of the first `months`, and which coefficients are penalised."""
+    x = _placed(p, months, pairs, knots)
+    learnt = p.known & (np.arange(p.y.shape[1]) < months[:, None])
+    return x, np.einsum("rti,rtj->rij", x * learnt[..., None], x), np.diag(np.repeat([0.0, 1.0], [size(pairs), knots]))
 
 
 def fit(p: Padded, pairs: int, knots: int, penalties: tuple[float, ...]):
     """Coefficients, penalty, squared error over the known months, how many there are, and to how many free coefficients the fit amounts."""
-    x, plain, bent = _normal(p, pairs, knots)
+    x, plain, bent = _normal(p, p.n, pairs, knots)
     y = np.where(p.known, p.y, 0)
     n, best = p.known.sum(1), None
     for penalty in penalties:
@@ -55,12 +56,27 @@ def fit(p: Padded, pairs: int, knots: int, penalties: tuple[float, ...]):
     return coef, penalty, sse, n, used
 
 
-def run(p: Padded, coef: np.ndarray, penalty: np.ndarray, sigma: np.ndarray, pairs: int, knots: int, horizon: int):
-    """Fitted values, forecasts and the standard deviation of each forecast's error: that of a month and that of the coefficients."""
-    x, plain, bent = _normal(p, pairs, knots)
+def run(p: Padded, coef: np.ndarray, penalty: np.ndarray, sigma: np.ndarray, months: np.ndarray, pairs: int, knots: int, horizon: int,
+        state: np.ndarray | None = None):
+    """Fitted values, forecasts, the standard deviation of each forecast's error (that of a month and that of the coefficients), and the end state.
+
+    `months` is the length of the series that the coefficients were fitted to: shares and cross products are of those. A state holds the months
+    so far, the first one's calendar month, and the cross products.
+    """
+    if state is None:
+        x, plain, bent = _normal(p, months, pairs, knots)
+        n, first, next_month = p.n, p.first, p.ahead
+    else:
+        k = np.arange(p.y.shape[1])
+        so_far, first = state[:, 0], state[:, 1]
+        x = design((so_far[:, None] + k) / months[:, None], (first[:, None] + so_far[:, None] + k) % 12, pairs, knots)
+        _, _, bent = _normal(p.pick(np.arange(0)), np.arange(0), pairs, knots)
+        n, plain = so_far + p.n, state[:, 2:].reshape(len(state), *bent.shape)
+        next_month = np.where(p.n > 0, p.ahead, first + so_far)
     a = plain + penalty[:, None, None] * bent
     k = np.arange(horizon)
-    ahead = design((p.n[:, None] + k) / np.maximum(p.n, 1)[:, None], (p.ahead[:, None] + k) % 12, pairs, knots)
+    ahead = design((n[:, None] + k) / np.maximum(months, 1)[:, None], (next_month[:, None] + k) % 12, pairs, knots)
     reach = np.stack([solved(a, ahead[:, h]) for h in range(horizon)], 1)
     unsure = np.einsum("rhi,rhi->rh", reach, ahead)
-    return np.einsum("rti,ri->rt", x, coef), np.einsum("rhi,ri->rh", ahead, coef), sigma[:, None] * np.sqrt(1 + unsure)
+    after = np.concatenate([n[:, None], first[:, None], plain.reshape(len(plain), -1)], 1)
+    return np.einsum("rti,ri->rt", x, coef), np.einsum("rhi,ri->rh", ahead, coef), sigma[:, None] * np.sqrt(1 + unsure), after

@@ -19,6 +19,7 @@ from ledgerloom.operators.models import (
 )
 from ledgerloom.operators.series import next_month_start
 from ledgerloom.params import DATE, SERIES, Forecasting
+from ledgerloom.plans.lineage import cut
 
 
 def accuracy_measures(actual="actual", predicted="predicted") -> list[Column]:
@@ -246,3 +247,39 @@ def score(df: DataFrame, stored: DataFrame, horizon: int, settings: Forecasting
         SERIES, "model", (F.col("_k") + 1).alias("step"),
         next_month_start(F.col("_end"), F.col("_k") + 1).alias(DATE), "forecast", "reason",
     )
+
+
+def _last_known(packed: DataFrame) -> DataFrame:
+    """The last month and value of every packed series beside it; that month is always a known one."""
+    return packed.withColumns({"state_date": F.try_element_at("dates", F.lit(-1)), "state_value": F.try_element_at("y", F.lit(-1))})
+
+
+def model_states(df: DataFrame, stored: DataFrame, settings: Forecasting = Forecasting()) -> DataFrame:
+    """What has to be kept of each series to go on without its history: model, form and params as stored, and the model's state after the last known
+    month (`state_date`, `state_value`): level, slope and season; the last changes, errors and values; the months so far.
+
+    One replay of the history; null for a series without parameters or too short for them.
+    """
+    packed = _last_known(pack_series(df))
+    run = run_models(packed.join(stored.select(SERIES, "model", "form", "params"), SERIES), 1, settings)
+    return run.select(SERIES, "model", "form", "params", F.col("run.state").alias("state"), "state_date", "state_value")
+
+
+def advance_states(states: DataFrame, new: DataFrame, horizon: int, settings: Forecasting = Forecasting()) -> tuple[DataFrame, DataFrame]:
+    """States after the months of `new` that follow them, and (series, model, step, date, forecast, spread) from there on.
+
+    Only the new months are read and folded in: nothing of the history before a state is. Months between a state and the first new one, and others
+    without a value, lie on the line between their neighbours, or are integrated out, as in a replay; rows up to `state_date` are passed
+    over. A series without new months keeps its state, one without a state is left out.
+    """
+    ends = states.where(F.col("state").isNotNull()).groupBy(SERIES).agg(F.max("state_date").alias("state_date"), F.max_by("state_value", "state_date").alias("state_value"))
+    follow = new.join(ends.select(SERIES, "state_date"), SERIES).where(F.col(DATE) > F.col("state_date")).select(SERIES, DATE, "value")
+    packed = _last_known(pack_series(follow.unionByName(ends.select(SERIES, F.col("state_date").alias(DATE), F.col("state_value").alias("value")))))
+    after = packed.select(  # without the month that the states end with
+        SERIES, *[F.slice(c, F.lit(2), F.greatest(F.size(c) - 1, F.lit(0))).alias(c) for c in ("dates", "y", "known")],
+        (F.col("n") - 1).alias("n"), "end", "state_date", "state_value")
+    run = cut(run_models(after.join(states.drop("state_date", "state_value").where(F.col("state").isNotNull()), SERIES), horizon, settings))
+    later = run.select(SERIES, "model", "form", "params", F.col("run.state").alias("state"), "state_date", "state_value")
+    ahead = run.select(SERIES, "model", "state_date", F.posexplode_outer(F.arrays_zip("run.forecast", "run.spread")).alias("_k", "_z"))
+    step = F.col("_k") + 1
+    return later, ahead.select(SERIES, "model", step.alias("step"), next_month_start(F.col("state_date"), step).alias(DATE), "_z.forecast", "_z.spread")

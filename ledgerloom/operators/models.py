@@ -100,12 +100,13 @@ def _fit_ets(p: Padded, s: Forecasting) -> list:
     return _best(p, found)
 
 
-def _run_ets(p: Padded, form: str, params: Callable, s: Forecasting, horizon: int):
+def _run_ets(p: Padded, form: str, params: Callable, s: Forecasting, horizon: int, state):
     weights = np.stack([params("alpha"), params("beta"), params("gamma")], 1)
-    _, state, seen = smoothing.smooth(p, form, s.season, weights[:, None], path=True)
-    state = [x[:, 0] for x in state]
-    return (seen[:, 0], smoothing.ahead(form, s.season, state, horizon),
-            smoothing.spread(form, s.season, state, weights, params("sigma"), horizon))
+    before = state if state is None else (state[:, 0], state[:, 1], state[:, 2:])
+    _, after, seen = smoothing.smooth(p, form, s.season, weights[:, None], before, path=True)
+    level, slope, wave = after = [x[:, 0] for x in after]
+    return (seen[:, 0], smoothing.ahead(form, s.season, after, horizon), smoothing.spread(form, s.season, after, weights, params("sigma"), horizon),
+            np.concatenate([level[:, None], slope[:, None], wave], 1))
 
 
 def _fit_ar(p: Padded, s: Forecasting) -> list:
@@ -119,8 +120,8 @@ def _fit_ar(p: Padded, s: Forecasting) -> list:
     return _best(p, found)
 
 
-def _run_ar(p: Padded, form: str, params: Callable, s: Forecasting, horizon: int):
-    return arima.run(p, np.stack([params(k) for k in arima.PARAMS], 1), params("sigma"), s.season, horizon)
+def _run_ar(p: Padded, form: str, params: Callable, s: Forecasting, horizon: int, state):
+    return arima.run(p, np.stack([params(k) for k in arima.PARAMS], 1), params("sigma"), s.season, horizon, state)
 
 
 def _fit_fourier(p: Padded, s: Forecasting) -> list:
@@ -129,13 +130,13 @@ def _fit_fourier(p: Padded, s: Forecasting) -> list:
     if not len(places):
         return [None] * len(p.y)
     coef, penalty, sse, n, used = waves.fit(p.pick(places), s.fourier_pairs, s.knots, s.knot_penalties)
-    params = {f"c{i}": c for i, c in enumerate(coef.T)} | {"penalty": penalty, "sigma": np.sqrt(sse / (n - used))}
+    params = {f"c{i}": c for i, c in enumerate(coef.T)} | {"penalty": penalty, "sigma": np.sqrt(sse / (n - used)), "months": p.n[places]}
     return _best(p, {f"trend+{s.fourier_pairs}": (places, params, _aic(sse, n, used + 1), sse)})
 
 
-def _run_fourier(p: Padded, form: str, params: Callable, s: Forecasting, horizon: int):
+def _run_fourier(p: Padded, form: str, params: Callable, s: Forecasting, horizon: int, state):
     coef = np.stack([params(f"c{i}") for i in range(waves.size(s.fourier_pairs) + s.knots)], 1)
-    return waves.run(p, coef, params("penalty"), params("sigma"), s.fourier_pairs, s.knots, horizon)
+    return waves.run(p, coef, params("penalty"), params("sigma"), params("months"), s.fourier_pairs, s.knots, horizon, state)
 
 
 _FIT = {"ar": _fit_ar, "ets": _fit_ets, "fourier": _fit_fourier}
@@ -150,7 +151,8 @@ def least_months(model: str, settings: Forecasting) -> int:
 # --- Over packed series ------------------------------------------------------------------------------
 
 _FITTED = "model string, form string, params map<string,double>, aic double, sse double, reason string"
-RUN = "struct<fitted: array<double>, forecast: array<double>, spread: array<double>>"
+_PARTS = ("fitted", "forecast", "spread", "state")
+RUN = "struct<" + ", ".join(f"{c}: array<double>" for c in _PARTS) + ">"
 
 
 def fit_models(packed: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:
@@ -184,28 +186,34 @@ def fit_models(packed: DataFrame, models=MODELS, settings: Forecasting = Forecas
 
 
 def run_models(fitted: DataFrame, horizon: int, settings: Forecasting = Forecasting()) -> DataFrame:
-    """Add `run` (fitted values, forecast, and the spread of each forecast's error) to rows holding a packed series and a model's parameters.
+    """Add `run` to rows holding a packed series and a model's parameters: fitted values, forecast, the spread of each forecast's error, and the
+    state after the last month, from which `run_models` goes on.
 
     The parameters may come straight from `fit_models` or from a stored table joined to packed series. Where they are null, or the series is too short
-    for the model, `run` is null.
+    for the model, `run` is null. Where the rows have a `state`, the packed series holds only the months that follow on from it, perhaps none.
     """
+    carried = "state" in fitted.columns
+
     def run(stream):
         for batch in stream:
             made: list = [None] * batch.num_rows
             model, form = np.array(batch["model"].to_pylist(), object), np.array(batch["form"].to_pylist(), object)
             params = [x and dict(x) for x in batch["params"].to_pylist()]
+            before = batch["state"].to_pylist() if carried else None
             for p in padded(batch):
                 for kind in {(m, f) for m, f in zip(model[p.rows], form[p.rows]) if m is not None and f is not None}:
-                    ready = [model[r] == kind[0] and form[r] == kind[1] and p.n[i] >= _run_least(*kind, settings) for i, r in enumerate(p.rows)]
+                    ready = [model[r] == kind[0] and form[r] == kind[1] and (before[r] is not None if carried else p.n[i] >= _run_least(*kind, settings))
+                             for i, r in enumerate(p.rows)]
                     q = p.pick(np.flatnonzero(ready))
                     if not len(q.rows):
                         continue
                     of = [params[r] for r in q.rows]
-                    results = _RUN[kind[0]](q, kind[1], lambda k, of=of: np.array([x.get(k, 0.0) for x in of], float), settings, horizon)
+                    state = np.array([before[r] for r in q.rows], float) if carried else None
+                    results = _RUN[kind[0]](q, kind[1], lambda k, of=of: np.array([x.get(k, 0.0) for x in of], float), settings, horizon, state)
                     for i, r in enumerate(q.rows.tolist()):
-                        fitted_, ahead, spread = (x[i] for x in results)
-                        made[r] = {"fitted": _nullable(fitted_[: q.n[i]]), "forecast": _nullable(ahead), "spread": _nullable(spread)}
-            column = pa.array(made, pa.struct([(k, pa.list_(pa.float64())) for k in ("fitted", "forecast", "spread")]))
+                        seen, *others = (x[i] for x in results)
+                        made[r] = dict(zip(_PARTS, map(_nullable, (seen[: q.n[i]], *others))))
+            column = pa.array(made, pa.struct([(k, pa.list_(pa.float64())) for k in _PARTS]))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "run"])
 
     return fitted.mapInArrow(run, T.StructType([*fitted.schema.fields, *T.StructType.fromDDL(f"run {RUN}").fields]))

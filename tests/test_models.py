@@ -140,7 +140,7 @@ def test_ar_runs_and_spreads_like_simulated_futures():
     n, h = 70, 18
     e = rng.normal(0, 2, n - 13)
     y = plain_y(e, params, rng.normal(100, 5, 13))
-    fitted_, ahead, spread = arima.run(padded_series(y), params[None], np.array([2.0]), 12, h)
+    fitted_, ahead, spread, _ = arima.run(padded_series(y), params[None], np.array([2.0]), 12, h)
     assert fitted_[0, 13:] == pytest.approx(y[13:] - e)
     assert ahead[0] == pytest.approx(plain_y(np.concatenate([e, np.zeros(h)]), params, y[:13])[-h:])
     futures = np.array([plain_y(np.concatenate([e, rng.normal(0, 2, h)]), params, y[:13])[-h:] for _ in range(3000)])
@@ -204,7 +204,7 @@ def test_line_equals_penalised_least_squares_and_spreads_like_new_samples(make_s
         sample = x @ truth + rng.normal(0, 1, len(i))
         misses.append(sample[len(y):] - x[len(y):] @ (inverse @ past.T @ sample[: len(y)]))
     p = padded_series(y)
-    _, ahead, spread = waves.run(p, coef[None], np.array([penalty]), np.array([1.0]), 3, s_.knots, 18)
+    _, ahead, spread, _ = waves.run(p, coef[None], np.array([penalty]), np.array([1.0]), p.n, 3, s_.knots, 18)
     assert np.std(misses, 0) == pytest.approx(spread[0], rel=0.06) and ahead[0] == pytest.approx(x[len(y):] @ coef)
 
 
@@ -282,6 +282,26 @@ def test_stored_models_score_like_fresh_ones(spark, make_series, tmp_path):
     assert {(x["series_id"], x["model"]): pytest.approx(x["forecast"]) for x in scored} == want
 
 
+def test_states_go_on_like_a_replay(make_series):
+    """In two steps, over a gap, with a series that has no news and one that is new."""
+    y, z = seasonal(n=80), seasonal(n=70, seed=5)
+    y[73] = None
+    whole = make_series({"a": y, "b": z, "still": seasonal(n=60, seed=6)})
+    early, middle = (whole.where(F.col("date") < str(month(k))) for k in (66, 72))
+    stored = fc.fitted_parameters(early).persist()
+    states = fc.model_states(early, stored)
+    states, _ = fc.advance_states(states, middle, 5)
+    news = whole.where(F.col("date") > str(month(60))).unionByName(make_series({"new": [1.0] * 9}))
+    later, ahead = fc.advance_states(states, news, 5)
+    want = {(x["series_id"], x["model"], x["step"]): x for x in fc.score(whole, stored, 5).collect()}
+    got = {(x["series_id"], x["model"], x["step"]): x for x in ahead.collect()}
+    assert set(got) == set(want)
+    for k, x in got.items():
+        assert x["date"] == want[k]["date"] and x["forecast"] == pytest.approx(want[k]["forecast"], rel=1e-9)
+    ends = {(x["series_id"], x["model"]): str(x["state_date"]) for x in later.collect()}
+    assert ends["a", "ar"] == "2026-08-01" and ends["still", "ets"] == "2024-12-01" and len(ends) == 9
+
+
 EDGE_SERIES = {
     "one": [5.0], "two": [5.0, 7.0], "constant": [4.0] * 40, "zeros": [0.0] * 40, "short": list(map(float, range(1, 24))),
     "two_years": list(map(float, range(1, 25))), "none": [None] * 5, "last_only": [None, None, 8.0],
