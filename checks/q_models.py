@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from checks.q_profile import sales
 from checks.registry import query, view
-from checks.sql_parts import POSITION, W, WS, interpolate
+from checks.sql_parts import POSITION, W, WS, eliminate, interpolate
 from ledgerloom.functions import arima as ar, smoothing as sm
 from ledgerloom.operators import features, forecasting as fc, models as m
 from ledgerloom.operators.series import trend_forecast
@@ -29,22 +29,6 @@ ZERO = "(VALUES (0.0::DOUBLE))"
 MOVES = "(SELECT unnest([-1, 0, 1]) AS d)"
 
 
-def eliminate(src, ridge=1e-12):
-    """Solve systems given as lists of rows, one per (series_id, form), with any number of right-hand sides: `m` becomes them, `logdet` the
-    logarithm of the determinant."""
-    firm = f"""list_transform(m, lambda r, i: list_transform(r, lambda v, j: v + CASE WHEN i = j
-      THEN {ridge!r}::DOUBLE * list_sum(list_transform(range(1, len(m) + 1), lambda k: m[k][k])) ELSE 0 END))"""
-    return f"""
-WITH RECURSIVE g AS (
-  SELECT series_id, form, 1 AS k, {firm if ridge else 'm'} AS m, 0.0::DOUBLE AS logdet FROM {src}
-  UNION ALL
-  SELECT series_id, form, k + 1, list_transform(range(1, len(m) + 1), lambda i: CASE WHEN i = k
-      THEN list_transform(m[k], lambda v: v / m[k][k])
-      ELSE list_transform(range(1, len(m[1]) + 1), lambda j: m[i][j] - m[i][k] * m[k][j] / m[k][k]) END), logdet + ln(m[k][k])
-  FROM g WHERE k <= len(m))
-SELECT series_id, form, list_transform(m, lambda r: r[len(m) + 1]) AS coef, list_transform(m, lambda r: r[len(m) + 1:]) AS sides, logdet FROM g WHERE k = len(m) + 1"""
-
-
 MONTH = "(year(date) * 12 + month(date))"
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query, view
-from checks.sql_parts import POSITION, W, WS, near
+from checks.sql_parts import POSITION, W, WS, eliminate, near
+from ledgerloom.functions import unit_root
 from ledgerloom.operators import features, profiling as p, series as s
 from ledgerloom.params import FX, OPEX, SALES  # noqa: F401
 from ledgerloom.sources.rollup import extract_series
@@ -142,15 +143,53 @@ query("series_stats",
              CASE WHEN avg(value) FILTER (back <= 12) > avg(value) FILTER (ahead <= 12) THEN 'increasing' ELSE 'decreasing' END AS trend_direction
           FROM (SELECT *, row_number() OVER {W} AS ahead, row_number() OVER (PARTITION BY series_id ORDER BY date DESC) AS back
                 FROM sales_series) GROUP BY 1""")
-view("df_steps", f"SELECT *, lag(value) OVER {W} AS level, value - lag(value) OVER {W} AS delta FROM sales_series")
-view("df_fit", """
-SELECT series_id, regr_count(delta, level) AS n_obs, regr_slope(delta, level) AS slope, regr_sxx(delta, level) AS sxx,
-       regr_syy(delta, level) AS syy FROM df_steps GROUP BY 1""")
-view("df_test", """
-SELECT *, slope / sqrt((syy - slope * slope * sxx) / ((n_obs - 2) * sxx)) AS df_statistic,
-       -2.86154 - 2.8903 / n_obs - 4.234 / (n_obs ** 2) - 40.04 / (n_obs ** 3) AS critical_5pct FROM df_fit""")
-query("stationarity", "series_id n_obs:i df_statistic:6 critical_5pct:6 is_stationary:b", lambda t: s.stationarity(sales(t)),
-      "SELECT *, df_statistic < critical_5pct AS is_stationary FROM df_test")
+def unit_root_views(p, source):
+    """Views with the prefix p: every number of lagged changes by elimination on shared rows, the one of least AIC once more on all of its own."""
+    lags = range(1, 13)
+    view(f"{p}steps", f"""
+SELECT *, {', '.join(f'lag(delta, {k}) OVER {W} AS d{k}' for k in lags)} FROM (
+  SELECT *, {POSITION} - 1 AS pos, lag(value) OVER {W} AS level, value - lag(value) OVER {W} AS delta FROM {source})""")
+    view(f"{p}sizes", f"""
+SELECT series_id, count(*) AS n, CAST(least(ceil(12 * (count(*) / 100) ** 0.25), count(*) // 2 - 2) AS INT) AS most, min(value) = max(value) AS still FROM {source} GROUP BY 1""")
+    view(f"{p}tries", f"SELECT series_id, n, most AS lost, unnest(range(0, most + 1)) AS k FROM {p}sizes WHERE most >= 0")
+
+    def system(name, tries):
+        x = f"[1.0::DOUBLE, level, {', '.join(f'd{k}' for k in lags)}, delta]"
+        view(f"{p}{name}_cells", f"""
+SELECT series_id, k, i, j, sum(x[i] * x[j]) AS c FROM (SELECT t.series_id, t.k, {x} AS x FROM {tries} t JOIN {p}steps s ON s.series_id = t.series_id WHERE s.pos > t.lost)
+CROSS JOIN (SELECT unnest(range(1, 16)) AS i) CROSS JOIN (SELECT unnest(range(1, 16)) AS j) WHERE (i <= k + 2 OR i = 15) AND (j <= k + 2 OR j = 15) GROUP BY ALL""")
+        view(f"{p}{name}_m", f"""
+SELECT series_id, k AS form, list(list_append(r, CASE WHEN i = 2 THEN 1.0 ELSE 0.0 END) ORDER BY i) AS m
+FROM (SELECT series_id, k, i, list(c ORDER BY j) AS r FROM {p}{name}_cells WHERE i < 15 GROUP BY ALL) GROUP BY ALL""")
+        view(f"{p}{name}_c", eliminate(f"{p}{name}_m"))
+        view(f"{p}{name}_fit", f"""
+SELECT c.series_id, c.form AS k, any_value(c.coef) AS coef, any_value(c.sides[2][2]) AS spread, any_value(y.c) AS total,
+  any_value(y.c) - sum(c.coef[q.i] * q.c) AS sse
+FROM {p}{name}_c c JOIN {p}{name}_cells q ON q.series_id = c.series_id AND q.k = c.form AND q.j = 15 AND q.i < 15
+JOIN {p}{name}_cells y ON y.series_id = c.series_id AND y.k = c.form AND y.i = 15 AND y.j = 15 GROUP BY 1, 2""")
+
+    system("try", f"{p}tries")
+    view(f"{p}won", f"""
+SELECT t.series_id, t.n, t.k, t.k AS lost FROM {p}tries t JOIN {p}try_fit f ON f.series_id = t.series_id AND f.k = t.k
+QUALIFY row_number() OVER (PARTITION BY t.series_id ORDER BY (t.n - 1 - t.lost) * ln(greatest(sse / (t.n - 1 - t.lost), 1e-300)) + 2 * (t.k + 2), t.k) = 1""")
+    system("own", f"{p}won")
+    levels = ", ".join(f"CASE WHEN df_statistic IS NOT NULL THEN {' + '.join(f'({c}) / n_obs ** {i}' for i, c in enumerate(cs))} END AS critical_{level}" for level, cs in unit_root.CRITICAL.items())
+    poly = lambda cs: " + ".join(f"({c}) * df_statistic ** {i}" for i, c in enumerate(cs))
+    tail = "list_sum(list_transform(range(0, 120), lambda i: exp((2 * i + 1) * ln(abs(x)) - list_sum(list_transform(range(0, i + 1), lambda q: ln(2 * q + 1))))))"
+    view(f"{p}test", f"""
+SELECT *, p_value < 0.05 AS is_stationary FROM (
+  SELECT *, CASE WHEN df_statistic > {unit_root.ALL} THEN 1 WHEN df_statistic < {unit_root.NONE} THEN 0
+    ELSE 0.5 + sign(x) * exp(-x * x / 2) / sqrt(2 * pi()) * {tail} END AS p_value, {levels} FROM (
+    SELECT *, CASE WHEN df_statistic <= {unit_root.TURN} THEN {poly(unit_root.LOWER)} ELSE {poly(unit_root.UPPER)} END AS x FROM (
+      SELECT z.series_id, coalesce(z.n - 1 - w.k, 0) AS n_obs, CASE WHEN s IS NOT NULL THEN w.k END AS lags, s AS df_statistic FROM {p}sizes z LEFT JOIN {p}won w ON w.series_id = z.series_id
+      LEFT JOIN (
+        SELECT f.series_id, coef[2] / sqrt(sse / (n - 3 - 2 * f.k) * spread) AS s FROM {p}own_fit f JOIN {p}won o ON o.series_id = f.series_id
+        WHERE n - 3 - 2 * f.k > 0 AND sse > 1e-12 * total) t ON t.series_id = z.series_id AND NOT z.still)))""")
+
+
+unit_root_views("df_", "sales_series")
+TEST = "series_id n_obs:i lags:i df_statistic:6 p_value:6 critical_1pct:6 critical_5pct:6 critical_10pct:6 is_stationary:b"
+query("stationarity", TEST, lambda t: s.stationarity(sales(t)), "SELECT * FROM df_test")
 # Series of 2, 13 and 24 months: what cannot be computed is null, and no series is missing.
 view("tiny_series", "SELECT * FROM sales_series WHERE date < DATE '1995-03-01' + to_months(CAST(ascii(series_id) % 3 AS INT) * 11)")
 
@@ -159,13 +198,8 @@ def tiny(t):
     return sales(t).where(F.col("date") < F.add_months(F.lit("1995-03-01").cast("date"), F.ascii("series_id") % 3 * 11))
 
 
-query("stationarity_short", "series_id n_obs:i df_statistic:6 critical_5pct:6 is_stationary:b", lambda t: s.stationarity(tiny(t)),
-      f"""WITH steps AS (SELECT *, lag(value) OVER {W} AS level, value - lag(value) OVER {W} AS delta FROM tiny_series),
-          fit AS (SELECT series_id, regr_count(delta, level) AS n_obs, regr_slope(delta, level) AS slope, regr_sxx(delta, level) AS sxx,
-                         regr_syy(delta, level) AS syy FROM steps GROUP BY 1),
-          test AS (SELECT *, CASE WHEN n_obs > 2 THEN slope / sqrt((syy - slope * slope * sxx) / ((n_obs - 2) * sxx)) END AS df_statistic,
-                   CASE WHEN n_obs > 2 THEN -2.86154 - 2.8903 / n_obs - 4.234 / (n_obs ** 2) - 40.04 / (n_obs ** 3) END AS critical_5pct FROM fit)
-          SELECT *, df_statistic < critical_5pct AS is_stationary FROM test""")
+unit_root_views("dt_", "tiny_series")
+query("stationarity_short", TEST, lambda t: s.stationarity(tiny(t)), "SELECT * FROM dt_test")
 query("decompose_short", "series_id date:d value:4 trend:2 seasonal:2 residual:2", lambda t: s.decompose_additive(tiny(t)),
       f"""WITH t AS (SELECT *, {POSITION} - 1 AS pos, count(*) OVER {WS} AS n,
             CASE WHEN count(*) OVER {near(6, 6)} = 13 AND count(*) OVER {WS} >= 24 THEN

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import unit_root
 from ledgerloom.functions import windows as w
 from ledgerloom.functions.numeric import ratio
 from ledgerloom.params import DATE, SERIES, Forecasting
@@ -32,32 +35,42 @@ def series_stats(df: DataFrame) -> DataFrame:
     return out.withColumns({"cv": ratio(F.col("std"), F.col("mean")), "trend_direction": rising}).drop("_late", "_early")
 
 
+_TEST = ("n_obs long, lags long, df_statistic double, p_value double, critical_1pct double, critical_5pct double, critical_10pct double, is_stationary boolean")
+
+
 def stationarity(df: DataFrame) -> DataFrame:
-    """Dickey-Fuller test with a constant and no lagged differences.
+    """Augmented Dickey-Fuller test with a constant, of each series' known values in the order of their dates.
 
-    The statistic is the t-ratio of the slope of the change on the level before it. The series counts as
-    stationary where it lies below the 5 % critical value of MacKinnon (2010) for its length. With two changes or
-    fewer there is no test, and its figures are null.
+    The number of lagged changes is chosen by AIC. A series counts as stationary where the p-value lies below 5 %. With too few values, or where the
+    changes are explained without error, there is no test, and its figures are null.
     """
-    known = df.withColumn("_known", F.col("value").isNotNull())
-    level = F.last_value("value", ignoreNulls=True).over(w.ordered().rowsBetween(Window.unboundedPreceding, -1))
-    steps = known.withColumns({"_level": F.when(F.col("_known"), level), "_change": F.col("value") - level})
-    out = steps.groupBy(SERIES).agg(
-        F.regr_count("_change", "_level").alias("n_obs"),
-        F.regr_slope("_change", "_level").alias("_slope"),
-        F.regr_sxx("_change", "_level").alias("_sxx"),
-        F.regr_syy("_change", "_level").alias("_syy"),
-    )
-    residual = F.greatest(F.lit(0.0), F.col("_syy") - F.col("_slope") * F.col("_slope") * F.col("_sxx"))
-    error = F.sqrt(ratio(residual, (F.col("n_obs") - 2) * F.col("_sxx")))
-    n = F.when(F.col("n_obs") > 0, F.col("n_obs").cast("double"))
-    critical = -2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.04 / (n * n * n)
-    enough = F.col("n_obs") > 2
-    out = out.withColumns({"df_statistic": F.when(enough, ratio(F.col("_slope"), error)), "critical_5pct": F.when(enough, critical)})
-    return out.select(
-        SERIES, "n_obs", "df_statistic", "critical_5pct",
-        (F.col("df_statistic") < F.col("critical_5pct")).alias("is_stationary"),
-    )
+    point = F.when(F.col("value").isNotNull() & ~F.isnan("value"), F.struct(DATE, "value"))
+    packed = df.groupBy(SERIES).agg(F.transform(F.array_sort(F.collect_list(point)), lambda p: p["value"]).alias("y"))
+    key = packed.schema[SERIES].dataType.simpleString()
+
+    def run(stream):
+        for batch in stream:
+            rows: list = [None] * batch.num_rows
+            values = [np.array(y, float) for y in batch["y"].to_pylist()]
+            sizes = np.array([len(v) for v in values])
+            for n in np.unique(sizes):
+                some = np.flatnonzero(sizes == n)
+                for i, months, lags, statistic in zip(some, *map(np.ndarray.tolist, unit_root.dickey_fuller(np.stack([values[i] for i in some])))):
+                    rows[i] = _tested(months, lags, statistic)
+            yield pa.RecordBatch.from_arrays([batch[SERIES], *map(pa.array, zip(*rows), _ARROW)], names=[SERIES, *_NAMES])
+
+    return packed.mapInArrow(run, f"{SERIES} {key}, {_TEST}")
+
+
+_NAMES = [c.split()[0] for c in _TEST.split(", ")]
+_ARROW = [pa.int64(), pa.int64(), *[pa.float64()] * 5, pa.bool_()]
+
+
+def _tested(months: int, lags: int, statistic: float) -> tuple:
+    if np.isnan(statistic):
+        return (months, *[None] * 7)
+    p = unit_root.p_value(statistic)
+    return (months, lags, statistic, p, *[unit_root.critical(level, months) for level in unit_root.CRITICAL], p < 0.05)
 
 
 def decompose_additive(df: DataFrame, period: int = 12) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import arima, smoothing, waves
+from ledgerloom.functions import arima, smoothing, unit_root, waves
 from ledgerloom.functions.padded import Padded
 from ledgerloom.operators import forecasting as fc
 from ledgerloom.operators import models as m
@@ -330,6 +330,40 @@ def test_edge_series_in_analysis(make_series):
         op(df).collect()
 
 
+def test_unit_root_equals_plain_regressions(make_series):
+    rng = np.random.default_rng(3)
+    walk, wave = np.cumsum(rng.normal(0, 1, 90)) + 50, [50.0]
+    for e in rng.normal(0, 1, 89).tolist():
+        wave.append(50 + 0.4 * (wave[-1] - 50) + e)
+    cases = {"walk": walk.tolist(), "wave": wave, "gap": [None, *walk[:40].tolist(), None, *walk[40:60].tolist()]}
+    got = {x["series_id"]: x for x in s.stationarity(make_series(cases)).collect()}
+    for name, values in cases.items():
+        y = np.array([v for v in values if v is not None])
+        n, d = len(y), np.diff([v for v in values if v is not None])
+        most = min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2)
+
+        def regression(k, lost):
+            x = np.column_stack([np.ones(n - 1 - lost), y[lost:-1], *[d[lost - j : len(d) - j] for j in range(1, k + 1)]])
+            coef, *_ = np.linalg.lstsq(x, d[lost:], rcond=None)
+            return x, coef, ((d[lost:] - x @ coef) ** 2).sum()
+
+        rows = n - 1 - most
+        k = min(range(most + 1), key=lambda k: rows * math.log(regression(k, most)[2] / rows) + 2 * (k + 2))
+        x, coef, sse = regression(k, k)
+        error = math.sqrt(sse / (len(x) - k - 2) * np.linalg.inv(x.T @ x)[1, 1])
+        assert (got[name]["lags"], got[name]["n_obs"]) == (k, len(x)) and got[name]["df_statistic"] == pytest.approx(coef[1] / error, rel=1e-6)
+    assert got["wave"]["is_stationary"] and not got["walk"]["is_stationary"]
+
+
+def test_unit_root_tables():
+    """The published 1, 5 and 10 % values for an infinite sample and for 100 observations, and their p-values."""
+    for level, p, limit, hundred in (("1pct", 0.01, -3.43, -3.50), ("5pct", 0.05, -2.86, -2.89), ("10pct", 0.10, -2.57, -2.58)):
+        assert unit_root.critical(level, 10**9) == pytest.approx(limit, abs=0.005) and unit_root.critical(level, 100) == pytest.approx(hundred, abs=0.005)
+        assert unit_root.p_value(unit_root.critical(level, 10**9)) == pytest.approx(p, abs=0.001)
+    assert unit_root.p_value(3) == 1 and unit_root.p_value(-20) == 0
+    assert unit_root.p_value(-1.62) == pytest.approx(unit_root.p_value(-1.60), abs=0.02)
+
+
 def test_trend_forecast_and_next_month(make_series):
     df = make_series({"a": [float(10 * i) for i in range(1, 15)]})
     rows = s.trend_forecast(df, 2).orderBy("step").collect()
