@@ -148,7 +148,7 @@ def unit_root_views(p, source):
     lags = range(1, 13)
     view(f"{p}steps", f"""
 SELECT *, {', '.join(f'lag(delta, {k}) OVER {W} AS d{k}' for k in lags)} FROM (
-  SELECT *, {POSITION} - 1 AS pos, lag(value) OVER {W} AS level, value - lag(value) OVER {W} AS delta FROM {source})""")
+  SELECT *, {POSITION} - 1 AS pos, lag(value) OVER {W} - avg(value) OVER (PARTITION BY series_id) AS level, value - lag(value) OVER {W} AS delta FROM {source})""")
     view(f"{p}sizes", f"""
 SELECT series_id, count(*) AS n, CAST(least(ceil(12 * (count(*) / 100) ** 0.25), count(*) // 2 - 2) AS INT) AS most, min(value) = max(value) AS still FROM {source} GROUP BY 1""")
     view(f"{p}tries", f"SELECT series_id, n, most AS lost, unnest(range(0, most + 1)) AS k FROM {p}sizes WHERE most >= 0")

@@ -52,6 +52,7 @@ def dickey_fuller(y: np.ndarray):
     n, most = y.shape[1], most_lags(y.shape[1])
     if most < 0 or not len(y):
         return np.zeros(len(y), int), np.zeros(len(y), int), np.full(len(y), np.nan)
+    y = y - y.mean(1, keepdims=True)  # changes nothing but the rounding
     change = np.diff(y)
     x = _columns(y, change, most, most)
     sums, rows = np.einsum("rti,rtj->rij", x, x), n - 1 - most
