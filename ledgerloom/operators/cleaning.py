@@ -16,52 +16,54 @@ from ledgerloom.sources.rollup import dedup_first
 DEFAULT_MEDIAN = 2_500_000.0
 
 
-def fill_forward_back(df: DataFrame, columns) -> DataFrame:
-    """The last known value; before the first known one, the next."""
-    return df.withColumns(
-        {c: F.coalesce(w.last_known(F.col(c)), w.next_known(F.col(c))) for c in columns}
-    )
+def _listed(columns) -> list[str]:
+    return [columns] if isinstance(columns, str) else list(columns)
 
 
-def _between(df: DataFrame, column: str, axis: Column, by=SERIES, order=DATE) -> DataFrame:
-    """Add the known neighbours `_v0/_x0` and `_v1/_x1` of each row along a numeric axis."""
-    known = F.col(column).isNotNull()
-    df = df.withColumn("_x", axis.cast("double")).withColumn("_xk", F.when(known, F.col("_x")))
-    return df.withColumns(
-        {
-            "_v0": w.last_known(F.col(column), by, order),
-            "_x0": w.last_known(F.col("_xk"), by, order),
-            "_v1": w.next_known(F.col(column), by, order),
-            "_x1": w.next_known(F.col("_xk"), by, order),
-        }
-    )
+def _with_neighbours(df: DataFrame, columns: list[str], axis: Column | None = None, by=SERIES, order=DATE) -> DataFrame:
+    """Add each column's known neighbours and their places along an axis: `_v0_/_x0_` before, `_v1_/_x1_` after a row. Without an axis it is the row's position.
 
+    All columns are read in one pass backwards and one forwards: two sorts whatever their number, the last of which serves what follows.
+    """
+    backwards = w.latest_first(by, order)
+    df = df.withColumn("_x", -F.row_number().over(backwards).cast("double") if axis is None else axis.cast("double"))
+    place = lambda c: F.when(F.col(c).isNotNull(), F.col("_x"))
+    df = df.withColumns({f"_{n}1_{c}": w.next_known(v, by, order) for c in columns for n, v in (("v", F.col(c)), ("x", place(c)))})
+    return df.withColumns({f"_{n}0_{c}": w.last_known(v, by, order) for c in columns for n, v in (("v", F.col(c)), ("x", place(c)))})
 
-_SCRATCH = ("_x", "_xk", "_v0", "_x0", "_v1", "_x1")
 
+def _without_neighbours(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.drop("_x", *[f"_{n}_{c}" for c in columns for n in ("v0", "x0", "v1", "x1")])
 
-def _on_line() -> Column:
-    return F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.try_divide(
-        F.col("_x") - F.col("_x0"), F.col("_x1") - F.col("_x0")
-    )
+
+def _on_line(c: str) -> Column:
+    before, after, share = F.col(f"_v0_{c}"), F.col(f"_v1_{c}"), F.try_divide(F.col("_x") - F.col(f"_x0_{c}"), F.col(f"_x1_{c}") - F.col(f"_x0_{c}"))
+    return before + (after - before) * share
+
+
+def fill_forward_back(df: DataFrame, columns) -> DataFrame:
+    """The last known value; before the first known one, the next."""
+    backwards = df.withColumns({f"_v1_{c}": w.next_known(F.col(c)) for c in columns})
+    return backwards.withColumns({c: F.coalesce(w.last_known(F.col(c)), f"_v1_{c}") for c in columns}).drop(*[f"_v1_{c}" for c in columns])
 
 
-def interpolate_linear(df: DataFrame, column: str, by=SERIES, order=DATE) -> DataFrame:
+def interpolate_linear(df: DataFrame, columns, by=SERIES, order=DATE) -> DataFrame:
     """Straight lines over row positions; both ends are held flat."""
-    filled = F.coalesce(F.col(column), _on_line(), F.col("_v0"), F.col("_v1"))
-    placed = df.withColumn("_pos", w.position(by, order))
-    placed = _between(placed, column, F.col("_pos"), by, order)
-    return placed.withColumn(column, filled).drop("_pos", *_SCRATCH)
+    columns = _listed(columns)
+    placed = _with_neighbours(df, columns, None, by, order)
+    return _without_neighbours(placed.withColumns({c: F.coalesce(F.col(c), _on_line(c), f"_v0_{c}", f"_v1_{c}") for c in columns}), columns)
 
 
-def interpolate_time(df: DataFrame, column: str, by=SERIES, order=DATE) -> DataFrame:
-    """Straight lines over elapsed days; leading nulls stay, trailing ones take the last value."""
-    filled = F.coalesce(F.col(column), _on_line(), F.col("_v0"))
-    return _between(df, column, F.unix_date(order), by, order).withColumn(column, filled).drop(*_SCRATCH)
+def interpolate_time(df: DataFrame, columns, by=SERIES, order=DATE, leading=()) -> DataFrame:
+    """Straight lines over elapsed days; trailing nulls take the last value. Leading ones stay, but in the columns `leading` they take the first value."""
+    columns = _listed(columns)
+    placed = _with_neighbours(df, columns, F.unix_date(order), by, order)
+    ends = {c: [f"_v0_{c}", *([f"_v1_{c}"] if c in leading else [])] for c in columns}
+    return _without_neighbours(placed.withColumns({c: F.coalesce(F.col(c), _on_line(c), *ends[c]) for c in columns}), columns)
 
 
-def interpolate_seasonal(df: DataFrame, column: str, min_known: int = 12) -> DataFrame:
-    """Fill along each month of the year, then along time; with few known values along time only."""
+def _seasonal(df: DataFrame, column: str, min_known: int) -> DataFrame:
+    """Filled along each month of the year, where enough values are known."""
     raw = df.withColumns(
         {
             "_raw": F.col(column),
@@ -70,23 +72,31 @@ def interpolate_seasonal(df: DataFrame, column: str, min_known: int = 12) -> Dat
         }
     )
     by_month = interpolate_time(raw, column, by=(SERIES, "_month"))
-    chosen = by_month.withColumn(
-        column, F.when(F.col("_known") < min_known, F.col("_raw")).otherwise(F.col(column))
-    )
-    return interpolate_time(chosen, column).drop("_raw", "_month", "_known")
+    chosen = F.when(F.col("_known") < min_known, F.col("_raw")).otherwise(F.col(column))
+    return by_month.withColumn(column, chosen).drop("_raw", "_month", "_known")
 
 
-def impute_ladder(df: DataFrame, column: str = SALES, default: float = DEFAULT_MEDIAN) -> DataFrame:
-    """Positions, then neighbours, then the median, then a default, whichever first gives a value."""
+def interpolate_seasonal(df: DataFrame, column: str, min_known: int = 12) -> DataFrame:
+    """Fill along each month of the year, then along time; with few known values along time only."""
+    return interpolate_time(_seasonal(df, column, min_known), column)
+
+
+def impute_ladder(df: DataFrame, column: str = SALES, default: float = DEFAULT_MEDIAN, neighbours=()) -> DataFrame:
+    """Positions, then neighbours, then the median, then a default, whichever first gives a value.
+
+    The columns in `neighbours` are filled by neighbours alone, in the same passes.
+    """
+    columns = [column, *neighbours]
     median = F.percentile(column, 0.5).over(w.whole())
-    df = df.withColumn("_median", F.when(median > 0, median))
-    df = fill_forward_back(interpolate_linear(df, column), [column])
-    return df.withColumn(column, F.coalesce(F.col(column), F.col("_median"), F.lit(default))).drop("_median")
+    placed = _with_neighbours(df.withColumn("_median", F.when(median > 0, median)), columns)
+    line = F.coalesce(F.col(column), _on_line(column), f"_v0_{column}", f"_v1_{column}", "_median", F.lit(default))
+    filled = placed.withColumns({column: line, **{c: F.coalesce(F.col(c), f"_v0_{c}", f"_v1_{c}") for c in neighbours}})
+    return _without_neighbours(filled, columns).drop("_median")
 
 
 def prepare_ledger(df: DataFrame) -> DataFrame:
     """What loading does to a valid ledger: fill sales by the ladder, opex and FX by neighbours."""
-    return fill_forward_back(impute_ladder(df, SALES), [OPEX, FX])
+    return impute_ladder(df, SALES, neighbours=(OPEX, FX))
 
 
 def clip_fx(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -153,11 +163,10 @@ def reindex_calendar(df: DataFrame, first: str | None = None, last: str | None =
     )
 
 
-def handle_missing(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Seasonal filling and smoothing of sales; elapsed-day filling and bounding of FX."""
-    df = smooth_median_mean(interpolate_seasonal(df, SALES), SALES)
-    df = fill_forward_back(interpolate_time(df, FX), [FX])
-    return clip_fx(df, rules)
+def handle_missing(df: DataFrame, rules: Rules = Rules(), min_known: int = 12) -> DataFrame:
+    """Seasonal filling and smoothing of sales; elapsed-day filling and bounding of FX, whose ends take the nearest value."""
+    df = interpolate_time(_seasonal(df, SALES, min_known), (SALES, FX), leading=(FX,))
+    return clip_fx(smooth_median_mean(df, SALES), rules)
 
 
 def clean_ledger(df: DataFrame, rules: Rules = Rules(), tie_break: str | None = None) -> DataFrame:
