@@ -169,15 +169,16 @@ def handle_missing(df: DataFrame, rules: Rules = Rules(), min_known: int = 12) -
     return clip_fx(smooth_median_mean(df, SALES), rules)
 
 
+def repair_ledger(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The repair of a ledger that has one row per series and date."""
+    df = reindex_calendar(trim_dates(df, rules.first_date, rules.last_date))
+    return recompute_opex(handle_missing(winsorize_ledger(clip_fx(df, rules)), rules))
+
+
 def clean_ledger(df: DataFrame, rules: Rules = Rules(), tie_break: str | None = None) -> DataFrame:
-    """The whole repair of a standardized ledger, up to but without the optional features."""
+    """The whole repair of a standardized ledger, up to but without the optional features; `plans.pipelines.clean_job` starts from text and adds them."""
     df = dedup_first(df, tie_break)
-    if tie_break:
-        df = df.drop(tie_break)
-    df = trim_dates(df, rules.first_date, rules.last_date)
-    df = reindex_calendar(df)
-    df = winsorize_ledger(clip_fx(df, rules))
-    return recompute_opex(handle_missing(df, rules))
+    return repair_ledger(df.drop(tie_break) if tie_break else df, rules)
 
 
 def sanitize_forecast(

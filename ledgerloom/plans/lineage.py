@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -20,3 +21,13 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{folder.rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that `spark.checkpoint.dir` names. Where it is unset, on a local master, in a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="ledgerloom-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"

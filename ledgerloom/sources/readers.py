@@ -91,7 +91,20 @@ def ledger_from_lines(lines: DataFrame, header: list[str], line: str = "line") -
     return standardize_schema(lines.select(F.from_csv(line, schema).alias("fields")).select("fields.*"))
 
 
+MALFORMED = "malformed"
+
+
+def read_text(spark: SparkSession, path) -> DataFrame:
+    """A CSV ledger as text, all rows, with a column `malformed`: whether a line has more or fewer fields than the header.
+
+    What a short line lacks is null; what a long one has too many is lost, which is why it is marked.
+    """
+    names = spark.read.csv(path, header=True, inferSchema=False, enforceSchema=False).columns
+    fields = ", ".join(f"`{n}` string" for n in (*names, "_line"))
+    text = spark.read.csv(path, header=True, schema=fields, enforceSchema=False, columnNameOfCorruptRecord="_line")
+    return text.withColumn(MALFORMED, F.col("_line").isNotNull()).drop("_line")
+
+
 def read_ledger(spark: SparkSession, path) -> DataFrame:
-    """A CSV ledger as typed rows; rows whose date cannot be parsed are dropped."""
-    text = spark.read.csv(path, header=True, inferSchema=False, enforceSchema=False)
-    return standardize_schema(text)
+    """A CSV ledger as typed rows; rows whose date cannot be parsed are dropped. `plans.pipelines.ingest` counts them in the same pass."""
+    return standardize_schema(read_text(spark, path).drop(MALFORMED))

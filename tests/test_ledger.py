@@ -12,7 +12,7 @@ from ledgerloom.operators import cleaning as c
 from ledgerloom.operators import features as f
 from ledgerloom.operators import profiling as pr
 from ledgerloom.operators import quality as q
-from ledgerloom.params import LedgerError, Rules
+from ledgerloom.params import LedgerError, Risk, Rules, Settings
 from ledgerloom.plans import pipelines
 from ledgerloom.sources import readers, rollup, scenarios, sinks
 from tests.conftest import month
@@ -29,6 +29,43 @@ def test_read_csv_with_aliases_and_mixed_dates(spark, tmp_path):
     assert rows[1]["sales_total_try"] == 100.0 and rows[1]["opex_try"] is None
 
 
+def test_ingest_counts_what_it_leaves_out(spark, tmp_path):
+    file = tmp_path / "ledger.csv"
+    file.write_text(
+        "Timestamp,SALES,operating_expenses,FX\n2020-01-01,100,25,30\n2020-02-01,-5,25,99\n2020-02-01,7,25,31\n"
+        "13/03/2020,300,75,32,too,many\nnever,400,100,33\n20200501,500\n2020-02-01,-5,25,99\n"
+    )
+    made = pipelines.ingest(readers.read_text(spark, str(file)))
+    rows = {str(r["date"]): r["sales_total_try"] for r in made.ledger.collect()}
+    assert rows == {"2020-01-01": 100.0, "2020-02-01": -5.0, "2020-03-13": 300.0, "2020-05-01": 500.0}
+    counts = made.counts.first().asDict()
+    assert {k: v for k, v in counts.items() if v and k != "series_id"} == {
+        "raw_rows": 7, "undated_rows": 1, "malformed_rows": 2, "repeated_rows": 2, "sales_below_min": 2, "fx_above_max": 2}
+    assert readers.read_ledger(spark, str(file)).count() == 6
+    with pytest.raises(LedgerError, match="fx_above_max"):
+        pipelines.load_ledger(readers.read_ledger(spark, str(file)))
+    empty = pipelines.ingest(readers.read_text(spark, str(file)).limit(0))
+    assert empty.ledger.count() == 0 == empty.counts.count()
+
+
+def test_source_is_read_once(make_ledger):
+    made = pipelines.ingest(make_ledger({"a": [1e6] * 5, "b": [2e6]}))
+    for df in (made.ledger, made.counts):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "LocalRelation" not in plan and "LogicalRDD" not in plan.split("InMemoryRelation")[0]
+
+
+def test_jobs_cover_every_series(make_ledger):
+    df = make_ledger(EDGES)
+    cleaned = pipelines.clean_job(df)
+    assert {r["series_id"] for r in cleaned.ledger.collect()} == set(EDGES) == {r["series_id"] for r in cleaned.report.collect()}
+    report = pipelines.profile_job(df).report
+    assert {r["series_id"] for r in report.collect()} == set(EDGES)
+    forecast = df.selectExpr("series_id", "date", "sales_total_try as sales").where("series_id in ('year', 'eleven')")
+    study = pipelines.risk_job(forecast, Settings(risk=Risk(runs=30)))
+    assert study.summary.count() == study.distribution.count() == 2 and study.simulations.count() == 60
+
+
 def test_schema_errors(spark, make_ledger):
     df = make_ledger({"a": [1.0]})
     with pytest.raises(LedgerError):
@@ -159,6 +196,13 @@ def test_sinks(spark, tmp_path, make_ledger):
     assert sorted(r["sales_total_try"] for r in back.collect()) == [1.23, 2.0, 3.0]
     sinks.write_plan(df, str(tmp_path / "csv"), fmt="csv")
     assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 3
+    schema = df.schema
+    sinks.write_plan(df.withColumn("scenario", F.lit("stress")).limit(1), str(tmp_path / "plan"))
+    assert sinks.read_plan(spark, str(tmp_path / "plan"), schema).groupBy("scenario").count().count() == 2
+    assert sinks.plan_problems(spark, str(tmp_path / "plan"), schema).count() == 0
+    df.limit(1).write.mode("append").partitionBy("scenario").parquet(str(tmp_path / "plan"))
+    found = [tuple(r) for r in sinks.plan_problems(spark, str(tmp_path / "plan"), schema).collect()]
+    assert found == [("base", 3, 4)]
     sections = {"summary": q.ledger_summary(df), "outliers": q.iqr_outliers(df)}
     sinks.write_report(sections, str(tmp_path / "report"))
     lines = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "report")).collect()]
