@@ -46,6 +46,20 @@ def reply_pairs(convs: DataFrame, replies: DataFrame) -> DataFrame:
         "pair_id", "chosen", F.concat(F.slice("chosen", F.lit(1), F.size("chosen") - 1), F.array(reply)).alias("rejected"))
 
 
+def branched_pairs(convs: DataFrame) -> DataFrame:
+    """(pair_id, chosen, rejected) for every conversation: chosen is the whole of it, rejected leaves it after some turns, of which a hash of the id tells how
+    many, and goes on as the conversation with the next id does from there.
+
+    None is left out: where there is no next id, or it has no more turns, rejected just ends. Ids that repeat in `convs` pair each with each.
+    """
+    other = convs.select(F.try_subtract("conv_id", F.lit(1)).alias("pair_id"), F.col("turns").alias("other"))
+    own = convs.select(F.col("conv_id").alias("pair_id"), F.col("turns").alias("chosen"))
+    kept = F.pmod(F.conv(F.substring(F.md5(F.col("pair_id").cast("string")), 1, 8), 16, 10).cast("long"), F.size("chosen") + 1).cast("int")
+    paired = own.join(other, "pair_id", "left").withColumn("kept", kept)
+    rest = F.coalesce(F.slice("other", F.col("kept") + 1, F.greatest(F.size("other") - F.col("kept"), F.lit(0))), F.slice("chosen", 1, 0))
+    return paired.select("pair_id", "chosen", F.concat(F.slice("chosen", F.lit(1), F.col("kept")), rest).alias("rejected"))
+
+
 def common_turns(chosen: Column, rejected: Column) -> Column:
     """How many turns both begin with."""
     first_other = F.array_position(F.zip_with(chosen, rejected, lambda a, b: a.eqNullSafe(b)), False)

@@ -67,9 +67,9 @@ def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations")
-    pairs = preferences.reply_pairs(preferences.conversations(turns), preferences.last_replies(turns))
-    rows = preferences.preference_rows(pairs)
+    """Every conversation against one that branches off it; the table has no preferences."""
+    convs = preferences.conversations(table(spark, sf_dir, "conversations"))
+    rows = preferences.preference_rows(preferences.branched_pairs(convs))
     return rows.select(
         F.col("pair_id").alias("conv_id"), "n_common", "prompt",
         *[x for c in ("chosen", "rejected") for x in (preferences.rendered(F.col(c)).alias(c), preferences.trained_text(F.col(c)).alias(f"{c}_trained"))])
@@ -125,26 +125,21 @@ _OP10 = """
 WITH turns AS (
   SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
-ended AS (
-  SELECT conv_id, t[:len(t) - list_position(list_transform(list_reverse(t), lambda x: x.role), 'assistant') + 1] AS chosen FROM turns
-  WHERE list_contains(list_transform(t, lambda x: x.role), 'assistant')),
-paired AS (
-  SELECT a.conv_id, a.chosen, a.chosen[:-2] AS shared, list_append(a.chosen[:-2], struct_pack(role := 'assistant', text := coalesce(b.chosen[-1].text, ''))) AS rejected
-  FROM ended a LEFT JOIN ended b ON b.conv_id = a.conv_id + 1),
-counted AS (SELECT *, CASE WHEN chosen = rejected THEN len(chosen) ELSE len(chosen) - 1 END AS n FROM paired),
+branched AS (
+  SELECT a.conv_id, a.t AS chosen, b.t AS other, ('0x' || substr(md5(a.conv_id::VARCHAR), 1, 8))::BIGINT % (len(a.t) + 1) AS kept
+  FROM turns a LEFT JOIN turns b ON b.conv_id = a.conv_id + 1),
+paired AS (SELECT conv_id, chosen, list_concat(chosen[1:kept], coalesce(other, [])[kept + 1:]) AS rejected FROM branched),
+counted AS (SELECT *, len(list_filter(range(1, least(len(chosen), len(rejected)) + 1), lambda i: chosen[1:i] = rejected[1:i])) AS n FROM paired),
 formatted AS (
-  SELECT conv_id, n,
-    list_transform(chosen[:n], lambda x: '<|im_start|>' || replace(x.role, '<|', '<​|') || chr(10) || replace(x.text, '<|', '<​|') || '<|im_end|>' || chr(10)) AS prompt,
-    list_transform(chosen[n + 1:], lambda x: '<|im_start|>' || replace(x.role, '<|', '<​|') || chr(10)) AS c_head,
-    list_transform(chosen[n + 1:], lambda x: replace(x.text, '<|', '<​|') || '<|im_end|>' || chr(10)) AS c_body,
-    list_transform(rejected[n + 1:], lambda x: '<|im_start|>' || replace(x.role, '<|', '<​|') || chr(10)) AS r_head,
-    list_transform(rejected[n + 1:], lambda x: replace(x.text, '<|', '<​|') || '<|im_end|>' || chr(10)) AS r_body
+  SELECT conv_id, n, list_transform(chosen[:n], lambda x: {whole}) AS prompt,
+    list_transform(chosen[n + 1:], lambda x: {whole}) AS c, list_transform(list_filter(chosen[n + 1:], lambda x: x.role = 'assistant'), lambda x: {body}) AS c_trained,
+    list_transform(rejected[n + 1:], lambda x: {whole}) AS r, list_transform(list_filter(rejected[n + 1:], lambda x: x.role = 'assistant'), lambda x: {body}) AS r_trained
   FROM counted)
-SELECT conv_id, CAST(n AS INT) AS n_common, array_to_string(prompt, '') AS prompt,
-  array_to_string(list_concat(c_head, c_body), '') AS chosen, array_to_string(c_body, '') AS chosen_trained,
-  array_to_string(list_concat(r_head, r_body), '') AS rejected, array_to_string(r_body, '') AS rejected_trained
+SELECT conv_id, CAST(n AS INT) AS n_common, array_to_string(prompt, '') AS prompt, array_to_string(c, '') AS chosen, array_to_string(c_trained, '') AS chosen_trained,
+  array_to_string(r, '') AS rejected, array_to_string(r_trained, '') AS rejected_trained
 FROM formatted
-"""
+""".format(whole="'<|im_start|>' || replace(x.role, '<|', '<\u200b|') || chr(10) || replace(x.text, '<|', '<\u200b|') || '<|im_end|>' || chr(10)",
+           body="replace(x.text, '<|', '<\u200b|') || '<|im_end|>' || chr(10)")
 
 _OP2 = r"""
 WITH sizes AS (SELECT doc_id, source, CAST(%s AS BIGINT) AS size FROM documents),

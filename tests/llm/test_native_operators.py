@@ -1,5 +1,6 @@
 """Mixing, url filter, licences and preferences against SQL, plain Python and exact sets."""
 
+import hashlib
 import math
 import random
 import re
@@ -213,3 +214,26 @@ def test_conversations_and_pairs_odd_rows(spark):
     assert set(pairs) == {1, 2, 4, 5}
     assert [tuple(t) for t in pairs[1].rejected] == [("user", "a"), ("assistant", "z")] and pairs[2].rejected[-1].text == "" and pairs[4].rejected == pairs[4].chosen
     assert preferences.reply_pairs(preferences.conversations(turns.limit(0)), preferences.last_replies(turns.limit(0))).count() == 0
+
+
+def test_branches_keep_every_conversation(spark):
+    rng = random.Random(12)
+    rows = [(k, t, rng.choice(["user", "assistant"]), rng.choice(["a", "b", ""])) for k in range(40) if k != 20 for t in range(rng.randint(1, 6))]
+    rows += [(50, 0, "user", "no reply"), (None, 0, "user", "lost"), (60, 0, "assistant", "word " * 200_000), (61, None, None, None)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    convs = preferences.conversations(turns)
+    whole = {r.conv_id: [tuple(t) for t in r.turns] for r in convs.collect()}
+    pairs = {r.pair_id: r for r in preferences.branched_pairs(convs).collect()}
+    assert set(pairs) == set(whole) == {*range(20), *range(21, 40), 50, 60, 61}
+    lengths = Counter()
+    for r in preferences.preference_rows(preferences.branched_pairs(convs)).collect():
+        p = pairs[r.pair_id]
+        chosen, rejected, other = [tuple(t) for t in p.chosen], [tuple(t) for t in p.rejected], whole.get(r.pair_id + 1, [])
+        kept = int(hashlib.md5(str(r.pair_id).encode()).hexdigest()[:8], 16) % (len(chosen) + 1)
+        assert chosen == whole[r.pair_id] and rejected == chosen[:kept] + other[kept:]
+        n = next((i for i, (a, b) in enumerate(zip(chosen, rejected)) if a != b), min(len(chosen), len(rejected)))
+        assert r.n_common == n >= kept and r.prompt == render(chosen[:n])
+        assert "".join(s.text for s in r.rejected) == render(rejected[n:])
+        lengths[n] += 1
+    assert len(lengths) > 4
+    assert preferences.branched_pairs(convs.limit(0)).count() == 0
