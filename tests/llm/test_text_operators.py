@@ -318,3 +318,77 @@ def test_copies_of_a_page_are_no_template(spark):
     got = {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[3] == "Head 1\nThe same article\nShare this page" and got[99].startswith("Head 2\nAnother")
     assert html_text.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def extracted(spark, pages, host="s.org"):
+    rows = [(k, f"https://{host}/{k}", p) for k, p in enumerate(pages)]
+    return [r.text for r in html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+
+
+def test_a_form_around_the_page_is_no_furniture(spark):
+    pages = [f"<body><form id=aspnetForm><nav>menu</nav><article><h1>T{k}</h1><p>Long text of page {k}</p></article></form><form><p>search</p></form></body>" for k in range(4)]
+    pages += [f"<body><form><div><p>Only text here, and quite some of it {k}</p></div></form><form>log in</form></body>" for k in range(2)]
+    got = extracted(spark, pages)
+    assert got[:4] == [f"T{k}\nLong text of page {k}" for k in range(4)]
+    assert got[4:] == [f"Only text here, and quite some of it {k}" for k in range(2)]
+
+
+def test_ids_of_sections_and_headings_are_anchors(spark):
+    body = ('<article><h1 id="search-algorithms">A</h1><section id="discussion"><h2 id="related-work">B</h2><p>C</p></section>'
+            '<div class="related">D</div><section id="comments"><p>E</p></section><div class="share">F</div></article><div id="discussion">G</div>')
+    assert extracted(spark, [body]) == ["A\nB\nC"]
+
+
+def test_the_slot_with_most_text_is_the_article(spark, prose):
+    pages = [f"<html><body><div class=c1><p>{prose(k, 6)}</p></div><div class=c2><h1>{prose(k + 50, 4)}</h1><p>{prose(k + 100, 60)}</p>"
+             + "".join(f"<p>{prose(k * 7 + j, 40)}</p>" for j in range(k % 4)) + f"</div><div class=c3><p>{prose(k + 900, 9)}</p><p>one</p></div></body></html>" for k in range(12)]
+    for k, text in enumerate(extracted(spark, pages)):
+        assert text.split("\n")[:2] == [prose(k + 50, 4), prose(k + 100, 60)] and len(text.split("\n")) == 2 + k % 4
+    flat = [f"<html><body><div class=c1>{prose(k, 5)}</div><h1>{prose(k + 50, 4)}</h1><p>{prose(k + 100, 60)}</p>" + f"<p>{prose(k + 300, 30)}</p>" * (k % 3) + "</body></html>" for k in range(12)]
+    for k, text in enumerate(extracted(spark, flat)):
+        assert text.split("\n") == [prose(k + 50, 4), prose(k + 100, 60), *[prose(k + 300, 30)] * (k % 3)]
+
+
+def test_templates_equal_plain_deduction(spark, prose):
+    rng = random.Random(5)
+    pages = []
+    for k in range(30):
+        extra = "".join(f"<div class='box{rng.randint(1, 3)}'><p>{prose(rng.randint(0, 3), 3)}</p></div>" for _ in range(rng.randint(0, 3)))
+        pages.append(f"<html><body><nav><p>Home</p></nav><div class=top><p>Site name</p></div><div class=text><p>{prose(k + 10, 20)}</p>{extra}</div>"
+                     + ("<div class=late><span>x</span><p>Often</p></div>" if k % 5 else "") + "</body></html>")
+    pages += pages[:9]
+    df = spark.createDataFrame([("h", p) for p in pages], "host string, html string")
+    (row,) = html_text.host_templates(df).collect()
+
+    counted, seen, text_of = [], set(), Counter()
+    for p in pages:
+        elements, blocks = html_text.page_parts(p)
+        tokens = Counter([("", None), *((e, None) for e in elements), *((b.path, html_text.text_token(b)) for b in blocks)])
+        if frozenset(tokens.items()) not in seen:
+            seen.add(frozenset(tokens.items()))
+            counted.append(tokens)
+            for b in blocks:
+                text_of[b.path] += 0 if b.furniture else len(b.text)
+    vectors = {t: tuple(c[t] for c in counted) for t in set().union(*counted)}
+    classes = {}
+    for t, v in vectors.items():
+        share, least = (html_text.TEXT_SHARE, html_text.TEXT_PAGES) if t[1] is not None else (html_text.ELEMENT_SHARE, 0)
+        if sum(n > 0 for n in v) >= max(least, share * len(counted)):
+            classes.setdefault(v, set()).add(t)
+    valid = set().union(*[c for c in classes.values() if len(c) >= html_text.CLASS_TOKENS])
+    elements = {p for p, h in valid if h is None}
+    elements = {p for p in elements if not p or p.rpartition("/")[0] in elements}
+    assert set(row.elements) == elements and set(row.texts) == {h for _, h in valid if h is not None}
+    slots = Counter()
+    for path, n in text_of.items():
+        near = path
+        while near not in elements:
+            near = near.rpartition("/")[0]
+        slots[near] += n
+    assert row.slot == min(slots, key=lambda p: (-slots[p], p))
+
+
+def test_very_long_pages(spark, prose):
+    text = prose(3, 300_000)
+    (got,) = extracted(spark, [f"<html><body><article><p>{text}</p></article></body></html>"])
+    assert got == text
