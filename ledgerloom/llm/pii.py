@@ -1,16 +1,16 @@
 """Personal data replaced by surrogates.
 
-Method. Entities are found by pattern: e-mail addresses, telephone, card, account and social security numbers, network
+Method. Entities are found by pattern: e-mail addresses, telephone, card (with a right check digit), account and social security numbers, network
 addresses, secrets, and personal names behind a title or with a known given name. Each gets a surrogate of its kind from a
 keyed hash: digits for digits and letters for letters in the same layout and case; given names of the same gender
-and script, surnames of the same script. The same entity has the same surrogate in all documents, however it is
+and script, surnames of the same script, put together from syllables so that there are far more of them than a corpus has. The same entity has the same surrogate in all documents, however it is
 laid out, so that references to it still agree. Over the whole corpus no two entities of a kind may share a surrogate, and none may
 be an entity that occurs: those that collide are drawn anew, under a new attempt number, until no collision is left. Layouts may have fewer
 surrogates than entities ("_@a.org" has one), so later attempts are longer or wider, and the rounds end. Cards and IPv4 addresses keep their
 length: they have more surrogates than any corpus has entities.
 
-Cost. The texts are read twice and not moved: once for the distinct entities, which are checked as a table, and once to
-replace. Only entities with a second or later attempt go to the tasks, in blocks; first attempts follow from the key.
+Cost. The texts are read twice: once for the distinct entities, which are checked as a table, and once to replace. First attempts follow from the key. Where there are later ones, the texts
+are read once more for whom they concern, and meet their attempts by a join on the text's hash. A round writes only the entities that are still open. Nothing comes to the driver.
 
 Names are replaced part by part, so that "Mrs Ann Lee" and "Mrs Lee" remain one family.
 """
@@ -31,27 +31,43 @@ from pyspark.sql import types as T
 
 from ledgerloom.llm.shared import annotate, fresh, write_shared
 
-KEY = b"ledgerloom surrogates"  # give your own in production
-REDRAWN = 100_000  # entities of later attempts that go to the tasks at once
-
-# Given names for detection and replacement, by gender and script; surnames, for replacement only.
-FEMALE_LATIN = ("Alice Anna Barbara Carla Clara Diana Elena Emily Eva Hannah Helen Ingrid Irene Julia Karen Laura Linda Lucy Maria "
-                "Martha Mary Nina Olivia Paula Rosa Sarah Sofia Susan Teresa Vera").split()
-MALE_LATIN = ("Adam Albert Andrew Carlos Daniel David Edward Felix Frank George Hans Henry Hugo James Jean John Jorge Karl Louis Luis "
-              "Mark Martin Michael Oscar Otto Paul Peter Robert Thomas William").split()
-FEMALE_CYRILLIC = "Анна Вера Галина Дарья Елена Ирина Лариса Мария Нина Ольга Софья Татьяна".split()
-MALE_CYRILLIC = "Алексей Борис Виктор Дмитрий Иван Игорь Максим Николай Олег Павел Сергей Юрий".split()
-SURNAMES_LATIN = ("Adler Baker Becker Blanc Carter Castro Cooper Costa Dubois Fischer Foster Garnier Hayes Herrera Hughes Keller Lambert "
-                  "Lopez Mercier Morgan Navarro Ortega Parker Reed Romero Schmitt Turner Vogel Weber Winter").split()
-SURNAMES_CYRILLIC = "Белов Волков Громов Зайцев Ильин Крылов Лебедев Морозов Орлов Попов Соколов Титов".split()
-FEMALE_TITLES = "Mrs Ms Miss Frau Señora Sra Madame Mme".split()
-MALE_TITLES = "Mr Herr Señor Sr Monsieur".split()
-OTHER_TITLES = ["Dr", "Prof"]
-
-NAMES = {("given", "f", "latin"): FEMALE_LATIN, ("given", "m", "latin"): MALE_LATIN,
-         ("given", "f", "cyrillic"): FEMALE_CYRILLIC, ("given", "m", "cyrillic"): MALE_CYRILLIC,
-         ("surname", "", "latin"): SURNAMES_LATIN, ("surname", "", "cyrillic"): SURNAMES_CYRILLIC}
-_GENDER = {n: k[1] for k, names in NAMES.items() if k[0] == "given" for n in names}
+# Given names for detection and replacement, by gender and script.
+FEMALE_LATIN = (
+    "Alice", "Anna", "Barbara", "Carla", "Clara", "Diana", "Elena", "Emily", "Eva", "Hannah", "Helen", "Ingrid", "Irene", "Julia", "Karen", "Laura",
+    "Linda", "Lucy", "Maria", "Martha", "Mary", "Nina", "Olivia", "Paula", "Rosa", "Sarah", "Sofia", "Susan", "Teresa", "Vera",
+)
+MALE_LATIN = (
+    "Adam", "Albert", "Andrew", "Carlos", "Daniel", "David", "Edward", "Felix", "Frank", "George", "Hans", "Henry", "Hugo", "James", "Jean", "John",
+    "Jorge", "Karl", "Louis", "Luis", "Mark", "Martin", "Michael", "Oscar", "Otto", "Paul", "Peter", "Robert", "Thomas", "William",
+)
+FEMALE_CYRILLIC = (
+    "Анна", "Вера", "Галина", "Дарья", "Елена", "Ирина", "Лариса", "Мария", "Нина", "Ольга", "Софья", "Татьяна",
+)
+MALE_CYRILLIC = (
+    "Алексей", "Борис", "Виктор", "Дмитрий", "Иван", "Игорь", "Максим", "Николай", "Олег", "Павел", "Сергей", "Юрий",
+)
+#: Beginnings, vowels, consonants and ends of made-up names, by script and for what they are.
+SYLLABLES = {
+    "latin": (("al", "bar", "ber", "bran", "cal", "dal", "dor", "fal", "fen", "gar", "gren", "hal", "kel", "lan", "lor", "mar", "mel", "nor", "pel", "ren", "sal", "tor", "val", "wes"),
+              ("a", "e", "i", "o", "u", "ai", "ei", "ou"), ("b", "d", "f", "g", "k", "l", "m", "n", "r", "s", "t", "v")),
+    "cyrillic": (("ал", "бар", "бел", "вол", "гор", "гран", "дор", "жар", "зор", "кал", "лен", "мар", "нев", "пол", "рад", "сав", "тар", "хол", "чер", "яр"),
+                 ("а", "е", "и", "о", "у", "ы"), ("б", "в", "г", "д", "к", "л", "м", "н", "р", "с", "т", "х")),
+}
+ENDS = {
+    ("surname", "", "latin"): ("berg", "dale", "ert", "ez", "hart", "ing", "ley", "mann", "ner", "son", "stein", "ton"), ("surname", "", "cyrillic"): ("ов", "ев", "ин", "ский", "енко", "ович"),
+    ("given", "f", "latin"): ("a", "ina", "elle", "ia", "ette"), ("given", "m", "latin"): ("o", "us", "an", "ert", "in"),
+    ("given", "f", "cyrillic"): ("ана", "ина", "ия", "ова"), ("given", "m", "cyrillic"): ("ан", "ий", "ор", "слав"),
+}
+FEMALE_TITLES = (
+    "Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme",
+)
+MALE_TITLES = (
+    "Mr", "Herr", "Señor", "Sr", "Monsieur",
+)
+OTHER_TITLES = ("Dr", "Prof")
+
+GIVEN = {("f", "latin"): FEMALE_LATIN, ("m", "latin"): MALE_LATIN, ("f", "cyrillic"): FEMALE_CYRILLIC, ("m", "cyrillic"): MALE_CYRILLIC}
+_GENDER = {n: gender for (gender, _), names in GIVEN.items() for n in names}
 
 _TITLE = "|".join([*FEMALE_TITLES, *MALE_TITLES, *OTHER_TITLES])
 _GIVEN = "|".join(_GENDER)
@@ -115,6 +131,8 @@ def entities(text: str) -> list[Entity]:
             start, end = m.span("value") if kind == "secret" and m["value"] else m.span()
             if any(start < e and s < end for s, e in taken):
                 continue
+            if kind == "card" and _luhn(re.sub(r"\D", "", text[start:end])):
+                continue  # some other number
             taken.append((start, end))
             if kind == "name":
                 out += [Entity(*m.span(g), k, m[g].lower()) for g, k in _name_parts(m)]
@@ -142,14 +160,23 @@ def _luhn(digits):
     return sum(int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(digits))) % 10
 
 
+def _made_name(part, gender, script, draw, attempt):
+    """A given name from the list, from the second attempt on with a made-up one behind it; a made-up surname. Later attempts are longer."""
+    pick = lambda choices: choices[next(draw) % len(choices)]
+    first, vowels, consonants = SYLLABLES[script]
+    listed = f"{pick(GIVEN[gender, script]).lower()}-" if part == "given" else ""
+    if listed and not attempt:
+        return listed[:-1]
+    middle = "".join(pick(vowels) + pick(consonants) for _ in range(2 + attempt // 2))
+    return f"{listed}{pick(first)}{middle}{pick(ENDS[part, gender, script])}"
+
+
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     """The stand-in for an entity, in canonical form."""
     draw = _stream(key, kind, canonical, attempt)
     more = (attempt + 1) // 2  # the layout's surrogates may be used up
     if kind.startswith(("given-", "surname-")):
-        names = NAMES[tuple(kind.split("-"))]
-        made = [names[next(draw) % len(names)] for _ in range(1 + (attempt + 1) // 4)]  # more parts the more collide
-        return "-".join(made).lower()
+        return _made_name(*kind.split("-"), draw, attempt)
     if kind == "email":
         local, _, domain = canonical.partition("@")
         *hosts, _, top = domain.split(".")
@@ -215,104 +242,103 @@ def corpus_entities(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(run, result).distinct()
 
 
-def assigned(found: DataFrame, key: bytes = KEY) -> DataFrame:
-    """(kind, canonical, attempt, surrogate) with no surrogate twice in a kind and none that is itself in `found`."""
+def assigned(found: DataFrame, key: bytes) -> DataFrame:
+    """(kind, canonical, attempt, surrogate) with no surrogate twice in a kind and none that is itself in `found`.
+
+    Of those that draw the same the first by its canonical form keeps it. A round judges the entities still open against each other, what is settled and what occurs, and writes
+    what it settles and what stays open.
+    """
     @F.pandas_udf(T.StringType())
     def drawn(kind: pd.Series, canonical: pd.Series, attempt: pd.Series) -> pd.Series:
         return pd.Series([surrogate(key, k, c, a) for k, c, a in zip(kind, canonical, attempt)], dtype=object)
 
     found = write_shared(found, "pii-found")
-    taken = found.select("kind", F.col("canonical").alias("surrogate"), F.lit(True).alias("occurs"))
-    current = write_shared(found.withColumn("attempt", F.lit(0)).withColumn("surrogate", drawn("kind", "canonical", "attempt")), "pii-drawn")
+    occurs = found.select("kind", F.col("canonical").alias("surrogate"))
+    settled, current, attempt = None, found.select("kind", "canonical"), 0
     while True:
-        first = current.groupBy("kind", "surrogate").agg(F.min("canonical").alias("holder"))
-        judged = current.join(first, ["kind", "surrogate"]).join(taken, ["kind", "surrogate"], "left").withColumn(
-            "again", (F.col("canonical") != F.col("holder")) | F.coalesce("occurs", F.lit(False)))
-        judged = write_shared(judged.select("kind", "canonical", "attempt", "surrogate", "again"), "pii-judged")
-        if judged.where("again").isEmpty():
-            return judged.drop("again")
-        attempt = F.col("attempt") + F.col("again").cast("int")
-        redrawn = judged.where("again").withColumn("attempt", attempt).withColumn("surrogate", drawn("kind", "canonical", "attempt"))
-        current = write_shared(judged.where("not again").unionByName(redrawn).drop("again"), "pii-drawn")
-
-
-def _blocks(later: DataFrame):
-    block = {}
-    for r in later.toLocalIterator():
-        block[r["kind"], r["canonical"]] = r["attempt"]
-        if len(block) == REDRAWN:
-            yield block
-            block = {}
-    yield block
-
-
-def _with_attempts(docs, text, name, block):
-    """`docs` with struct `name`: those later attempts of `block` that each text needs."""
-    attempts = T.MapType(T.StringType(), T.IntegerType())
-
-    def prepare():
-        def work(texts):
-            found = [{f"{e.kind}\x1f{e.canonical}": block[e.kind, e.canonical] for e in _found(t) if (e.kind, e.canonical) in block}
-                     for t in _hinted(texts)]
-            return pa.StructArray.from_arrays([pa.array([list(f.items()) for f in found], pa.map_(pa.string(), pa.int32()))], ["attempts"])
+        tried = write_shared(current.withColumn("attempt", F.lit(attempt)).withColumn("surrogate", drawn("kind", "canonical", "attempt")), "pii-drawn")
+        taken = (occurs if settled is None else occurs.unionByName(settled.select("kind", "surrogate"))).distinct().withColumn("taken", F.lit(True))
+        first = tried.groupBy("kind", "surrogate").agg(F.min("canonical").alias("holder"))
+        judged = tried.join(first, ["kind", "surrogate"]).join(taken, ["kind", "surrogate"], "left")
+        again = (F.col("canonical") != F.col("holder")) | F.coalesce("taken", F.lit(False))
+        judged = write_shared(judged.select("kind", "canonical", "attempt", "surrogate", again.alias("again")), "pii-judged")
+        done = judged.where("not again").drop("again")
+        settled = done if settled is None else settled.unionByName(done)
+        current, attempt = judged.where("again").select("kind", "canonical"), attempt + 1
+        if current.isEmpty():
+            return settled
+
+
+def text_attempts(docs: DataFrame, later: DataFrame, text: str = "text") -> DataFrame:
+    """(text_hash, attempts): for every text of `docs` that holds some of `later` (kind, canonical, attempt), the attempt of each of them.
+
+    A text is one row however often it occurs; its own entities bound its map.
+    """
+    result = T.StructType([T.StructField("text_hash", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("canonical", T.StringType())])
 
-        return work
+    def run(stream):
+        for batch in stream:
+            rows = {(h, e.kind, e.canonical) for h, t in zip(batch.column(0).to_pylist(), _hinted(batch.column(1))) for e in _found(t)}
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else ((), (), ()), (pa.int64(), pa.string(), pa.string()))], names=result.fieldNames())
 
-    return annotate(docs, [text], T.StructType([T.StructField("attempts", attempts)]), name, prepare)
+    held = docs.select(F.xxhash64(text), text).mapInArrow(run, result).distinct()
+    entry = F.struct(F.concat_ws("\x1f", "kind", "canonical").alias("key"), F.col("attempt").alias("value"))
+    return held.join(later, ["kind", "canonical"]).groupBy("text_hash").agg(F.map_from_entries(F.collect_list(entry)).alias("attempts"))
 
 
 RESULT = T.StructType([T.StructField("text", T.StringType()), T.StructField("kinds", T.ArrayType(T.StringType()))])
 
 
-def with_surrogates(docs: DataFrame, name: str, text: str = "text", key: bytes = KEY) -> DataFrame:
+def with_surrogates(docs: DataFrame, name: str, key: bytes, text: str = "text") -> DataFrame:
     """`docs` with struct `name`: the text with surrogates, and the kind of each entity in order.
 
-    A null text stays null and an empty one empty; texts without entities stay as they are.
+    `key` is a secret of the user's: who has it can tell which entity a surrogate may stand for. A null text stays null and an empty one empty; texts without entities stay as
+    they are; texts of any length are read whole. Rows that repeat are replaced alike.
     """
-    later = assigned(corpus_entities(docs, text), key).where("attempt > 0").select("kind", "canonical", "attempt")
-    *blocks, last = _blocks(later)
-    columns, earlier = docs.columns, []
-    for k, block in enumerate(blocks):
-        (extra,) = fresh(docs, f"attempts{k}")
-        docs = _with_attempts(docs, text, extra, block)
-        earlier.append(extra)
+    later = write_shared(assigned(corpus_entities(docs, text), key).where("attempt > 0").select("kind", "canonical", "attempt"), "pii-later")
+    columns, extra = docs.columns, []
+    if not later.isEmpty():
+        (hashed, attempts) = fresh(docs, "text_hash", "attempts")
+        concerned = write_shared(text_attempts(docs, later, text), "pii-attempts").toDF(hashed, attempts)
+        docs, extra = docs.withColumn(hashed, F.xxhash64(text)).join(concerned, hashed, "left"), [attempts]
 
     def prepare():
-        def replaced(text, *more):
-            attempts = {tuple(k.split("\x1f", 1)): n for found in more for k, n in found["attempts"]}
+        def replaced(text, attempts):
             out, at, kinds = [], 0, []
             for e in _found(text):
-                entity = (e.kind, e.canonical)
-                stand_in = surrogate(key, *entity, attempts.get(entity) or last.get(entity, 0))
+                stand_in = surrogate(key, e.kind, e.canonical, attempts.get(f"{e.kind}\x1f{e.canonical}", 0))
                 out += [text[at : e.start], laid_out(e.kind, text[e.start : e.end], stand_in)]
                 at = e.end
                 kinds.append(e.kind.split("-")[0])
             return "".join([*out, text[at:]]), kinds
 
-        def work(texts, *more):
+        def work(texts, attempts=None):
             made, kinds = [], []
             for k, t in enumerate(_hinted(texts)):
-                new, of = replaced(t, *[m[k].as_py() for m in more]) if t is not None else (texts[k].as_py(), [])
+                given = dict(attempts[k].as_py() or ()) if attempts is not None else {}
+                new, of = replaced(t, given) if t is not None else (texts[k].as_py(), [])
                 made.append(new if texts[k].is_valid else None)
                 kinds.append(of)
             return pa.StructArray.from_arrays([pa.array(made, pa.string()), pa.array(kinds, pa.list_(pa.string()))], ["text", "kinds"])
 
         return work
 
-    return annotate(docs, [text, *earlier], RESULT, name, prepare).select(*columns, name)
+    return annotate(docs, [text, *extra], RESULT, name, prepare).select(*columns, name)
 
 
-def anonymised(docs: DataFrame, text: str = "text", key_column: str = "doc_id", key: bytes = KEY) -> DataFrame:
-    """One row per row of `docs`: doc_id, text, n_entities, and kinds, the distinct kinds replaced, sorted. Other columns are not read."""
+def anonymised(docs: DataFrame, key: bytes, text: str = "text", key_column: str = "doc_id") -> DataFrame:
+    """One row per row of `docs`: doc_id, text, n_entities, and kinds, the distinct kinds replaced, sorted. Nulls, empty, long and repeated texts as in `with_surrogates`;
+    other columns are not read. An empty table gives an empty result."""
     slim = docs.select(F.col(key_column).alias("doc_id"), F.col(text).alias("text"))
-    return with_surrogates(slim, "made", "text", key).select(
+    return with_surrogates(slim, "made", key, "text").select(
         "doc_id", "made.text", F.size("made.kinds").cast("long").alias("n_entities"),
         F.array_join(F.array_sort(F.array_distinct("made.kinds")), ",").alias("kinds"))
 
 
-def anonymised_documents(docs: DataFrame, text: str = "text", length: str = "n_chars", key: bytes = KEY) -> DataFrame:
-    """`docs` with the text replaced, and its length in code points where there is a column for it."""
+def anonymised_documents(docs: DataFrame, key: bytes, text: str = "text", length: str = "n_chars") -> DataFrame:
+    """`docs` with the text replaced, and its length in code points where there is a column for it; all rows and columns stay, whatever their nulls, and an empty table gives an
+    empty one."""
     (name,) = fresh(docs, "made")
-    made = with_surrogates(docs, name, text, key)
+    made = with_surrogates(docs, name, key, text)
     new = {text: F.col(f"{name}.text"), length: F.char_length(f"{name}.text").cast("long")}
     return made.select([new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
