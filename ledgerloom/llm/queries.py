@@ -183,30 +183,49 @@ SELECT doc_id, size, source_size, target,
 FROM filling
 """ % _WORDS.format("text")
 
-_TEMPLATES = ", ".join(f"({n}, '{name}', '{text}')" for n, (name, text) in enumerate(licenses.TEMPLATES))
+_listed = lambda templates: ", ".join(f"({n}, '{name}', '{text}')" for n, (name, text) in enumerate(templates))
+_TERMS = f"regexp_extract_all(replace(lower({{}}), 'licence', 'license'), '{licenses.TERM}')"
+
+
+def _vectors(p, templates):
+    return f"""
+{p}_templates(template, license, text) AS (VALUES {_listed(templates)}),
+{p}_counted AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest({_TERMS.format('text')}) AS term FROM {p}_templates) GROUP BY ALL),
+{p}_weighed AS (SELECT *, ln({len(templates) + 1}::DOUBLE / (count(*) OVER (PARTITION BY term) + 1)) + 1 AS idf FROM {p}_counted),
+{p}_vectors AS (SELECT *, tf * idf / sqrt(sum(tf * idf * (tf * idf)) OVER (PARTITION BY template)) AS weight FROM {p}_weighed)"""
+
+
+def _cosines(p, templates):
+    """Of the bodies (doc_id, path, nr, template, body) of the table `<p>_bodies`; a null template stands for all."""
+    return f"""
+{p}_tf AS (SELECT doc_id, path, nr, template, term, count(*) AS n FROM (SELECT doc_id, path, nr, template, unnest(body) AS term FROM {p}_bodies) GROUP BY ALL),
+{p}_valued AS (
+  SELECT t.*, i.idf IS NOT NULL AS known, n * coalesce(i.idf, ln({len(templates) + 1}::DOUBLE) + 1) AS w FROM {p}_tf t LEFT JOIN (SELECT DISTINCT term, idf FROM {p}_vectors) i ON i.term = t.term),
+{p}_norms AS (SELECT doc_id, path, nr, sqrt(sum(w * w)) AS norm FROM {p}_valued GROUP BY ALL),
+{p}_dots AS (
+  SELECT b.doc_id, b.path, b.nr, v.template, v.license, sum(w * weight) AS dot FROM {p}_valued b JOIN {p}_vectors v ON v.term = b.term AND (b.template IS NULL OR b.template = v.template)
+  WHERE known GROUP BY ALL),
+{p}_cosines AS (SELECT doc_id, path, license, round(dot / norm, 6) AS cosine FROM {p}_dots JOIN {p}_norms USING (doc_id, path, nr))"""
+
+
 _OP8 = rf"""
-WITH templates(template, license, text) AS (VALUES {_TEMPLATES}),
-counted AS (
-  SELECT template, license, term, count(*) AS tf
-  FROM (SELECT template, license, unnest(regexp_extract_all(lower(text), '{licenses.TERM}')) AS term FROM templates) GROUP BY ALL),
-weighed AS (SELECT *, ln({len(licenses.TEMPLATES) + 1}::DOUBLE / (count(*) OVER (PARTITION BY term) + 1)) + 1 AS idf FROM counted),
-vectors AS (SELECT *, tf * idf / sqrt(sum(tf * idf * (tf * idf)) OVER (PARTITION BY template)) AS weight FROM weighed),
+WITH {_vectors('head', licenses.TEMPLATES)}, {_vectors('file', licenses.LICENCE_TEXTS)},
+places AS (
+  SELECT template, len(ws) AS size, unnest(range(1, len(ws) + 1)) AS place, unnest(ws) AS anchor FROM (SELECT template, {_TERMS.format('text')} AS ws FROM head_templates)),
 files AS (
   SELECT doc_id, text, CASE WHEN doc_id % 100 = 0 THEN 'c' || doc_id // 100 || '/LICENSE'
     WHEN doc_id % 10 = 0 THEN 'c' || doc_id // 100 || '/d' || (doc_id // 10) % 10 || '/LICENSE'
     ELSE 'c' || doc_id // 100 || '/d' || (doc_id // 10) % 10 || '/f' || doc_id || '.txt' END AS path FROM documents),
-windows AS (
-  SELECT doc_id, path, unnest(range(len(found))) AS nr, unnest(found) AS body
-  FROM (SELECT doc_id, path, regexp_extract_all(text, '{licenses.WINDOW}') AS found FROM files WHERE regexp_matches(text, '{licenses.CUE}'))),
-terms AS (
-  SELECT doc_id, path, nr, term, count(*) AS tf
-  FROM (SELECT doc_id, path, nr, unnest(regexp_extract_all(lower(body), '{licenses.TERM}')) AS term FROM windows) GROUP BY ALL),
-valued AS (SELECT t.*, tf * idf AS w FROM terms t JOIN (SELECT DISTINCT term, idf FROM vectors) USING (term)),
-norms AS (SELECT doc_id, path, nr, sqrt(sum(w * w)) AS norm FROM valued GROUP BY ALL),
-dots AS (SELECT doc_id, path, nr, template, license, sum(w * weight) AS dot FROM valued JOIN vectors USING (term) GROUP BY ALL),
-cosines AS (SELECT doc_id, path, license, round(dot / norm, 6) AS cosine FROM dots JOIN norms USING (doc_id, path, nr)),
+worded AS (SELECT doc_id, path, {_TERMS.format('text')} AS ws FROM files WHERE regexp_matches(text, '{licenses.CUE}')),
+hits AS (SELECT * FROM (SELECT doc_id, path, ws, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS anchor FROM worded) WHERE anchor IN {licenses.ANCHORS}),
+head_bodies AS (
+  SELECT doc_id, path, row_number() OVER () AS nr, template, ws[greatest(pos - place + 1, 1) : pos - place + size] AS body FROM hits JOIN places USING (anchor)),
+file_bodies AS (
+  SELECT doc_id, path, row_number() OVER () AS nr, NULL::INT AS template, ws AS body FROM worded WHERE regexp_matches(regexp_extract(path, '[^/]*$'), '{licenses.LICENCE_FILE}')),
+{_cosines('head', licenses.TEMPLATES)}, {_cosines('file', licenses.LICENCE_TEXTS)},
 own AS (
-  SELECT * FROM cosines WHERE cosine >= {licenses.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY doc_id, path ORDER BY cosine DESC, license) = 1),
+  SELECT * FROM (SELECT * FROM head_cosines UNION ALL SELECT * FROM file_cosines) WHERE cosine >= {licenses.THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY doc_id, path ORDER BY cosine DESC, license) = 1),
 given AS (
   SELECT regexp_replace(path, '/?[^/]*$', '') AS above, license FROM own WHERE regexp_matches(regexp_extract(path, '[^/]*$'), '{licenses.LICENCE_FILE}')
   QUALIFY row_number() OVER (PARTITION BY above ORDER BY cosine DESC, license) = 1),

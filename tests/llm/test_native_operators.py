@@ -131,34 +131,60 @@ def test_urls_by_plain_python(spark):
     assert url_filter.judge_urls(df, (), blocked.limit(0)).where("verdict = 'allow' and rule is null").count() == len(rows)
 
 
-def brute_licence(text):
-    weights, templates = {}, licenses.TEMPLATES
-    bags = [Counter(re.findall(licenses.TERM.replace("(?:", "(?:"), t.lower())) for _, t in templates]
+def plain_terms(text):
+    return re.findall(r"[a-z0-9]+(?:\.[0-9]+)?", (text or "").lower().replace("licence", "license"))
+
+
+def plain_cosines(bag, templates, only=None):
+    bags = [Counter(plain_terms(t)) for _, t in templates]
     df = Counter(term for b in bags for term in b)
-    idf = {t: math.log((len(templates) + 1) / (n + 1)) + 1 for t, n in df.items()}
-    best = None
-    for m in re.finditer(licenses.WINDOW, text or ""):
-        bag = Counter(t for t in re.findall(licenses.TERM, m[0].lower()) if t in idf)
-        norm = math.sqrt(sum((n * idf[t]) ** 2 for t, n in bag.items()))
-        for (name, _), other in zip(templates, bags):
-            size = math.sqrt(sum((n * idf[t]) ** 2 for t, n in other.items()))
-            dot = sum(n * idf[t] * other[t] * idf[t] for t, n in bag.items())
-            cosine = round(dot / norm / size, 6) if norm else 0
-            if cosine >= licenses.THRESHOLD:
-                best = min(best or (0, ""), (-cosine, name))
+    idf = lambda t: math.log((len(templates) + 1) / (df[t] + 1)) + 1
+    size = lambda b: math.sqrt(sum((n * idf(t)) ** 2 for t, n in b.items()))
+    for k, ((name, _), other) in enumerate(zip(templates, bags)):
+        if bag and (only is None or k == only):
+            yield -round(sum(n * idf(t) * other[t] * idf(t) for t, n in bag.items()) / size(bag) / size(other), 6), name
+
+
+def brute_licence(text, is_file=False):
+    """Every header under every place of the text at which the two share an anchor, and the whole of a licence file."""
+    ws, found = plain_terms(text), []
+    for k, (_, t) in enumerate(licenses.TEMPLATES):
+        own = plain_terms(t)
+        for begin in range(-len(own), len(ws)):
+            if any(0 <= begin + j < len(ws) and ws[begin + j] == w in ("license", "licensed", "permission", "unencumbered") for j, w in enumerate(own)):
+                found += plain_cosines(Counter(ws[max(begin, 0) : begin + len(own)]), licenses.TEMPLATES, k)
+    if is_file:
+        found += plain_cosines(Counter(ws), licenses.LICENCE_TEXTS)
+    best = min((f for f in found if -f[0] >= licenses.THRESHOLD), default=None)
     return (best[1], -best[0]) if best else (None, None)
 
 
 def test_licences_by_plain_python(spark, prose):
     rng = random.Random(9)
     texts = [f"{prose(k, 30)}{rng.choice(['. ', chr(10)])}{t}{rng.choice([' ', chr(10)])}{prose(k + 50, 30)}" for k, (_, t) in enumerate(licenses.TEMPLATES)]
-    texts += [t.upper().replace(" ", "!! ") for _, t in licenses.TEMPLATES] + [None, "", "license", prose(1, 50), "a licence to sing", texts[0] + texts[2]]
+    texts += [t.upper().replace(" ", "!! ") for _, t in licenses.TEMPLATES] + [None, "", "license", prose(1, 50), "a licence to sing", texts[0] + texts[2], "license " * 300]
+    texts += ["Copyright 2020 Acme. All rights reserved. Licensed under the Apache License, Version 2.0 (the License)", "Released under the" + " " * 50 + "MIT\nlicence"]
+    texts.append(prose(7, 100_000) + " " + licenses.TEMPLATES[3][1] + " " + prose(8, 100_000))
     files = spark.createDataFrame([(k, t, f"d/{k}.txt") for k, t in enumerate(texts)], "doc_id long, text string, path string")
     rows = {r.doc_id: r for r in licenses.scan_licences(files).collect()}
     for k, t in enumerate(texts):
         name, cosine = brute_licence(t)
         assert (rows[k].license, rows[k].cosine) == (name, pytest.approx(cosine, abs=2e-6) if cosine else None), t
-    assert sum(rows[k].license == licenses.TEMPLATES[k][0] for k in range(len(licenses.TEMPLATES))) >= 9
+    n = len(licenses.TEMPLATES)
+    assert all(rows[k].license == licenses.TEMPLATES[k % n][0] and rows[k].cosine == 1 for k in range(2 * n))
+    assert rows[len(texts) - 1].license == licenses.TEMPLATES[3][0] and rows[len(texts) - 3].license == "Apache-2.0" and rows[len(texts) - 2].license == "MIT"
+
+
+def test_licence_files_are_compared_whole(spark, prose):
+    texts = [f"Copyright (c) 20{k} {prose(k, 4)}\n\n{t}" for k, (_, t) in enumerate(licenses.LICENCE_TEXTS)]
+    texts += [t.replace(" ", "\n" + " " * 30) for _, t in licenses.LICENCE_TEXTS] + [prose(1, 300), "license " + prose(2, 300), None]
+    files = spark.createDataFrame([(k, t, f"d{k}/COPYING") for k, t in enumerate(texts)], "doc_id long, text string, path string")
+    rows = {r.doc_id: r for r in licenses.scan_licences(files).collect()}
+    for k, t in enumerate(texts):
+        name, cosine = brute_licence(t, True)
+        assert (rows[k].license, rows[k].cosine) == (name, pytest.approx(cosine, abs=2e-6) if cosine else None), t
+    n = len(licenses.LICENCE_TEXTS)
+    assert all(rows[k].license == licenses.LICENCE_TEXTS[k % n][0] for k in range(2 * n)) and all(rows[k].license is None for k in range(2 * n, 2 * n + 3))
 
 
 def test_nearest_directory_above_gives_the_licence(spark):
