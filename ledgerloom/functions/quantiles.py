@@ -15,11 +15,9 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import windows as w
 
 ACCURACY = 10_000  # the sketch's ranks are off by at most a share of 1 / ACCURACY
-#: A group with fewer values is one bracket.
-BRACKET = 20_000
 
 
-def exact_quantiles(df: DataFrame, keys, columns, probabilities, bracket: int = BRACKET) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys, columns, probabilities) -> DataFrame:
     """One row per group: its keys and for each column an array in the order of the probabilities. `columns` is a name, or a mapping
     from names to those of the arrays; of a single column the array is called `quantiles`."""
     columns = {columns: "quantiles"} if isinstance(columns, str) else dict(columns)
@@ -35,12 +33,11 @@ def exact_quantiles(df: DataFrame, keys, columns, probabilities, bracket: int =
     ends = values.groupBy(*by).agg(
         F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"),
         sketch(p - margin for p in probabilities).alias("_low"), sketch(p + margin for p in probabilities).alias("_high"))
-    small = F.col("_n") <= bracket
     places = F.array(*[
         F.struct(
             (F.lit(float(p)) * (F.col("_n") - 1)).alias("place"),
-            F.when(small | F.lit(p <= margin), F.col("_lo")).otherwise(F.col("_low")[i]).alias("low"),
-            F.when(small | F.lit(p >= 1 - margin), F.col("_hi")).otherwise(F.col("_high")[i]).alias("high"))
+            F.when(F.lit(p <= margin), F.col("_lo")).otherwise(F.col("_low")[i]).alias("low"),
+            F.when(F.lit(p >= 1 - margin), F.col("_hi")).otherwise(F.col("_high")[i]).alias("high"))
         for i, p in enumerate(probabilities)])
     ends = ends.select(*by, places.alias("_places"))
     brackets = F.array_distinct(F.transform("_places", lambda p: F.struct(p["low"].alias("low"), p["high"].alias("high"))))
