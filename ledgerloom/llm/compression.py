@@ -154,13 +154,15 @@ def with_quality(docs: DataFrame, model: Model, name: str, text: str = "text") -
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per row of `docs`: doc_id, held_out, score, predicted. An empty table gives an empty result."""
+    """One row per row of `docs`: doc_id, held_out, score, predicted. Nulls, empty texts and missing labels as in `keep_good`; texts of any length are read whole. An empty table gives
+    an empty result."""
     model = fit(docs, labels, text, key)
     scored = with_quality(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), model, "judged", "text")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "judged.score", "judged.predicted")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of `docs` that the classifier predicts to be good, unchanged."""
+    """The rows of `docs` that the classifier predicts to be good, unchanged: repeated rows, null ids and other columns stay. A null or empty text has the score of no evidence.
+    Without labels of both kinds all rows share the share of good labels as score, a half where there are none. An empty table gives an empty result."""
     (name,) = fresh(docs, "judged")
     return with_quality(docs, fit(docs, labels, text, key), name, text).where(F.col(f"{name}.predicted") == 1).select(docs.columns)

@@ -305,7 +305,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key:
     """One row for each row of `docs` and item it holds: doc_id, item_id, distance, item_words, last_word (the index of the
     word after the first best match).
 
-    Null and empty texts hold nothing; items without words are in nothing; repeated rows and repeated items each count.
+    Null and empty texts hold nothing; items without words are in nothing; repeated rows and repeated items each count. Texts of any length are read whole. An empty table or benchmark gives
+    an empty result; other columns are not read.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
@@ -326,7 +327,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of `docs` whose text holds no item, unchanged."""
+    """The rows of `docs` whose text holds no item, unchanged: null and empty texts, repeated rows, null ids and other columns stay. Texts of any length are read whole. An empty
+    benchmark takes nothing away; an empty table gives an empty result."""
     columns = docs.columns
     (name,) = fresh(docs, "found")
     for block in item_blocks(benchmark):

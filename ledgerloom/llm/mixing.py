@@ -151,7 +151,8 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
-    """The rows of `docs` that the mix takes, each as often as it is taken; all columns stay."""
+    """The rows of `docs` that the mix takes, each as often as it is taken; all columns stay. Null and empty texts have no words and are never taken; a null source is a source of its
+    own, a null id draws like any; rows that repeat draw alike. An empty table gives an empty result."""
     columns = docs.columns
     whole, = fresh(docs, "whole")
     sized = docs.select(F.struct(*columns).alias(whole), F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))

@@ -116,7 +116,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame, text: str = "text", key: s
                   threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of `docs`: doc_id, the base counts, base_failed, score (nats per word or pair), kept.
 
-    A null text is an empty one: it has no words, fails the base rules and scores zero. Labels that are null or not 1 trust nothing.
+    A null text is an empty one: it has no words, fails the base rules and scores zero. Labels that are null or not 1 trust nothing; without any every score is zero.
+    Texts of any length are read whole. Rows that repeat come back repeated and count each time; a null id comes back null. Other columns are not read. An empty table gives
+    an empty result.
     """
     ratios = log_ratios(counts_by_bucket(docs, labels, text, key, label))
 

@@ -126,7 +126,8 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], blocked: DataFrame, ur
     """One row per row of `pages`: page_id, host, path, rule, verdict. `blocked` has domains in a column `key`.
 
     A rule's verdict comes first; else a host is blocked if it, or a domain above it, is listed. A null url and one without `://` have an empty host and
-    path: no rule with a host fits, and they are allowed.
+    path: no rule with a host fits, and they are allowed. Rows that repeat come back repeated; urls of any length are read whole; other columns are not read. No rules, no listed domains
+    and an empty table are fine.
     """
     parts = pages.select(F.col(key).alias("page_id"), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
     blocked = blocked.select(F.translate("key", _UPPER, _LOWER).alias("key")).where("key <> ''")

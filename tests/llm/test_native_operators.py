@@ -108,7 +108,7 @@ def test_cascade_is_exact_over_its_universe(spark):
 def test_urls_by_plain_python(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/es/1?x=http://b.com/fr/", "https://example.org/en/12", "x://example.org/en/2#f", "://com/fr/", "http://a.com/fr/x",
             "http://a.com/de", "http://xexample.org/es/", "http://org", "http://org/", "http://www.spam-farm.example.com/x", "http://SPAM-farm.example.com?y", "http://xspam-farm.example.com/",
-            "http://spam-farm.example.org/q", "http://ÀB.com/fr/", "http://a.net/\n/x?y"]
+            "http://spam-farm.example.org/q", "http://x.com/fr/" + "a/" * 200_000, "http://" + "a." * 3000 + "spam-farm.example.net/", "http://ÀB.com/fr/", "http://a.net/\n/x?y"]
     df = spark.createDataFrame([(k, u) for k, u in enumerate(urls)] + [(None, None), (3, urls[5])], "page_id long, url string").selectExpr("*", "'x' as host", "'y' as rule", "1 as key")
     blocked = spark.createDataFrame([(d,) for d in queries.BLOCKED_DOMAINS], "key string")
 
