@@ -254,6 +254,11 @@ QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY sse / (months - used)
         FROM {p}design JOIN {p}fourier USING (series_id) WHERE known""")
     ahead.append(f"""SELECT series_id, 'fourier' AS model, step, list_dot_product({design('(n - 1 + step)', 'month(date)')}, coef) AS forecast
         FROM {p}months JOIN {p}fourier USING (series_id)""")
+    view(f"{p}season", f"""
+SELECT series_id, 'ets' AS model, step, CASE form[3] WHEN 'A' THEN s[(step - 1) % {season} + 1] WHEN 'M' THEN (l + b * step) * (s[(step - 1) % {season} + 1] - 1) ELSE 0 END AS season
+FROM {p}path JOIN {p}months USING (series_id) WHERE pos = {p}path.n - 1
+UNION ALL SELECT series_id, 'fourier', step, list_dot_product(x[3:8], coef[3:8]) FROM {p}ahead_x JOIN {p}fourier USING (series_id)
+UNION ALL SELECT series_id, 'ar', step, NULL FROM {p}ar_ahead""")
     view(f"{p}fitted", " UNION ALL ".join(fitted))
     view(f"{p}ahead", " UNION ALL ".join(ahead))
     view(f"{p}spread", " UNION ALL ".join(spreads))
@@ -350,6 +355,15 @@ JOIN {p}months d ON d.series_id = a.series_id AND d.step = a.step"""
 
 query("forecast_horizon", "series_id model step:i date:d forecast:2 lower_bound:2 upper_bound:2 confidence_level:2",
       lambda t: fc.forecast_horizon(sales(t)), horizon_sql("m_", "select_model"))
+query("forecast_components", "series_id model step:i date:d forecast:2 trend:2 season:2", lambda t: fc.forecast_components(sales(t)),
+      """SELECT a.series_id, a.model, a.step, d.date, a.forecast, a.forecast - season AS trend, season FROM m_ahead a
+         JOIN select_model c ON c.series_id = a.series_id AND c.model = a.model JOIN m_months d ON d.series_id = a.series_id AND d.step = a.step
+         JOIN m_season s ON s.series_id = a.series_id AND s.model = a.model AND s.step = a.step""")
+query("forecast_components_quarterly", "series_id model step:i forecast:2 season:2",
+      lambda t: m.run_models(m.fit_models(m.pack_series(sales(t)), settings=QUARTERLY), 18, QUARTERLY).select(
+          "series_id", "model", F.posexplode_outer(F.arrays_zip("run.forecast", "run.season")).alias("k", "z")).select(
+          "series_id", "model", (F.col("k") + 1).alias("step"), "z.forecast", "z.season"),
+      "SELECT a.*, season FROM q_ahead a JOIN q_season s ON s.series_id = a.series_id AND s.model = a.model AND s.step = a.step")
 query("forecast_growth", "series_id step:i mom_growth:6 yoy_growth:6 cumulative_index:1",
       lambda t: features.forecast_growth(trend_forecast(sales(t))),
       f"""SELECT series_id, step, (forecast / lag(forecast) OVER {W} - 1) * 100 AS mom_growth,

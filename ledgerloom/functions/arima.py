@@ -138,7 +138,7 @@ def _continued(w, e, y, params, season, horizon):
 
 def run(p: Padded, params: np.ndarray, sigma: np.ndarray, season: int, horizon: int, state: np.ndarray | None = None):
     """Fitted values (NaN for a season and a month, unless they follow on from a state), forecasts, the standard deviation of each
-    forecast's error, and the end state.
+    forecast's error, the end state, and the season's part, which this model does not tell apart (NaN).
 
     The deviation is that of the errors to come, through the weights with which each reaches later months. An unknown month of a state keeps the value
     it had then; seen from later months on it would be a little different.
@@ -166,4 +166,4 @@ def run(p: Padded, params: np.ndarray, sigma: np.ndarray, season: int, horizon:
     weights = np.ones((len(params), horizon))
     # An error of one moves w and y by one in its own month.
     weights[:, 1:] = _continued(hit, hit, hit[:, -lost:], params, season, horizon)[:, : horizon - 1]
-    return fitted, out, sigma[:, None] * np.sqrt(np.cumsum(weights**2, 1)), np.concatenate(ends, 1)
+    return fitted, out, sigma[:, None] * np.sqrt(np.cumsum(weights**2, 1)), np.concatenate(ends, 1), np.full(out.shape, np.nan)

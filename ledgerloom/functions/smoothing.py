@@ -110,15 +110,16 @@ def fit(p: Padded, form: str, season: int, grid: tuple[float, ...]):
     return won, error
 
 
-def ahead(form: str, season: int, state, horizon: int) -> np.ndarray:
-    """Forecasts from end states without the axis of settings."""
+def ahead(form: str, season: int, state, horizon: int) -> tuple[np.ndarray, np.ndarray]:
+    """Forecasts from end states without the axis of settings, and the part of each that is the season's."""
     level, slope, wave = state
     k = np.arange(1, horizon + 1)
     line = level[:, None] + slope[:, None] * k
     if form[2] == "N":
-        return line
+        return line, np.zeros_like(line)
     turned = wave[:, (k - 1) % season]
-    return line + turned if form[2] == "A" else line * turned
+    part = turned if form[2] == "A" else line * turned - line
+    return line + part, part
 
 
 def spread(form: str, season: int, state, weights: np.ndarray, sigma: np.ndarray, horizon: int) -> np.ndarray:

@@ -58,7 +58,8 @@ def fit(p: Padded, pairs: int, knots: int, penalties: tuple[float, ...]):
 
 def run(p: Padded, coef: np.ndarray, penalty: np.ndarray, sigma: np.ndarray, months: np.ndarray, pairs: int, knots: int, horizon: int,
         state: np.ndarray | None = None):
-    """Fitted values, forecasts, the standard deviation of each forecast's error (that of a month and that of the coefficients), and the end state.
+    """Fitted values, forecasts, the standard deviation of each forecast's error (that of a month and that of the coefficients), the end state, and
+    the waves' part of each forecast.
 
     `months` is the length of the series that the coefficients were fitted to: shares and cross products are of those. A state holds the months
     so far, the first one's calendar month, and the cross products.
@@ -79,4 +80,5 @@ def run(p: Padded, coef: np.ndarray, penalty: np.ndarray, sigma: np.ndarray, mon
     reach = np.stack([solved(a, ahead[:, h]) for h in range(horizon)], 1)
     unsure = np.einsum("rhi,rhi->rh", reach, ahead)
     after = np.concatenate([n[:, None], first[:, None], plain.reshape(len(plain), -1)], 1)
-    return np.einsum("rti,ri->rt", x, coef), np.einsum("rhi,ri->rh", ahead, coef), sigma[:, None] * np.sqrt(1 + unsure), after
+    return np.einsum("rti,ri->rt", x, coef), np.einsum("rhi,ri->rh", ahead, coef), sigma[:, None] * np.sqrt(1 + unsure), after, np.einsum(
+        "rhi,ri->rh", ahead[..., 2 : size(pairs)], coef[:, 2 : size(pairs)])

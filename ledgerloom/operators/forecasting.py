@@ -88,15 +88,8 @@ IN_SAMPLE = """get(transform(
                                   size(filter(pairs, q -> q.a <> 0D))))), 0)"""
 
 
-def forecast_horizon(df: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:
-    """The best model of each series carried forward, with the bounds of that model.
-
-    A bound lies as many standard deviations of the forecast's error away as the confidence asks for: errors to come pass on through the smoothing weights
-    or the autoregression, and a line adds what its coefficients are unsure of.
-
-    A series for which no model can be fitted, or whose forecast holds an invalid number, gets the trend
-    forecast, without bounds.
-    """
+def _best_forecast(df: DataFrame, models, settings: Forecasting) -> DataFrame:
+    """(series, model, step, date, forecast, spread, season) of each series' best model."""
     packed = compute(pack_series(df), {"line": trend_line(settings.horizon)})
     run = _scored(fit_models(packed, models, settings), settings)
     values = F.col("run.forecast")
@@ -104,26 +97,38 @@ def forecast_horizon(df: DataFrame, models=MODELS, settings: Forecasting = Forec
     # Rows without an order take no part in the choice.
     order = F.when(valid, F.struct(F.coalesce(F.col("scores.mape"), F.lit(float("inf"))), "model"))
     best = run.groupBy(SERIES).agg(
-        F.min_by(F.struct("model", values.alias("forecast"), F.col("run.spread").alias("spread")), order).alias("b"),
+        F.min_by(F.struct("model", values.alias("forecast"), F.col("run.spread").alias("spread"), F.col("run.season").alias("season")), order).alias("b"),
         F.first("line").alias("line"),
         F.first("end").alias("end"),
     )
-    spread = best.select(
-        SERIES, "b.model", "b.spread", "end", F.posexplode_outer(F.coalesce("b.forecast", "line")).alias("_k", "forecast")
-    )
+    unfolded = best.select(SERIES, "b.model", "b.spread", "b.season", "end", F.posexplode_outer(F.coalesce("b.forecast", "line")).alias("_k", "forecast"))
     step = F.col("_k") + 1
-    z = NormalDist().inv_cdf(0.5 + settings.confidence / 2)
-    margin = z * F.get("spread", F.col("_k"))
-    return spread.select(
-        SERIES,
-        F.coalesce("model", F.lit("trend")).alias("model"),
-        step.alias("step"),
-        next_month_start(F.col("end"), step).alias(DATE),
-        "forecast",
-        (F.col("forecast") - margin).alias("lower_bound"),
-        (F.col("forecast") + margin).alias("upper_bound"),
-        F.lit(settings.confidence).alias("confidence_level"),
-    )
+    return unfolded.select(
+        SERIES, F.coalesce("model", F.lit("trend")).alias("model"), step.alias("step"), next_month_start(F.col("end"), step).alias(DATE),
+        "forecast", F.get("spread", F.col("_k")).alias("spread"), F.get("season", F.col("_k")).alias("season"))
+
+
+def forecast_horizon(df: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:
+    """The best model of each series carried forward, with the bounds of that model.
+
+    A bound lies as many standard deviations of the forecast's error away as the confidence asks for: errors to come pass on through the smoothing weights
+    or the autoregression, and a line adds what its coefficients are unsure of.
+
+    A series for which no model can be fitted, or whose forecast holds an invalid number, gets the trend
+    forecast, without bounds.
+    """
+    margin = NormalDist().inv_cdf(0.5 + settings.confidence / 2) * F.col("spread")
+    return _best_forecast(df, models, settings).select(
+        SERIES, "model", "step", DATE, "forecast", (F.col("forecast") - margin).alias("lower_bound"),
+        (F.col("forecast") + margin).alias("upper_bound"), F.lit(settings.confidence).alias("confidence_level"))
+
+
+def forecast_components(df: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:
+    """The best forecast of each series parted into trend and season: their sum is the forecast. The autoregression does not tell them apart and has nulls; the trend forecast
+    of a series without a model is all trend."""
+    best = _best_forecast(df, models, settings)
+    season = F.when(F.col("model") == "trend", 0.0).otherwise(F.col("season"))
+    return best.select(SERIES, "model", "step", DATE, "forecast", (F.col("forecast") - season).alias("trend"), season.alias("season"))
 
 
 def holdout_validation(df: DataFrame, models=MODELS, settings: Forecasting = Forecasting()) -> DataFrame:

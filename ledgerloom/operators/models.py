@@ -105,8 +105,9 @@ def _run_ets(p: Padded, form: str, params: Callable, s: Forecasting, horizon: in
     before = state if state is None else (state[:, 0], state[:, 1], state[:, 2:])
     _, after, seen = smoothing.smooth(p, form, s.season, weights[:, None], before, path=True)
     level, slope, wave = after = [x[:, 0] for x in after]
-    return (seen[:, 0], smoothing.ahead(form, s.season, after, horizon), smoothing.spread(form, s.season, after, weights, params("sigma"), horizon),
-            np.concatenate([level[:, None], slope[:, None], wave], 1))
+    forecast, part = smoothing.ahead(form, s.season, after, horizon)
+    return (seen[:, 0], forecast, smoothing.spread(form, s.season, after, weights, params("sigma"), horizon),
+            np.concatenate([level[:, None], slope[:, None], wave], 1), part)
 
 
 def _fit_ar(p: Padded, s: Forecasting) -> list:
@@ -151,7 +152,7 @@ def least_months(model: str, settings: Forecasting) -> int:
 # --- Over packed series ------------------------------------------------------------------------------
 
 _FITTED = "model string, form string, params map<string,double>, aic double, sse double, reason string"
-_PARTS = ("fitted", "forecast", "spread", "state")
+_PARTS = ("fitted", "forecast", "spread", "state", "season")
 RUN = "struct<" + ", ".join(f"{c}: array<double>" for c in _PARTS) + ">"
 
 
@@ -186,8 +187,8 @@ def fit_models(packed: DataFrame, models=MODELS, settings: Forecasting = Forecas
 
 
 def run_models(fitted: DataFrame, horizon: int, settings: Forecasting = Forecasting()) -> DataFrame:
-    """Add `run` to rows holding a packed series and a model's parameters: fitted values, forecast, the spread of each forecast's error, and the
-    state after the last month, from which `run_models` goes on.
+    """Add `run` to rows holding a packed series and a model's parameters: fitted values, forecast, the spread of each forecast's error, the
+    state after the last month, from which `run_models` goes on, and the season's part of each forecast, where the model tells it apart.
 
     The parameters may come straight from `fit_models` or from a stored table joined to packed series. Where they are null, or the series is too short
     for the model, `run` is null. Where the rows have a `state`, the packed series holds only the months that follow on from it, perhaps none.

@@ -140,7 +140,7 @@ def test_ar_runs_and_spreads_like_simulated_futures():
     n, h = 70, 18
     e = rng.normal(0, 2, n - 13)
     y = plain_y(e, params, rng.normal(100, 5, 13))
-    fitted_, ahead, spread, _ = arima.run(padded_series(y), params[None], np.array([2.0]), 12, h)
+    fitted_, ahead, spread, *_ = arima.run(padded_series(y), params[None], np.array([2.0]), 12, h)
     assert fitted_[0, 13:] == pytest.approx(y[13:] - e)
     assert ahead[0] == pytest.approx(plain_y(np.concatenate([e, np.zeros(h)]), params, y[:13])[-h:])
     futures = np.array([plain_y(np.concatenate([e, rng.normal(0, 2, h)]), params, y[:13])[-h:] for _ in range(3000)])
@@ -157,7 +157,8 @@ def test_ets_spreads_like_simulated_futures(form):
     wave = 1 + 0.2 * np.sin(np.arange(12)) if form[2] == "M" else 10 * np.sin(np.arange(12))
     state = np.array([200.0]), np.array([1.0 if form[1] == "A" else 0.0]), wave[None]
     spread = smoothing.spread(form, season, state, np.array([[a, b, g]]), np.array([3.0]), h)[0]
-    ahead = smoothing.ahead(form, season, state, h)[0]
+    ahead, part = (x[0] for x in smoothing.ahead(form, season, state, h))
+    assert ahead - part == pytest.approx(200 + state[1][0] * np.arange(1, h + 1))
     level, slope, s = np.full(runs, 200.0), np.full(runs, state[1][0]), np.repeat(wave[:, None], runs, 1)
     futures = []
     for t in range(h):
@@ -204,7 +205,7 @@ def test_line_equals_penalised_least_squares_and_spreads_like_new_samples(make_s
         sample = x @ truth + rng.normal(0, 1, len(i))
         misses.append(sample[len(y):] - x[len(y):] @ (inverse @ past.T @ sample[: len(y)]))
     p = padded_series(y)
-    _, ahead, spread, _ = waves.run(p, coef[None], np.array([penalty]), np.array([1.0]), p.n, 3, s_.knots, 18)
+    _, ahead, spread, *_ = waves.run(p, coef[None], np.array([penalty]), np.array([1.0]), p.n, 3, s_.knots, 18)
     assert np.std(misses, 0) == pytest.approx(spread[0], rel=0.06) and ahead[0] == pytest.approx(x[len(y):] @ coef)
 
 
