@@ -161,7 +161,7 @@ def test_contaminated_finds_what_edit_distance_finds(spark, prose):
     assert len(long & set(got)) >= 0.99 * len(long) and set(want) - long <= set(got)
 
 
-def edited(words, k, even, substitutions, rng):
+def with_edits(words, k, even, substitutions, rng):
     """`words` with k edits, at even distances or random places."""
     out = list(words)
     places = [int((j + 0.5) * len(words) / k) for j in range(k)] if even else rng.sample(range(len(words)), k)
@@ -178,7 +178,7 @@ def test_recall_at_the_limit_by_length(even, substitutions):
     missed = {}
     for n in [*range(1, 31), 35, 40, 60]:
         items = [[f"w{rng.getrandbits(40)}" for _ in range(n)] for _ in range(120)]
-        docs = [" ".join([f"x{rng.getrandbits(40)}" for _ in range(rng.randint(0, 25))] + edited(item, int(n * 0.2 + 1e-9), even, substitutions, rng)
+        docs = [" ".join([f"x{rng.getrandbits(40)}" for _ in range(rng.randint(0, 25))] + with_edits(item, int(n * 0.2 + 1e-9), even, substitutions, rng)
                          + [f"y{rng.getrandbits(40)}" for _ in range(9)]) for item in items]
         (_, words, starts), = decontaminate.text_words(pa.array([" ".join(i) for i in items]))
         (_, hashes, firsts), = decontaminate.text_words(pa.array(docs))
