@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import windows as w
 
 ACCURACY = 10_000  # the sketch's ranks are off by at most a share of 1 / ACCURACY
-#: A group with fewer values is one bracket.
-BRACKET = 20_000
+#: With fewer values the sketch's margin is less than four ranks, while its ranks and those of an interpolated quantile differ by up to two: such a group is one
+#: bracket. The shares asked of a sketch are constants, so they cannot widen with the group.
+BRACKET = 2 * ACCURACY
 
 
 def exact_quantiles(df: DataFrame, keys, columns, probabilities, bracket: int = BRACKET) -> DataFrame:
