@@ -158,7 +158,7 @@ def code_lengths(texts: pa.Array, parsers: list[Parser]) -> np.ndarray:
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sampling: Sampling = Sampling()) -> tuple[tuple[str, bytes], ...]:
     """(language, its text) learnt from labelled documents outside the held-out third, in the order of the languages.
 
-    Rows without an id, a language or a text teach nothing, nor do texts without letters; equal rows count once.
+    Rows without an id, a language or a text teach nothing, nor do texts without letters, nor those that the sample has under several languages. Copies of a text count once.
     """
     known = docs.select(F.col(key).cast("string").alias("id"), F.col(lang).alias("lang"), F.col(text).alias("body")).where(
         F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("body").isNotNull() & ~held_out(F.col("id")))
@@ -171,11 +171,15 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     piece = F.substring("body", 1, 4 * (share // 16 + 1))  # of a document's share of letters, spaces and marks included
     picked = known.select("lang", drawn.alias("drawn"), below.cast("long").alias("below"), piece.alias("body")).where("drawn < below").distinct()
     rows = picked.orderBy("drawn", "lang", "body").limit(2 * sampling.documents * len(counts)).collect()
+    clean = [t.strip().encode()[: share // 16 + 1] for t in letters_only(pa.array([r.body for r in rows], pa.string())).to_pylist()]
+    said: dict[bytes, set[str]] = {}
+    for r, own in zip(rows, clean):
+        said.setdefault(own, set()).add(r.lang)
     found: dict[str, bytes] = {}
-    for r in rows:
-        own = letters_only(pa.array([r.body]))[0].as_py().strip().encode()[: share // 16 + 1]
-        if own:
-            found[r.lang] = (found.get(r.lang, b"") + b" " + own)[:share]
+    for own, langs in said.items():  # in the order drawn, each text once
+        if own and len(langs) == 1:
+            (one,) = langs
+            found[one] = (found.get(one, b"") + b" " + own)[:share]
     return tuple(sorted(found.items()))
 
 

@@ -167,6 +167,15 @@ def test_languages_learn_from_no_held_out_row(spark, prose):
     assert cross_parsing.fit(docs) == cross_parsing.fit(changed) and cross_parsing.fit(docs) == cross_parsing.fit(docs.repartition(7))
 
 
+def test_copies_count_once_and_contradictions_not_at_all(spark, prose):
+    keys = [i for i in range(400) if __import__("zlib").crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, "the same text here" if k % 2 else prose(i, 8), "aa") for k, i in enumerate(keys[:60])] + [(i, "sowohl als auch", "aa" if k % 2 else "bb") for k, i in enumerate(keys[60:80])]
+    rows += [(i, prose(i, 8).upper(), "bb") for i in keys[80:120]]
+    learnt = dict(cross_parsing.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    assert set(learnt) == {"aa", "bb"} and learnt["aa"].count(b"the same text here") == 1
+    assert not any(b"sowohl" in t for t in learnt.values())
+
+
 def test_sample_is_bounded(spark, prose):
     docs = spark.createDataFrame([(i, prose(i, 3000), f"l{i % 5}") for i in range(60)], "doc_id long, text string, lang string")
     small = cross_parsing.Sampling(languages=3, letters=2000)
