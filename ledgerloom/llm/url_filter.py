@@ -7,12 +7,15 @@ filters are a few constants in the expression. The first filter is sized so that
 listed, later ones to pass half, which makes the cascade smallest.
 
 All is DataFrame expressions. The corpus's domains are made distinct in parts before the shuffle. The filters come to the
-driver as bits: their size follows the blocklist, not the corpus, and is checked against `MOST_BITS`.
+driver as bits, and each stands once in the expression. Their size follows the blocklist, not the corpus: a list that needs more
+than `MOST_BITS` is split by a hash of the domains into shards with a cascade each, and the pages pass them one after another, so
+that neither a task nor the driver's expression holds more than one shard.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -43,6 +46,12 @@ class Level:
     words: bytes  # bit k of the filter is bit k % 8 of byte k / 8
 
 
+@dataclass(frozen=True)
+class Shard:
+    number: int
+    of: int
+
+
 def url_host(url: Column) -> Column:
     """After the first `://` up to `/`, `?`, `#` or the end, A-Z lower-cased; empty where there is none."""
     return F.translate(F.regexp_extract(_rest(url), r"^[^/?#]*", 0), _UPPER, _LOWER)
@@ -68,12 +77,11 @@ def _position(key, level, number, bits):
 
 
 def _passes(key: Column, level: int, stage: Level) -> Column:
-    words, out = F.lit(stage.words), F.lit(True)
-    for number in range(stage.hashes):
-        at = _position(key, level, number, stage.bits)
-        byte = F.ascii(F.decode(F.substr(words, (F.floor(at / 8) + 1).cast("int"), F.lit(1)), "ISO-8859-1"))
-        out = out & (F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1)
-    return out
+    def is_set(at):
+        byte = F.ascii(F.decode(F.substr(F.lit(stage.words), (F.floor(at / 8) + 1).cast("int"), F.lit(1)), "ISO-8859-1"))
+        return F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    return F.forall(F.array(*[_position(key, level, number, stage.bits) for number in range(stage.hashes)]), is_set)
 
 
 def listed(key: Column, cascade: tuple[Level, ...]) -> Column:
@@ -84,11 +92,13 @@ def listed(key: Column, cascade: tuple[Level, ...]) -> Column:
     return out
 
 
+def _hashes(share_wrong):
+    return max(1, round(-math.log2(share_wrong)))
+
+
 def _filter(keys: DataFrame, level: int, n: int, share_wrong: float) -> Level:
-    hashes = max(1, round(-math.log2(share_wrong)))
+    hashes = _hashes(share_wrong)
     bits = max(64, math.ceil(n * hashes / math.log(2) / 64) * 64)
-    if bits > MOST_BITS:
-        raise ValueError(f"a filter of {bits} bits for {n} keys is larger than {MOST_BITS}; split the list")
     at = keys.select(F.explode(F.array(*[_position(F.col("key"), level, k, bits) for k in range(hashes)])).alias("at"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))
     set_words = at.groupBy(F.floor(F.col("at") / 64).alias("word")).agg(F.bit_or(bit).alias("value"))
@@ -98,13 +108,8 @@ def _filter(keys: DataFrame, level: int, n: int, share_wrong: float) -> Level:
     return Level(bits, hashes, bytes(words))
 
 
-def cascade_of(blocked: DataFrame, universe: DataFrame) -> tuple[Level, ...]:
-    """The cascade that holds the keys of `blocked` among those of `universe` (both one column `key`). Nulls are no keys; an empty list gives no
-    levels, and nothing is listed."""
-    inside = write_shared(blocked.where("key is not null").distinct(), "cascade-listed")
-    outside = write_shared(universe.where("key is not null").distinct().join(inside, "key", "left_anti"), "cascade-others")
-    n, others, levels = inside.count(), outside.count(), []
-    wrong = min(0.5, max(1e-6, WRONG_PER_LISTED * n / max(others, 1)))
+def _levels(inside: DataFrame, outside: DataFrame, wrong: float) -> tuple[Level, ...]:
+    n, levels = inside.count(), []
     while n:
         level = _filter(inside, len(levels), n, wrong)
         through = write_shared(outside.where(_passes(F.col("key"), len(levels), level)), "cascade-through")
@@ -113,6 +118,33 @@ def cascade_of(blocked: DataFrame, universe: DataFrame) -> tuple[Level, ...]:
     return tuple(levels)
 
 
+def in_shard(key: Column, shard: Shard) -> Column:
+    return F.lit(True) if shard.of == 1 else F.pmod(F.xxhash64(key, F.lit("shard")), F.lit(shard.of)) == shard.number
+
+
+def cascade_of(blocked: DataFrame, universe: DataFrame) -> tuple[Level, ...]:
+    """The one cascade of a list that needs no shards."""
+    (_, cascade), = cascades_of(blocked, universe)
+    return cascade
+
+
+def cascades_of(blocked: DataFrame, universe: DataFrame, most_bits: int = MOST_BITS) -> Iterator[tuple[Shard, tuple[Level, ...]]]:
+    """The cascades that hold the keys of `blocked` among those of `universe` (both one column `key`), one for each shard. Nulls are no keys; an empty list gives one cascade without levels, and nothing is listed.
+
+    The second filter may be larger than the first: it holds up to twice the listed keys at one hash each, hence the least of two hashes here. A quarter of
+    `most_bits` is left for shards that are larger than others.
+    """
+    inside = write_shared(blocked.where("key is not null").distinct(), "cascade-listed")
+    outside = write_shared(universe.where("key is not null").distinct().join(inside, "key", "left_anti"), "cascade-others")
+    n, others = inside.count(), outside.count()
+    wrong = min(0.5, max(1e-6, WRONG_PER_LISTED * n / max(others, 1)))
+    bits = n * max(2, _hashes(wrong)) / math.log(2)
+    shards = 1 if bits <= most_bits else math.ceil(bits / (0.75 * most_bits))
+    for number in range(shards):
+        mine = in_shard(F.col("key"), Shard(number, shards))
+        yield Shard(number, shards), _levels(inside.where(mine), outside.where(mine), wrong)
+
+
 def fitting_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     """The longest rule whose host is the url's or above it and whose path begins the url's, as a struct; else null."""
     out = F.lit(None).cast("struct<name:string,verdict:string>")
@@ -122,7 +154,8 @@ def fitting_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     return out
 
 
-def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], blocked: DataFrame, url: str = "url", key: str = "page_id") -> DataFrame:
+def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], blocked: DataFrame, url: str = "url", key: str = "page_id",
+               most_bits: int = MOST_BITS) -> DataFrame:
     """One row per row of `pages`: page_id, host, path, rule, verdict. `blocked` has domains in a column `key`.
 
     A rule's verdict comes first; else a host is blocked if it, or a domain above it, is listed. A null url and one without `://` have an empty host and
@@ -135,10 +168,12 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], blocked: DataFrame, ur
     depths = sorted(r["depth"] for r in blocked.select(depth).distinct().collect())  # as many as a name may have labels
     domains = F.array(*[domain_at(F.col("host"), d) for d in depths]) if depths else F.array().cast("array<string>")
     universe = parts.select("host").distinct().select(F.explode(domains).alias("key"))
-    cascade = cascade_of(blocked, universe)
-    is_listed = F.lit(False)
-    for d in depths:
-        is_listed = is_listed | listed(domain_at(F.col("host"), d), cascade)
-    ruled = parts.withColumn("fitting", fitting_rule(F.col("host"), F.col("path"), rules))
+    marked = parts.withColumn("listed", F.lit(False))
+    for shard, cascade in cascades_of(blocked, universe, most_bits):
+        found = F.exists(domains, lambda d: in_shard(d, shard) & listed(d, cascade)) if cascade else F.lit(False)
+        marked = marked.withColumn("listed", F.col("listed") | found)
+        if shard.number < shard.of - 1:
+            marked = write_shared(marked, "urls-marked")
+    ruled = marked.withColumn("fitting", fitting_rule(F.col("host"), F.col("path"), rules))
     return ruled.select("page_id", "host", "path", F.col("fitting.name").alias("rule"),
-                        F.coalesce("fitting.verdict", F.when(is_listed, "block").otherwise("allow")).alias("verdict"))
+                        F.coalesce("fitting.verdict", F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"))

@@ -105,6 +105,25 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert url_filter.cascade_of(as_keys(listed), as_keys([]))[0].bits >= 64
 
 
+def test_long_lists_are_split_into_shards(spark):
+    hosts = [f"h{i}.example{i % 900}.org" for i in range(6000)]
+    names = {f"example{i}.org" for i in range(0, 900, 3)} | {h for h in hosts if h[1] == "7"} | {f"elsewhere{i}.net" for i in range(3000)}
+    pages = spark.createDataFrame([(i, f"http://{h}/x") for i, h in enumerate(hosts)], "page_id long, url string")
+    blocked = spark.createDataFrame([(n,) for n in sorted(names)], "key string")
+    shards = [shard for shard, _ in url_filter.cascades_of(blocked, pages.selectExpr("'a' as key"), most_bits=8192)]
+    assert len(shards) > 1 and {s.of for s in shards} == {len(shards)}
+    got = {r.page_id for r in url_filter.judge_urls(pages, (), blocked, most_bits=8192).where("verdict = 'block'").collect()}
+    assert got == {i for i, h in enumerate(hosts) if h in names or h.split(".", 1)[1] in names}
+    one = url_filter.judge_urls(pages, (), blocked)
+    assert got == {r.page_id for r in one.where("verdict = 'block'").collect()}
+
+
+def test_a_filter_stands_once_in_the_expression(spark):
+    level = url_filter.Level(64, 10, bytes(range(8)))
+    plan = spark.range(1).select(url_filter.listed(F.col("id").cast("string"), (level,)).alias("listed"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("0001020304050607") == 1
+
+
 def test_urls_by_plain_python(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/es/1?x=http://b.com/fr/", "https://example.org/en/12", "x://example.org/en/2#f", "://com/fr/", "http://a.com/fr/x",
             "http://a.com/de", "http://xexample.org/es/", "http://org", "http://org/", "http://www.spam-farm.example.com/x", "http://SPAM-farm.example.com?y", "http://xspam-farm.example.com/",
